@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -151,11 +151,10 @@ def _join(rows: DataFrame, pieces: DataFrame, bits: int, index: GeoIndex) -> Dat
         matched = (bucket == F.col("_bucket")) & inside
         return rows.join(F.broadcast(side), matched, "left").drop("_bucket", "_lo", "_hi")
 
-    # Too large to broadcast: both sides are shuffled. Rows of one bucket go round
+    # Too large to broadcast: both sides are shuffled. Rows of one bucket spread over
     # the salts and every piece is sent to all of them; rows without an address
     # get buckets of their own below zero instead of meeting in one task.
-    turn = F.monotonically_increasing_id()
-    spread = rows.withColumn("_turn", turn).select(
+    spread = rows.withColumn("_turn", _turn(rows)).select(
         *rows.columns,
         F.pmod("_turn", F.lit(index.salts)).cast("int").alias("_salt"),
         F.when(F.col("_ip") == NO_ADDRESS, -1 - F.pmod("_turn", F.lit(1 << 20)))
@@ -170,6 +169,13 @@ def _join(rows: DataFrame, pieces: DataFrame, bits: int, index: GeoIndex) -> Dat
     return joined.drop("_bucket", "_lo", "_hi", "_salt", "_key", "_copy")
 
 
+def _turn(rows: DataFrame) -> Column:
+    """A number that differs from row to row yet is the same when a task runs again."""
+    if {"partition", "offset"} <= set(rows.columns):
+        return F.xxhash64("partition", "offset")
+    return (F.rand(1) * (1 << 40)).cast("bigint")
+
+
 def _shuffle_join(rows: DataFrame, index: GeoIndex) -> str:
     """Hash the dictionary while its share of a task is small, else sort and merge."""
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -181,7 +181,9 @@ def _report_rows(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -
 
 
 def amt_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.amt_total(_report_rows(spark, sf_dir))
+    """The total needs no address: the ETL keeps every order and its amount."""
+    fields = msg.order_fields(tables.order_messages(spark, sf_dir))
+    return reports.amt_total(fields.select(F.col("orderMoney").try_cast("double").alias("money")))
 
 
 def amt_by_province(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -302,41 +304,18 @@ def _run_report(spark: SparkSession, sf_dir: str, name: str, report: jobs.Report
     return settings.store_path
 
 
-def _stored_total(spark: SparkSession, store: str) -> DataFrame:
-    row = hashes.hash_get(hashes.read_hashes(spark, store, "orders:money:total"), ["global"])
-    return row.select(F.col("global").try_cast("double").alias("total_amt"))
-
-
-def _stored_cities(spark: SparkSession, store: str) -> DataFrame:
-    fields = hashes.read_hashes(spark, store, "orders:citymoney:global")
-    return fields.select(
-        F.when(F.col("field") != "null", F.col("field")).alias("city"),
-        F.col("value").try_cast("double").alias("total_amt"),
-    )
-
-
-def _stored_latest(spark: SparkSession, store: str) -> DataFrame:
-    prefix = "orders:citymoney:"
-    stored = hashes.hash_get(hashes.read_hashes(spark, store, prefix), ["money", "province"])
-    # The hash of the city totals shares the prefix; it has no province.
-    return stored.where(F.col("province").isNotNull()).select(
-        F.substring("key", len(prefix) + 1, 1 << 20).alias("city"),
-        F.col("money").try_cast("double").alias("money"),
-        "province",
-    )
-
-
 def s_amt_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stored_total(spark, _run_report(spark, sf_dir, "s_amt_total", jobs.TOTAL))
+    return jobs.stored_total(spark, _run_report(spark, sf_dir, "s_amt_total", jobs.TOTAL))
 
 
 def s_amt_by_province(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _run_report(spark, sf_dir, "s_amt_by_province", jobs.PROVINCE)
-    return jobs.stored_totals(spark, store, jobs.PROVINCE)
+    return jobs.stored_amounts(spark, store, jobs.PROVINCE)
 
 
 def s_amt_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stored_cities(spark, _run_report(spark, sf_dir, "s_amt_by_city", jobs.CITY))
+    store = _run_report(spark, sf_dir, "s_amt_by_city", jobs.CITY)
+    return jobs.stored_city_amounts(spark, store)
 
 
 def s_key_city_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -349,12 +328,24 @@ def s_key_city_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def s_key_city_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _run_report(spark, sf_dir, "s_key_city_amount", jobs.KEY_CITY_AMOUNT)
-    return jobs.stored_totals(spark, store, jobs.KEY_CITY_AMOUNT)
+    return jobs.stored_amounts(spark, store, jobs.KEY_CITY_AMOUNT)
 
 
 def s_key_city_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _run_report(spark, sf_dir, "s_key_city_latest", jobs.KEY_CITY_LATEST)
-    return _stored_latest(spark, store)
+    money = F.col("money").try_cast("double").alias("money")
+    return jobs.stored_cities(spark, store).select("city", money, "province")
+
+
+def s_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chart rows scanned from a store that also holds the city sums under the same prefix."""
+    settings = _settings(spark, "s_dashboard")
+    rows = _stream_rows(spark, sf_dir)
+    control.run_all(
+        spark,
+        [jobs.start_report(spark, settings, one, rows) for one in (jobs.CITY, jobs.KEY_CITY_LATEST)],
+    )
+    return dashboard.dashboard_feed(jobs.stored_cities(spark, settings.store_path))
 
 
 def s_two_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -382,7 +373,7 @@ def s_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
         lines = read_messages(spark, settings, settings.etl_topic)
         rows = msg.report_rows(lines, msg.POSITION)
         _finish(jobs.start_report(spark, settings, jobs.CITY, rows))
-    return _stored_cities(spark, settings.store_path)
+    return jobs.stored_city_amounts(spark, settings.store_path)
 
 
 def s_rate_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -413,6 +404,6 @@ QUERIES: dict[str, Query] = {
         keyed_hashes, dashboard_feed, dashboard_rejects,
         s_order_etl, s_order_etl_open, s_amt_total, s_amt_by_province, s_amt_by_city,
         s_key_city_rows, s_key_city_amount, s_key_city_latest,
-        s_two_jobs, s_restart, s_rate_cap,
+        s_dashboard, s_two_jobs, s_restart, s_rate_cap,
     )
 }

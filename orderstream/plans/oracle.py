@@ -166,6 +166,9 @@ SELECT city, province, money FROM c WHERE money = 'n/a'""",
     "s_key_city_rows": _KEY_ROWS,
     "s_key_city_amount": _KEY_AMOUNT,
     "s_key_city_latest": _KEY_LATEST,
+    "s_dashboard": f"""WITH {_NEWEST}
+SELECT '销售额' AS series, province AS category, arg_max(o_totalprice, city) AS value
+FROM r WHERE age = 1 AND city IN ({_CITY_LIST}) GROUP BY province""",
     "s_two_jobs": f"""WITH {_NEWEST}
 SELECT 'orders:money:total' AS key, 'global' AS field, {_SUM} AS amount FROM e
 UNION ALL SELECT 'orders:provincemoney:' || coalesce(province, 'null'), 'total_amt', {_SUM}

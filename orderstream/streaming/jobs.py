@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -126,8 +126,11 @@ def start_report(
 
     def store(batch: DataFrame, batch_id: int) -> None:
         if settings.store_format != "hashes":
+            # Finding pivot columns reads the batch once more; its state must not be.
+            batch.persist()
             wide = report.wide(batch, settings)
             hashes.write_external(wide, report.table, report.key, settings)
+            batch.unpersist()
             return
         session = batch.sparkSession
         run = session.sparkContext.getLocalProperty("sql.streaming.queryId") or "run"
@@ -166,12 +169,41 @@ def run_reports(
     run_all(spark, queries, settings.stop_state_file)
 
 
-def stored_totals(spark: SparkSession, store: str, report: Report) -> DataFrame:
-    """A stored one-value report: ``<key>, total_amt``."""
+def _key_text(prefix: str) -> Column:
+    text = F.col("key").substr(F.lit(len(prefix) + 1), F.length("key"))
+    return F.when(text != "null", text)
+
+
+def stored_total(spark: SparkSession, store: str) -> DataFrame:
+    """``total_amt`` as it stands now."""
+    total = hashes.read_hashes(spark, store, f"{TOTAL.table}:{reports.TOTAL}")
+    row = hashes.hash_get(total, [reports.GLOBAL])
+    return row.select(F.col(reports.GLOBAL).try_cast("double").alias("total_amt"))
+
+
+def stored_amounts(spark: SparkSession, store: str, report: Report) -> DataFrame:
+    """``<key>, total_amt`` of a report with one hash per key."""
     prefix = f"{report.table}:"
-    name = F.substring("key", len(prefix) + 1, 1 << 20).alias(report.key)
-    amounts = hashes.read_hashes(spark, f"{store.rstrip('/')}/{report.name}", prefix)
-    return amounts.where(F.col("field") == "total_amt").select(
-        F.when(name != "null", name).alias(report.key),
+    amounts = hashes.hash_get(hashes.read_hashes(spark, store, prefix), ["total_amt"])
+    return amounts.select(
+        _key_text(prefix).alias(report.key), F.col("total_amt").try_cast("double").alias("total_amt")
+    )
+
+
+def stored_city_amounts(spark: SparkSession, store: str) -> DataFrame:
+    """``city, total_amt`` from the fields of the one hash of all cities."""
+    fields = hashes.read_hashes(spark, store, f"{CITY.table}:{reports.GLOBAL}")
+    return fields.select(
+        F.when(F.col("field") != "null", F.col("field")).alias("city"),
         F.col("value").try_cast("double").alias("total_amt"),
     )
+
+
+def stored_cities(spark: SparkSession, store: str) -> DataFrame:
+    """``city, money, province`` as texts: every hash the chart scans.
+
+    The hash of all city sums shares the prefix; it has neither field.
+    """
+    prefix = f"{KEY_CITY_LATEST.table}:"
+    found = hashes.hash_get(hashes.read_hashes(spark, store, prefix), ["money", "province"])
+    return found.select(_key_text(prefix).alias("city"), "money", "province")
