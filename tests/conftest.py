@@ -1,0 +1,33 @@
+from __future__ import annotations
+
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from compare import duck, local_session  # noqa: E402
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = local_session(4)
+    session.conf.set("spark.sql.shuffle.partitions", "4")
+    session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    if not os.path.isdir(SF_DIR):
+        pytest.skip(f"no tables in {SF_DIR}")
+    return SF_DIR
+
+
+@pytest.fixture(scope="session")
+def con(sf_dir):
+    return duck(sf_dir)

@@ -1,0 +1,160 @@
+"""The address join against brute force, its guards and its plans."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from orderstream.functions.ipv4 import ipv4_text
+from orderstream.operators import geo
+from orderstream.operators.etl import order_etl, order_etl_open
+from orderstream.plans import tables
+from orderstream.sources.ranges import split_regions
+
+SCHEMA = "lo BIGINT, hi BIGINT, province STRING, city STRING"
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def dictionary(spark, ranges):
+    rows = [(lo, hi, f"P{i % 7}" if i % 11 else None, f"C{i}") for i, (lo, hi) in enumerate(ranges)]
+    return spark.createDataFrame(rows, SCHEMA), rows
+
+
+def brute_force(rows, numbers):
+    found = {}
+    for number in numbers:
+        hits = [(p, c) for lo, hi, p, c in rows if lo <= number <= hi]
+        found[number] = hits[0] if hits else (None, None)
+    return found
+
+
+def located(spark, numbers, index):
+    rows = spark.createDataFrame([(n,) for n in numbers], "n BIGINT").withColumn("ip", ipv4_text(F.col("n")))
+    return geo.locate(rows, "ip", index)
+
+
+def mixed_ranges(rng):
+    """Wide ranges, gaps, single addresses, and crowded blocks of tiny ranges."""
+    ranges, at = [], 0
+    while at < 4294967295 and len(ranges) < 1500:
+        kind = rng.randrange(4)
+        if kind == 0:
+            width = rng.randrange(1, 40_000_000)
+        elif kind == 1:
+            width = rng.randrange(1, 70_000)
+        else:
+            for _ in range(rng.randrange(1, 150)):
+                width = rng.randrange(1, 400)
+                ranges.append((at, min(at + width - 1, 4294967295)))
+                at += width + rng.choice([0, 0, 0, rng.randrange(300)])
+            continue
+        ranges.append((at, min(at + width - 1, 4294967295)))
+        at += width + rng.choice([0, 0, rng.randrange(100_000)])
+    return [(lo, hi) for lo, hi in ranges if lo <= 4294967295]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("broadcast_bytes", [256 * 1024 * 1024, -1])
+def test_join_equals_brute_force(spark, seed, broadcast_bytes):
+    rng = random.Random(seed)
+    ranges, rows = dictionary(spark, mixed_ranges(rng))
+    index = geo.build_index(ranges, broadcast_bytes, salts=3)
+    assert index.fine is not None
+    edges = [n for lo, hi, _, _ in rng.sample(rows, 300) for n in (lo - 1, lo, hi, hi + 1)]
+    numbers = [n for n in edges if 0 <= n <= 4294967295]
+    numbers += [rng.randrange(4294967296) for _ in range(500)] + [0, 4294967295]
+    expected = brute_force(rows, numbers)
+    result = located(spark, numbers, index).collect()
+    assert len(result) == len(numbers)
+    assert all((row.province, row.city) == expected[row.n] for row in result)
+
+
+def test_no_address_and_no_range(spark):
+    ranges, _ = dictionary(spark, [(10, 20)])
+    rows = spark.createDataFrame([("0.0.0.15",), ("0.0.0.9",), ("x",), (None,)], "ip STRING")
+    for limit in (1 << 30, -1):
+        found = geo.locate(rows, "ip", geo.build_index(ranges, limit)).collect()
+        assert sorted((row.ip or "", row.city) for row in found) == [
+            ("", None), ("0.0.0.15", "C0"), ("0.0.0.9", None), ("x", None),
+        ]
+
+
+def test_empty_dictionary(spark):
+    index = geo.build_index(spark.createDataFrame([], SCHEMA))
+    assert located(spark, [5], index).first().city is None
+
+
+@pytest.mark.parametrize(
+    "ranges",
+    [[(5, 4)], [(-1, 4)], [(0, 4294967296)], [(None, 4)], [(0, 10), (10, 20)],
+     [(0, 4294967295), (70000, 70001)], [(0, 4294967295)] * 3, [(0, 5), (0, 5)]],
+)
+def test_bad_ranges_are_refused(spark, ranges):
+    with pytest.raises(geo.BadRanges):
+        geo.build_index(dictionary(spark, ranges)[0])
+
+
+def test_a_hot_address_is_spread(spark):
+    """A third of the rows share one address, another third have none."""
+    ranges, _ = dictionary(spark, [(i * 1000, i * 1000 + 999) for i in range(200)])
+    index = geo.build_index(ranges, -1, salts=8)
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, "0.0.3.255").when(F.col("id") % 3 == 1, "none")
+        .otherwise(ipv4_text(F.col("id"))).alias("ip")
+    )
+    found = geo.locate(rows, "ip", index)
+    plan = plan_of(found)
+    assert "ShuffledHashJoin" in plan or "SortMergeJoin" in plan
+    assert found.count() == 3000
+    # The tiny partitions of this test would be put together again otherwise.
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tasks = found.groupBy("ip", F.spark_partition_id().alias("task")).count()
+        for ip in ("0.0.3.255", "none"):
+            sizes = [row["count"] for row in tasks.where(F.col("ip") == ip).collect()]
+            assert sum(sizes) == 1000
+            assert max(sizes) <= 600
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_large_dictionary_shares_are_merged(spark):
+    ranges, rows = dictionary(spark, [(i * 100, i * 100 + 50) for i in range(500)])
+    index = geo.build_index(ranges, -1)
+    huge = geo.GeoIndex(index.coarse, index.fine, 1 << 50, -1, 4)
+    found = located(spark, [0, 50, 51, 149, 49_950], huge)
+    assert "SortMergeJoin" in plan_of(found)
+    expected = brute_force(rows, [0, 50, 51, 149, 49_950])
+    assert {r.n: (r.province, r.city) for r in found.collect()} == expected
+
+
+def test_etl_plan(spark, sf_dir):
+    """One JSON parse, one hash join, no shuffle, no Python, no nested loop."""
+    index = tables.geo_index(spark, sf_dir)
+    messages = spark.createDataFrame([("{}",)], "value STRING")
+    for build in (order_etl, order_etl_open):
+        plan = plan_of(build(messages, index))
+        assert plan.count("Generate json_tuple") == 1
+        assert plan.count("BroadcastHashJoin") == 1
+        for unwanted in ("NestedLoop", "Python", "Arrow", "hashpartitioning", "Cartesian"):
+            assert unwanted not in plan
+
+
+def test_open_orders_are_chosen_before_the_lookup(spark, sf_dir):
+    index = tables.geo_index(spark, sf_dir)
+    messages = spark.createDataFrame([("{}",)], "value STRING")
+    plan = plan_of(order_etl_open(messages, index))
+    assert plan.index("BroadcastHashJoin") < plan.index("Filter (CASE WHEN")
+
+
+def test_region_texts_are_split_on_load(spark):
+    table = spark.createDataFrame(
+        [(0, 9, "中国|0|海南省|海口市|教育网"), (10, 19, "broken")], "lo INT, hi INT, region STRING"
+    )
+    found = {r.n: (r.province, r.city) for r in located(spark, [5, 15], geo.build_index(split_regions(table))).collect()}
+    assert found == {5: ("海南省", "海口市"), 15: (None, None)}

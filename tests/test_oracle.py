@@ -1,0 +1,24 @@
+"""Every registered query against its SQL."""
+
+from __future__ import annotations
+
+import pytest
+from compare import difference
+
+import __spark_entry__ as contract
+
+
+def test_every_query_has_sql():
+    assert contract.queries().keys() == contract.oracle_sql().keys()
+
+
+@pytest.mark.parametrize("name", contract.queries())
+def test_query_equals_sql(spark, con, sf_dir, name):
+    result = contract.queries()[name](spark, sf_dir)
+    assert difference(result, con, contract.oracle_sql()[name]) == ""
+
+
+def test_entry(spark):
+    rows = contract.entry(spark)
+    assert rows.columns == ["province", "total_amt"]
+    assert rows.count() > 0
