@@ -107,7 +107,11 @@ class Settings:
 
     @classmethod
     def from_properties(cls, text: str, **overrides: Any) -> Settings:
-        """Read ``key=value`` lines; unknown keys are ignored, comments start with # or !."""
+        """Read ``key=value`` lines: the names in PROPERTIES or field names of this class.
+
+        Other keys are ignored; comments start with # or !. Key cities are
+        separated by commas.
+        """
         kinds = {f.name: f.type for f in fields(cls)}
         values: dict[str, Any] = {}
         for raw in text.splitlines():
@@ -115,14 +119,15 @@ class Settings:
             if not line or line[0] in "#!" or "=" not in line:
                 continue
             key, value = (part.strip() for part in line.split("=", 1))
-            name = PROPERTIES.get(key)
-            if name is None:
-                continue
-            if kinds[name] == "bool":
+            name = PROPERTIES.get(key, key)
+            kind = kinds.get(name, "")
+            if kind == "bool":
                 values[name] = _boolean(key, value)
-            elif kinds[name] == "int":
+            elif kind in ("int", "int | None"):
                 values[name] = int(value)
-            else:
+            elif kind == "tuple[str, ...]":
+                values[name] = tuple(part.strip() for part in value.split(","))
+            elif kind == "str":
                 values[name] = value
         return replace(cls(**values), **overrides)
 

@@ -1,0 +1,186 @@
+"""Settings files, Kafka options, sessions and the command line."""
+
+from __future__ import annotations
+
+import dataclasses
+
+import pytest
+
+from orderstream import __main__ as command
+from orderstream import session
+from orderstream.config import KEY_CITIES, PROPERTIES, Settings
+from orderstream.sinks.messages import kafka_sink_options
+from orderstream.sources import messages, ranges
+from orderstream.streaming import jobs
+
+TEXT = """
+# comment
+! other comment
+app.is.local=false
+app.spark.master = local[2]
+kafka.bootstrap.servers=b1:9092,b2:9092
+kafka.auto.offset.reset=smallest
+kafka.source.topics=raw
+kafka.etl.topic=clean
+kafka.max.offsets.per.trigger=77
+streaming.etl.group.id=g
+streaming.etl.ckpt=/c/etl
+streaming.amt.total.ckpt=/c/total
+streaming.amt.province.ckpt=/c/province
+streaming.amt.city.ckpt=/c/city
+stop.etl.file=/stop/etl
+stop.state.file=/stop/reports
+redis.host=h
+redis.port=1
+redis.db=2
+ipdata.region.path=/dict=1
+unknown.key=5
+key_cities = A, B
+max_files_per_trigger=3
+"""
+
+
+def test_every_property_is_read():
+    assert len(PROPERTIES) == 18
+    settings = Settings.from_properties(TEXT, checkpoint_root="/c")
+    values = dataclasses.asdict(settings)
+    assert [values[name] for name in PROPERTIES.values()] == [
+        False, "local[2]", "b1:9092,b2:9092", "smallest", "raw", "clean", 77, "g", "/c/etl",
+        "/c/total", "/c/province", "/c/city", "/stop/etl", "/stop/reports", "h", 1, 2, "/dict=1",
+    ]
+    assert settings.key_cities == ("A", "B")
+    assert settings.max_files_per_trigger == 3
+    assert settings.starting_offsets == "earliest"
+
+
+def test_defaults():
+    settings = Settings()
+    assert settings.starting_offsets == "latest"
+    assert settings.max_offsets_per_trigger == 10000
+    assert len(KEY_CITIES) == 9
+
+
+def test_bad_boolean():
+    with pytest.raises(ValueError, match="app.is.local"):
+        Settings.from_properties("app.is.local=maybe")
+
+
+def test_checkpoints_are_never_shared():
+    settings = Settings.from_properties(TEXT, checkpoint_root="/c/")
+    names = [jobs.ETL_QUERY, *(report.name for report in jobs.REPORTS)]
+    folders = [settings.checkpoint(name) for name in names]
+    assert len(set(folders)) == len(names) == len(set(names))
+    with pytest.raises(ValueError, match="checkpoint_root"):
+        Settings().checkpoint("query-amt-total")
+
+
+def test_kafka_options():
+    settings = Settings.from_properties(TEXT)
+    assert messages.kafka_source_options(settings, "raw", streaming=True) == {
+        "kafka.bootstrap.servers": "b1:9092,b2:9092", "subscribe": "raw",
+        "startingOffsets": "earliest", "maxOffsetsPerTrigger": "77",
+    }
+    split = dataclasses.replace(settings, min_partitions=64)
+    assert messages.kafka_source_options(split, "raw", streaming=False) == {
+        "kafka.bootstrap.servers": "b1:9092,b2:9092", "subscribe": "raw",
+        "startingOffsets": "earliest", "minPartitions": "64",
+    }
+    assert kafka_sink_options(settings, "clean") == {
+        "kafka.bootstrap.servers": "b1:9092,b2:9092", "topic": "clean",
+    }
+
+
+def test_kafka_messages_become_text_with_a_position(spark, monkeypatch):
+    """The Kafka reader is replaced by a frame with the columns Kafka gives."""
+    from pyspark.sql import DataFrameReader
+
+    kafka = spark.createDataFrame(
+        [(None, bytearray("{\"a\":\"中\"}", "utf-8"), "raw", 3, 9)],
+        "key BINARY, value BINARY, topic STRING, partition INT, offset BIGINT",
+    ).selectExpr("*", "timestamp_seconds(5) AS timestamp", "0 AS timestampType")
+    monkeypatch.setattr(DataFrameReader, "load", lambda self: kafka)
+    rows = messages.read_messages(spark, Settings(), "raw", streaming=False)
+    assert rows.dtypes == [
+        ("value", "string"), ("timestamp", "timestamp"), ("partition", "int"), ("offset", "bigint"),
+    ]
+    assert rows.first().value == '{"a":"中"}'
+
+
+def test_unknown_source(spark):
+    with pytest.raises(ValueError, match="paper"):
+        messages.read_messages(spark, Settings(source_format="paper"), "raw")
+
+
+def test_local_session(spark):
+    built = session.build(Settings())
+    assert built.conf.get("spark.sql.debug.maxToStringFields") == "2000"
+    assert built.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+
+
+class FakeSession:
+    """Just what the choice of the shared folder looks at."""
+
+    def __init__(self, named, set_before, master):
+        self.conf = {"spark.checkpoint.dir": named} if named else {}
+        self.sparkContext = self
+        self.master = master
+        self.set = set_before
+
+    def getCheckpointDir(self):  # noqa: N802
+        return self.set
+
+    def setCheckpointDir(self, path):  # noqa: N802
+        self.set = path
+
+
+def test_shared_folder():
+    named = FakeSession("hdfs://shared/work/", None, "yarn")
+    assert session.shared_dir(named) == "hdfs://shared/work"
+    assert session.scratch(named, "x").startswith("hdfs://shared/work/x-")
+    assert session.shared_dir(FakeSession(None, "s3://b/c", "yarn")) == "s3://b/c"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(FakeSession(None, None, "yarn"))
+    local = FakeSession(None, None, "local[4]")
+    assert session.shared_dir(local) == local.set == session.shared_dir(local)
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_dictionary_tables(spark, tmp_path, fmt):
+    path = str(tmp_path / fmt)
+    texts = spark.createDataFrame([(0, 9, "a|0|P|C|x")], "lo INT, hi INT, region STRING")
+    texts.write.format(fmt).option("header", "true").save(path)
+    loaded = ranges.load_ranges(spark, path, fmt)
+    assert loaded.dtypes == [("lo", "bigint"), ("hi", "bigint"), ("province", "string"), ("city", "string")]
+    assert tuple(loaded.first()) == (0, 9, "P", "C")
+    split = str(tmp_path / "split")
+    loaded.write.format(fmt).option("header", "true").save(split)
+    assert tuple(ranges.load_ranges(spark, split, fmt).first()) == (0, 9, "P", "C")
+
+
+def test_the_three_jobs_from_the_command_line(spark, sf_dir, tmp_path, monkeypatch):
+    """etl, reports and chart over file topics, as a user starts them."""
+    from orderstream.plans import tables
+    from orderstream.sinks.messages import publish
+
+    dictionary = str(tmp_path / "dictionary")
+    tables.region_ranges(spark, sf_dir).write.parquet(dictionary)
+    path = tmp_path / "settings.properties"
+    path.write_text(
+        f"source_format=files\ntopic_root={tmp_path}/topics\ncheckpoint_root={tmp_path}/checkpoints\n"
+        f"store_path={tmp_path}/store\nipdata.region.path={dictionary}\n"
+        f"key_cities={','.join(tables.KEY_CITIES)}\n",
+        encoding="utf-8",
+    )
+    plain = Settings.from_properties(path.read_text(encoding="utf-8"))
+    publish(tables.order_messages(spark, sf_dir), plain, plain.source_topic)
+    read = Settings.from_properties
+    monkeypatch.setattr(
+        Settings, "from_properties", lambda text: read(text, trigger={"availableNow": True})
+    )
+    command.main(["etl", str(path)])
+    command.main(["reports", str(path)])
+    command.main(["chart", str(path), "--output", str(tmp_path / "chart")])
+    rows = spark.read.json(str(tmp_path / "chart"))
+    assert sorted(rows.columns) == ["category", "series", "value"]
+    assert rows.count() == len({r.province for r in jobs.stored_cities(spark, plain.store_path).collect()} - {None})
+    assert rows.count() > 0
