@@ -84,7 +84,7 @@ class Settings:
 
     # Dictionary lookup: largest index that may be broadcast, and how many ways a
     # bucket is split when it may not.
-    geo_broadcast_bytes: int = 256 * 1024 * 1024
+    geo_broadcast_bytes: int = 512 * 1024 * 1024
     geo_salts: int = 16
 
     @property

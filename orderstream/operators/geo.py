@@ -1,9 +1,9 @@
-"""IPv4 address to province and city: a left range join made of equi-joins.
+"""IPv4 address to province and city: a left range join made of one equi-join.
 
 Ranges are cut at /16 borders, so that an address and its range meet on the
 address's upper 16 bits and the range test is left as a residual. A /16 bucket
 may still hold up to 65,536 ranges; buckets above CROWDED pieces are cut again
-at /24 borders and joined on the upper 24 bits. Ranges never overlap, so one
+at /24 borders and met on the upper 24 bits. Ranges never overlap, so one
 address compares with at most CROWDED coarse or 256 fine pieces, and one row
 in gives one row out.
 """
@@ -21,10 +21,13 @@ from orderstream.functions.ipv4 import MAX_IPV4, ipv4_number
 COARSE_BITS = 16
 FINE_BITS = 8
 CROWDED = 64
+# Fine keys follow the coarse ones.
+FINE_KEYS = 65536
 NO_ADDRESS = -1
 
-# Bytes of an index row besides its texts, hash table entry included.
-_ROW_BYTES = 96
+# Upper bound of a broadcast row: five fixed fields, two texts and the row's share
+# of the hash table, whose memory grows by doubling.
+_ROW_BYTES = 224
 
 
 class BadRanges(ValueError):
@@ -33,10 +36,13 @@ class BadRanges(ValueError):
 
 @dataclass(frozen=True)
 class GeoIndex:
-    """Cut ranges ready to join: ``bucket, lo, hi, province, city``."""
+    """Cut ranges ready to join: ``_bucket, _lo, _hi, province, city``.
 
-    coarse: DataFrame
-    fine: DataFrame | None
+    ``crowded`` lists the /16 buckets that are cut at /24 borders, if any.
+    """
+
+    pieces: DataFrame
+    crowded: DataFrame | None
     size_bytes: int
     broadcast_bytes: int
     salts: int
@@ -47,17 +53,17 @@ class GeoIndex:
 
     def persist(self) -> GeoIndex:
         """Keep the cut ranges for a stream, which joins them in every batch."""
-        fine = self.fine.persist() if self.fine is not None else None
-        return replace(self, coarse=self.coarse.persist(), fine=fine)
+        crowded = self.crowded.persist() if self.crowded is not None else None
+        return replace(self, pieces=self.pieces.persist(), crowded=crowded)
 
     def unpersist(self) -> None:
-        self.coarse.unpersist()
-        if self.fine is not None:
-            self.fine.unpersist()
+        self.pieces.unpersist()
+        if self.crowded is not None:
+            self.crowded.unpersist()
 
 
 def build_index(
-    ranges: DataFrame, broadcast_bytes: int = 256 * 1024 * 1024, salts: int = 16
+    ranges: DataFrame, broadcast_bytes: int = 512 * 1024 * 1024, salts: int = 16
 ) -> GeoIndex:
     """Check a dictionary ``lo, hi, province, city`` and cut it into buckets.
 
@@ -82,10 +88,10 @@ def build_index(
     if facts.pieces > facts.rows + 65536:
         raise BadRanges("ranges overlap")
 
-    pieces = _cut(ranges, COARSE_BITS)
+    cut = _cut(ranges, COARSE_BITS)
     bucket = Window.partitionBy("bucket")
     checked = (
-        pieces.select("bucket", "lo", "hi")
+        cut.select("bucket", "lo", "hi")
         .withColumn("next_lo", F.lead("lo").over(bucket.orderBy("lo")))
         .groupBy("bucket")
         .agg(F.count("*").alias("n"), F.count_if(F.col("next_lo") <= F.col("hi")).alias("overlaps"))
@@ -97,23 +103,24 @@ def build_index(
     if seen.overlaps:
         raise BadRanges(f"{seen.overlaps} ranges overlap the next one")
 
-    coarse, fine, rows = pieces, None, facts.pieces
+    pieces, crowded = cut, None
     if seen.crowded:
-        # At most 65,536 buckets exist, so this list is always small.
-        crowded = F.broadcast(
-            pieces.groupBy("bucket").count().where(F.col("count") > CROWDED).select("bucket")
-        )
-        coarse = pieces.join(crowded, "bucket", "left_anti")
-        base = F.shiftleft(F.col("bucket"), COARSE_BITS)
-        inside = pieces.join(crowded, "bucket", "left_semi").select(
+        # There are 65,536 buckets at most, so this list is always small.
+        crowded = cut.groupBy("bucket").count().where(F.col("count") > CROWDED).select("bucket")
+        base = F.shiftleft("bucket", COARSE_BITS)
+        inside = cut.join(F.broadcast(crowded), "bucket", "left_semi").select(
             F.greatest("lo", base).alias("lo"),
             F.least("hi", base + 65535).alias("hi"),
             "province",
             "city",
         )
-        fine = _cut(inside, FINE_BITS)
-        rows += 256 * seen.crowded
-    return GeoIndex(coarse, fine, rows * (_ROW_BYTES + facts.text), broadcast_bytes, salts)
+        fine = _cut(inside, FINE_BITS).withColumn("bucket", F.col("bucket") + FINE_KEYS)
+        coarse = cut.join(F.broadcast(crowded), "bucket", "left_anti")
+        pieces = coarse.unionByName(fine)
+    pieces = pieces.withColumnsRenamed({"bucket": "_bucket", "lo": "_lo", "hi": "_hi"})
+    rows = facts.pieces + 256 * seen.crowded
+    size = rows * (_ROW_BYTES + 2 * facts.text)
+    return GeoIndex(pieces, crowded, size, broadcast_bytes, salts)
 
 
 def _cut(ranges: DataFrame, bits: int) -> DataFrame:
@@ -123,50 +130,40 @@ def _cut(ranges: DataFrame, bits: int) -> DataFrame:
 
 def locate(rows: DataFrame, ip: str, index: GeoIndex) -> DataFrame:
     """Add ``province`` and ``city`` of a dotted address; null where none is known."""
-    names = rows.columns
     # Never null: a nullable join key makes the optimizer test it for null ahead of
     # the join, which would parse every address (and its message) a second time.
     number = F.coalesce(ipv4_number(F.col(ip)), F.lit(NO_ADDRESS))
-    found = _join(rows.withColumn("_ip", number), index.coarse, COARSE_BITS, index)
-    province, city = F.col("_province16"), F.col("_city16")
-    if index.fine is not None:
-        # A bucket is either coarse or fine, so at most one of the two joins hits.
-        found = _join(found, index.fine, FINE_BITS, index)
-        province = F.coalesce(province, F.col("_province8"))
-        city = F.coalesce(city, F.col("_city8"))
-    return found.select(*names, province.alias("province"), city.alias("city"))
-
-
-def _join(rows: DataFrame, pieces: DataFrame, bits: int, index: GeoIndex) -> DataFrame:
-    side = pieces.select(
-        F.col("bucket").alias("_bucket"),
-        F.col("lo").alias("_lo"),
-        F.col("hi").alias("_hi"),
-        F.col("province").alias(f"_province{bits}"),
-        F.col("city").alias(f"_city{bits}"),
-    )
-    bucket = F.shiftright("_ip", bits)
+    numbered = rows.withColumn("_ip", number)
+    key = F.shiftright("_ip", COARSE_BITS)
+    if index.crowded is not None:
+        crowded = F.broadcast(index.crowded.withColumnRenamed("bucket", "_crowded"))
+        numbered = numbered.join(crowded, key == F.col("_crowded"), "left")
+        fine = F.shiftright("_ip", FINE_BITS) + FINE_KEYS
+        key = F.when(F.col("_crowded").isNotNull(), fine).otherwise(key)
+    found = _join(numbered.withColumn("_key", key), index)
+    return found.select(*rows.columns, "province", "city")
+
+
+def _join(rows: DataFrame, index: GeoIndex) -> DataFrame:
+    same_bucket = F.col("_key") == F.col("_bucket")
     inside = (F.col("_ip") >= F.col("_lo")) & (F.col("_ip") <= F.col("_hi"))
     if index.broadcast:
-        matched = (bucket == F.col("_bucket")) & inside
-        return rows.join(F.broadcast(side), matched, "left").drop("_bucket", "_lo", "_hi")
+        return rows.join(F.broadcast(index.pieces), same_bucket & inside, "left")
 
     # Too large to broadcast: both sides are shuffled. Rows of one bucket spread over
     # the salts and every piece is sent to all of them; rows without an address
     # get buckets of their own below zero instead of meeting in one task.
-    spread = rows.withColumn("_turn", _turn(rows)).select(
-        *rows.columns,
-        F.pmod("_turn", F.lit(index.salts)).cast("int").alias("_salt"),
-        F.when(F.col("_ip") == NO_ADDRESS, -1 - F.pmod("_turn", F.lit(1 << 20)))
-        .otherwise(bucket)
-        .alias("_key"),
+    turn = F.col("_turn")
+    alone = F.when(F.col("_ip") == NO_ADDRESS, -1 - F.pmod(turn, F.lit(1 << 20)))
+    spread = (
+        rows.withColumn("_turn", _turn(rows))
+        .withColumn("_salt", F.pmod(turn, F.lit(index.salts)).cast("int"))
+        .withColumn("_key", alone.otherwise(F.col("_key")))
+        .drop("_turn")
     )
-    salted = side.withColumn(
-        "_copy", F.explode(F.sequence(F.lit(0), F.lit(index.salts - 1)))
-    ).hint(_shuffle_join(rows, index))
-    matched = (F.col("_key") == F.col("_bucket")) & (F.col("_salt") == F.col("_copy")) & inside
-    joined = spread.join(salted, matched, "left")
-    return joined.drop("_bucket", "_lo", "_hi", "_salt", "_key", "_copy")
+    copies = F.explode(F.sequence(F.lit(0), F.lit(index.salts - 1)))
+    salted = index.pieces.withColumn("_copy", copies).hint(_shuffle_join(rows, index))
+    return spread.join(salted, same_bucket & (F.col("_salt") == F.col("_copy")) & inside, "left")
 
 
 def _turn(rows: DataFrame) -> Column:
@@ -181,4 +178,3 @@ def _shuffle_join(rows: DataFrame, index: GeoIndex) -> str:
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     per_task = index.size_bytes * index.salts // max(tasks, 1)
     return "shuffle_hash" if per_task <= 128 * 1024 * 1024 else "merge"
-

@@ -64,7 +64,7 @@ def test_join_equals_brute_force(spark, seed, broadcast_bytes):
     rng = random.Random(seed)
     ranges, rows = dictionary(spark, mixed_ranges(rng))
     index = geo.build_index(ranges, broadcast_bytes, salts=3)
-    assert index.fine is not None
+    assert index.crowded is not None
     edges = [n for lo, hi, _, _ in rng.sample(rows, 300) for n in (lo - 1, lo, hi, hi + 1)]
     numbers = [n for n in edges if 0 <= n <= 4294967295]
     numbers += [rng.randrange(4294967296) for _ in range(500)] + [0, 4294967295]
@@ -126,7 +126,7 @@ def test_a_hot_address_is_spread(spark):
 def test_large_dictionary_shares_are_merged(spark):
     ranges, rows = dictionary(spark, [(i * 100, i * 100 + 50) for i in range(500)])
     index = geo.build_index(ranges, -1)
-    huge = geo.GeoIndex(index.coarse, index.fine, 1 << 50, -1, 4)
+    huge = geo.GeoIndex(index.pieces, index.crowded, 1 << 50, -1, 4)
     found = located(spark, [0, 50, 51, 149, 49_950], huge)
     assert "SortMergeJoin" in plan_of(found)
     expected = brute_force(rows, [0, 50, 51, 149, 49_950])
