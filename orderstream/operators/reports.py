@@ -79,11 +79,9 @@ def pivot_city(by_city: DataFrame, cities: Sequence[str] | None = None) -> DataF
     """``total, <city> ...``: one column per city.
 
     With a list only those cities become columns and no extra job is needed.
-    Without one the columns are found in the data, a missing city as ``null``;
-    the sums, one row per city, are cached so that both jobs share them.
+    Without one the columns are found in the data, a missing city as ``null``.
+    That reads the sums twice, so they should be stored or cached by then.
     """
-    if cities is None:
-        by_city = by_city.persist()
     groups = by_city.withColumn("total", F.lit(GLOBAL)).groupBy("total")
     wide = groups.pivot("city") if cities is None else groups.pivot("city", list(cities))
     return wide.sum("total_amt")

@@ -15,7 +15,7 @@ from orderstream.functions.orders import ORDER_ID_TIME, ORDER_TIME
 from orderstream.operators import dashboard, etl, geo, reports
 from orderstream.operators import messages as msg
 from orderstream.plans import tables
-from orderstream.session import scratch
+from orderstream.session import scratch, stored_once
 from orderstream.sinks import hashes
 from orderstream.sinks.messages import publish
 from orderstream.sources.messages import read_messages
@@ -170,7 +170,7 @@ def etl_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Report rows read back from ETL messages."""
-    return msg.report_rows(msg.etl_envelope(_etl_rows(spark, sf_dir)))
+    return msg.report_rows(tables.finished(msg.etl_envelope(_etl_rows(spark, sf_dir))))
 
 
 # -- reports ------------------------------------------------------------------------
@@ -217,7 +217,7 @@ def pivot_city(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pivot_city_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The wide row with the cities found in the data as columns."""
-    return reports.pivot_city(amt_by_city(spark, sf_dir))
+    return reports.pivot_city(stored_once(amt_by_city(spark, sf_dir)))
 
 
 # -- chart --------------------------------------------------------------------------

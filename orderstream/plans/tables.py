@@ -18,6 +18,9 @@ KEY_CITIES = tuple(f"CITY_{n}" for n in range(0, 99, 11))
 RANGE_WIDTH = 42949672
 RANGE_GAP = 2000000
 
+# Most bytes of a table that one streaming batch reads.
+BYTES_PER_BATCH = 1_000_000_000_000
+
 # Lines that carry no order, one shape after the other.
 NOISE = (None, ",", ",,,", " , ", "\t,\n", "", " ", ", ,", ",a", "a,,", "{bad")
 
@@ -30,7 +33,8 @@ def table(spark: SparkSession, sf_dir: str, name: str, streaming: bool = False)
     if not streaming:
         return rows
     # A pattern, since a stream source takes a plain path for a folder.
-    return spark.readStream.schema(rows.schema).parquet(f"{sf_dir}/{{{name}.parquet}}")
+    reader = spark.readStream.schema(rows.schema).option("maxBytesPerTrigger", BYTES_PER_BATCH)
+    return reader.parquet(f"{sf_dir}/{{{name}.parquet}}")
 
 
 def address_number() -> Column:
@@ -59,18 +63,22 @@ def order_records(orders: DataFrame) -> DataFrame:
     )
 
 
-def order_messages(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
-    """The orders table as messages ``value, timestamp, partition, offset``.
+def finished(lines: DataFrame) -> DataFrame:
+    """Message lines as a topic hands them out: text that is there, not to be computed.
 
-    A topic hands out finished text. Here the text is an expression, and the
-    optimizer would move filters on it below and write each JSON line three
-    times; a condition it cannot evaluate ahead, true for every row, stops that.
+    Made from columns, the text is an expression; the optimizer would move filters
+    on it below and write each JSON line three times. A condition that it cannot
+    evaluate ahead, true for every row, stops that.
     """
-    records = order_records(table(spark, sf_dir, "orders", streaming))
-    lines = msg.order_envelope(records, msg.POSITION)
     return lines.withColumn("value", F.when(F.rand(1) >= 0, F.col("value")))
 
 
+def order_messages(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
+    """The orders table as messages ``value, timestamp, partition, offset``."""
+    records = order_records(table(spark, sf_dir, "orders", streaming))
+    return finished(msg.order_envelope(records, msg.POSITION))
+
+
 def noise_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One junk line, or its own properties text, per event."""
     kind = F.col("event_id") % (len(NOISE) + 1)

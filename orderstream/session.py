@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from orderstream.config import Settings
 
@@ -33,7 +33,10 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local session may fall back to a folder of this machine.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(named)
+    named = named or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
@@ -46,3 +49,9 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder path below the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stored_once(rows: DataFrame) -> DataFrame:
+    """A small result written to the shared folder, for plans that read it more than once."""
+    shared_dir(rows.sparkSession)
+    return rows.checkpoint()
