@@ -37,6 +37,16 @@ def table(spark: SparkSession, sf_dir: str, name: str, streaming: bool = False)
     return reader.parquet(f"{sf_dir}/{{{name}.parquet}}")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Deal rows out to all cores where the scan gives too few tasks for that.
+
+    A small table may be one file that cannot be split, which would leave all the
+    text work to one task. A scan with enough tasks is left as it is: no shuffle.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if 2 * rows.rdd.getNumPartitions() <= cores else rows
+
+
 def address_number() -> Column:
     """An address 0..4294967295 for each order; keys are reduced first to stay within 64 bits."""
     half = 2147483648
@@ -75,7 +85,8 @@ def finished(lines: DataFrame) -> DataFrame:
 
 def order_messages(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
     """The orders table as messages ``value, timestamp, partition, offset``."""
-    records = order_records(table(spark, sf_dir, "orders", streaming))
+    orders = table(spark, sf_dir, "orders", streaming)
+    records = order_records(orders if streaming else spread(orders))
     return finished(msg.order_envelope(records, msg.POSITION))
 
 
