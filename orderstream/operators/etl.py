@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderstream.operators.geo import GeoIndex, locate
-from orderstream.operators.messages import ETL_FIELDS, order_fields
+from orderstream.operators.messages import ETL_FIELDS, order_fields, position_columns
 
 # Fixed value: status code of an open order.
 OPEN = "0"
@@ -16,10 +16,16 @@ OPEN = "0"
 
 def order_etl(messages: DataFrame, index: GeoIndex, keep: Sequence[str] = ()) -> DataFrame:
     """All orders whatever their status: seven string columns."""
-    return locate(order_fields(messages, keep), "ip", index).select(*keep, *ETL_FIELDS)
+    return locate(_fields(messages, keep), "ip", index).select(*keep, *ETL_FIELDS)
 
 
 def order_etl_open(messages: DataFrame, index: GeoIndex, keep: Sequence[str] = ()) -> DataFrame:
     """Open orders only; the others are dropped before the address is looked up."""
-    fields = order_fields(messages, keep).where(F.col("orderStatus") == OPEN)
+    fields = _fields(messages, keep).where(F.col("orderStatus") == OPEN)
     return locate(fields, "ip", index).select(*keep, *ETL_FIELDS)
+
+
+def _fields(messages: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """Order fields with the message position, which a shuffled lookup spreads rows by."""
+    position = [name for name in position_columns(messages) if name not in keep]
+    return order_fields(messages, (*keep, *position))

@@ -126,8 +126,9 @@ def region_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _located(spark: SparkSession, sf_dir: str, index: geo.GeoIndex) -> DataFrame:
-    fields = msg.order_fields(tables.order_messages(spark, sf_dir))
-    return geo.locate(fields.select("orderId", "ip"), "ip", index)
+    fields = msg.order_fields(tables.order_messages(spark, sf_dir), msg.POSITION)
+    located = geo.locate(fields.select("orderId", "ip", *msg.POSITION), "ip", index)
+    return located.drop(*msg.POSITION)
 
 
 def geo_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -99,13 +99,18 @@ def test_bad_ranges_are_refused(spark, ranges):
         geo.build_index(dictionary(spark, ranges)[0])
 
 
-def test_a_hot_address_is_spread(spark):
-    """A third of the rows share one address, another third have none."""
+@pytest.mark.parametrize("position", [True, False])
+def test_a_hot_address_is_spread(spark, position):
+    """A third of the rows share one address, another third have none.
+
+    Rows are told apart by their topic position, or by what they contain.
+    """
     ranges, _ = dictionary(spark, [(i * 1000, i * 1000 + 999) for i in range(200)])
     index = geo.build_index(ranges, -1, salts=8)
     rows = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, "0.0.3.255").when(F.col("id") % 3 == 1, "none")
-        .otherwise(ipv4_text(F.col("id"))).alias("ip")
+        .otherwise(ipv4_text(F.col("id"))).alias("ip"),
+        *((F.lit(0).alias("partition"), F.col("id").alias("offset")) if position else ["id"]),
     )
     found = geo.locate(rows, "ip", index)
     plan = plan_of(found)
@@ -123,6 +128,15 @@ def test_a_hot_address_is_spread(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_the_shuffled_lookup_holds_nothing_random(spark, sf_dir):
+    """A task run again must send its rows to the same places as before."""
+    index = geo.build_index(split_regions(tables.region_ranges(spark, sf_dir)), -1)
+    messages = spark.createDataFrame([("{}", 0, 5)], "value STRING, partition INT, offset BIGINT")
+    plan = plan_of(order_etl(messages, index))
+    assert "xxhash64(partition" in plan
+    assert "rand(" not in plan and "monotonically" not in plan
+
+
 def test_large_dictionary_shares_are_merged(spark):
     ranges, rows = dictionary(spark, [(i * 100, i * 100 + 50) for i in range(500)])
     index = geo.build_index(ranges, -1)
