@@ -145,7 +145,7 @@ def geo_lookup_crowded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items located in a dictionary of many tiny neighbouring ranges."""
     index = geo.build_index(tables.supplier_ranges(spark, sf_dir))
     number = F.col("l_suppkey") * 4 + F.col("l_orderkey") % 4
-    lines = tables.table(spark, sf_dir, "lineitem").select(
+    lines = tables.spread(tables.table(spark, sf_dir, "lineitem")).select(
         "l_orderkey", "l_linenumber", fn.ipv4_text(number).alias("ip")
     )
     return geo.locate(lines, "ip", index)
@@ -181,10 +181,13 @@ def _report_rows(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -
     return msg.typed_rows(_etl_rows(spark, sf_dir, keep), keep)
 
 
+def _money(messages: DataFrame) -> DataFrame:
+    """Amounts for the total, which needs no address: the ETL keeps every order."""
+    return msg.order_fields(messages).select(F.col("orderMoney").try_cast("double").alias("money"))
+
+
 def amt_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The total needs no address: the ETL keeps every order and its amount."""
-    fields = msg.order_fields(tables.order_messages(spark, sf_dir))
-    return reports.amt_total(fields.select(F.col("orderMoney").try_cast("double").alias("money")))
+    return reports.amt_total(_money(tables.order_messages(spark, sf_dir)))
 
 
 def amt_by_province(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -306,7 +309,10 @@ def _run_report(spark: SparkSession, sf_dir: str, name: str, report: jobs.Report
 
 
 def s_amt_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.stored_total(spark, _run_report(spark, sf_dir, "s_amt_total", jobs.TOTAL))
+    settings = _settings(spark, "s_amt_total")
+    money = _money(tables.order_messages(spark, sf_dir, streaming=True))
+    _finish(jobs.start_report(spark, settings, jobs.TOTAL, money))
+    return jobs.stored_total(spark, settings.store_path)
 
 
 def s_amt_by_province(spark: SparkSession, sf_dir: str) -> DataFrame:
