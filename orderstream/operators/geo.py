@@ -170,11 +170,12 @@ def _turn(rows: DataFrame) -> Column:
     """A number to spread rows by, the same whenever a lost task is run again.
 
     The position of a message tells even equal messages apart. Rows without one
-    go by their content; a random number would differ when rows are fetched again.
+    go by their content and the task that reads them; a random number would differ
+    when rows are fetched again.
     """
     if {"partition", "offset"} <= set(rows.columns):
         return F.xxhash64("partition", "offset")
-    return F.xxhash64(*rows.columns)
+    return F.xxhash64(*rows.columns, F.spark_partition_id())
 
 
 def _shuffle_join(rows: DataFrame, index: GeoIndex) -> str:

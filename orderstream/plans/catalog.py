@@ -348,10 +348,8 @@ def s_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chart rows scanned from a store that also holds the city sums under the same prefix."""
     settings = _settings(spark, "s_dashboard")
     rows = _stream_rows(spark, sf_dir)
-    control.run_all(
-        spark,
-        [jobs.start_report(spark, settings, one, rows) for one in (jobs.CITY, jobs.KEY_CITY_LATEST)],
-    )
+    chosen = (jobs.CITY, jobs.KEY_CITY_LATEST)
+    control.run_all(spark, [jobs.start_report(spark, settings, one, rows) for one in chosen])
     return dashboard.dashboard_feed(jobs.stored_cities(spark, settings.store_path))
 
 

@@ -102,7 +102,8 @@ def noise_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def region_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four ranges per nation with region texts: ``lo, hi, region``."""
     numbered = table(spark, sf_dir, "nation").select(
-        "n_name", F.explode(F.expr("transform(sequence(0, 3), i -> n_nationkey * 4L + i)")).alias("n")
+        "n_name",
+        F.explode(F.expr("transform(sequence(0, 3), i -> n_nationkey * 4L + i)")).alias("n"),
     )
     lo = F.col("n") * RANGE_WIDTH
     region = F.concat(

@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from orderstream.config import Settings
 from orderstream.operators.messages import POSITION
 
-HASH_SCHEMA = "key STRING, field STRING, value STRING, timestamp TIMESTAMP, partition INT, offset BIGINT"
+HASH_SCHEMA = (
+    "key STRING, field STRING, value STRING, timestamp TIMESTAMP, partition INT, offset BIGINT"
+)
 
 
 def hash_key(table: str, key: Column) -> Column:

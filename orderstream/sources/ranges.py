@@ -29,7 +29,8 @@ def load_ranges(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
         table = spark.read.format(fmt).load(path)
     if "region" in table.columns:
         return split_regions(table)
-    return table.selectExpr("CAST(lo AS BIGINT) AS lo", "CAST(hi AS BIGINT) AS hi", "province", "city")
+    bounds = [F.col(name).cast("bigint").alias(name) for name in ("lo", "hi")]
+    return table.select(*bounds, "province", "city")
 
 
 def load_index(spark: SparkSession, settings: Settings, fmt: str = "parquet") -> GeoIndex:

@@ -128,9 +128,11 @@ def start_report(
         if settings.store_format != "hashes":
             # Finding pivot columns reads the batch once more; its state must not be.
             batch.persist()
-            wide = report.wide(batch, settings)
-            hashes.write_external(wide, report.table, report.key, settings)
-            batch.unpersist()
+            try:
+                wide = report.wide(batch, settings)
+                hashes.write_external(wide, report.table, report.key, settings)
+            finally:
+                batch.unpersist()
             return
         session = batch.sparkSession
         run = session.sparkContext.getLocalProperty("sql.streaming.queryId") or "run"
@@ -154,9 +156,11 @@ def start_key_city_rows(
 def run_etl(spark: SparkSession, settings: Settings, open_only: bool = False) -> None:
     """The whole ETL job, until it is stopped."""
     index = load_index(spark, settings).persist()
-    query = start_etl(spark, settings, index, open_only=open_only)
-    run_all(spark, [query], settings.stop_etl_file)
-    index.unpersist()
+    try:
+        query = start_etl(spark, settings, index, open_only=open_only)
+        run_all(spark, [query], settings.stop_etl_file)
+    finally:
+        index.unpersist()
 
 
 def run_reports(
@@ -185,9 +189,8 @@ def stored_amounts(spark: SparkSession, store: str, report: Report) -> DataFrame
     """``<key>, total_amt`` of a report with one hash per key."""
     prefix = f"{report.table}:"
     amounts = hashes.hash_get(hashes.read_hashes(spark, store, prefix), ["total_amt"])
-    return amounts.select(
-        _key_text(prefix).alias(report.key), F.col("total_amt").try_cast("double").alias("total_amt")
-    )
+    amount = F.col("total_amt").try_cast("double").alias("total_amt")
+    return amounts.select(_key_text(prefix).alias(report.key), amount)
 
 
 def stored_city_amounts(spark: SparkSession, store: str) -> DataFrame:
