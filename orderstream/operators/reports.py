@@ -13,6 +13,9 @@ from orderstream.operators.messages import POSITION
 GLOBAL = "global"
 TOTAL = "total"
 
+# Longest list of cities that is written into a plan as such.
+LONG_LIST = 1000
+
 # Below this many cents a double still tells neighbouring cents apart.
 _MAX_CENTS = 1e15
 
@@ -45,8 +48,15 @@ def amt_by_city(rows: DataFrame) -> DataFrame:
 
 
 def key_city_rows(rows: DataFrame, cities: Sequence[str]) -> DataFrame:
-    """Rows of the listed cities; rows without a city are dropped."""
-    return rows.where(F.col("city").isin(*cities))
+    """Rows of the listed cities; rows without a city are dropped.
+
+    A long list is joined rather than written into the plan. It comes from the
+    settings, so it is small enough to broadcast.
+    """
+    if len(cities) <= LONG_LIST:
+        return rows.where(F.col("city").isin(*cities))
+    listed = rows.sparkSession.createDataFrame([(city,) for city in set(cities)], "_city STRING")
+    return rows.join(F.broadcast(listed), F.col("city") == F.col("_city"), "left_semi")
 
 
 def key_city_amount(rows: DataFrame, cities: Sequence[str]) -> DataFrame:

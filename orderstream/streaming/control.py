@@ -100,13 +100,24 @@ def stop_on_marker(
 
 
 def stop_gracefully(query: StreamingQuery, grace_seconds: float = 60.0) -> None:
-    """Stop between two batches if one ends in time; an interrupted batch is run again later."""
+    """Stop between two batches if one ends in time; an interrupted batch is run again later.
+
+    A batch has ended when the query is idle, or has reported one since we asked.
+    """
     until = time.monotonic() + grace_seconds
+    reported = _last_report(query)
     while query.isActive and query.status["isTriggerActive"] and time.monotonic() < until:
+        if _last_report(query) != reported:
+            break
         time.sleep(0.05)
     query.stop()
 
 
+def _last_report(query: StreamingQuery) -> tuple[int, str] | None:
+    step = query.lastProgress
+    return (step["batchId"], step["timestamp"]) if step else None
+
+
 def progress_rows(spark: SparkSession, queries: Sequence[StreamingQuery]) -> DataFrame:
     """Recent batches of the queries; Spark keeps a bounded number per query."""
     rows = [

@@ -112,3 +112,18 @@ def test_money_sum_does_not_depend_on_order(spark):
         rows = spark.createDataFrame([(v,) for v in values], "money DOUBLE").repartition(parts)
         sums.add(reports.amt_total(rows).first().total_amt)
     assert len(sums) == 1
+
+
+def test_key_cities_from_a_short_and_a_long_list(spark):
+    rows = spark.createDataFrame(
+        [(1.0, "P", "A"), (2.0, "P", "B"), (3.0, "P", None), (4.0, "Q", "A")],
+        "money DOUBLE, province STRING, city STRING",
+    )
+    long = ("A", *(f"other {i}" for i in range(reports.LONG_LIST)), "A")
+    for cities in (("A",), long):
+        chosen = reports.key_city_rows(rows, cities)
+        assert chosen.columns == rows.columns
+        assert sorted(tuple(r) for r in chosen.collect()) == [(1.0, "P", "A"), (4.0, "Q", "A")]
+    plan = reports.key_city_rows(rows, long)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+    assert reports.key_city_rows(rows, ()).count() == 0

@@ -150,6 +150,21 @@ def test_stop_on_marker(spark, settings, tmp_path):
     assert not query.isActive
 
 
+def test_a_busy_query_stops_after_its_batch(spark, settings):
+    """Batches follow each other without a pause, yet each one started is committed."""
+    for at in range(12):
+        post(spark, settings, [(at, "1", "P", "A")])
+    endless = replace(settings, trigger={"processingTime": "0 seconds"})
+    rows = msg.report_rows(read_messages(spark, endless, endless.etl_topic), msg.POSITION)
+    query = jobs.start_report(spark, endless, jobs.TOTAL, rows)
+    while query.lastProgress is None:
+        query.awaitTermination(0.05)
+    control.stop_gracefully(query, grace_seconds=30)
+    assert not query.isActive
+    report(spark, settings, jobs.TOTAL)
+    assert jobs.stored_total(spark, settings.store_path).first().total_amt == 12.0
+
+
 def test_a_failing_query_is_reported(spark, settings):
     post(spark, settings, [(1, "4", "P", "A")])
     lines = read_messages(spark, settings, settings.etl_topic)
