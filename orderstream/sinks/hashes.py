@@ -27,6 +27,11 @@ def hash_key(table: str, key: Column) -> Column:
     return F.concat(F.lit(f"{table}:"), F.coalesce(key.cast("string"), F.lit("null")))
 
 
+def _named(name: str) -> Column:
+    """A column by its exact name; a city as a column name may have dots."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def batch_version(batch_id: int) -> list[Column]:
     """Version of rows that carry none: a later batch replaces an earlier one."""
     values = (F.current_timestamp(), F.lit(0), F.lit(batch_id).cast("bigint"))
@@ -40,9 +45,9 @@ def hash_fields(rows: DataFrame, table: str, key: str) -> DataFrame:
     texts = rows.select(
         hash_key(table, F.col(key)).alias("key"),
         *version,
-        *(F.col(f"`{name}`").cast("string").alias(name) for name in names),
+        *(_named(name).cast("string").alias(name) for name in names),
     )
-    fields = texts.unpivot(["key", *version], names, "field", "value")
+    fields = texts.unpivot(["key", *version], [_named(name) for name in names], "field", "value")
     return fields.where(F.col("value").isNotNull()).select("key", "field", "value", *version)
 
 

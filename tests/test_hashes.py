@@ -8,7 +8,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from orderstream.operators import dashboard
+from orderstream.operators import dashboard, reports
 from orderstream.sinks import hashes
 
 
@@ -70,6 +70,13 @@ def test_null_key_and_city_fields(spark, store):
     assert latest(spark, store) == {("t:global", "A"): "1.0", ("t:global", "null"): "2.0"}
 
 
+def test_wide_rows_of_cities_with_odd_names(spark, store):
+    cities = spark.createDataFrame([("St. A", 1.0), ("b`c", 2.0)], "city STRING, total_amt DOUBLE")
+    wide = reports.pivot_city(cities)
+    hashes.write_hashes(hashes.hash_fields(wide, "t", "total"), store, "run", 0)
+    assert latest(spark, store) == {("t:global", "St. A"): "1.0", ("t:global", "b`c"): "2.0"}
+
+
 def test_compaction_keeps_the_view(spark, store):
     for batch in range(5):
         hashes.write_hashes(fields(spark, [("x", float(batch), "p"), (f"y{batch}", 0.0, "q")]), store, "run", batch)
