@@ -16,7 +16,10 @@ def main(arguments: list[str] | None = None) -> None:
     commands = parser.add_subparsers(dest="command", required=True)
     etl = commands.add_parser("etl", help="raw topic to ETL topic")
     etl.add_argument("--open-only", action="store_true", help="keep open orders only")
-    commands.add_parser("reports", help="ETL topic to the stored reports")
+    reports = commands.add_parser("reports", help="ETL topic to the stored reports")
+    reports.add_argument(
+        "--sums-together", action="store_true", help="read the topic once for all sums"
+    )
     chart = commands.add_parser("chart", help="chart rows of the stored reports as JSON")
     chart.add_argument("--output", required=True, help="folder to write")
     for command in commands.choices.values():
@@ -28,7 +31,7 @@ def main(arguments: list[str] | None = None) -> None:
     if given.command == "etl":
         jobs.run_etl(spark, settings, given.open_only)
     elif given.command == "reports":
-        jobs.run_reports(spark, settings)
+        jobs.run_reports(spark, settings, sums_together=given.sums_together)
     else:
         rows = dashboard_feed(jobs.stored_cities(spark, settings.store_path))
         rows.write.mode("overwrite").json(given.output)

@@ -47,6 +47,16 @@ def amt_by_city(rows: DataFrame) -> DataFrame:
     return rows.groupBy("city").agg(money_sum(F.col("money")).alias("total_amt"))
 
 
+def amt_by_place(rows: DataFrame) -> DataFrame:
+    """Sums by province and city, from which all other sums follow.
+
+    The result has the columns of the input, so every report can be taken of it
+    again and gives the same: sums of whole cents add up exactly.
+    """
+    amount = money_sum(F.col("money")).alias("money")
+    return rows.groupBy("province", "city").agg(amount).select("money", "province", "city")
+
+
 def key_city_rows(rows: DataFrame, cities: Sequence[str]) -> DataFrame:
     """Rows of the listed cities; rows without a city are dropped.
 

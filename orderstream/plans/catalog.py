@@ -276,11 +276,12 @@ def _stream_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return msg.typed_rows(rows, msg.POSITION)
 
 
-def _publish_segments(spark: SparkSession, sf_dir: str, settings: Settings) -> Settings:
-    """Write the orders to the raw topic as segments; read about a quarter per batch."""
+def _publish_segments(
+    spark: SparkSession, sf_dir: str, settings: Settings, messages: DataFrame
+) -> Settings:
+    """Write messages to the raw topic as segments; read about a quarter per batch."""
     count = tables.table(spark, sf_dir, "orders").count()
     per_file = min(max(count // 8, 1), 1_000_000)
-    messages = tables.order_messages(spark, sf_dir)
     publish(messages, settings, settings.source_topic, per_file)
     return replace(settings, max_files_per_trigger=max(count // per_file // 4, 1))
 
@@ -355,13 +356,31 @@ def s_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def s_two_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw topic -> ETL job -> ETL topic -> all reports side by side; all amounts they store."""
-    settings = _publish_segments(spark, sf_dir, _settings(spark, "s_two_jobs"))
+    messages = tables.order_messages(spark, sf_dir)
+    settings = _publish_segments(spark, sf_dir, _settings(spark, "s_two_jobs"), messages)
     _finish(jobs.start_etl(spark, settings, tables.geo_index(spark, sf_dir)))
     messages = read_messages(spark, settings, settings.etl_topic)
     rows = msg.report_rows(messages, msg.POSITION)
     queries = [jobs.start_report(spark, settings, report, rows) for report in jobs.REPORTS]
     control.run_all(spark, queries)
-    stored = hashes.read_hashes(spark, settings.store_path)
+    return _stored_fields(spark, settings.store_path)
+
+
+def s_sums_together(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sums from one query over the ETL topic; everything they store but the places."""
+    settings = _settings(spark, "s_sums_together")
+    rows = etl.order_etl(
+        tables.order_messages(spark, sf_dir), tables.geo_index(spark, sf_dir), msg.POSITION
+    )
+    settings = _publish_segments(spark, sf_dir, settings, msg.etl_envelope(rows, msg.POSITION))
+    messages = read_messages(spark, settings, settings.source_topic)
+    _finish(jobs.start_sums(spark, settings, msg.report_rows(messages, msg.POSITION)))
+    stored = _stored_fields(spark, settings.store_path)
+    return stored.where(~F.col("key").startswith(jobs.PLACES_TABLE))
+
+
+def _stored_fields(spark: SparkSession, store: str) -> DataFrame:
+    stored = hashes.read_hashes(spark, store)
     amount = F.col("value").try_cast("double").alias("amount")
     return stored.where(F.col("field") != "province").select("key", "field", amount)
 
@@ -385,7 +404,8 @@ def s_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def s_rate_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows read under a cap of files per batch, and whether every batch kept to it."""
-    settings = _publish_segments(spark, sf_dir, _settings(spark, "s_rate_cap"))
+    messages = tables.order_messages(spark, sf_dir)
+    settings = _publish_segments(spark, sf_dir, _settings(spark, "s_rate_cap"), messages)
     segments = read_messages(spark, settings, settings.source_topic, streaming=False)
     largest = segments.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
     allowed = largest * settings.max_files_per_trigger
@@ -411,6 +431,6 @@ QUERIES: dict[str, Query] = {
         keyed_hashes, dashboard_feed, dashboard_rejects,
         s_order_etl, s_order_etl_open, s_amt_total, s_amt_by_province, s_amt_by_city,
         s_key_city_rows, s_key_city_amount, s_key_city_latest,
-        s_dashboard, s_two_jobs, s_restart, s_rate_cap,
+        s_dashboard, s_two_jobs, s_sums_together, s_restart, s_rate_cap,
     )
 }

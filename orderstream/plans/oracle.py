@@ -93,6 +93,15 @@ _ETL = f"WITH {_LOCATED} SELECT {_ETL_COLUMNS} FROM e"
 _ETL_OPEN = f"""WITH {_LOCATED} SELECT {_ETL_COLUMNS} FROM e WHERE "orderStatus" = '0'"""
 _GEO = f"""WITH {_LOCATED} SELECT "orderId", ip, province, city FROM e"""
 
+# Every sum as it is stored: key, field, amount.
+_ALL_SUMS = f"""
+SELECT 'orders:money:total' AS key, 'global' AS field, {_SUM} AS amount FROM e
+UNION ALL SELECT 'orders:provincemoney:' || coalesce(province, 'null'), 'total_amt', {_SUM}
+  FROM e GROUP BY province
+UNION ALL SELECT 'orders:citymoney:global', coalesce(city, 'null'), {_SUM} FROM e GROUP BY city
+UNION ALL SELECT 'orders:keycityamount:' || city, 'total_amt', {_SUM}
+  FROM e WHERE city IN ({_CITY_LIST}) GROUP BY city"""
+
 ORACLE: dict[str, str] = {
     "message_filter": f"""WITH {_ORDERS}, {_NOISE},
 lines AS (
@@ -169,13 +178,8 @@ SELECT city, province, money FROM c WHERE money = 'n/a'""",
     "s_dashboard": f"""WITH {_NEWEST}
 SELECT '销售额' AS series, province AS category, arg_max(o_totalprice, city) AS value
 FROM r WHERE age = 1 AND city IN ({_CITY_LIST}) GROUP BY province""",
-    "s_two_jobs": f"""WITH {_NEWEST}
-SELECT 'orders:money:total' AS key, 'global' AS field, {_SUM} AS amount FROM e
-UNION ALL SELECT 'orders:provincemoney:' || coalesce(province, 'null'), 'total_amt', {_SUM}
-  FROM e GROUP BY province
-UNION ALL SELECT 'orders:citymoney:global', coalesce(city, 'null'), {_SUM} FROM e GROUP BY city
-UNION ALL SELECT 'orders:keycityamount:' || city, 'total_amt', {_SUM}
-  FROM e WHERE city IN ({_CITY_LIST}) GROUP BY city
+    "s_sums_together": f"""WITH {_LOCATED} {_ALL_SUMS}""",
+    "s_two_jobs": f"""WITH {_NEWEST} {_ALL_SUMS}
 UNION ALL SELECT 'orders:citymoney:' || city, 'money', o_totalprice
   FROM r WHERE age = 1 AND city IN ({_CITY_LIST})""",
     "s_restart": _BY_CITY,

@@ -21,6 +21,8 @@ from orderstream.sources.ranges import load_index
 from orderstream.streaming.control import run_all, start
 
 ETL_QUERY = "order-etl"
+PLACES_QUERY = "query-amt-by-place"
+PLACES_TABLE = "orders:placemoney"
 
 
 @dataclass(frozen=True)
@@ -100,6 +102,8 @@ KEY_CITY_LATEST = Report(
     ),
 )
 
+# The sums: all follow from sums by place.
+SUMS: tuple[Report, ...] = (TOTAL, PROVINCE, CITY, KEY_CITY_AMOUNT)
 REPORTS: tuple[Report, ...] = (TOTAL, PROVINCE, CITY, KEY_CITY_AMOUNT, KEY_CITY_LATEST)
 
 
@@ -122,28 +126,70 @@ def start_report(
     spark: SparkSession, settings: Settings, report: Report, rows: DataFrame
 ) -> StreamingQuery:
     """Start one report over ``money, province, city`` and topic position columns."""
-    folder = f"{settings.store_path.rstrip('/')}/{report.name}"
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        if settings.store_format != "hashes":
-            # Finding pivot columns reads the batch once more; its state must not be.
-            batch.persist()
-            try:
-                wide = report.wide(batch, settings)
-                hashes.write_external(wide, report.table, report.key, settings)
-            finally:
-                batch.unpersist()
-            return
-        session = batch.sparkSession
-        run = session.sparkContext.getLocalProperty("sql.streaming.queryId") or "run"
-        hashes.write_hashes(report.fields(batch, settings), folder, run, batch_id)
-        if settings.compact_every and batch_id and batch_id % settings.compact_every == 0:
-            hashes.compact(session, folder)
+        _store(report, batch, batch_id, settings)
 
     writer = report.stream(rows, settings).writeStream.outputMode("update").foreachBatch(store)
     return start(spark, writer, report.name, settings)
 
 
+def _store(report: Report, batch: DataFrame, batch_id: int, settings: Settings) -> None:
+    """Write what a batch changed to the report's hashes, or to the external sink."""
+    if settings.store_format != "hashes":
+        # Finding pivot columns reads the batch once more; its state must not be.
+        batch.persist()
+        try:
+            wide = report.wide(batch, settings)
+            hashes.write_external(wide, report.table, report.key, settings)
+        finally:
+            batch.unpersist()
+        return
+    folder = f"{settings.store_path.rstrip('/')}/{report.name}"
+    _write(report.fields(batch, settings), folder, batch_id, settings)
+
+
+def _write(fields: DataFrame, folder: str, batch_id: int, settings: Settings) -> None:
+    session = fields.sparkSession
+    hashes.write_hashes(fields, folder, _run(session), batch_id)
+    if settings.compact_every and batch_id and batch_id % settings.compact_every == 0:
+        hashes.compact(session, folder)
+
+
+def _run(session: SparkSession) -> str:
+    """Id of the streaming query whose batch is being stored; a new checkpoint has a new one."""
+    return session.sparkContext.getLocalProperty("sql.streaming.queryId") or "run"
+
+
+def start_sums(spark: SparkSession, settings: Settings, rows: DataFrame) -> StreamingQuery:
+    """Start all sum reports as one query, which reads and parses the topic once.
+
+    State is one sum per province and city. Each batch stores the places it changed
+    and then every report of the places known so far, a few rows each, under the
+    names and keys the single reports use.
+    """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        folder = f"{settings.store_path.rstrip('/')}/{PLACES_QUERY}/of={_run(session)}"
+        place = F.to_json(F.struct("province", "city")).alias("place")
+        named = batch.select(place, "money", "province", "city")
+        _write(hashes.hash_fields(named, PLACES_TABLE, "place"), folder, batch_id, settings)
+        known = hashes.hash_get(
+            hashes.read_hashes(session, folder), ["money", "province", "city"]
+        ).select(F.col("money").try_cast("double").alias("money"), "province", "city")
+        known = known.persist()
+        try:
+            for report in SUMS:
+                _store(report, report.stream(known, settings), batch_id, settings)
+        finally:
+            known.unpersist()
+
+    places = reports.amt_by_place(rows)
+    writer = places.writeStream.outputMode("update").foreachBatch(store)
+    return start(spark, writer, PLACES_QUERY, settings)
+
+
 def start_key_city_rows(
     spark: SparkSession, settings: Settings, rows: DataFrame, path: str
 ) -> StreamingQuery:
@@ -164,12 +210,22 @@ def run_etl(spark: SparkSession, settings: Settings, open_only: bool = False) ->
 
 
 def run_reports(
-    spark: SparkSession, settings: Settings, chosen: Sequence[Report] = REPORTS
+    spark: SparkSession,
+    settings: Settings,
+    chosen: Sequence[Report] = REPORTS,
+    sums_together: bool = False,
 ) -> None:
-    """Start every report, each with its own name and checkpoint, then wait for all."""
+    """Start the reports, each with its own name and checkpoint, then wait for all.
+
+    ``sums_together`` starts all sums as one query instead of one query each.
+    """
     messages = read_messages(spark, settings, settings.etl_topic)
     rows = report_rows(messages, POSITION)
-    queries = [start_report(spark, settings, report, rows) for report in chosen]
+    queries = []
+    if sums_together:
+        queries.append(start_sums(spark, settings, rows))
+        chosen = [report for report in chosen if report not in SUMS]
+    queries += [start_report(spark, settings, report, rows) for report in chosen]
     run_all(spark, queries, settings.stop_state_file)
 
 

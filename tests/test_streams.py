@@ -82,11 +82,7 @@ def test_an_uncommitted_batch_is_run_again_with_the_same_result(spark, settings)
     post(spark, settings, [(2, "3", "Q", "B")])
     report(spark, settings, jobs.PROVINCE)
     before = amounts(jobs.stored_amounts(spark, settings.store_path, jobs.PROVINCE))
-    commits = f"{settings.checkpoint(jobs.PROVINCE.name)}/commits"
-    newest = max(int(name) for name in os.listdir(commits) if name.isdigit())
-    for name in os.listdir(commits):
-        if name.strip(".").removesuffix(".crc") == str(newest):
-            os.remove(f"{commits}/{name}")
+    drop_last_commit(settings.checkpoint(jobs.PROVINCE.name))
     report(spark, settings, jobs.PROVINCE)
     assert amounts(jobs.stored_amounts(spark, settings.store_path, jobs.PROVINCE)) == before
     assert before == {"P": 4.0, "Q": 3.0}
@@ -108,6 +104,67 @@ def test_late_rows_add_to_the_sums(spark, settings):
     assert amounts(jobs.stored_amounts(spark, settings.store_path, jobs.KEY_CITY_AMOUNT)) == {"A": 80.0}
 
 
+def sums(spark, settings):
+    messages = read_messages(spark, settings, settings.etl_topic)
+    query = jobs.start_sums(spark, settings, msg.report_rows(messages, msg.POSITION))
+    query.awaitTermination()
+    return query
+
+
+def stored_sums(spark, settings):
+    stored = hashes.read_hashes(spark, settings.store_path).collect()
+    return {(r.key, r.field): r.value for r in stored if not r.key.startswith(jobs.PLACES_TABLE)}
+
+
+def drop_last_commit(folder):
+    """As if the query had stopped after storing its last batch, before noting so."""
+    newest = max(int(name) for name in os.listdir(f"{folder}/commits") if name.isdigit())
+    for name in (f"{newest}", f".{newest}.crc"):
+        if os.path.exists(f"{folder}/commits/{name}"):
+            os.remove(f"{folder}/commits/{name}")
+
+
+def test_sums_together_store_what_single_reports_store(spark, settings, tmp_path):
+    batches = [
+        [(1, "4.10", "P", "A"), (2, "1.5", "P", "B"), (3, "0.015", "Q", "C")],
+        [(4, "0.20", "P", "A"), (5, "abc", "R", "D"), (6, "7", "Q", "A")],
+        [(7, "1e20", "Q", "C"), (8, "2", "P", "B")],
+    ]
+    single = replace(
+        settings, store_path=str(tmp_path / "single"), checkpoint_root=str(tmp_path / "single-ckpt")
+    )
+    often = replace(settings, compact_every=2)
+    for rows in batches:
+        post(spark, settings, rows)
+        sums(spark, often)
+        for which in jobs.SUMS:
+            report(spark, single, which)
+        assert stored_sums(spark, settings) == stored_sums(spark, single)
+    before = stored_sums(spark, settings)
+    assert before[("orders:citymoney:global", "A")] == "11.3"
+    drop_last_commit(settings.checkpoint(jobs.PLACES_QUERY))
+    sums(spark, often)
+    assert stored_sums(spark, settings) == before
+
+
+def test_sums_together_start_over_on_a_new_checkpoint(spark, settings, tmp_path):
+    post(spark, settings, [(1, "4", "P", "A")])
+    sums(spark, settings)
+    again = replace(settings, checkpoint_root=str(tmp_path / "new"))
+    sums(spark, again)
+    assert jobs.stored_total(spark, settings.store_path).first().total_amt == 4.0
+
+
+def test_missing_places_are_summed_together_too(spark, settings):
+    lines = [('{"orderMoney":"4"}', START, 0, 1), ('{"orderMoney":"1","province":"P"}', START, 0, 2)]
+    publish(spark.createDataFrame(lines, SCHEMA), settings, settings.etl_topic)
+    sums(spark, settings)
+    assert jobs.stored_total(spark, settings.store_path).first().total_amt == 5.0
+    assert amounts(jobs.stored_city_amounts(spark, settings.store_path)) == {None: 5.0}
+    provinces = amounts(jobs.stored_amounts(spark, settings.store_path, jobs.PROVINCE))
+    assert provinces == {None: 4.0, "P": 1.0}
+
+
 def test_chart_skips_the_hash_of_city_sums(spark, settings):
     post(spark, settings, [(1, "4", "P", "A"), (2, "5", "Q", "B"), (3, "6", "Q", "Z")])
     report(spark, settings, jobs.CITY)
