@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -166,12 +167,13 @@ def start_sums(spark: SparkSession, settings: Settings, rows: DataFrame) -> Stre
 
     State is one sum per province and city. Each batch stores the places it changed
     and then every report of the places known so far, a few rows each, under the
-    names and keys the single reports use.
+    keys the single reports use.
     """
+    base = f"{settings.store_path.rstrip('/')}/{PLACES_QUERY}"
 
     def store(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        folder = f"{settings.store_path.rstrip('/')}/{PLACES_QUERY}/of={_run(session)}"
+        folder = f"{base}/places/of={_run(session)}"
         place = F.to_json(F.struct("province", "city")).alias("place")
         named = batch.select(place, "money", "province", "city")
         _write(hashes.hash_fields(named, PLACES_TABLE, "place"), folder, batch_id, settings)
@@ -180,8 +182,15 @@ def start_sums(spark: SparkSession, settings: Settings, rows: DataFrame) -> Stre
         ).select(F.col("money").try_cast("double").alias("money"), "province", "city")
         known = known.persist()
         try:
-            for report in SUMS:
-                _store(report, report.stream(known, settings), batch_id, settings)
+            sums = [(report, report.stream(known, settings)) for report in SUMS]
+            if settings.store_format == "hashes":
+                fields = [report.fields(rows, settings) for report, rows in sums]
+                together = reduce(DataFrame.unionByName, fields)
+                few = together.coalesce(settings.state_partitions)
+                _write(few, f"{base}/sums", batch_id, settings)
+            else:
+                for report, rows in sums:
+                    _store(report, rows, batch_id, settings)
         finally:
             known.unpersist()
 

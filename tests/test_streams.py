@@ -260,6 +260,13 @@ def test_external_sink_gets_wide_rows(spark, settings, monkeypatch):
     )
     external = replace(settings, store_format="my.sink")
     post(spark, settings, [(1, "4", "P", "A"), (2, "5", "P", "C")])
+    sums(spark, external)
+    assert [(table, key) for table, key, _ in got] == [
+        ("orders:money", "type"), ("orders:provincemoney", "province"),
+        ("orders:citymoney", "total"), ("orders:keycityamount", "city"),
+    ]
+    assert got[2][2] == [{"total": "global", "A": 4.0, "C": 5.0}]
+    got.clear()
     for which in (jobs.TOTAL, jobs.CITY, jobs.KEY_CITY_LATEST):
         report(spark, external, which)
     assert got == [
