@@ -7,12 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderstream.llm import simhash
+from orderstream.llm import exact_dedup, simhash
 from orderstream.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of equal texts; the upper half of the ids is the new batch."""
+    return exact_dedup.dedup(documents(spark, sf_dir)).select(
+        "doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256")
+    )
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under SimHash distance of at most 4."""
     found = simhash.near_duplicates(documents(spark, sf_dir), shingle=4, radius=4)
@@ -24,6 +31,7 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
+        op3_exact_dedup,
         op7_simhash_near_dedup,
     )
 }

@@ -71,3 +71,24 @@ def ranked(rows: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     if starts:
         offset = F.create_map(*starts)[part]
     return sorted_rows.withColumn(name, offset + place)
+
+
+def chosen_rows(docs: DataFrame, keys: dict[str, Column], chosen: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose keys are in ``chosen``, one for each of its rows.
+
+    ``chosen`` has the keys by name, each combination once, and ``copies``, how many
+    rows of ``docs`` share them. Nulls are equal. Columns keep their names, also those
+    called like a key.
+    """
+    rows = docs.select(*(key.alias(name) for name, key in keys.items()), F.struct("*").alias("row"))
+
+    def among(some: DataFrame) -> DataFrame:
+        same = [rows[name].eqNullSafe(some[name]) for name in keys]
+        return rows.join(some, same, "left_semi")
+
+    found = among(chosen.where("copies = 1")).select("row.*")
+    repeated = chosen.where("copies > 1")
+    if repeated.isEmpty():
+        return found
+    once = among(repeated).dropDuplicates(list(keys)).select("row.*")
+    return found.unionByName(once)

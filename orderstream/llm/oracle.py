@@ -2,4 +2,13 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+_NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
+
+ORACLE: dict[str, str] = {
+    "op3_exact_dedup": f"""
+        WITH d AS (SELECT doc_id, sha256({_NORM}) AS text_sha256, {_NORM} AS norm FROM documents)
+        SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+               doc_id = min(doc_id) OVER same AS kept, text_sha256
+        FROM d WINDOW same AS (PARTITION BY norm)
+    """,
+}

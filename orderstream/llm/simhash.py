@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderstream.llm.common import stored, text_bytes, word_blocks
+from orderstream.llm.common import chosen_rows, stored, text_bytes, word_blocks
 from orderstream.llm.components import components
 
 SEED = 42
@@ -213,10 +213,8 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) ->
     Columns keep their names, whatever these are. An empty table stays empty.
     """
     found = near_duplicates(docs, shingle, radius)
+    same = found.groupBy("root", "doc_id", "fp", "text_key").agg(F.count("*").alias("copies"))
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", "text_key")
-    firsts = found.groupBy("root").agg(F.min(order).alias("first"))
-    first = stored(firsts.select("first.doc_id", "first.text_key"), "simhash-first")
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.struct("*").alias("row"))
-    same = rows["doc_id"].eqNullSafe(first["doc_id"]) & (rows["text_key"] == first["text_key"])
-    chosen = rows.join(first, same, "left_semi")
-    return chosen.dropDuplicates(["doc_id", "text_key"]).select("row.*")
+    least = same.groupBy("root").agg(F.min_by(F.struct("*"), order).alias("first"))
+    chosen = stored(least.select("first.doc_id", "first.text_key", "first.copies"), "simhash-first")
+    return chosen_rows(docs, {"doc_id": F.col("doc_id"), "text_key": F.xxhash64("text")}, chosen)
