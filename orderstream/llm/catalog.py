@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderstream.llm import exact_dedup, simhash
+from orderstream.llm import exact_dedup, mixing, packing, simhash
 from orderstream.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,11 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in a batch of its length bucket."""
+    return packing.pack(documents(spark, sf_dir))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under SimHash distance of at most 4."""
     found = simhash.near_duplicates(documents(spark, sf_dir), shingle=4, radius=4)
@@ -28,10 +33,19 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    return mixing.mix(documents(spark, sf_dir)).select(
+        "doc_id", "size", "source_size", "target", "taken"
+    )
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         op3_exact_dedup,
+        op6_length_buckets,
         op7_simhash_near_dedup,
+        op9_mixing,
     )
 }
