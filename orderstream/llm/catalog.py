@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderstream.llm import exact_dedup, mixing, packing, simhash
+from orderstream.llm import exact_dedup, mixing, packing, quality, simhash
 from orderstream.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,11 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    return quality.judge(documents(spark, sf_dir)).drop("lang", "source", "n_lines")
+
+
 def op6_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in a batch of its length bucket."""
     return packing.pack(documents(spark, sf_dir))
@@ -44,6 +49,7 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         op3_exact_dedup,
+        op4_quality_rules,
         op6_length_buckets,
         op7_simhash_near_dedup,
         op9_mixing,

@@ -4,6 +4,73 @@ from __future__ import annotations
 
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 
+# Limits by metric from the quartiles: name, value, both sides, slack.
+_METRICS = (
+    ("word_length", "100 * word_chars // greatest(n_words, 1)", True, 100),
+    ("symbols", "1000 * n_symbols // greatest(n_words, 1)", False, 100),
+    ("dup_lines", "1000 * n_dup_lines // greatest(n_lines, 1)", False, 400),
+    ("repeat_words", "1000 * n_repeat_words // greatest(n_words, 1)", False, 300),
+)
+_BUCKET = "(v >> greatest(length(bin(v)) - 6, 0)) << greatest(length(bin(v)) - 6, 0)"
+_VALUES = " UNION ALL ".join(
+    f"SELECT doc_id, lang, source, base_failed, '{name}' AS metric, {value} AS v,"
+    f" {slack} AS slack, {both} AS both_sides FROM c"
+    for name, value, both, slack in _METRICS
+)
+
+
+def _quartiles(group: str) -> str:
+    by = f"{group}, metric" if group else "metric"
+    return f"""
+        SELECT {by}, max(size) AS size, min(CASE WHEN 4 * r >= size THEN b END) AS q25,
+               min(CASE WHEN 4 * r >= 2 * size THEN b END) AS q50,
+               min(CASE WHEN 4 * r >= 3 * size THEN b END) AS q75
+        FROM (SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY b) AS r,
+                     count(*) OVER (PARTITION BY {by}) AS size FROM s)
+        GROUP BY {by}"""
+
+
+_QUALITY = rf"""
+    WITH w AS (
+        SELECT doc_id, lang, source, coalesce(text, '') AS t,
+               regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+               list_filter(string_split(coalesce(text, ''), chr(10)),
+                           lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls
+        FROM documents),
+    p AS (SELECT doc_id, unnest(ws) AS a, generate_subscripts(ws, 1) AS i FROM w),
+    g AS (SELECT doc_id, i, a, lead(a, 1) OVER o AS b, lead(a, 2) OVER o AS c
+          FROM p WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+    k AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c) AS n
+          FROM g WHERE c IS NOT NULL),
+    r AS (SELECT doc_id, count(DISTINCT i + o) AS n_repeat_words
+          FROM k, range(3) AS x(o) WHERE n > 1 GROUP BY doc_id),
+    f AS (SELECT w.doc_id, lang, source, CAST(len(ws) AS BIGINT) AS n_words,
+                 CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+                 CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+                 CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+                 CAST(len(ls) AS BIGINT) AS n_lines,
+                 CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words
+          FROM w LEFT JOIN r ON w.doc_id = r.doc_id),
+    c AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f),
+    v AS ({_VALUES}),
+    s AS (SELECT *, {_BUCKET} AS b FROM v WHERE NOT base_failed),
+    q1 AS ({_quartiles("lang, source")}), q2 AS ({_quartiles("lang")}), q3 AS ({_quartiles("")}),
+    u AS (SELECT q1.lang, q1.source, q1.metric,
+                 CASE WHEN q1.size >= 100 THEN [q1.q25, q1.q50, q1.q75]
+                      WHEN q2.size >= 100 THEN [q2.q25, q2.q50, q2.q75]
+                      ELSE [q3.q25, q3.q50, q3.q75] END AS q
+          FROM q1 LEFT JOIN q2 ON q1.metric = q2.metric AND q1.lang IS NOT DISTINCT FROM q2.lang
+          JOIN q3 ON q1.metric = q3.metric),
+    d AS (SELECT v.doc_id, bool_and(v.v <= q[2] + 6 * (q[2] - q[1]) + slack
+                 AND (NOT both_sides OR v.v >= q[2] - 6 * (q[3] - q[2]) - slack)) AS inside
+          FROM v JOIN u ON v.metric = u.metric AND v.lang IS NOT DISTINCT FROM u.lang
+               AND v.source IS NOT DISTINCT FROM u.source
+          GROUP BY v.doc_id)
+    SELECT c.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT base_failed AND coalesce(inside, false) AS kept
+    FROM c LEFT JOIN d ON c.doc_id = d.doc_id
+"""
+
 ORACLE: dict[str, str] = {
     "op3_exact_dedup": f"""
         WITH d AS (SELECT doc_id, sha256({_NORM}) AS text_sha256, {_NORM} AS norm FROM documents)
@@ -11,4 +78,5 @@ ORACLE: dict[str, str] = {
                doc_id = min(doc_id) OVER same AS kept, text_sha256
         FROM d WINDOW same AS (PARTITION BY norm)
     """,
+    "op4_quality_rules": _QUALITY,
 }
