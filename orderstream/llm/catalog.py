@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderstream.llm import exact_dedup, mixing, packing, quality, simhash
+from orderstream.llm import exact_dedup, html_text, mixing, packing, pii, quality, simhash
 from orderstream.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,25 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and places of personal data in every document."""
+
+    def listed(spans: Column) -> Column:
+        each = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+        return F.array_join(each, ",")
+
+    found = pii.personal_data(documents(spark, sf_dir))
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [
+        F.size(F.filter(base, lambda s, kind=kind: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+        for kind in pii.BASE_KINDS
+    ]
+    digest = F.sha2(listed(base).cast("binary"), 256)
+    return found.select(
+        "doc_id", *counts, digest.alias("base_sha256"), listed(F.col("spans")).alias("spans")
+    )
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     return mixing.mix(documents(spark, sf_dir)).select(
@@ -45,6 +64,12 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = html_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return found.withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -52,6 +77,8 @@ QUERIES: dict[str, Query] = {
         op4_quality_rules,
         op6_length_buckets,
         op7_simhash_near_dedup,
+        op8_personal_data,
         op9_mixing,
+        op10_html_extraction,
     )
 }
