@@ -7,12 +7,32 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderstream.llm import exact_dedup, html_text, mixing, packing, pii, quality, simhash
+from orderstream.llm import (
+    exact_dedup,
+    html_text,
+    mixing,
+    packing,
+    pii,
+    quality,
+    simhash,
+    substring_dedup,
+    token_output,
+)
 from orderstream.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines and sentences that an earlier one has."""
+    return substring_dedup.remove_repeats(documents(spark, sf_dir))
+
+
+def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as packed rows of token ids."""
+    return token_output.pack_tokens(documents(spark, sf_dir))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts; the upper half of the ids is the new batch."""
     return exact_dedup.dedup(documents(spark, sf_dir)).select(
@@ -73,6 +93,8 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
+        op1_substring_dedup,
+        op2_token_output,
         op3_exact_dedup,
         op4_quality_rules,
         op6_length_buckets,
