@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from orderstream.llm import (
     exact_dedup,
     html_text,
+    lm_scoring,
     mixing,
     packing,
     pii,
@@ -45,6 +46,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir)).drop("lang", "source", "n_lines")
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document."""
+    return lm_scoring.score_documents(documents(spark, sf_dir))
+
+
 def op6_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in a batch of its length bucket."""
     return packing.pack(documents(spark, sf_dir))
@@ -97,6 +103,7 @@ QUERIES: dict[str, Query] = {
         op2_token_output,
         op3_exact_dedup,
         op4_quality_rules,
+        op5_lm_scoring,
         op6_length_buckets,
         op7_simhash_near_dedup,
         op8_personal_data,
