@@ -218,8 +218,10 @@ def _differing(texts: DataFrame, groups: DataFrame, digest: Callable[[Column], C
     """Digests that stand for several texts, found by grouping the texts themselves.
 
     Only texts of digests seen twice are grouped. Copies meet within their task first.
+    The join is a sort-merge join at every size, as its smaller side grows with the data.
     """
     shared = stored(groups.where("size > 1").select("digest"), "exact-shared")
+    shared = shared.hint("merge")
     checked = texts.withColumn("digest", digest(F.col("norm"))).join(shared, "digest", "left_semi")
     each = checked.select("digest", "norm").distinct()
     return stored(
