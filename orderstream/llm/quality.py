@@ -63,6 +63,7 @@ def with_counts(rows: DataFrame, text: str = "text") -> DataFrame:
     above and place below, and comparing the words of neighbours. Should windows of
     different words share their hash part, the text is sorted by the windows themselves.
     """
+    columns = rows.columns
     rows = rows.withColumn(text, F.coalesce(F.col(text).cast("string"), F.lit("")))
     words = F.split(F.btrim(text, F.lit(_TRIM)), SPACES)
     lines = F.filter(F.split(text, "\n"), lambda line: F.btrim(line, F.lit(_TRIM)) != "")
@@ -123,8 +124,12 @@ def with_counts(rows: DataFrame, text: str = "text") -> DataFrame:
         "aggregate(transform(_p, (x, i) -> CASE WHEN i + 1 < size(_p) THEN least(3, _p[i + 1] - x)"
         " ELSE 3 END), 0, (sum, x) -> sum + x)"
     )
-    rows = rows.withColumn("n_repeat_words", F.expr(covered)).drop("_w", "_b", "_s", "_m", "_p")
-    return rows.withColumns({name: F.col(name).cast("bigint") for name in COUNTS})
+    rows = rows.withColumn("n_repeat_words", F.expr(covered))
+    # A filter on counts does not pass a generator: below it they would be computed anew
+    # for each mention.
+    counts = F.array(F.struct(*(F.col(name).cast("bigint").alias(name) for name in COUNTS)))
+    rows = rows.select(*columns, F.explode(counts).alias("_c"))
+    return rows.select(*columns, "_c.*")
 
 
 def base_failed() -> Column:
