@@ -18,6 +18,7 @@ import heapq
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,8 @@ PREDICTORS = 4
 # Ranks of words frequent enough to tell the language.
 COMMON = 256
 # Every so many blocks the weights and the refinement are fitted too.
-FIT_EVERY = 8
-BLOCK_TOKENS = 1 << 14
+FIT_EVERY = 16
+BLOCK_TOKENS = 1 << 12
 # Distinct words that a task counts before it hands the counts on.
 COUNTED = 1 << 18
 # Bytes of a text after which contexts begin anew, so that blocks stay bounded.
@@ -133,7 +134,7 @@ _END, _ESCAPE, _RANKS = 0, 1, 2
 
 @dataclass
 class Lexicon:
-    """What learning and scoring share: ranks, corpus totals and the two codes."""
+    """What learning and scoring share: ranks from 1, corpus totals and the two codes."""
 
     ranks: dict[bytes, int]
     counts: np.ndarray
@@ -151,7 +152,8 @@ class Lexicon:
 def lexicon(counts: DataFrame, documents: int, size: int = VOCABULARY) -> Lexicon:
     """The ``size`` most frequent words of ``word, n``, and totals over all of them."""
     tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    short = counts.where(F.octet_length("word") <= WORD_BYTES)
+    # Words seen once are left out, so that learning meets words to spell as scoring will.
+    short = counts.where((F.octet_length("word") <= WORD_BYTES) & (F.col("n") > 1))
     top = short.orderBy(F.desc("n"), "word").limit(size).toArrow()
     ranked = top["n"].to_numpy().astype(np.int64)
     letters = _letter_counts(counts)
@@ -159,7 +161,7 @@ def lexicon(counts: DataFrame, documents: int, size: int = VOCABULARY) -> Lexico
     for bits in range(max(size.bit_length(), 1)):
         classes.append(int(ranked[(1 << bits) - 1 : (1 << (bits + 1)) - 1].sum()) + 1)
     return Lexicon(
-        {word: rank for rank, word in enumerate(top["word"].to_pylist())},
+        {word: rank for rank, word in enumerate(top["word"].to_pylist(), 1)},
         ranked, tokens + documents, distinct + (documents > 0), documents,
         Code.of(classes), Code.of(letters),
     )
@@ -196,17 +198,26 @@ class Bits:
 
 
 def _slot(context: np.ndarray, node: np.ndarray, size_bits: int) -> np.ndarray:
-    mixed = (context ^ node * np.uint32(0x9E3779B1)) * np.uint32(0x85EBCA6B)
-    mixed ^= mixed >> np.uint32(15)
-    mixed *= np.uint32(0xC2B2AE35)
-    return mixed >> np.uint32(32 - size_bits)
+    """Slots for contexts, one per bit and well mixed, and the multiplied nodes."""
+    context ^= node
+    context *= np.uint32(0x85EBCA6B)
+    context >>= np.uint32(32 - size_bits)
+    return context
 
 
-def _spread(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For items of the given sizes: the item of each element, and its number in it."""
-    item = np.repeat(np.arange(len(sizes)), sizes)
-    begin = np.cumsum(sizes) - sizes
-    return item, np.arange(len(item)) - begin[item]
+def _mixed(context: np.ndarray) -> np.ndarray:
+    context = (context ^ context >> np.uint32(16)) * np.uint32(0x7FEB352D)
+    return (context ^ context >> np.uint32(15)) * np.uint32(0x846CA68B)
+
+
+def _steps_of(sizes: np.ndarray) -> np.ndarray:
+    """0, 1, 2 ... for each item, as many as its size."""
+    total = int(sizes.sum())
+    return np.arange(total, dtype=np.int32) - np.repeat((np.cumsum(sizes) - sizes).astype(np.int32), sizes)
+
+
+def _taken(table: np.ndarray, index: np.ndarray) -> np.ndarray:
+    return table.take(index, mode="clip")  # all are inside; this skips the test
 
 
 def bits_of(lex: Lexicon, symbols: np.ndarray, text: np.ndarray, first: np.ndarray, rare: list[bytes]) -> Bits:
@@ -216,42 +227,46 @@ def bits_of(lex: Lexicon, symbols: np.ndarray, text: np.ndarray, first: np.ndarr
     """
     count = len(symbols)
     place = np.arange(count)
-    known = np.concatenate([[-2], symbols]).astype(np.int64)
+    known = np.concatenate([[-2], symbols])
 
-    def before(steps: int) -> np.ndarray:
-        at = place - steps
-        return np.where(at >= first, known[np.maximum(at, -1) + 1], -2).astype(np.uint32)
+    def at(places: np.ndarray) -> np.ndarray:
+        return np.where(places >= first, known[np.maximum(places, -1) + 1], -2).astype(np.uint32)
 
-    one, two = before(1), before(2)
+    one, two = at(place - 1), at(place - 2)
     common = np.maximum.accumulate(np.where((symbols > 0) & (symbols <= COMMON), place, -1))
-    common = np.concatenate([[-1], common[:-1]])
-    topic = np.where(common >= first, known[np.maximum(common, -1) + 1], -2).astype(np.uint32)
-
+    topic = at(np.concatenate([[-1], common[:-1]]))
     contexts = [
         one * np.uint32(0x2545F491) + np.uint32(1),
         (one * np.uint32(0x2545F491)) ^ (two * np.uint32(0x6C078965) + np.uint32(2)),
         topic * np.uint32(0x5BD1E995) + np.uint32(3),
     ]
-    rank_bits = np.zeros(count, np.int64)
     ranked = symbols > 0
-    rank_bits[ranked] = np.frexp(symbols[ranked].astype(np.float64))[1] - 1
+    rank_bits = np.where(ranked, np.frexp(symbols.astype(np.float64))[1] - 1, 0).astype(np.int32)
     kind = np.where(ranked, _RANKS + rank_bits, np.where(symbols == 0, _END, _ESCAPE))
 
     # The class of each token, then the place in the class.
-    token, step = _spread(lex.classes.size[kind])
-    at = lex.classes.begin[kind[token]] + step
-    nodes, values, tokens, stages = [lex.classes.node[at]], [lex.classes.bit[at]], [token], [step]
-    token, step = _spread(rank_bits)
-    left = rank_bits[token] - step
-    number = symbols[token]
-    nodes.append(((np.int64(1) << rank_bits[token]) + (number >> left) + 32).astype(np.uint32))
-    values.append((number >> (left - 1) & 1).astype(np.uint8))
-    tokens.append(token)
-    stages.append(step + 12)
-    node, value = np.concatenate(nodes), np.concatenate(values)
-    token, stage = np.concatenate(tokens), np.concatenate(stages)
-    slots = [node] + [_slot(context[token], node, SLOT_BITS) for context in contexts]
-    coded = Bits(text[token], value, slots, len(node), stage)
+    sizes = lex.classes.size[kind]
+    step = _steps_of(sizes)
+    path = np.repeat(lex.classes.begin[kind].astype(np.int32), sizes) + step
+    left = np.repeat(rank_bits, rank_bits)
+    inner = _steps_of(rank_bits)
+    number = np.repeat(symbols.astype(np.uint32), rank_bits)
+    rest = (left - inner).astype(np.uint32)
+    node = np.concatenate([
+        _taken(lex.classes.node, path),
+        (np.uint32(1) << left.astype(np.uint32)) + (number >> rest) + np.uint32(32),
+    ])
+    value = np.concatenate([
+        _taken(lex.classes.bit, path), (number >> (rest - np.uint32(1)) & np.uint32(1)).astype(np.uint8)
+    ])
+
+    def for_bits(values: np.ndarray) -> np.ndarray:
+        return np.concatenate([np.repeat(values, sizes), np.repeat(values, rank_bits)])
+
+    spread = node * np.uint32(0x9E3779B1)
+    slots = [node] + [_slot(for_bits(_mixed(context)), spread, SLOT_BITS) for context in contexts]
+    stage = np.concatenate([step, inner + np.int32(12)])
+    coded = Bits(for_bits(text), value, slots, len(node), stage)
     return _with_spelled(lex, coded, text[symbols < 0], rare)
 
 
@@ -259,8 +274,8 @@ def _with_spelled(lex: Lexicon, coded: Bits, text: np.ndarray, rare: list[bytes]
     if not rare:
         return coded
     data = np.frombuffer(b" ".join(rare) + b" ", np.uint8)
-    sizes = np.fromiter(map(len, rare), np.int64, len(rare)) + 1
-    word, place = _spread(sizes)
+    lengths = np.fromiter(map(len, rare), np.int64, len(rare)) + 1
+    place = _steps_of(lengths)
     shifted = np.concatenate([np.zeros(6, np.uint32), data.astype(np.uint32)])
 
     def before(steps: int) -> np.ndarray:
@@ -275,18 +290,19 @@ def _with_spelled(lex: Lexicon, coded: Bits, text: np.ndarray, rare: list[bytes]
         long * np.uint32(0x5BD1E995) + np.uint32(7),
     ]
     whole = long * np.uint32(0x27D4EB2F) ^ (b5 + (b6 << np.uint32(8))) * np.uint32(0x165667B1)
-    letter, step = _spread(lex.letters.size[data])
-    at = lex.letters.begin[data[letter]] + step
-    node = lex.letters.node[at] + np.uint32(_HALF + 17)
-    slots = [_slot(whole[letter], node, SLOT_BITS - 1) + np.uint32(_HALF)]
-    slots += [_slot(context[letter], node, SLOT_BITS) for context in contexts]
-    stage = 40 + np.minimum(step, 15) + 0 * at
+    sizes = lex.letters.size[data]
+    step = _steps_of(sizes)
+    path = np.repeat(lex.letters.begin[data].astype(np.int32), sizes) + step
+    node = _taken(lex.letters.node, path) + np.uint32(_HALF + 17)
+    spread = node * np.uint32(0x9E3779B1)
+    slots = [_slot(np.repeat(_mixed(whole), sizes), spread, SLOT_BITS - 1) + np.uint32(_HALF)]
+    slots += [_slot(np.repeat(_mixed(context), sizes), spread, SLOT_BITS) for context in contexts]
     return Bits(
-        np.concatenate([coded.text, text[word[letter]]]),
-        np.concatenate([coded.value, lex.letters.bit[at]]),
+        np.concatenate([coded.text, np.repeat(np.repeat(text, lengths), sizes)]),
+        np.concatenate([coded.value, _taken(lex.letters.bit, path)]),
         [np.concatenate(pair) for pair in zip(coded.slots, slots, strict=True)],
         coded.spelled,
-        np.concatenate([coded.stage, stage]),
+        np.concatenate([coded.stage, 40 + np.minimum(step, 15)]),
     )
 
 
@@ -298,31 +314,27 @@ class Blocks:
         self.reset()
 
     def reset(self) -> None:
-        self.symbols: list[int] = []
+        self.symbols: list[np.ndarray] = []
         self.text: list[int] = []
-        self.sizes: list[int] = []
         self.rare: list[bytes] = []
+        self.tokens = 0
 
     def add(self, number: int, words: list[bytes], end: bool) -> np.ndarray:
         """Adds words of a text; gives their symbols."""
-        get = self.lex.ranks.get
-        found = [get(word, -2) + 1 for word in words]
-        if -1 in found:
-            self.rare += [word for word, symbol in zip(words, found, strict=True) if symbol < 0]
-        if end:
-            found.append(0)
-        self.symbols += found
+        symbols = np.zeros(len(words) + end, np.int64)
+        found = map(self.lex.ranks.get, words, repeat(-1))
+        symbols[: len(words)] = np.fromiter(found, np.int64, len(words))
+        self.rare += [words[place] for place in np.flatnonzero(symbols < 0).tolist()]
+        self.symbols.append(symbols)
         self.text.append(number)
-        self.sizes.append(len(found))
-        return np.array(found, np.int64)
+        self.tokens += len(symbols)
+        return symbols
 
     def bits(self) -> Bits:
-        sizes = np.array(self.sizes, np.int64)
-        begin = np.cumsum(sizes) - sizes
+        sizes = np.fromiter(map(len, self.symbols), np.int64, len(self.symbols))
         text = np.repeat(np.array(self.text, np.int64), sizes)
-        found = bits_of(
-            self.lex, np.array(self.symbols, np.int64), text, np.repeat(begin, sizes), self.rare
-        )
+        first = np.repeat(np.cumsum(sizes) - sizes, sizes)
+        found = bits_of(self.lex, np.concatenate(self.symbols), text, first, self.rare)
         self.reset()
         return found
 
@@ -340,16 +352,16 @@ def _squash(odds: np.ndarray) -> np.ndarray:
 
 
 def _gates(bits: Bits, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-    gate = one.astype(np.int64) * 6 + two
-    gate[bits.spelled :] += 36
-    return gate
+    gate = one * np.uint8(6) + two
+    gate[bits.spelled :] += np.uint8(36)
+    return gate.astype(np.intp)
 
 
 def _steps(odds: np.ndarray, stage: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Place in the refinement map below each mix, and the share of the one above."""
-    scaled = (np.clip(odds, -7.99, 7.99) + 8) * 2
-    low = scaled.astype(np.int64)
-    return stage * _STEPS + low, scaled - low
+    scaled = (np.clip(odds, -7.99, 7.99) + np.float32(8)) * np.float32(2)
+    low = scaled.astype(np.int32)
+    return (stage * np.int32(_STEPS) + low).astype(np.intp), scaled - low.astype(np.float32)
 
 
 class Mixer:
@@ -362,14 +374,16 @@ class Mixer:
 
     def predict(self, odds: list[np.ndarray], gate: np.ndarray, stage: np.ndarray) -> tuple:
         weights = self.weights.astype(np.float32)
-        mix = weights[:, PREDICTORS][gate]
+        columns = np.ascontiguousarray(weights.T)
+        mix = _taken(columns[PREDICTORS], gate)
         for predictor, each in enumerate(odds):
-            mix += weights[:, predictor][gate] * each
+            mix += _taken(columns[predictor], gate) * each
         place, share = _steps(mix, stage)
         table = self.map.astype(np.float32)
-        refined = table[place] * (1 - share) + table[place + 1] * share
+        low = _taken(table, place)
+        refined = low + (_taken(table, place + 1) - low) * share
         mixed = _squash(mix)
-        final = np.clip((mixed + refined) / 2, 1e-6, 1 - 1e-6)
+        final = np.clip((mixed + refined) * np.float32(0.5), np.float32(1e-6), np.float32(1 - 1e-6))
         return final, mixed, place, share
 
     def fit(self, odds: list[np.ndarray], gate: np.ndarray, value: np.ndarray, predicted: tuple) -> None:
@@ -408,7 +422,7 @@ def learn(texts: DataFrame, lex: Lexicon) -> Model:
         def take() -> None:
             nonlocal fitted, done
             bits = blocks.bits()
-            index = [2 * slots.astype(np.int64) for slots in bits.slots]
+            index = [slots.astype(np.intp) << 1 for slots in bits.slots]
             if done % FIT_EVERY == 0 or done < FIT_EVERY:
                 zeros = [n[i] for n, i in zip(counts, index, strict=True)]
                 ones = [n[i + 1] for n, i in zip(counts, index, strict=True)]
@@ -421,7 +435,7 @@ def learn(texts: DataFrame, lex: Lexicon) -> Model:
                 mixer.fit(odds, gate, bits.value, mixer.predict(odds, gate, bits.stage))
                 fitted += len(bits.value)
             for n, i in zip(counts, index, strict=True):
-                np.add.at(n, i + bits.value, 1)
+                np.add.at(n, i + bits.value, np.int32(1))
             done += 1
 
         for batch in batches:
@@ -430,13 +444,13 @@ def learn(texts: DataFrame, lex: Lexicon) -> Model:
                 for words in word_blocks(text.as_py().lower(), PART_BYTES):
                     if last:
                         blocks.add(0, last, False)
-                        if len(blocks.symbols) >= BLOCK_TOKENS:
+                        if blocks.tokens >= BLOCK_TOKENS:
                             take()
                     last = words
                 blocks.add(0, last, True)
-                if len(blocks.symbols) >= BLOCK_TOKENS:
+                if blocks.tokens >= BLOCK_TOKENS:
                     take()
-        if blocks.symbols:
+        if blocks.tokens:
             take()
         if fitted:
             yield from _learned(counts, mixer, fitted)
@@ -517,10 +531,12 @@ class Model:
 
     def cost(self, bits: Bits) -> np.ndarray:
         """log10 of the probability of each bit."""
-        odds = [table[slots] for table, slots in zip(self.odds, bits.slots, strict=True)]
-        gate = _gates(bits, self.confidence[0][bits.slots[1]], self.confidence[1][bits.slots[2]])
+        index = [slots.astype(np.intp) for slots in bits.slots]
+        odds = [_taken(table, slots) for table, slots in zip(self.odds, index, strict=True)]
+        seen = [_taken(table, index[k]) for table, k in zip(self.confidence, (1, 2), strict=True)]
+        gate = _gates(bits, *seen)
         final = self.mixer.predict(odds, gate, bits.stage)[0]
-        return np.log10(np.where(bits.value == 1, final, 1 - final))
+        return np.log10(np.abs(np.float32(1) - bits.value - final))
 
 
 # -- scoring ------------------------------------------------------------------------
@@ -562,14 +578,14 @@ def _scored(docs: DataFrame, lex: Lexicon, model: Model) -> DataFrame:
                     seen[number] += len(inside)
                     tokens[number] += len(found)
                     letters[number] += sum(map(len, words)) + len(words)
-                    if len(blocks.symbols) >= BLOCK_TOKENS:
+                    if blocks.tokens >= BLOCK_TOKENS:
                         take()
                 base[number] += end
                 seen[number] += lex.ends > 0
                 rare_row += [next_row + number] * len(rare)
                 rare_word += rare.keys()
                 rare_n += rare.values()
-            if blocks.symbols:
+            if blocks.tokens:
                 take()
             more = len(rare_row)
             rows = np.concatenate([np.arange(size) + next_row, np.array(rare_row, np.int64)])
