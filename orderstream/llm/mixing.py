@@ -67,7 +67,7 @@ def _plan(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     the fractional repetition if its hash is below the source's ``cut``, found digit by
     digit: each pass sums sizes by source and digit, pre-aggregated, and keeps the digit
     in which the needed sum is reached. What is still missing after the last pass is
-    filled with the largest single documents that fit, ``extra``.
+    filled with single documents whose size comes nearest to it, ``extra``.
     """
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")))
     whole = F.coalesce(whole, F.lit(0)).cast("int")
@@ -102,11 +102,12 @@ def _plan(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     for _ in range(FILLS):
         gap = F.col("need") - F.col("took")
         free = (F.col("h") >= F.col("cut")) & ~F.array_contains("extra", F.col("h"))
-        # Rows of equal text share a hash and are taken together.
-        left = _with(rows, plan).where(free & (F.col("size") > 0) & (F.col("size") <= gap))
+        near = (F.col("size") > 0) & (F.col("size") < 2 * gap)
+        left = _with(rows, plan).where(free & near)
+        # Rows equal in doc_id and text share a hash and are taken together.
         left = left.groupBy("source", "h", "need", "took").agg(F.sum("size").alias("size"))
-        best = left.where(F.col("size") <= gap).groupBy(F.col("source").alias("s")).agg(
-            F.max_by(F.struct("h", "size"), F.struct("size", "h")).alias("best")
+        best = left.where(near).groupBy(F.col("source").alias("s")).agg(
+            F.min_by(F.struct("h", "size"), F.struct(F.abs(gap - F.col("size")), "h")).alias("best")
         )
         plan = plan.join(best, F.col("source").eqNullSafe(F.col("s")), "left").select(
             "source", "source_size", "target", "whole", "need", "cut",

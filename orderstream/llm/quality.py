@@ -22,6 +22,9 @@ _TRIM = " \t\n\x0b\x0c\r"
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 
+# Hash of a window of three words.
+HASHED = "xxhash64({}, {}, {})"
+
 # Documents a language or source needs for thresholds of its own.
 MIN_GROUP = 100
 
@@ -56,8 +59,8 @@ METRICS = (
 # -- counts of a text ---------------------------------------------------------------
 
 
-def with_counts(rows: DataFrame, text: str = "text") -> DataFrame:
-    """Rows ``row, text`` with the columns COUNTS; null counts as empty.
+def with_counts(rows: DataFrame, text: str = "text", hashed: str = HASHED) -> DataFrame:
+    """Rows with the columns COUNTS of column ``text``; null counts as empty.
 
     Repeated windows of three words are found by sorting one number per window, hash
     above and place below, and comparing the words of neighbours. Should windows of
@@ -81,7 +84,7 @@ def with_counts(rows: DataFrame, text: str = "text") -> DataFrame:
         "_b": F.length(F.bin(F.size("_w"))),
     }).drop("_l")
     place = "CAST(i AS BIGINT)"
-    window = "xxhash64(_w[i], _w[i + 1], _w[i + 2])"
+    window = hashed.format("_w[i]", "_w[i + 1]", "_w[i + 2]")
     packed = f"shiftleft(shiftright({window}, _b), _b) | {place}"
     rows = rows.withColumn(
         "_s",
