@@ -67,16 +67,16 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and places of personal data in every document."""
 
+    def of_kind(spans: Column, kind: str) -> Column:
+        return F.filter(spans, lambda s: s["kind"] == kind)
+
     def listed(spans: Column) -> Column:
         each = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
         return F.array_join(each, ",")
 
     found = pii.personal_data(documents(spark, sf_dir))
     base = F.filter("spans", lambda s: s["base"])
-    counts = [
-        F.size(F.filter(base, lambda s, kind=kind: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
-        for kind in pii.BASE_KINDS
-    ]
+    counts = [F.size(of_kind(base, kind)).cast("bigint").alias(f"n_{kind}") for kind in pii.BASE_KINDS]
     digest = F.sha2(listed(base).cast("binary"), 256)
     return found.select(
         "doc_id", *counts, digest.alias("base_sha256"), listed(F.col("spans")).alias("spans")
