@@ -40,7 +40,7 @@ _OFFSETS = {"largest": "latest", "latest": "latest", "smallest": "earliest", "ea
 
 @dataclass(frozen=True)
 class Settings:
-    # The 18 properties of PROPERTIES.
+    # The 18 properties of PROPERTIES. Topic names, rate and port.
     local_mode: bool = True
     master: str = "local[*]"
     bootstrap_servers: str = "localhost:9092"
@@ -63,7 +63,11 @@ class Settings:
     # Where messages come from: "kafka", or "files" for a folder of Parquet segments.
     source_format: str = "kafka"
     topic_root: str = ""
+    # Most that a batch takes from a file topic: files, or else bytes.
     max_files_per_trigger: int | None = None
+    max_bytes_per_trigger: int = 1 << 30
+    # Messages before this time are passed over, e.g. 2024-11-06T00:00:00Z (empty: none are).
+    starting_time: str = ""
     # Split a large topic partition over several tasks (0 = one task per partition).
     min_partitions: int = 0
 
@@ -86,6 +90,8 @@ class Settings:
     # bucket is split when it may not.
     geo_broadcast_bytes: int = 512 * 1024 * 1024
     geo_salts: int = 16
+    # Format of the dictionary table: a DataFrame source, csv with a header.
+    region_format: str = "parquet"
 
     @property
     def starting_offsets(self) -> str:
@@ -109,11 +115,14 @@ class Settings:
     def from_properties(cls, text: str, **overrides: Any) -> Settings:
         """Read ``key=value`` lines: the names in PROPERTIES or field names of this class.
 
-        Other keys are ignored; comments start with # or !. Key cities are
-        separated by commas.
+        Any other name is refused. Comments start with # or !. Key cities are separated
+        by commas, ``trigger`` is ``availableNow`` or ``processingTime: 5 seconds``, and
+        ``store_options.<name>`` sets one option of the store.
         """
         kinds = {f.name: f.type for f in fields(cls)}
         values: dict[str, Any] = {}
+        options: dict[str, str] = {}
+        unknown = []
         for raw in text.splitlines():
             line = raw.strip()
             if not line or line[0] in "#!" or "=" not in line:
@@ -121,7 +130,11 @@ class Settings:
             key, value = (part.strip() for part in line.split("=", 1))
             name = PROPERTIES.get(key, key)
             kind = kinds.get(name, "")
-            if kind == "bool":
+            if key.startswith("store_options."):
+                options[key.partition(".")[2]] = value
+            elif name == "trigger":
+                values[name] = _trigger(value)
+            elif kind == "bool":
                 values[name] = _boolean(key, value)
             elif kind in ("int", "int | None"):
                 values[name] = int(value)
@@ -129,9 +142,24 @@ class Settings:
                 values[name] = tuple(part.strip() for part in value.split(","))
             elif kind == "str":
                 values[name] = value
+            else:
+                unknown.append(key)
+        if unknown:
+            raise ValueError(f"unknown settings: {', '.join(unknown)}")
+        if options:
+            values["store_options"] = options
         return replace(cls(**values), **overrides)
 
 
+def _trigger(value: str) -> dict[str, Any]:
+    kind, _, interval = (part.strip() for part in value.partition(":"))
+    if kind == "availableNow" and not interval:
+        return {kind: True}
+    if kind in ("processingTime", "continuous") and interval:
+        return {kind: interval}
+    raise ValueError(f"trigger: neither availableNow nor an interval: {value!r}")
+
+
 def _boolean(key: str, value: str) -> bool:
     lowered = value.lower()
     if lowered in ("true", "yes", "on"):

@@ -20,41 +20,57 @@ LONG_LIST = 1000
 _MAX_CENTS = 1e15
 
 
-def money_sum(money: Column) -> Column:
-    """Sum of doubles that does not depend on the order of the rows.
+def money_parts(money: Column) -> tuple[Column, Column]:
+    """Two sums that make up a sum of doubles: whole cents, exactly, and all else.
 
-    Amounts in whole cents are added exactly as integers; whatever is not
-    (finer fractions, huge or non-finite values) is added as doubles, so no
-    amount is rounded or lost. Nulls are skipped; null if nothing is left.
+    Amounts in whole cents are added as integers; whatever is not (finer fractions, huge
+    or non-finite values) is added as doubles, so no amount is rounded or lost. Nulls are
+    skipped; either sum is null if nothing went into it.
     """
     cents = F.rint(money * 100)
     whole = (F.abs(cents) < _MAX_CENTS) & (cents / 100 == money)
     exact = F.sum(F.when(whole, cents.try_cast("bigint").cast("decimal(18,0)")))
-    other = F.sum(F.when(~whole, money))
-    exact = (exact * F.lit("0.01").cast("decimal(3,2)")).cast("double")
-    return F.coalesce(exact + other, exact, other)
+    return exact, F.sum(F.when(~whole, money))
+
+
+def _amount(cents: Column, rest: Column) -> Column:
+    """One double of the two sums; whole cents are turned into a double here, once."""
+    exact = (cents * F.lit("0.01").cast("decimal(3,2)")).cast("double")
+    return F.coalesce(exact + rest, exact, rest)
+
+
+def money_sum(money: Column) -> Column:
+    """Sum of doubles; that of amounts in whole cents does not depend on the row order."""
+    return _amount(*money_parts(money))
+
+
+def _sum(rows: DataFrame) -> Column:
+    """``total_amt`` of rows with ``money``, or of sums by place with their two parts."""
+    if "cents" in rows.columns:
+        return _amount(F.sum("cents"), F.sum("rest")).alias("total_amt")
+    return money_sum(F.col("money")).alias("total_amt")
 
 
 def amt_total(rows: DataFrame) -> DataFrame:
-    return rows.agg(money_sum(F.col("money")).alias("total_amt"))
+    return rows.agg(_sum(rows))
 
 
 def amt_by_province(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("province").agg(money_sum(F.col("money")).alias("total_amt"))
+    return rows.groupBy("province").agg(_sum(rows))
 
 
 def amt_by_city(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("city").agg(money_sum(F.col("money")).alias("total_amt"))
+    return rows.groupBy("city").agg(_sum(rows))
 
 
 def amt_by_place(rows: DataFrame) -> DataFrame:
-    """Sums by province and city, from which all other sums follow.
+    """``cents, rest, province, city``: sums in two parts, from which all other sums follow.
 
-    The result has the columns of the input, so every report can be taken of it
-    again and gives the same: sums of whole cents add up exactly.
+    Whole cents stay integers, so any report taken of the result equals that of the rows.
     """
-    amount = money_sum(F.col("money")).alias("money")
-    return rows.groupBy("province", "city").agg(amount).select("money", "province", "city")
+    cents, rest = money_parts(F.col("money"))
+    parts = rows.groupBy("province", "city").agg(cents.alias("cents"), rest.alias("rest"))
+    return parts.select("cents", "rest", "province", "city")
 
 
 def key_city_rows(rows: DataFrame, cities: Sequence[str]) -> DataFrame:

@@ -28,12 +28,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def message_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Usable lines among order messages and noise."""
+    """Usable lines among order messages, the texts of events, and noise."""
     orders = tables.order_messages(spark, sf_dir).select(
         F.lit("orders").alias("source"), F.col("offset").alias("line_id"), "value"
     )
     noise = tables.noise_lines(spark, sf_dir).select(
-        F.lit("noise").alias("source"), F.col("event_id").alias("line_id"), "value"
+        "source", F.col("event_id").alias("line_id"), "value"
     )
     return msg.message_filter(orders.unionByName(noise))
 
@@ -71,11 +71,12 @@ def order_id_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = tables.table(spark, sf_dir, "events")
     millis = F.unix_millis(F.col("ts").cast("timestamp"))
     cents = F.rint(F.col("value") * 100).cast("bigint")
+    sign, size = F.when(cents < 0, "-").otherwise(""), F.abs(cents)
     return events.select(
         "event_id",
         fn.order_id(millis, F.col("event_id")).alias("order_id"),
         fn.user_id(F.col("user_id") % 5 + 1, F.col("user_id") % 1000).alias("user_id"),
-        fn.money_text(F.floor(cents / 100), F.pmod(cents, F.lit(100))).alias("money"),
+        F.concat(sign, fn.money_text(F.floor(size / 100), F.pmod(size, F.lit(100)))).alias("money"),
     )
 
 
@@ -181,13 +182,8 @@ def _report_rows(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -
     return msg.typed_rows(_etl_rows(spark, sf_dir, keep), keep)
 
 
-def _money(messages: DataFrame) -> DataFrame:
-    """Amounts for the total, which needs no address: the ETL keeps every order."""
-    return msg.order_fields(messages).select(F.col("orderMoney").try_cast("double").alias("money"))
-
-
 def amt_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.amt_total(_money(tables.order_messages(spark, sf_dir)))
+    return reports.amt_total(_report_rows(spark, sf_dir))
 
 
 def amt_by_province(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,13 +265,6 @@ def _finish(query: StreamingQuery) -> StreamingQuery:
     return query
 
 
-def _stream_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Report rows streamed from the orders table: its files are the messages."""
-    messages = tables.order_messages(spark, sf_dir, streaming=True)
-    rows = etl.order_etl(messages, tables.geo_index(spark, sf_dir), msg.POSITION)
-    return msg.typed_rows(rows, msg.POSITION)
-
-
 def _publish_segments(
     spark: SparkSession, sf_dir: str, settings: Settings, messages: DataFrame
 ) -> Settings:
@@ -286,34 +275,61 @@ def _publish_segments(
     return replace(settings, max_files_per_trigger=max(count // per_file // 4, 1))
 
 
-def s_order_etl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    settings = _settings(spark, "s_order_etl")
-    messages = tables.order_messages(spark, sf_dir, streaming=True)
-    _finish(jobs.start_etl(spark, settings, tables.geo_index(spark, sf_dir), messages))
+def _stream(spark: SparkSession, sf_dir: str, name: str) -> Settings:
+    """Settings of a run whose raw topic has the orders, in segments for several batches."""
+    messages = tables.order_messages(spark, sf_dir)
+    return _publish_segments(spark, sf_dir, _settings(spark, name), messages)
+
+
+def _stream_rows(spark: SparkSession, sf_dir: str, settings: Settings) -> DataFrame:
+    """Report rows streamed from the raw topic."""
+    messages = read_messages(spark, settings, settings.source_topic)
+    rows = etl.order_etl(messages, tables.geo_index(spark, sf_dir), msg.POSITION)
+    return msg.typed_rows(rows, msg.POSITION)
+
+
+def _finish(spark: SparkSession, query: StreamingQuery, settings: Settings) -> None:
+    """Wait for the end of the input, which must have come in several batches."""
+    query.awaitTermination()
+    batches = control.file_batches(spark, settings, query.name)
+    found = batches.agg(F.count_distinct("batch_id"), F.count("*")).first()
+    if found[0] < 2 <= found[1]:
+        raise RuntimeError(f"{query.name} read {found[1]} segments in one batch")
+
+
+def _etl_stream(
+    spark: SparkSession, sf_dir: str, name: str, index: geo.GeoIndex, open_only: bool = False
+) -> DataFrame:
+    settings = _stream(spark, sf_dir, name)
+    _finish(spark, jobs.start_etl(spark, settings, index, open_only=open_only), settings)
     written = read_messages(spark, settings, settings.etl_topic, streaming=False)
     return msg.json_fields(msg.message_filter(written), msg.ETL_FIELDS)
 
 
+def s_order_etl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _etl_stream(spark, sf_dir, "s_order_etl", tables.geo_index(spark, sf_dir))
+
+
+def s_order_etl_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ETL stream as it runs when the dictionary is too large to broadcast."""
+    index = replace(tables.geo_index(spark, sf_dir), broadcast_bytes=-1)
+    return _etl_stream(spark, sf_dir, "s_order_etl_shuffled", index)
+
+
 def s_order_etl_open(spark: SparkSession, sf_dir: str) -> DataFrame:
-    settings = _settings(spark, "s_order_etl_open")
-    messages = tables.order_messages(spark, sf_dir, streaming=True)
     index = tables.geo_index(spark, sf_dir)
-    _finish(jobs.start_etl(spark, settings, index, messages, open_only=True))
-    written = read_messages(spark, settings, settings.etl_topic, streaming=False)
-    return msg.json_fields(msg.message_filter(written), msg.ETL_FIELDS)
+    return _etl_stream(spark, sf_dir, "s_order_etl_open", index, open_only=True)
 
 
 def _run_report(spark: SparkSession, sf_dir: str, name: str, report: jobs.Report) -> str:
-    settings = _settings(spark, name)
-    _finish(jobs.start_report(spark, settings, report, _stream_rows(spark, sf_dir)))
+    settings = _stream(spark, sf_dir, name)
+    rows = _stream_rows(spark, sf_dir, settings)
+    _finish(spark, jobs.start_report(spark, settings, report, rows), settings)
     return settings.store_path
 
 
 def s_amt_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    settings = _settings(spark, "s_amt_total")
-    money = _money(tables.order_messages(spark, sf_dir, streaming=True))
-    _finish(jobs.start_report(spark, settings, jobs.TOTAL, money))
-    return jobs.stored_total(spark, settings.store_path)
+    return jobs.stored_total(spark, _run_report(spark, sf_dir, "s_amt_total", jobs.TOTAL))
 
 
 def s_amt_by_province(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -327,9 +343,9 @@ def s_amt_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def s_key_city_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    settings = _settings(spark, "s_key_city_rows")
-    rows = _stream_rows(spark, sf_dir)
-    _finish(jobs.start_key_city_rows(spark, settings, rows, settings.store_path))
+    settings = _stream(spark, sf_dir, "s_key_city_rows")
+    rows = _stream_rows(spark, sf_dir, settings)
+    _finish(spark, jobs.start_key_city_rows(spark, settings, rows, settings.store_path), settings)
     schema = "money DOUBLE, province STRING, city STRING"
     return spark.read.schema(schema).parquet(settings.store_path)
 
@@ -347,18 +363,22 @@ def s_key_city_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def s_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chart rows scanned from a store that also holds the city sums under the same prefix."""
-    settings = _settings(spark, "s_dashboard")
-    rows = _stream_rows(spark, sf_dir)
-    chosen = (jobs.CITY, jobs.KEY_CITY_LATEST)
-    control.run_all(spark, [jobs.start_report(spark, settings, one, rows) for one in chosen])
+    settings = _stream(spark, sf_dir, "s_dashboard")
+    rows = _stream_rows(spark, sf_dir, settings)
+    queries = [
+        jobs.start_report(spark, settings, report, rows)
+        for report in (jobs.CITY, jobs.KEY_CITY_LATEST)
+    ]
+    control.run_all(spark, queries)
+    for query in queries:
+        _finish(spark, query, settings)
     return dashboard.dashboard_feed(jobs.stored_cities(spark, settings.store_path))
 
 
 def s_two_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw topic -> ETL job -> ETL topic -> all reports side by side; all amounts they store."""
-    messages = tables.order_messages(spark, sf_dir)
-    settings = _publish_segments(spark, sf_dir, _settings(spark, "s_two_jobs"), messages)
-    _finish(jobs.start_etl(spark, settings, tables.geo_index(spark, sf_dir)))
+    """Raw topic -> ETL job -> ETL topic -> all reports side by side; all that they store."""
+    settings = _stream(spark, sf_dir, "s_two_jobs")
+    _finish(spark, jobs.start_etl(spark, settings, tables.geo_index(spark, sf_dir)), settings)
     messages = read_messages(spark, settings, settings.etl_topic)
     rows = msg.report_rows(messages, msg.POSITION)
     queries = [jobs.start_report(spark, settings, report, rows) for report in jobs.REPORTS]
@@ -367,26 +387,30 @@ def s_two_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def s_sums_together(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All sums from one query over the ETL topic; everything they store but the places."""
+    """All sums from one query over the ETL topic; all that it stores."""
     settings = _settings(spark, "s_sums_together")
     rows = etl.order_etl(
         tables.order_messages(spark, sf_dir), tables.geo_index(spark, sf_dir), msg.POSITION
     )
     settings = _publish_segments(spark, sf_dir, settings, msg.etl_envelope(rows, msg.POSITION))
     messages = read_messages(spark, settings, settings.source_topic)
-    _finish(jobs.start_sums(spark, settings, msg.report_rows(messages, msg.POSITION)))
-    stored = _stored_fields(spark, settings.store_path)
-    return stored.where(~F.col("key").startswith(jobs.PLACES_TABLE))
+    _finish(spark, jobs.start_sums(spark, settings, msg.report_rows(messages, msg.POSITION)), settings)
+    return _stored_fields(spark, settings.store_path)
 
 
 def _stored_fields(spark: SparkSession, store: str) -> DataFrame:
+    """Every stored field: amounts as numbers, other values as text."""
+    amount = F.col("value").try_cast("double")
+    text = F.when(amount.isNull(), F.col("value"))
     stored = hashes.read_hashes(spark, store)
-    amount = F.col("value").try_cast("double").alias("amount")
-    return stored.where(F.col("field") != "province").select("key", "field", amount)
+    return stored.select("key", "field", amount.alias("amount"), text.alias("text"))
 
 
 def s_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """City totals of a report stopped half-way and started again on its checkpoint."""
+    """City totals of a report stopped half-way and started again on its checkpoint.
+
+    The second start also finds a batch that was stored but not noted as done.
+    """
     settings = _settings(spark, "s_restart")
     index = tables.geo_index(spark, sf_dir)
     messages = msg.etl_envelope(
@@ -398,22 +422,33 @@ def s_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
         publish(messages.where(arrived), settings, settings.etl_topic)
         lines = read_messages(spark, settings, settings.etl_topic)
         rows = msg.report_rows(lines, msg.POSITION)
-        _finish(jobs.start_report(spark, settings, jobs.CITY, rows))
+        jobs.start_report(spark, settings, jobs.CITY, rows).awaitTermination()
+        control.forget_last_commit(spark, settings, jobs.CITY.name)
+    lines = read_messages(spark, settings, settings.etl_topic)
+    again = jobs.start_report(spark, settings, jobs.CITY, msg.report_rows(lines, msg.POSITION))
+    again.awaitTermination()
     return jobs.stored_city_amounts(spark, settings.store_path)
 
 
 def s_rate_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows read under a cap of files per batch, and whether every batch kept to it."""
-    messages = tables.order_messages(spark, sf_dir)
-    settings = _publish_segments(spark, sf_dir, _settings(spark, "s_rate_cap"), messages)
+    """What was read under a cap of files per batch, and whether every batch kept to it.
+
+    Counted from the segments that the query's own log names, not from its recent reports.
+    """
+    settings = _stream(spark, sf_dir, "s_rate_cap")
+    _finish(spark, jobs.start_etl(spark, settings, tables.geo_index(spark, sf_dir)), settings)
     segments = read_messages(spark, settings, settings.source_topic, streaming=False)
-    largest = segments.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
-    allowed = largest * settings.max_files_per_trigger
-    query = _finish(jobs.start_etl(spark, settings, tables.geo_index(spark, sf_dir)))
-    batches = control.progress_rows(spark, [query]).where("input_rows > 0")
-    return batches.agg(
-        F.sum("input_rows").alias("input_rows"),
-        (F.max("input_rows") <= allowed).alias("within_cap"),
+    per_file = segments.groupBy(F.regexp_extract(F.input_file_name(), "[^/]+$", 0).alias("file"))
+    per_file = per_file.agg(F.count("*").alias("n"), F.sum("offset").alias("keys"))
+    batches = control.file_batches(spark, settings, jobs.ETL_QUERY)
+    batches = batches.withColumn("file", F.regexp_extract("path", "[^/]+$", 0))
+    sizes = batches.join(per_file, "file").groupBy("batch_id").agg(
+        F.sum("n").alias("n"), F.sum("keys").alias("keys"), F.count("*").alias("files")
+    )
+    return sizes.agg(
+        F.sum("n").alias("input_rows"),
+        F.sum("keys").alias("order_keys"),
+        (F.max("files") <= settings.max_files_per_trigger).alias("within_cap"),
         (F.count("*") > 1).alias("several_batches"),
     )
 
@@ -429,7 +464,7 @@ QUERIES: dict[str, Query] = {
         key_city_rows, key_city_amount, key_city_latest,
         pivot_total, pivot_city, pivot_city_found,
         keyed_hashes, dashboard_feed, dashboard_rejects,
-        s_order_etl, s_order_etl_open, s_amt_total, s_amt_by_province, s_amt_by_city,
+        s_order_etl, s_order_etl_shuffled, s_order_etl_open, s_amt_total, s_amt_by_province, s_amt_by_city,
         s_key_city_rows, s_key_city_amount, s_key_city_latest,
         s_dashboard, s_two_jobs, s_sums_together, s_restart, s_rate_cap,
     )

@@ -50,13 +50,14 @@ c AS (
 
 _ETL_COLUMNS = '"orderId", "userId", "orderTime", province, city, "orderMoney", "orderStatus"'
 
-# Noise lines by number of shape; the last shape is the event's properties text.
+# The properties text of every event, and a noise line by number of shape.
 _NOISE = r"""
 noise AS (
-  SELECT event_id, CASE event_id % 12
+  SELECT 'props' AS source, event_id, props AS value FROM events
+  UNION ALL SELECT 'noise', event_id, CASE event_id % 11
     WHEN 0 THEN NULL WHEN 1 THEN ',' WHEN 2 THEN ',,,' WHEN 3 THEN ' , '
     WHEN 4 THEN chr(9) || ',' || chr(10) WHEN 5 THEN '' WHEN 6 THEN ' ' WHEN 7 THEN ', ,'
-    WHEN 8 THEN ',a' WHEN 9 THEN 'a,,' WHEN 10 THEN '{bad' ELSE props END AS value
+    WHEN 8 THEN ',a' WHEN 9 THEN 'a,,' ELSE '{bad' END
   FROM events)"""
 
 _ORDER_JSON = """'{"orderId":"' || "orderId" || '","userId":"' || "userId" || '","orderTime":"' ||
@@ -95,18 +96,18 @@ _GEO = f"""WITH {_LOCATED} SELECT "orderId", ip, province, city FROM e"""
 
 # Every sum as it is stored: key, field, amount.
 _ALL_SUMS = f"""
-SELECT 'orders:money:total' AS key, 'global' AS field, {_SUM} AS amount FROM e
-UNION ALL SELECT 'orders:provincemoney:' || coalesce(province, 'null'), 'total_amt', {_SUM}
+SELECT 'orders:money:total' AS key, 'global' AS field, {_SUM} AS amount, NULL::VARCHAR AS text FROM e
+UNION ALL SELECT 'orders:provincemoney:' || coalesce(province, 'null'), 'total_amt', {_SUM}, NULL
   FROM e GROUP BY province
-UNION ALL SELECT 'orders:citymoney:global', coalesce(city, 'null'), {_SUM} FROM e GROUP BY city
-UNION ALL SELECT 'orders:keycityamount:' || city, 'total_amt', {_SUM}
+UNION ALL SELECT 'orders:citymoney:global', coalesce(city, 'null'), {_SUM}, NULL FROM e GROUP BY city
+UNION ALL SELECT 'orders:keycityamount:' || city, 'total_amt', {_SUM}, NULL
   FROM e WHERE city IN ({_CITY_LIST}) GROUP BY city"""
 
 ORACLE: dict[str, str] = {
     "message_filter": f"""WITH {_ORDERS}, {_NOISE},
 lines AS (
   SELECT 'orders' AS source, o_orderkey AS line_id, {_ORDER_JSON} AS value FROM n
-  UNION ALL SELECT 'noise', event_id, value FROM noise),
+  UNION ALL SELECT source, event_id, value FROM noise),
 cut AS (SELECT *, trim(value, ' ' || chr(9) || chr(10)) AS core FROM lines)
 SELECT source, line_id, value FROM cut
 WHERE value IS NOT NULL AND (core = '' OR replace(core, ',', '') <> '')""",
@@ -168,6 +169,7 @@ FROM c WHERE money <> 'n/a' GROUP BY province""",
     "dashboard_rejects": f"""WITH {_CHART}
 SELECT city, province, money FROM c WHERE money = 'n/a'""",
     "s_order_etl": _ETL,
+    "s_order_etl_shuffled": _ETL,
     "s_order_etl_open": _ETL_OPEN,
     "s_amt_total": _TOTAL,
     "s_amt_by_province": _BY_PROVINCE,
@@ -180,9 +182,11 @@ SELECT '销售额' AS series, province AS category, arg_max(o_totalprice, city)
 FROM r WHERE age = 1 AND city IN ({_CITY_LIST}) GROUP BY province""",
     "s_sums_together": f"""WITH {_LOCATED} {_ALL_SUMS}""",
     "s_two_jobs": f"""WITH {_NEWEST} {_ALL_SUMS}
-UNION ALL SELECT 'orders:citymoney:' || city, 'money', o_totalprice
+UNION ALL SELECT 'orders:citymoney:' || city, 'money', o_totalprice, NULL
+  FROM r WHERE age = 1 AND city IN ({_CITY_LIST})
+UNION ALL SELECT 'orders:citymoney:' || city, 'province', NULL, province
   FROM r WHERE age = 1 AND city IN ({_CITY_LIST})""",
     "s_restart": _BY_CITY,
-    "s_rate_cap": """SELECT count(*) AS input_rows, true AS within_cap, true AS several_batches
-FROM orders""",
+    "s_rate_cap": """SELECT count(*) AS input_rows, sum(o_orderkey)::BIGINT AS order_keys,
+  true AS within_cap, true AS several_batches FROM orders""",
 }

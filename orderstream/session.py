@@ -55,3 +55,8 @@ def stored_once(rows: DataFrame) -> DataFrame:
     """A small result written to the shared folder, for plans that read it more than once."""
     shared_dir(rows.sparkSession)
     return rows.checkpoint()
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)

@@ -3,12 +3,11 @@
 Every batch writes its changed fields to a folder of its own, so writing a batch
 again changes nothing. Readers take the newest version of each field. A version
 is ``timestamp, partition, offset``: that of the message for rows taken from
-messages, else the time and number of the batch.
+messages, else no time, the number of the run and the number of the batch.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -17,14 +16,31 @@ from pyspark.sql import functions as F
 
 from orderstream.config import Settings
 from orderstream.operators.messages import POSITION
+from orderstream.session import path_exists
 
 HASH_SCHEMA = (
     "key STRING, field STRING, value STRING, timestamp TIMESTAMP, partition INT, offset BIGINT"
 )
 
+# Stands for a missing key or field name; texts that look like it get a backslash in front.
+MISSING = "null"
+
+
+def stored_name(name: Column) -> Column:
+    """A key or field name as it is stored: a missing one apart from every text."""
+    text = name.cast("string")
+    escaped = F.when(text.rlike(rf"^\\*{MISSING}$"), F.concat(F.lit("\\"), text)).otherwise(text)
+    return F.coalesce(escaped, F.lit(MISSING))
+
+
+def read_name(stored: Column) -> Column:
+    """The name that was stored, null if it was missing."""
+    plain = F.when(stored.rlike(rf"^\\+{MISSING}$"), F.substring(stored, 2, 1 << 30)).otherwise(stored)
+    return F.when(stored != MISSING, plain)
+
 
 def hash_key(table: str, key: Column) -> Column:
-    return F.concat(F.lit(f"{table}:"), F.coalesce(key.cast("string"), F.lit("null")))
+    return F.concat(F.lit(f"{table}:"), stored_name(key))
 
 
 def _named(name: str) -> Column:
@@ -32,14 +48,20 @@ def _named(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def batch_version(batch_id: int) -> list[Column]:
-    """Version of rows that carry none: a later batch replaces an earlier one."""
-    values = (F.current_timestamp(), F.lit(0), F.lit(batch_id).cast("bigint"))
+def batch_version(run: int, batch_id: int) -> list[Column]:
+    """Version of rows that carry none: a later run, then a later batch replaces an earlier."""
+    values = (
+        F.lit(None).cast("timestamp"), F.lit(run).cast("int"), F.lit(batch_id).cast("bigint")
+    )
     return [value.alias(name) for value, name in zip(values, POSITION, strict=True)]
 
 
-def hash_fields(rows: DataFrame, table: str, key: str) -> DataFrame:
-    """Wide rows to one row per key and field; null fields are not stored."""
+def hash_fields(rows: DataFrame, table: str, key: str, whole: bool = False) -> DataFrame:
+    """Wide rows to one row per key and field.
+
+    Null fields are not stored, unless a row is stored ``whole``: then they replace what
+    an older row of the key had.
+    """
     version = [name for name in POSITION if name in rows.columns]
     names = [name for name in rows.columns if name != key and name not in version]
     texts = rows.select(
@@ -48,36 +70,69 @@ def hash_fields(rows: DataFrame, table: str, key: str) -> DataFrame:
         *(_named(name).cast("string").alias(name) for name in names),
     )
     fields = texts.unpivot(["key", *version], [_named(name) for name in names], "field", "value")
-    return fields.where(F.col("value").isNotNull()).select("key", "field", "value", *version)
+    if not whole:
+        fields = fields.where(F.col("value").isNotNull())
+    return fields.select("key", "field", "value", *version)
 
 
 def city_fields(by_city: DataFrame, table: str, key: str) -> DataFrame:
     """``city, total_amt`` as fields of one hash, without making the wide row first."""
     return by_city.select(
         hash_key(table, F.lit(key)).alias("key"),
-        F.coalesce("city", F.lit("null")).alias("field"),
+        stored_name(F.col("city")).alias("field"),
         F.col("total_amt").cast("string").alias("value"),
     ).where(F.col("value").isNotNull())
 
 
 def write_hashes(fields: DataFrame, folder: str, run: str, batch_id: int) -> None:
-    """Write or rewrite the fields one batch changed."""
+    """Write or rewrite the fields one batch changed. ``run`` names the writer's checkpoint."""
+    session = fields.sparkSession
     if "offset" not in fields.columns:
-        fields = fields.select("*", *batch_version(batch_id))
+        number = _run_number(session, folder, run)
+        fields = fields.select("*", *batch_version(number, batch_id))
     path = f"{folder.rstrip('/')}/run={run}/batch_id={batch_id}"
     fields.write.mode("overwrite").parquet(path)
 
 
-def read_hashes(spark: SparkSession, store: str, prefix: str = "") -> DataFrame:
-    """``key, field, value`` as they stand now, for keys starting with ``prefix``."""
+def _run_number(session: SparkSession, folder: str, run: str) -> int:
+    """1, 2, 3 ... for each run that writes to the folder, noted there at its first batch.
+
+    One writer at a time has a folder, so a number is taken once.
+    """
+    files = session._jvm.org.apache.hadoop.fs
+    notes = files.Path(f"{folder.rstrip('/')}/_runs")
+    system = notes.getFileSystem(session._jsc.hadoopConfiguration())
+    numbers = {}
+    if system.exists(notes):
+        for status in system.listStatus(notes):
+            number, _, name = status.getPath().getName().partition("-")
+            numbers[name] = int(number)
+    if run not in numbers:
+        numbers[run] = max(numbers.values(), default=0) + 1
+        system.create(files.Path(notes, f"{numbers[run]}-{run}")).close()
+    return numbers[run]
+
+
+def read_hashes(
+    spark: SparkSession, store: str | Sequence[str], prefix: str = "", key: str | None = None
+) -> DataFrame:
+    """``key, field, value`` as they stand now, of one key or of keys starting with ``prefix``.
+
+    ``store`` is the folder of all reports or of one, or several; a folder that no report
+    has written yet is empty.
+    """
+    folders = [store] if isinstance(store, str) else store
+    there = [folder for folder in folders if path_exists(spark, folder)]
     try:
         reader = spark.read.schema(HASH_SCHEMA).option("recursiveFileLookup", "true")
-        written = reader.parquet(store)
+        written = reader.parquet(*there) if there else spark.createDataFrame([], HASH_SCHEMA)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         written = spark.createDataFrame([], HASH_SCHEMA)
-    if prefix:
+    if key is not None:
+        written = written.where(F.col("key") == key)
+    elif prefix:
         written = written.where(F.col("key").startswith(prefix))
     return _newest(written).select("key", "field", "newest.value")
 
@@ -94,10 +149,12 @@ def hash_get(hashes: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def compact(spark: SparkSession, folder: str) -> int:
-    """Replace the batches written so far by one with the newest fields.
+    """Merge the batches written so far into one folder with the newest fields.
 
-    For the writer of the folder, between two of its batches. Versions are kept,
-    so a stop between writing and deleting leaves harmless duplicates.
+    For the writer of the folder, between two of its batches. Versions are kept, so what
+    is stored twice does no harm. Folders that the compaction before this one has merged
+    are deleted, so a reader that has listed a folder finds its files for as long as it
+    takes to the compaction after the next.
     """
     files = spark._jvm.org.apache.hadoop.fs
     root = files.Path(folder)
@@ -106,15 +163,20 @@ def compact(spark: SparkSession, folder: str) -> int:
         return 0
     # Whole batches only: the committer leaves _SUCCESS once all files are in place.
     found = system.globStatus(files.Path(f"{folder.rstrip('/')}/run=*/batch_id=*/_SUCCESS"))
-    done = [status.getPath().getParent() for status in found]
-    if len(done) < 2:
+    done = {status.getPath().getParent(): status.getModificationTime() for status in found}
+    merges = [path for path in done if path.getParent().getName() == "run=compact"]
+    last = max(merges, key=lambda path: int(path.getName().partition("=")[2]), default=None)
+    merged_before = [path for path in done if last and path != last and done[path] <= done[last]]
+    fresh = [path for path in done if path not in merged_before]
+    if len(fresh) < 2:
         return 0
-    written = spark.read.schema(HASH_SCHEMA).parquet(*(path.toString() for path in done))
+    written = spark.read.schema(HASH_SCHEMA).parquet(*(path.toString() for path in fresh))
     merged = _newest(written).select("key", "field", "newest.*")
-    write_hashes(merged, folder, f"compact-{uuid.uuid4().hex}", 0)
-    for path in done:
+    number = int(last.getName().partition("=")[2]) + 1 if last else 0
+    write_hashes(merged, folder, "compact", number)
+    for path in merged_before:
         system.delete(path, True)
-    return len(done)
+    return len(fresh)
 
 
 def write_external(rows: DataFrame, table: str, key: str, settings: Settings) -> None:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orderstream.config import Settings
+from orderstream.operators.messages import POSITION
 
 # Columns of a message frame: the text and its position in the topic.
 MESSAGE_SCHEMA = "value STRING, timestamp TIMESTAMP, partition INT, offset BIGINT"
@@ -16,6 +20,10 @@ def kafka_source_options(settings: Settings, topic: str, streaming: bool) -> dic
         "subscribe": topic,
         "startingOffsets": settings.starting_offsets if streaming else "earliest",
     }
+    if settings.starting_time and streaming:
+        moment = datetime.fromisoformat(settings.starting_time)
+        options["startingTimestamp"] = str(round(moment.timestamp() * 1000))
+        options["startingOffsetsByTimestampStrategy"] = "latest"
     if streaming:
         options["maxOffsetsPerTrigger"] = str(settings.max_offsets_per_trigger)
     if settings.min_partitions:
@@ -27,18 +35,56 @@ def topic_path(settings: Settings, topic: str) -> str:
     return f"{settings.topic_root.rstrip('/')}/{topic}"
 
 
+def position_headers() -> Column:
+    """The position of a message as Kafka headers, for a topic that is written in parallel."""
+    values = (F.unix_micros("timestamp"), F.col("partition"), F.col("offset"))
+    return F.array(
+        *(
+            F.struct(F.lit(name).alias("key"), value.cast("string").cast("binary").alias("value"))
+            for name, value in zip(POSITION, values, strict=True)
+        )
+    )
+
+
+def _carried(raw: DataFrame) -> DataFrame:
+    """Messages with the position in their headers, or else their own in the topic."""
+    if "headers" not in raw.columns:
+        return raw
+
+    def header(name: str) -> Column:
+        found = F.filter("headers", lambda h: h["key"] == name)
+        return F.get(found, F.lit(0))["value"].cast("string").try_cast("bigint")
+
+    moment, partition, offset = map(header, POSITION)
+    all_there = moment.isNotNull() & partition.isNotNull() & offset.isNotNull()
+    return raw.select(
+        "value",
+        F.when(all_there, F.timestamp_micros(moment)).otherwise(F.col("timestamp")).alias("timestamp"),
+        F.when(all_there, partition.cast("int")).otherwise(F.col("partition")).alias("partition"),
+        F.when(all_there, offset).otherwise(F.col("offset")).alias("offset"),
+    )
+
+
 def read_messages(
     spark: SparkSession, settings: Settings, topic: str, streaming: bool = True
 ) -> DataFrame:
-    """Messages of a topic as text, with their position kept."""
+    """Messages of a topic as text, with their position kept.
+
+    A file topic is read from its beginning, at most so many files or bytes per batch.
+    """
     reader = spark.readStream if streaming else spark.read
     if settings.source_format == "kafka":
         options = kafka_source_options(settings, topic, streaming)
-        raw = reader.format("kafka").options(**options).load()
+        raw = reader.format("kafka").options(**options).option("includeHeaders", "true").load()
+        raw = _carried(raw)
     elif settings.source_format == "files":
         if streaming and settings.max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", settings.max_files_per_trigger)
+        elif streaming:
+            reader = reader.option("maxBytesPerTrigger", settings.max_bytes_per_trigger)
         raw = reader.schema(MESSAGE_SCHEMA).parquet(topic_path(settings, topic))
+        if settings.starting_time and streaming:
+            raw = raw.where(F.col("timestamp") >= F.lit(settings.starting_time).cast("timestamp"))
     else:
         raise ValueError(f"unknown source format {settings.source_format!r}")
     return raw.selectExpr("CAST(value AS STRING) AS value", "timestamp", "partition", "offset")

@@ -7,9 +7,11 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from orderstream.config import Settings
+from orderstream.session import path_exists
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -19,10 +21,13 @@ PROGRESS_SCHEMA = (
 
 
 @contextmanager
-def _state_settings(spark: SparkSession, settings: Settings) -> Iterator[None]:
-    """Number and kind of state stores, read by a query when it starts."""
-    wanted = {"spark.sql.shuffle.partitions": str(settings.state_partitions)}
-    if settings.state_store == "rocksdb":
+def _state_settings(spark: SparkSession, settings: Settings, stateful: bool) -> Iterator[None]:
+    """Number and kind of state stores, read by a query when it starts.
+
+    A query without state keeps the session's shuffle width.
+    """
+    wanted = {"spark.sql.shuffle.partitions": str(settings.state_partitions)} if stateful else {}
+    if stateful and settings.state_store == "rocksdb":
         wanted["spark.sql.streaming.stateStore.providerClass"] = _ROCKSDB
     before = {name: spark.conf.get(name, None) for name in wanted}
     for name, value in wanted.items():
@@ -38,13 +43,17 @@ def _state_settings(spark: SparkSession, settings: Settings) -> Iterator[None]:
 
 
 def start(
-    spark: SparkSession, writer: DataStreamWriter, name: str, settings: Settings
+    spark: SparkSession,
+    writer: DataStreamWriter,
+    name: str,
+    settings: Settings,
+    stateful: bool = False,
 ) -> StreamingQuery:
     """Start a named query on its own checkpoint, without waiting for it."""
     writer = writer.queryName(name).option("checkpointLocation", settings.checkpoint(name))
     if settings.trigger:
         writer = writer.trigger(**settings.trigger)
-    with _state_settings(spark, settings):
+    with _state_settings(spark, settings, stateful):
         return writer.start()
 
 
@@ -73,11 +82,6 @@ def _in_turn(queries: Sequence[StreamingQuery], poll_seconds: float) -> Iterator
             waiting[0].awaitTermination(poll_seconds)
 
 
-def marker_exists(spark: SparkSession, marker: str) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(marker)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-
-
 def stop_on_marker(
     spark: SparkSession,
     queries: Sequence[StreamingQuery],
@@ -87,7 +91,7 @@ def stop_on_marker(
 ) -> None:
     """Let queries run until the marker path appears, then stop each after its batch."""
     while any(query.isActive for query in queries):
-        if marker_exists(spark, marker):
+        if path_exists(spark, marker):
             for query in queries:
                 stop_gracefully(query, grace_seconds)
             return
@@ -132,3 +136,25 @@ def progress_rows(spark: SparkSession, queries: Sequence[StreamingQuery]) -> Dat
         for step in query.recentProgress
     ]
     return spark.createDataFrame(rows, PROGRESS_SCHEMA)
+
+
+def file_batches(spark: SparkSession, settings: Settings, name: str) -> DataFrame:
+    """``batch_id, path`` of every file that a query on a file topic has read so far.
+
+    From the query's own log, which unlike the progress reports forgets no batch.
+    """
+    entries = spark.read.text(f"{settings.checkpoint(name)}/sources/0/*")
+    entry = F.from_json("value", "path STRING, batchId BIGINT")
+    read = entries.where(F.col("value").startswith("{")).select(entry.alias("e"))
+    return read.select(F.col("e.batchId").alias("batch_id"), "e.path").distinct()
+
+
+def forget_last_commit(spark: SparkSession, settings: Settings, name: str) -> None:
+    """As if the query had stopped after storing its last batch, before noting so."""
+    files = spark._jvm.org.apache.hadoop.fs
+    folder = files.Path(f"{settings.checkpoint(name)}/commits")
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [status.getPath().getName() for status in system.listStatus(folder)]
+    newest = max((int(found) for found in names if found.isdigit()), default=None)
+    if newest is not None:
+        system.delete(files.Path(folder, str(newest)), False)

@@ -23,31 +23,47 @@ from orderstream.streaming.control import run_all, start
 
 ETL_QUERY = "order-etl"
 PLACES_QUERY = "query-amt-by-place"
-PLACES_TABLE = "orders:placemoney"
+
+# Cities that one wide row for an external sink has as columns.
+WIDE_CITIES = 1000
 
 
 @dataclass(frozen=True)
 class Report:
     """A keyed report: what the stream computes and how a batch of it is stored.
 
-    ``wide`` gives the rows an external keyed sink gets, ``fields`` the same
-    content as hash fields.
+    ``wide`` gives the frames an external keyed sink gets, ``fields`` the same
+    content as hash fields. ``stateful`` tells reports that aggregate the stream.
     """
 
     name: str
     table: str
     key: str
     stream: Callable[[DataFrame, Settings], DataFrame]
-    wide: Callable[[DataFrame, Settings], DataFrame]
+    wide: Callable[[DataFrame, Settings], list[DataFrame]]
     fields: Callable[[DataFrame, Settings], DataFrame]
+    stateful: bool = True
+
+
+def _same(rows: DataFrame, settings: Settings) -> list[DataFrame]:
+    return [rows]
 
 
-def _same(rows: DataFrame, settings: Settings) -> DataFrame:
-    return rows
+def _total_wide(rows: DataFrame, settings: Settings) -> list[DataFrame]:
+    return [reports.pivot_total(rows)]
 
 
-def _total_wide(rows: DataFrame, settings: Settings) -> DataFrame:
-    return reports.pivot_total(rows)
+def _cities_wide(rows: DataFrame, settings: Settings) -> list[DataFrame]:
+    """Rows of at most about WIDE_CITIES cities each; fields of a hash merge."""
+    slices = rows.count() // WIDE_CITIES + 1
+    parts = []
+    for number in range(slices):
+        part = rows.where(F.pmod(F.xxhash64("city"), F.lit(slices)) == number)
+        cities = [row.city for row in part.select("city").collect()]
+        named = part.withColumn("city", F.coalesce("city", F.lit("null")))
+        if cities:
+            parts.append(reports.pivot_city(named, sorted({city or "null" for city in cities})))
+    return parts
 
 
 def _latest(rows: DataFrame, settings: Settings) -> DataFrame:
@@ -79,7 +95,7 @@ CITY = Report(
     table="orders:citymoney",
     key="total",
     stream=lambda rows, settings: reports.amt_by_city(rows),
-    wide=lambda rows, settings: reports.pivot_city(rows),
+    wide=_cities_wide,
     fields=lambda rows, settings: hashes.city_fields(rows, "orders:citymoney", reports.GLOBAL),
 )
 KEY_CITY_AMOUNT = Report(
@@ -97,10 +113,11 @@ KEY_CITY_LATEST = Report(
     table="orders:citymoney",
     key="city",
     stream=lambda rows, settings: reports.key_city_rows(rows, settings.key_cities),
-    wide=lambda rows, settings: _latest(rows, settings).drop(*POSITION),
+    wide=lambda rows, settings: [_latest(rows, settings).drop(*POSITION)],
     fields=lambda rows, settings: hashes.hash_fields(
-        _latest(rows, settings), "orders:citymoney", "city"
+        _latest(rows, settings), "orders:citymoney", "city", whole=True
     ),
+    stateful=False,
 )
 
 # The sums: all follow from sums by place.
@@ -132,7 +149,7 @@ def start_report(
         _store(report, batch, batch_id, settings)
 
     writer = report.stream(rows, settings).writeStream.outputMode("update").foreachBatch(store)
-    return start(spark, writer, report.name, settings)
+    return start(spark, writer, report.name, settings, report.stateful)
 
 
 def _store(report: Report, batch: DataFrame, batch_id: int, settings: Settings) -> None:
@@ -141,8 +158,8 @@ def _store(report: Report, batch: DataFrame, batch_id: int, settings: Settings)
         # Finding pivot columns reads the batch once more; its state must not be.
         batch.persist()
         try:
-            wide = report.wide(batch, settings)
-            hashes.write_external(wide, report.table, report.key, settings)
+            for wide in report.wide(batch, settings):
+                hashes.write_external(wide, report.table, report.key, settings)
         finally:
             batch.unpersist()
         return
@@ -159,44 +176,38 @@ def _write(fields: DataFrame, folder: str, batch_id: int, settings: Settings) ->
 
 def _run(session: SparkSession) -> str:
     """Id of the streaming query whose batch is being stored; a new checkpoint has a new one."""
-    return session.sparkContext.getLocalProperty("sql.streaming.queryId") or "run"
+    run = session.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not run:
+        raise RuntimeError("a batch is stored by a streaming query, which has an id")
+    return run
 
 
 def start_sums(spark: SparkSession, settings: Settings, rows: DataFrame) -> StreamingQuery:
     """Start all sum reports as one query, which reads and parses the topic once.
 
-    State is one sum per province and city. Each batch stores the places it changed
-    and then every report of the places known so far, a few rows each, under the
-    keys the single reports use.
+    State is one sum per province and city, in whole cents and a rest. Each batch gets
+    all places from the state and stores every report of them, a few rows each, under
+    the keys the single reports use. Nothing is read back.
     """
-    base = f"{settings.store_path.rstrip('/')}/{PLACES_QUERY}"
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        folder = f"{base}/places/of={_run(session)}"
-        place = F.to_json(F.struct("province", "city")).alias("place")
-        named = batch.select(place, "money", "province", "city")
-        _write(hashes.hash_fields(named, PLACES_TABLE, "place"), folder, batch_id, settings)
-        known = hashes.hash_get(
-            hashes.read_hashes(session, folder), ["money", "province", "city"]
-        ).select(F.col("money").try_cast("double").alias("money"), "province", "city")
-        known = known.persist()
+        places = batch.persist()
         try:
-            sums = [(report, report.stream(known, settings)) for report in SUMS]
+            sums = [(report, report.stream(places, settings)) for report in SUMS]
             if settings.store_format == "hashes":
                 fields = [report.fields(rows, settings) for report, rows in sums]
-                together = reduce(DataFrame.unionByName, fields)
-                few = together.coalesce(settings.state_partitions)
-                _write(few, f"{base}/sums", batch_id, settings)
+                few = reduce(DataFrame.unionByName, fields).coalesce(settings.state_partitions)
+                folder = f"{settings.store_path.rstrip('/')}/{PLACES_QUERY}"
+                _write(few, folder, batch_id, settings)
             else:
                 for report, rows in sums:
                     _store(report, rows, batch_id, settings)
         finally:
-            known.unpersist()
+            places.unpersist()
 
     places = reports.amt_by_place(rows)
-    writer = places.writeStream.outputMode("update").foreachBatch(store)
-    return start(spark, writer, PLACES_QUERY, settings)
+    writer = places.writeStream.outputMode("complete").foreachBatch(store)
+    return start(spark, writer, PLACES_QUERY, settings, stateful=True)
 
 
 def start_key_city_rows(
@@ -238,14 +249,21 @@ def run_reports(
     run_all(spark, queries, settings.stop_state_file)
 
 
+def _folders(store: str, report: Report) -> list[str]:
+    """Where a report is stored: by its own query, or by the one of all sums."""
+    base = store.rstrip("/")
+    names = [report.name, *([PLACES_QUERY] if report in SUMS else [])]
+    return [f"{base}/{name}" for name in names]
+
+
 def _key_text(prefix: str) -> Column:
-    text = F.col("key").substr(F.lit(len(prefix) + 1), F.length("key"))
-    return F.when(text != "null", text)
+    return hashes.read_name(F.col("key").substr(F.lit(len(prefix) + 1), F.length("key")))
 
 
 def stored_total(spark: SparkSession, store: str) -> DataFrame:
     """``total_amt`` as it stands now."""
-    total = hashes.read_hashes(spark, store, f"{TOTAL.table}:{reports.TOTAL}")
+    key = f"{TOTAL.table}:{reports.TOTAL}"
+    total = hashes.read_hashes(spark, _folders(store, TOTAL), key=key)
     row = hashes.hash_get(total, [reports.GLOBAL])
     return row.select(F.col(reports.GLOBAL).try_cast("double").alias("total_amt"))
 
@@ -253,16 +271,18 @@ def stored_total(spark: SparkSession, store: str) -> DataFrame:
 def stored_amounts(spark: SparkSession, store: str, report: Report) -> DataFrame:
     """``<key>, total_amt`` of a report with one hash per key."""
     prefix = f"{report.table}:"
-    amounts = hashes.hash_get(hashes.read_hashes(spark, store, prefix), ["total_amt"])
+    found = hashes.read_hashes(spark, _folders(store, report), prefix)
+    amounts = hashes.hash_get(found, ["total_amt"])
     amount = F.col("total_amt").try_cast("double").alias("total_amt")
     return amounts.select(_key_text(prefix).alias(report.key), amount)
 
 
 def stored_city_amounts(spark: SparkSession, store: str) -> DataFrame:
     """``city, total_amt`` from the fields of the one hash of all cities."""
-    fields = hashes.read_hashes(spark, store, f"{CITY.table}:{reports.GLOBAL}")
+    key = f"{CITY.table}:{reports.GLOBAL}"
+    fields = hashes.read_hashes(spark, _folders(store, CITY), key=key)
     return fields.select(
-        F.when(F.col("field") != "null", F.col("field")).alias("city"),
+        hashes.read_name(F.col("field")).alias("city"),
         F.col("value").try_cast("double").alias("total_amt"),
     )
 
@@ -270,8 +290,9 @@ def stored_city_amounts(spark: SparkSession, store: str) -> DataFrame:
 def stored_cities(spark: SparkSession, store: str) -> DataFrame:
     """``city, money, province`` as texts: every hash the chart scans.
 
-    The hash of all city sums shares the prefix; it has neither field.
+    The hash of all city sums has the same prefix, but is stored by another report.
     """
     prefix = f"{KEY_CITY_LATEST.table}:"
-    found = hashes.hash_get(hashes.read_hashes(spark, store, prefix), ["money", "province"])
+    stored = hashes.read_hashes(spark, _folders(store, KEY_CITY_LATEST), prefix)
+    found = hashes.hash_get(stored, ["money", "province"])
     return found.select(_key_text(prefix).alias("city"), "money", "province")

@@ -48,6 +48,45 @@ def test_writing_a_batch_again_changes_nothing(spark, store):
     assert len(os.listdir(f"{store}/run=run")) == 1
 
 
+def test_the_clock_decides_nothing(spark, store, monkeypatch):
+    """A batch written while the clock is behind replaces the one before it all the same."""
+    for batch, hours in ((7, 0), (8, -5)):
+        spark.conf.set("spark.sql.session.timeZone", f"Etc/GMT{-hours:+d}" if hours else "UTC")
+        hashes.write_hashes(fields(spark, [("x", float(batch), "p")]), store, "run", batch)
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    written = spark.read.schema(hashes.HASH_SCHEMA).option("recursiveFileLookup", "true").parquet(store)
+    assert {r.timestamp for r in written.collect()} == {None}
+    assert latest(spark, store)[("t:x", "a")] == "8.0"
+
+
+def test_names_that_look_missing(spark, store):
+    texts = ["null", "\\null", None, "", "a"]
+    rows = [(text, float(i)) for i, text in enumerate(texts)]
+    cities = spark.createDataFrame(rows, "city STRING, total_amt DOUBLE")
+    hashes.write_hashes(hashes.city_fields(cities, "t", "global"), f"{store}/c", "run", 0)
+    stored = hashes.read_hashes(spark, f"{store}/c").select(hashes.read_name(F.col("field")), "value")
+    assert {(r[0], float(r[1])) for r in stored.collect()} == set(rows)
+    hashes.write_hashes(hashes.hash_fields(cities, "t", "city"), f"{store}/k", "run", 0)
+    keys = hashes.read_hashes(spark, f"{store}/k").select(hashes.read_name(F.substring("key", 3, 99)), "value")
+    assert {(r[0], float(r[1])) for r in keys.collect()} == set(rows)
+
+
+def test_a_whole_row_replaces_with_nulls_too(spark, store):
+    schema = "k STRING, a DOUBLE, b STRING"
+    for batch, row in enumerate([("x", 1.0, "p"), ("x", 2.0, None)]):
+        rows = spark.createDataFrame([row], schema)
+        hashes.write_hashes(hashes.hash_fields(rows, "t", "k", whole=True), store, "run", batch)
+    assert [tuple(r) for r in hashes.hash_get(hashes.read_hashes(spark, store), ["a", "b"]).collect()] == [
+        ("t:x", "2.0", None)
+    ]
+
+
+def test_one_key_is_not_a_prefix(spark, store):
+    hashes.write_hashes(fields(spark, [("global", 1.0, "p"), ("globalville", 7.0, "q")]), store, "run", 0)
+    found = hashes.read_hashes(spark, store, key="t:global").collect()
+    assert {(r.key, r.value) for r in found} == {("t:global", "1.0"), ("t:global", "p")}
+
+
 def test_a_new_run_replaces_and_keeps(spark, store):
     """A report started over on a fresh checkpoint counts its batches from zero again."""
     hashes.write_hashes(fields(spark, [("x", 1.0, "p")]), store, "first", 7)
@@ -83,13 +122,18 @@ def test_compaction_keeps_the_view(spark, store):
     before = latest(spark, store)
     assert hashes.compact(spark, store) == 5
     assert latest(spark, store) == before
-    assert os.listdir(f"{store}/run=run") == []
+    # What was merged stays for readers that have listed it, until the next compaction.
+    assert len(os.listdir(f"{store}/run=run")) == 5
     hashes.write_hashes(fields(spark, [("x", 99.0, None)]), store, "run", 5)
     assert latest(spark, store)[("t:x", "a")] == "99.0"
     # A batch replayed after its compaction is the newest write again, as it was before.
     hashes.write_hashes(fields(spark, [("x", 99.0, None)]), store, "run", 5)
+    listed = spark.read.schema(hashes.HASH_SCHEMA).parquet(f"{store}/run=compact/batch_id=0")
     assert hashes.compact(spark, store) == 2
     assert latest(spark, store)[("t:x", "a")] == "99.0"
+    assert os.listdir(f"{store}/run=run") == ["batch_id=5"]
+    assert listed.count() == 12
+    assert hashes.compact(spark, store) == 0
 
 
 def test_unfinished_batches_are_not_compacted_away(spark, store):
@@ -97,7 +141,9 @@ def test_unfinished_batches_are_not_compacted_away(spark, store):
         hashes.write_hashes(fields(spark, [("x", float(batch), "p")]), store, "run", batch)
     os.remove(f"{store}/run=run/batch_id=1/_SUCCESS")
     assert hashes.compact(spark, store) == 2
-    assert os.listdir(f"{store}/run=run") == ["batch_id=1"]
+    hashes.write_hashes(fields(spark, [("x", 9.0, "p")]), store, "run", 3)
+    assert hashes.compact(spark, store) == 2
+    assert sorted(os.listdir(f"{store}/run=run")) == ["batch_id=1", "batch_id=3"]
 
 
 def test_hash_get(spark, store):

@@ -127,3 +127,13 @@ def test_key_cities_from_a_short_and_a_long_list(spark):
     plan = reports.key_city_rows(rows, long)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
     assert reports.key_city_rows(rows, ()).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("name", "lines"), [("order_fields", 1), ("order_etl", 1), ("amt_by_city", 1), ("report_rows", 2)]
+)
+def test_each_json_line_is_written_once(spark, sf_dir, name, lines):
+    from orderstream.plans.catalog import QUERIES
+
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("StructsToJsonEvaluator") == lines

@@ -34,7 +34,9 @@ redis.host=h
 redis.port=1
 redis.db=2
 ipdata.region.path=/dict=1
-unknown.key=5
+trigger=processingTime: 5 seconds
+store_options.ttl=60
+region_format=csv
 key_cities = A, B
 max_files_per_trigger=3
 """
@@ -51,6 +53,21 @@ def test_every_property_is_read():
     assert settings.key_cities == ("A", "B")
     assert settings.max_files_per_trigger == 3
     assert settings.starting_offsets == "earliest"
+    assert settings.trigger == {"processingTime": "5 seconds"}
+    assert settings.store_options == {"ttl": "60"}
+    assert settings.region_format == "csv"
+
+
+def test_unknown_names_are_refused():
+    with pytest.raises(ValueError, match="kafka.etl.topics, statepartitions"):
+        Settings.from_properties("kafka.etl.topics=x\nstatepartitions=5\n")
+
+
+@pytest.mark.parametrize("text", ["sometimes", "processingTime", "availableNow: 5 seconds"])
+def test_bad_trigger(text):
+    with pytest.raises(ValueError, match="trigger"):
+        Settings.from_properties(f"trigger={text}")
+    assert Settings.from_properties("trigger=availableNow").trigger == {"availableNow": True}
 
 
 def test_defaults():
@@ -106,6 +123,31 @@ def test_kafka_messages_become_text_with_a_position(spark, monkeypatch):
     assert rows.first().value == '{"a":"中"}'
 
 
+def test_the_position_travels_in_headers(spark, monkeypatch):
+    """What one job writes to Kafka, the next reads with the position of the raw topic."""
+    from pyspark.sql import DataFrameReader
+
+    from orderstream.sinks.messages import _record
+
+    schema = messages.MESSAGE_SCHEMA
+    rows = spark.createDataFrame([("a", "2024-11-06 01:02:03.5", 4, 77)], "value STRING, t STRING, partition INT, offset BIGINT")
+    rows = rows.selectExpr("value", "CAST(t AS TIMESTAMP) AS timestamp", "partition", "offset")
+    sent = _record(rows)
+    assert sent.columns == ["value", "headers"]
+    arrived = sent.selectExpr(
+        "CAST(value AS BINARY) AS value", "headers", "timestamp_seconds(5) AS timestamp",
+        "9 AS partition", "1L AS offset",
+    )
+    without = arrived.selectExpr("value", "CAST(NULL AS array<struct<key: string, value: binary>>) AS headers", "timestamp", "partition", "offset")
+    monkeypatch.setattr(DataFrameReader, "load", lambda self: arrived)
+    read = messages.read_messages(spark, Settings(), "clean", streaming=False)
+    assert read.columns == [part.split()[0] for part in schema.split(", ")]
+    assert read.collect() == rows.collect()
+    monkeypatch.setattr(DataFrameReader, "load", lambda self: without)
+    own = messages.read_messages(spark, Settings(), "clean", streaming=False).first()
+    assert (own.partition, own.offset) == (9, 1)
+
+
 def test_unknown_source(spark):
     with pytest.raises(ValueError, match="paper"):
         messages.read_messages(spark, Settings(source_format="paper"), "raw")
@@ -157,7 +199,7 @@ def test_dictionary_tables(spark, tmp_path, fmt):
     assert tuple(ranges.load_ranges(spark, split, fmt).first()) == (0, 9, "P", "C")
 
 
-def test_the_three_jobs_from_the_command_line(spark, sf_dir, tmp_path, monkeypatch):
+def test_the_three_jobs_from_the_command_line(spark, sf_dir, tmp_path):
     """etl, reports and chart over file topics, as a user starts them."""
     from orderstream.plans import tables
     from orderstream.sinks.messages import publish
@@ -168,15 +210,11 @@ def test_the_three_jobs_from_the_command_line(spark, sf_dir, tmp_path, monkeypat
     path.write_text(
         f"source_format=files\ntopic_root={tmp_path}/topics\ncheckpoint_root={tmp_path}/checkpoints\n"
         f"store_path={tmp_path}/store\nipdata.region.path={dictionary}\n"
-        f"key_cities={','.join(tables.KEY_CITIES)}\n",
+        f"key_cities={','.join(tables.KEY_CITIES)}\ntrigger=availableNow\n",
         encoding="utf-8",
     )
     plain = Settings.from_properties(path.read_text(encoding="utf-8"))
     publish(tables.order_messages(spark, sf_dir), plain, plain.source_topic)
-    read = Settings.from_properties
-    monkeypatch.setattr(
-        Settings, "from_properties", lambda text: read(text, trigger={"availableNow": True})
-    )
     command.main(["etl", str(path)])
     command.main(["reports", str(path)])
     command.main(["chart", str(path), "--output", str(tmp_path / "chart")])

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import datetime
 import os
+import re
 from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
+from orderstream import session
 from orderstream.config import Settings
 from orderstream.operators import geo, reports
 from orderstream.operators import messages as msg
@@ -113,7 +115,7 @@ def sums(spark, settings):
 
 def stored_sums(spark, settings):
     stored = hashes.read_hashes(spark, settings.store_path).collect()
-    return {(r.key, r.field): r.value for r in stored if not r.key.startswith(jobs.PLACES_TABLE)}
+    return {(r.key, r.field): r.value for r in stored}
 
 
 def drop_last_commit(folder):
@@ -172,7 +174,90 @@ def test_chart_skips_the_hash_of_city_sums(spark, settings):
     keys = {r.key for r in hashes.read_hashes(spark, settings.store_path, "orders:citymoney:").collect()}
     assert keys == {"orders:citymoney:global", "orders:citymoney:A", "orders:citymoney:B"}
     provinces = {r.province for r in jobs.stored_cities(spark, settings.store_path).collect()}
-    assert provinces == {"P", "Q", None}
+    assert provinces == {"P", "Q"}
+
+
+def test_a_city_called_like_the_hash_of_sums(spark, settings):
+    named = replace(settings, key_cities=("A", "globalville", "global"))
+    post(spark, named, [(1, "4", "P", "A"), (2, "7", "Q", "globalville"), (3, "1", "R", "global")])
+    report(spark, named, jobs.CITY)
+    report(spark, named, jobs.KEY_CITY_LATEST)
+    expected = {"A": 4.0, "globalville": 7.0, "global": 1.0}
+    assert amounts(jobs.stored_city_amounts(spark, named.store_path)) == expected
+    cities = jobs.stored_cities(spark, named.store_path).collect()
+    assert {r.city: float(r.money) for r in cities} == expected
+
+
+def test_the_latest_row_may_lack_a_province(spark, settings):
+    post(spark, settings, [(1, "4", "P", "A")])
+    report(spark, settings, jobs.KEY_CITY_LATEST)
+    line = [('{"orderMoney":"5","city":"A"}', START + datetime.timedelta(seconds=9), 0, 9)]
+    publish(spark.createDataFrame(line, SCHEMA), settings, settings.etl_topic)
+    report(spark, settings, jobs.KEY_CITY_LATEST)
+    stored = jobs.stored_cities(spark, settings.store_path).collect()
+    assert [tuple(r) for r in stored] == [("A", "5.0", None)]
+
+
+def test_sums_of_sums_are_exact(spark):
+    """Huge totals, and cents that doubles cannot tell apart once they are added up."""
+    rows = [(9_000_000_000_000.01 - i, f"P{i % 7}", f"C{i % 40}") for i in range(2000)]
+    rows += [(None, "P0", "C0"), (None, None, None)]
+    frame = spark.createDataFrame(rows, "money DOUBLE, province STRING, city STRING")
+    places = reports.amt_by_place(frame)
+    for which in (reports.amt_total, reports.amt_by_province, reports.amt_by_city):
+        assert {tuple(r) for r in which(places).collect()} == {tuple(r) for r in which(frame).collect()}
+
+
+def test_a_batch_is_not_published_behind_a_stream(spark, sf_dir, settings):
+    index = geo.build_index(split(spark, sf_dir))
+    messages = tables.order_messages(spark, sf_dir)
+    publish(messages, settings, settings.source_topic, 500)
+    jobs.start_etl(spark, settings, index).awaitTermination()
+    with pytest.raises(ValueError, match="belongs to a stream"):
+        publish(messages, settings, settings.etl_topic)
+
+
+def test_a_batch_needs_a_query(spark):
+    with pytest.raises(RuntimeError, match="streaming query"):
+        jobs._run(spark)
+
+
+def test_many_cities_for_an_external_sink(spark, settings, monkeypatch):
+    monkeypatch.setattr(jobs, "WIDE_CITIES", 5)
+    rows = [(f"C{i}", float(i)) for i in range(23)] + [(None, 99.0)]
+    frame = spark.createDataFrame(rows, "city STRING, total_amt DOUBLE")
+    merged = {}
+    for wide in jobs.CITY.wide(frame, settings):
+        (row,) = wide.collect()
+        merged |= {name: value for name, value in row.asDict().items() if name != "total"}
+    assert merged == {city or "null": amount for city, amount in rows}
+
+
+def test_files_of_every_batch_are_known(spark, settings):
+    """More batches than the progress reports keep."""
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    try:
+        for at in range(12):
+            post(spark, settings, [(at, "1", "P", "A")])
+        query = report(spark, settings, jobs.TOTAL)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    batches = control.file_batches(spark, settings, query.name).collect()
+    assert len({r.path for r in batches}) == len({r.batch_id for r in batches}) == 12
+
+
+def test_file_topics_cap_bytes_and_start_late(spark, settings):
+    capped = replace(settings, max_files_per_trigger=None, max_bytes_per_trigger=1)
+    for at in range(3):
+        post(spark, capped, [(at, "1", "P", "A")])
+    query = report(spark, capped, jobs.TOTAL)
+    assert len({r.batch_id for r in control.file_batches(spark, capped, query.name).collect()}) == 3
+    late = replace(
+        settings, starting_time="2024-11-06T00:00:02Z", store_path=f"{settings.store_path}2",
+        checkpoint_root=f"{settings.checkpoint_root}2",
+    )
+    report(spark, late, jobs.TOTAL)
+    assert jobs.stored_total(spark, late.store_path).first().total_amt == 1.0
 
 
 def test_reports_run_side_by_side_under_their_own_names(spark, settings):
@@ -201,7 +286,7 @@ def test_stop_on_marker(spark, settings, tmp_path):
     rows = msg.report_rows(read_messages(spark, endless, endless.etl_topic), msg.POSITION)
     query = jobs.start_report(spark, endless, jobs.TOTAL, rows)
     query.processAllAvailable()
-    assert not control.marker_exists(spark, marker)
+    assert not session.path_exists(spark, marker)
     os.mkdir(marker)
     control.run_all(spark, [query], marker, poll_seconds=0.2)
     assert not query.isActive
@@ -282,10 +367,26 @@ def test_frequent_compaction_keeps_the_sums(spark, settings):
         post(spark, often, [(at, "1.5", "P", f"C{at % 3}")])
     report(spark, often, jobs.CITY)
     folder = f"{settings.store_path}/{jobs.CITY.name}"
-    assert any(name.startswith("run=compact-") for name in os.listdir(folder))
+    assert "run=compact" in os.listdir(folder)
     assert amounts(jobs.stored_city_amounts(spark, settings.store_path)) == {"C0": 3.0, "C1": 3.0, "C2": 1.5}
 
 
+def test_a_stateless_stream_keeps_the_shuffle_width(spark, sf_dir, settings):
+    """The shuffled lookup of the ETL runs in as many tasks as the session says."""
+    index = geo.build_index(split(spark, sf_dir), -1, salts=3)
+    publish(tables.order_messages(spark, sf_dir), settings, settings.source_topic, 500)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "11")
+    try:
+        query = jobs.start_etl(spark, replace(settings, state_partitions=2), index)
+        query.awaitTermination()
+        plan = query._jsq.explainInternal(True)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    widths = set(re.findall(r"Exchange hashpartitioning\(.*?, (\d+)\)", plan))
+    assert widths == {"11"}
+
+
 @pytest.mark.parametrize("broadcast_bytes", [1 << 30, -1])
 def test_stream_lookup_equals_batch(spark, sf_dir, settings, broadcast_bytes):
     """ETL in several batches, with the dictionary broadcast and shuffled."""
