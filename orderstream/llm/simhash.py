@@ -202,6 +202,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataF
     rooted = stored(rooted, "simhash-roots")
     classes = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     by_fp = rooted.join(classes, "root").select("fp", "root", "component_id")
+    # Stored, so that a fingerprint of very many rows is a skewed key of a plain join.
+    by_fp = stored(by_fp, "simhash-classes")
     return rows.join(by_fp, "fp").select("doc_id", "text_key", "fp", "root", "component_id")
 
 
