@@ -9,6 +9,7 @@ from orderstream.functions.ipv4 import ipv4_text
 from orderstream.functions.orders import ORDER_TIME
 from orderstream.operators import messages as msg
 from orderstream.operators.geo import GeoIndex, build_index
+from orderstream.session import changed_at
 from orderstream.sources.ranges import split_regions
 
 # Key cities of the derived dictionary.
@@ -24,7 +25,7 @@ BYTES_PER_BATCH = 1_000_000_000_000
 # Lines that carry no order, one shape after the other.
 NOISE = (None, ",", ",,,", " , ", "\t,\n", "", " ", ", ,", ",a", "a,,", "{bad")
 
-_indexes: dict[tuple[str, str], GeoIndex] = {}
+_indexes: dict[tuple[str, str, int], GeoIndex] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, streaming: bool = False) -> DataFrame:
@@ -120,8 +121,9 @@ def region_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def geo_index(spark: SparkSession, sf_dir: str) -> GeoIndex:
-    """The derived dictionary, checked once per application as a deployment would at start."""
-    place = (spark.sparkContext.applicationId, sf_dir)
+    """The derived dictionary, checked once per application and state of its table."""
+    path = f"{sf_dir}/nation.parquet"
+    place = (spark.sparkContext.applicationId, path, changed_at(spark, path))
     if place not in _indexes:
         _indexes[place] = build_index(split_regions(region_ranges(spark, sf_dir)))
     return _indexes[place]

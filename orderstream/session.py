@@ -60,3 +60,10 @@ def stored_once(rows: DataFrame) -> DataFrame:
 def path_exists(spark: SparkSession, path: str) -> bool:
     found = spark._jvm.org.apache.hadoop.fs.Path(path)
     return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+
+def changed_at(spark: SparkSession, path: str) -> int:
+    """When a file or folder was changed last, in milliseconds."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = found.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.getFileStatus(found).getModificationTime()
