@@ -118,6 +118,8 @@ def repeats(docs: DataFrame) -> DataFrame:
     rank = F.coalesce("doc_id", F.lit(_LAST))
     kept = found.where(~F.col("again")).groupBy("h1", "h2")
     kept = kept.agg(F.min(rank).alias("keep"), F.max(rank).alias("last")).where("last > keep")
+    # Stored, so that a line of very many documents is a skewed key of a plain join.
+    kept = stored(kept.drop("last"), "substring-kept")
     later = found.where(~F.col("again")).join(kept, ["h1", "h2"]).where(rank > F.col("keep"))
     later = later.select("doc_id", "text_key", "unit", "keep")
     again = found.where("again").select("doc_id", "text_key", "unit", F.col("doc_id").alias("keep"))
