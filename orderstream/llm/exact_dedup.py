@@ -14,6 +14,9 @@ from orderstream.llm.common import SPACES, chosen_rows, stored
 # Digests of the snapshot that share one filter.
 SHARD_ROWS = 1 << 16
 
+# Tasks over which the texts of one digest are dealt.
+SALTS = 16
+
 
 def normalised(text: Column) -> Column:
     """Runs of white space as one space; null as the empty text."""
@@ -217,12 +220,15 @@ def dedup(
 def _differing(texts: DataFrame, groups: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
     """Digests that stand for several texts, found by grouping the texts themselves.
 
-    Only texts of digests seen twice are grouped. Copies meet within their task first.
-    The join is a sort-merge join at every size, as its smaller side grows with the data.
+    Only texts of digests seen twice are grouped. Those of one digest are dealt over SALTS
+    tasks, where copies meet first. The join is a sort-merge join at every size, as its
+    smaller side grows with the data.
     """
-    shared = stored(groups.where("size > 1").select("digest"), "exact-shared")
-    shared = shared.hint("merge")
-    checked = texts.withColumn("digest", digest(F.col("norm"))).join(shared, "digest", "left_semi")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    shared = stored(groups.where("size > 1").select("digest", salts), "exact-shared")
+    salt = F.pmod(F.xxhash64("doc_id", F.spark_partition_id()), F.lit(SALTS)).cast("int")
+    salted = texts.withColumns({"digest": digest(F.col("norm")), "salt": salt})
+    checked = salted.join(shared.hint("merge"), ["digest", "salt"], "left_semi")
     each = checked.select("digest", "norm").distinct()
     return stored(
         each.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest"),
@@ -231,8 +237,10 @@ def _differing(texts: DataFrame, groups: DataFrame, digest: Callable[[Column], C
 
 
 def _result(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
-    same_id = _copies(rows, keys)
-    joined = rows.join(groups.join(same_id, keys), keys)
+    # Stored, so that both sides of the join are plain shuffles: a digest of very many
+    # rows is then a skewed key, which the adaptive plan splits.
+    groups = stored(groups.join(_copies(rows, keys), keys), "exact-copies")
+    joined = rows.join(groups, keys)
     kept = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("pos") == F.col("first.pos"))
     return joined.select(
         "doc_id",
