@@ -15,10 +15,10 @@ are scored with what all of them learned, so a score depends on no order.
 from __future__ import annotations
 
 import heapq
+import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -29,31 +29,42 @@ from pyspark.sql import functions as F
 from orderstream.llm.common import stored, text_bytes, word_blocks
 
 # Size bounds of the model. Words beyond the vocabulary are spelled and looked up by a join.
-VOCABULARY = (1 << 19) - 1
+VOCABULARY = (1 << 18) - 1
 WORD_BYTES = 64
-SLOT_BITS = 20
+SLOT_BITS = (20, 18, 20)
 
 PREDICTORS = 4
-# Ranks of words frequent enough to tell the language.
-COMMON = 256
-# Every so many blocks the weights and the refinement are fitted too.
-FIT_EVERY = 16
-BLOCK_TOKENS = 1 << 12
+# Ranks up to which the word before, the last common word, and the last word common
+# enough to tell the language, are contexts of their own.
+BEFORE, COMMON, TELLING = 1024, 256, 16
+# Bits of a place in a class that are predicted by all contexts; the finer ones by their
+# own counts and those after the last telling word only.
+SHALLOW = 4
+# The weights and the refinement are fitted to blocks that lie ever further apart; every
+# second of these is used for the finer bits, whose running sums take longer.
+FIT_STEPS = ((40, 1.25), (1 << 60, 1.5))
 # Distinct words that a task counts before it hands the counts on.
 COUNTED = 1 << 18
-# Bytes of a text after which contexts begin anew, so that blocks stay bounded.
+# Bytes of a block, and of a text after which contexts begin anew, so that blocks stay bounded.
 PART_BYTES = 1 << 16
+# Spellings whose score a task remembers.
+SPELLED = 1 << 18
 # Tables that one task adds up.
 FAN_IN = 64
 CHUNK = 1 << 16
 
-_SLOTS = 1 << SLOT_BITS
-_HALF = _SLOTS // 2
-_GATES = 2 * 36
+# The first table has a slot for each node of the vocabulary, and some for spelled words.
+_SPELLED = VOCABULARY + 65
+_SLOTS = (_SPELLED + (1 << 16), *(1 << bits for bits in SLOT_BITS))
+# Predictors whose confidence chooses the weights.
+_ASKED = (1, 3)
+_GATES = 2 * 36 + 6
 _STEPS = 33
 _STAGES = 64
-_PRIOR = 0.4
+_PRIOR = 0.2
+_FINE = 16
 _SEEN = 1 << 12  # counts above are as good as this for log odds
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
 # -- word counts --------------------------------------------------------------------
@@ -132,15 +143,44 @@ class Code:
 _END, _ESCAPE, _RANKS = 0, 1, 2
 
 
+@dataclass
+class RareWords:
+    """Shares of escaped tokens: words seen but not in the vocabulary, by their count.
+
+    Words seen once are expected as often as words seen twice are by chance, unseen ones
+    as often as words were seen once (the estimate of Good and Turing).
+    """
+
+    once: int
+    twice: int
+    more: int  # tokens of words seen more than once that are not in the vocabulary
+
+    @property
+    def known(self) -> float:
+        """Share of known words among escaped tokens."""
+        seen = self.more + 2 * self.twice
+        return (seen + 0.5) / (seen + self.once + 1)
+
+    def score(self, count: Column, spelled: Column) -> Column:
+        """log10 of a word's share, from its count (null if unseen) and its spelling's."""
+        each = F.when(count > 1, count).otherwise(F.lit((2 * self.twice + 0.5) / max(self.once, 1)))
+        mass = self.more + 2 * self.twice + 0.5
+        listed = F.log10(each * F.lit(self.known / mass))
+        other = spelled + F.lit(float(np.log10(1 - self.known)))
+        high, low = F.greatest(listed, other), F.least(listed, other)
+        return F.when(count > 0, high + F.log10(1 + F.pow(F.lit(10.0), low - high))).otherwise(other)
+
+
 @dataclass
 class Lexicon:
-    """What learning and scoring share: ranks from 1, corpus totals and the two codes."""
+    """What learning and scoring share: words by rank, corpus totals and the two codes."""
 
-    ranks: dict[bytes, int]
+    words: list[bytes]
     counts: np.ndarray
     total: int
     distinct: int
     ends: int
+    rare: RareWords
     classes: Code
     letters: Code
 
@@ -151,7 +191,9 @@ class Lexicon:
 
 def lexicon(counts: DataFrame, documents: int, size: int = VOCABULARY) -> Lexicon:
     """The ``size`` most frequent words of ``word, n``, and totals over all of them."""
-    tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    tokens, distinct, once, twice = counts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)
+    ).first()
     # Words seen once are left out, so that learning meets words to spell as scoring will.
     short = counts.where((F.octet_length("word") <= WORD_BYTES) & (F.col("n") > 1))
     top = short.orderBy(F.desc("n"), "word").limit(size).toArrow()
@@ -161,8 +203,9 @@ def lexicon(counts: DataFrame, documents: int, size: int = VOCABULARY) -> Lexico
     for bits in range(max(size.bit_length(), 1)):
         classes.append(int(ranked[(1 << bits) - 1 : (1 << (bits + 1)) - 1].sum()) + 1)
     return Lexicon(
-        {word: rank for rank, word in enumerate(top["word"].to_pylist(), 1)},
+        top["word"].to_pylist(),
         ranked, tokens + documents, distinct + (documents > 0), documents,
+        RareWords(once, twice, tokens - int(ranked.sum()) - once),
         Code.of(classes), Code.of(letters),
     )
 
@@ -188,43 +231,73 @@ def _letter_counts(counts: DataFrame) -> list[int]:
 
 @dataclass
 class Bits:
-    """One entry per bit: its text, its value, a slot per predictor, kind and stage."""
+    """One entry per bit: its owner, its value, a slot per predictor, and its stage.
 
-    text: np.ndarray
+    The first bits are of ranks, up to ``spelled``, the rest of spelled words. Bits of
+    ranks are owned by their text, those of letters by their word's number. The finer
+    bits of ranks are given by token: ``text``, ``symbol`` and the last ``telling`` word.
+    """
+
+    owner: np.ndarray
     value: np.ndarray
     slots: list[np.ndarray]
-    spelled: int  # bits from here on belong to spelled words
+    spelled: int
     stage: np.ndarray
+    text: np.ndarray
+    symbol: np.ndarray
+    telling: np.ndarray
 
 
-def _slot(context: np.ndarray, node: np.ndarray, size_bits: int) -> np.ndarray:
-    """Slots for contexts, one per bit and well mixed, and the multiplied nodes."""
-    context ^= node
-    context *= np.uint32(0x85EBCA6B)
-    context >>= np.uint32(32 - size_bits)
-    return context
+def _taken(table: np.ndarray, index: np.ndarray) -> np.ndarray:
+    return table.take(index, mode="clip")  # all are inside; this skips the test
 
 
-def _mixed(context: np.ndarray) -> np.ndarray:
-    context = (context ^ context >> np.uint32(16)) * np.uint32(0x7FEB352D)
-    return (context ^ context >> np.uint32(15)) * np.uint32(0x846CA68B)
+class _Writer:
+    """Arrays for a number of bits, filled slice by slice."""
 
+    def __init__(self, size: int) -> None:
+        self.at = 0
+        self.owner = np.empty(size, np.int64)
+        self.value = np.empty(size, np.uint8)
+        self.stage = np.empty(size, np.int32)
+        self.slots = [np.empty(size, np.uint32) for _ in range(PREDICTORS)]
 
-def _steps_of(sizes: np.ndarray) -> np.ndarray:
-    """0, 1, 2 ... for each item, as many as its size."""
-    total = int(sizes.sum())
-    return np.arange(total, dtype=np.int32) - np.repeat((np.cumsum(sizes) - sizes).astype(np.int32), sizes)
+    def put(
+        self, owner: np.ndarray, node: np.ndarray, value: np.ndarray, stage: int,
+        contexts: list[np.ndarray], first: np.ndarray | None = None,
+    ) -> None:
+        """Adds one bit for each of the given tokens or letters.
 
+        The first predictor's slot is the node itself, if none is given.
+        """
+        here = slice(self.at, self.at + len(node))
+        self.at = here.stop
+        self.owner[here] = owner
+        self.value[here] = value
+        self.stage[here] = stage
+        self.slots[0][here] = node if first is None else first
+        spread = node * np.uint32(0x9E3779B1)
+        for predictor, context in enumerate(contexts, 1):
+            mixed = np.bitwise_xor(context, spread, out=self.slots[predictor][here])
+            mixed *= _FACTOR
+            mixed >>= np.uint32(33 - _SLOTS[predictor].bit_length())
 
-def _taken(table: np.ndarray, index: np.ndarray) -> np.ndarray:
-    return table.take(index, mode="clip")  # all are inside; this skips the test
+
+_FACTOR = np.uint32(0x85EBCA6B)
+
+
+def _mixed(context: np.ndarray) -> np.ndarray:
+    context = (context ^ context >> np.uint32(16)) * np.uint32(0x7FEB352D)
+    return (context ^ context >> np.uint32(15)) * np.uint32(0x846CA68B)
 
 
-def bits_of(lex: Lexicon, symbols: np.ndarray, text: np.ndarray, first: np.ndarray, rare: list[bytes]) -> Bits:
-    """Bits of tokens: rank + 1, or 0 for the end, or -1 for the next of ``rare``.
+def bits_of(lex: Lexicon, block: Block, rare: list[bytes]) -> Bits:
+    """Bits of a block's tokens, and of the spellings of ``rare``.
 
-    ``text`` is the text of each token, ``first`` the place where that text begins.
+    Bits are written step by step: the first bit of every token, then the second of those
+    that have one, so that each step works on slices.
     """
+    symbols, text, first = block.symbols, block.text, block.first
     count = len(symbols)
     place = np.arange(count)
     known = np.concatenate([[-2], symbols])
@@ -232,111 +305,265 @@ def bits_of(lex: Lexicon, symbols: np.ndarray, text: np.ndarray, first: np.ndarr
     def at(places: np.ndarray) -> np.ndarray:
         return np.where(places >= first, known[np.maximum(places, -1) + 1], -2).astype(np.uint32)
 
-    one, two = at(place - 1), at(place - 2)
-    common = np.maximum.accumulate(np.where((symbols > 0) & (symbols <= COMMON), place, -1))
-    topic = at(np.concatenate([[-1], common[:-1]]))
-    contexts = [
-        one * np.uint32(0x2545F491) + np.uint32(1),
-        (one * np.uint32(0x2545F491)) ^ (two * np.uint32(0x6C078965) + np.uint32(2)),
-        topic * np.uint32(0x5BD1E995) + np.uint32(3),
-    ]
+    def last(limit: int) -> np.ndarray:
+        """The last word before each token of a rank up to ``limit``."""
+        found = np.maximum.accumulate(np.where((symbols > 0) & (symbols <= limit), place, -1))
+        return at(np.concatenate([[-1], found[:-1]]))
+
     ranked = symbols > 0
-    rank_bits = np.where(ranked, np.frexp(symbols.astype(np.float64))[1] - 1, 0).astype(np.int32)
+    rank_bits = np.where(ranked, np.frexp(symbols.astype(np.float64))[1] - 1, 0)
     kind = np.where(ranked, _RANKS + rank_bits, np.where(symbols == 0, _END, _ESCAPE))
+    short = np.where(known > BEFORE, 0, known)
+    short[1:] -= np.where(symbols > BEFORE, kind + 8, 0)
+    one = np.where(place > first, short[:-1], -2).astype(np.uint32)
+    telling = last(TELLING)
+    contexts = [
+        _mixed(one * np.uint32(0x2545F491) + np.uint32(1)),
+        _mixed(last(COMMON) * np.uint32(0x6C078965) + np.uint32(2)),
+        _mixed(telling * np.uint32(0x5BD1E995) + np.uint32(3)),
+    ]
+    sizes = lex.classes.size[kind]
+    data = np.frombuffer(b" ".join([*rare, b""]), np.uint8)
+    spelled_sizes = lex.letters.size[data]
+    coarse = np.minimum(rank_bits, SHALLOW)
+    writer = _Writer(int(sizes.sum() + coarse.sum() + spelled_sizes.sum()))
+
+    def by(keys: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Columns with the largest keys first, and how many keys are above 0, 1, 2 ..."""
+        order = np.argsort(-keys.astype(np.int8), kind="stable")
+        above = len(keys) - np.cumsum(np.bincount(keys, minlength=1))
+        return above[above > 0], [column[order] for column in columns]
 
     # The class of each token, then the place in the class.
-    sizes = lex.classes.size[kind]
-    step = _steps_of(sizes)
-    path = np.repeat(lex.classes.begin[kind].astype(np.int32), sizes) + step
-    left = np.repeat(rank_bits, rank_bits)
-    inner = _steps_of(rank_bits)
-    number = np.repeat(symbols.astype(np.uint32), rank_bits)
-    rest = (left - inner).astype(np.uint32)
-    node = np.concatenate([
-        _taken(lex.classes.node, path),
-        (np.uint32(1) << left.astype(np.uint32)) + (number >> rest) + np.uint32(32),
-    ])
-    value = np.concatenate([
-        _taken(lex.classes.bit, path), (number >> (rest - np.uint32(1)) & np.uint32(1)).astype(np.uint8)
-    ])
-
-    def for_bits(values: np.ndarray) -> np.ndarray:
-        return np.concatenate([np.repeat(values, sizes), np.repeat(values, rank_bits)])
-
-    spread = node * np.uint32(0x9E3779B1)
-    slots = [node] + [_slot(for_bits(_mixed(context)), spread, SLOT_BITS) for context in contexts]
-    stage = np.concatenate([step, inner + np.int32(12)])
-    coded = Bits(for_bits(text), value, slots, len(node), stage)
-    return _with_spelled(lex, coded, text[symbols < 0], rare)
-
-
-def _with_spelled(lex: Lexicon, coded: Bits, text: np.ndarray, rare: list[bytes]) -> Bits:
-    if not rare:
-        return coded
-    data = np.frombuffer(b" ".join(rare) + b" ", np.uint8)
+    above, (own, begin, *sorted_) = by(sizes, text, lex.classes.begin[kind], *contexts)
+    for step, n in enumerate(above.tolist()):
+        path = begin[:n] + step
+        writer.put(
+            own[:n], lex.classes.node[path], lex.classes.bit[path], min(step, 11), [c[:n] for c in sorted_]
+        )
+    above, (own, number, left, *sorted_) = by(
+        coarse, text, symbols.astype(np.uint32), rank_bits.astype(np.uint32), *contexts
+    )
+    top = (np.uint32(1) << left) + np.uint32(32)
+    for step, n in enumerate(above.tolist()):
+        rest = number[:n] >> (left[:n] - np.uint32(step + 1))
+        writer.put(
+            own[:n], top[:n] + (rest >> np.uint32(1)), rest & np.uint32(1), 12 + step, [c[:n] for c in sorted_]
+        )
+    spelled = writer.at
+    if rare:
+        _spell(lex, writer, data, spelled_sizes, by, rare)
+    return Bits(
+        writer.owner, writer.value, writer.slots, spelled, writer.stage,
+        text, symbols, np.where(telling > TELLING, 0, telling).astype(np.int64),
+    )
+
+
+def _spell(
+    lex: Lexicon, writer: _Writer, data: np.ndarray, sizes: np.ndarray, by: Callable, rare: list[bytes]
+) -> None:
+    """Bits of spelled words; a letter is predicted from up to four before it in its word."""
     lengths = np.fromiter(map(len, rare), np.int64, len(rare)) + 1
-    place = _steps_of(lengths)
-    shifted = np.concatenate([np.zeros(6, np.uint32), data.astype(np.uint32)])
+    place = np.arange(len(data)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    shifted = np.concatenate([np.zeros(4, np.uint32), data.astype(np.uint32)])
 
     def before(steps: int) -> np.ndarray:
-        return np.where(place >= steps, shifted[6 - steps : len(shifted) - steps], np.uint32(0))
+        return np.where(place >= steps, shifted[4 - steps : len(shifted) - steps], np.uint32(0))
 
-    b1, b2, b3, b4, b5, b6 = map(before, range(1, 7))
-    short = b1 + (b2 << np.uint32(8)) + (b3 << np.uint32(16))
-    long = short + (b4 << np.uint32(24))
+    one, two, three, four = map(before, range(1, 5))
+    two = one + (two << np.uint32(8))
+    three = two + (three << np.uint32(16))
+    four = three + (four << np.uint32(24))
     contexts = [
-        (b1 + (b2 << np.uint32(8))) * np.uint32(0x2545F491) + np.uint32(5),
-        short * np.uint32(0x6C078965) + np.uint32(6),
-        long * np.uint32(0x5BD1E995) + np.uint32(7),
+        _mixed(three * np.uint32(0x2545F491) + np.uint32(5)),
+        _mixed(two * np.uint32(0x6C078965) + np.uint32(6)),
+        _mixed(four * np.uint32(0x5BD1E995) + np.uint32(7)),
     ]
-    whole = long * np.uint32(0x27D4EB2F) ^ (b5 + (b6 << np.uint32(8))) * np.uint32(0x165667B1)
-    sizes = lex.letters.size[data]
-    step = _steps_of(sizes)
-    path = np.repeat(lex.letters.begin[data].astype(np.int32), sizes) + step
-    node = _taken(lex.letters.node, path) + np.uint32(_HALF + 17)
-    spread = node * np.uint32(0x9E3779B1)
-    slots = [_slot(np.repeat(_mixed(whole), sizes), spread, SLOT_BITS - 1) + np.uint32(_HALF)]
-    slots += [_slot(np.repeat(_mixed(context), sizes), spread, SLOT_BITS) for context in contexts]
-    return Bits(
-        np.concatenate([coded.text, np.repeat(np.repeat(text, lengths), sizes)]),
-        np.concatenate([coded.value, _taken(lex.letters.bit, path)]),
-        [np.concatenate(pair) for pair in zip(coded.slots, slots, strict=True)],
-        coded.spelled,
-        np.concatenate([coded.stage, 40 + np.minimum(step, 15)]),
+    above, (own, begin, one, *sorted_) = by(
+        sizes, np.repeat(np.arange(len(rare)), lengths), lex.letters.begin[data], one, *contexts
     )
+    for step, n in enumerate(above.tolist()):
+        path = begin[:n] + step
+        node = lex.letters.node[path]
+        first = (one[:n] << np.uint32(8)) + node + np.uint32(_SPELLED)
+        writer.put(
+            own[:n], node + np.uint32(1 << 20), lex.letters.bit[path], 40 + min(step, 15),
+            [c[:n] for c in sorted_], first,
+        )
+
+
+# Powers of an odd number and of its inverse, for hashes of words within a part.
+_BASE = 0x9E3779B97F4A7C15
+_REACH = 2 * PART_BYTES + 4096
+
+
+def _powers(base: int) -> np.ndarray:
+    factors = np.full(_REACH, base, np.uint64)
+    factors[0] = 1
+    return np.cumprod(factors, dtype=np.uint64)
+
+
+@dataclass
+class WordTable:
+    """Ranks of words by a 64-bit hash of their bytes, looked up for all words of a part at once.
+
+    A hash is the difference of two running sums over the part. Ranks are found in up to
+    three tables of four slots per word, the first of them for all words whose slot no
+    more frequent word has. A rank counts only if all 64 bits and the length agree.
+    """
+
+    hashes: np.ndarray
+    lengths: np.ndarray
+    slots: list[np.ndarray]
+
+    @classmethod
+    def of(cls, words: list[bytes]) -> WordTable:
+        table = cls(np.zeros(1, np.uint64), np.zeros(1, np.int32), [])
+        hashes, lengths = [np.zeros(1, np.uint64)], [np.zeros(1, np.int32)]
+        for begin in range(0, len(words), 512):
+            data = b" ".join(words[begin : begin + 512])
+            found, starts, ends = _hashes(data)
+            hashes.append(found)
+            lengths.append((ends - starts).astype(np.int32))
+        table.hashes, table.lengths = np.concatenate(hashes), np.concatenate(lengths)
+        left = np.arange(1, len(words) + 1)
+        for level in range(6):
+            slots = np.zeros(1 << 20, np.int32)
+            own = _slot_of(table.hashes[left], level)
+            _, at = np.unique(own, return_index=True)
+            slots[own[at]] = left[at]
+            table.slots.append(slots)
+            left = np.setdiff1d(left, left[at])
+            if not len(left):
+                break
+        return table
+
+    def find(self, hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Rank of each word from 1, or -1."""
+        ranks = np.full(len(hashes), -1, np.int64)
+        left, own = None, hashes
+        for level, slots in enumerate(self.slots):
+            rank = _taken(slots, _slot_of(own, level))
+            good = (_taken(self.hashes, rank) == own) & (rank > 0)
+            if left is None:
+                good &= _taken(self.lengths, rank) == lengths
+                ranks[good] = rank[good]
+                left = np.flatnonzero(~good)
+            else:
+                good &= _taken(self.lengths, rank) == lengths[left]
+                ranks[left[good]] = rank[good]
+                left = left[~good]
+            own = hashes[left]
+        return ranks
+
+
+def _slot_of(hashes: np.ndarray, level: int) -> np.ndarray:
+    return (hashes >> np.uint64(44 - 7 * level) & np.uint64((1 << 20) - 1)).astype(np.intp)
+
+
+def _hashes(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, start and end of each word of a part."""
+    text = np.frombuffer(data, np.uint8)
+    inside = np.ones(len(text) + 2, bool)
+    inside[0] = inside[-1] = False
+    # White space is 0x20 and 0x09 to 0x0D.
+    inside[1:-1] = (text != 0x20) & ((text - np.uint8(9)) > 4)
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    if len(text) >= _REACH:
+        return _long_hashes(data, starts, ends), starts, ends
+    sums = np.zeros(len(text) + 1, np.uint64)
+    np.cumsum((text + np.uint64(1)) * POWERS[: len(text)], out=sums[1:])
+    return _finished((sums[ends] - sums[starts]) * INVERSE[starts]), starts, ends
+
+
+def _long_hashes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The same for a part with a word longer than a part, which no vocabulary has."""
+    found = [
+        _hashes(data[a:b])[0][0] if b - a < _REACH else 0
+        for a, b in zip(starts.tolist(), ends.tolist(), strict=True)
+    ]
+    return np.array(found, np.uint64)
+
+
+def _finished(hashes: np.ndarray) -> np.ndarray:
+    hashes = (hashes ^ hashes >> np.uint64(33)) * np.uint64(0xFF51AFD7ED558CCD)
+    return hashes ^ hashes >> np.uint64(29)
+
+
+POWERS, INVERSE = _powers(_BASE), _powers(pow(_BASE, -1, 1 << 64))
+
+
+def parts_of(data: bytes) -> Iterator[bytes]:
+    """A text in parts of bounded size that end at white space."""
+    begin = 0
+    while len(data) - begin > PART_BYTES:
+        found = _SPACE.search(data, begin + PART_BYTES)
+        end = found.start() if found else len(data)
+        yield data[begin:end]
+        begin = end
+    yield data[begin:] if begin else data
+
+
+@dataclass
+class Block:
+    """Tokens of some texts: symbols, the text of each, and the place where its part begins.
+
+    A symbol is a rank from 1, 0 for the end, or -1 for the next of ``rare``.
+    """
+
+    symbols: np.ndarray
+    text: np.ndarray
+    first: np.ndarray
+    rare: list[bytes]
+    rare_text: np.ndarray
+    sizes: np.ndarray  # bytes of each token and the space after it; none of an end
 
 
 class Blocks:
-    """Gathers parts of texts to blocks of tokens. Contexts begin anew with each part."""
+    """Gathers parts of lower-case texts to blocks. Contexts begin anew with each part."""
 
     def __init__(self, lex: Lexicon) -> None:
-        self.lex = lex
-        self.reset()
-
-    def reset(self) -> None:
-        self.symbols: list[np.ndarray] = []
-        self.text: list[int] = []
-        self.rare: list[bytes] = []
-        self.tokens = 0
-
-    def add(self, number: int, words: list[bytes], end: bool) -> np.ndarray:
-        """Adds words of a text; gives their symbols."""
-        symbols = np.zeros(len(words) + end, np.int64)
-        found = map(self.lex.ranks.get, words, repeat(-1))
-        symbols[: len(words)] = np.fromiter(found, np.int64, len(words))
-        self.rare += [words[place] for place in np.flatnonzero(symbols < 0).tolist()]
-        self.symbols.append(symbols)
-        self.text.append(number)
-        self.tokens += len(symbols)
-        return symbols
-
-    def bits(self) -> Bits:
-        sizes = np.fromiter(map(len, self.symbols), np.int64, len(self.symbols))
-        text = np.repeat(np.array(self.text, np.int64), sizes)
-        first = np.repeat(np.cumsum(sizes) - sizes, sizes)
-        found = bits_of(self.lex, np.concatenate(self.symbols), text, first, self.rare)
-        self.reset()
-        return found
+        self.table = WordTable.of(lex.words)
+        self.parts: list[bytes] = []
+        self.numbers: list[int] = []
+        self.ends: list[bool] = []
+        self.size = 0
+
+    def add(self, number: int, part: bytes, end: bool) -> bool:
+        """Adds a part of a text; tells whether the block is full."""
+        self.parts.append(part)
+        self.numbers.append(number)
+        self.ends.append(end)
+        self.size += len(part) + 1
+        return self.size >= PART_BYTES
+
+    def take(self) -> Block:
+        """The block, which is then begun anew."""
+        data = b"\n".join(self.parts)
+        hashes, starts, ends = _hashes(data)
+        sizes = np.fromiter(map(len, self.parts), np.int64, len(self.parts)) + 1
+        count = np.diff(np.searchsorted(starts, np.concatenate([[0], np.cumsum(sizes)])))
+        closed = np.array(self.ends, np.int64)
+        part_of_word = np.repeat(np.arange(len(count)), count)
+        closed_before = np.cumsum(closed) - closed
+        # A part's end stands after its words; words move on by the ends before them.
+        place = np.arange(len(hashes)) + closed_before[part_of_word]
+        symbols = np.zeros(len(hashes) + int(closed.sum()), np.int64)
+        lengths = np.zeros(len(symbols), np.int64)
+        ranks = self.table.find(hashes, ends - starts)
+        symbols[place] = ranks
+        lengths[place] = ends - starts + 1
+        tokens = count + closed
+        text = np.repeat(np.array(self.numbers, np.int64), tokens)
+        rare = np.flatnonzero(ranks < 0)
+        block = Block(
+            symbols, text, np.repeat(np.cumsum(tokens) - tokens, tokens),
+            [data[a:b] for a, b in zip(starts[rare].tolist(), ends[rare].tolist(), strict=True)],
+            text[place[rare]], lengths,
+        )
+        self.parts, self.numbers, self.ends, self.size = [], [], [], 0
+        return block
 
 
 # -- the model ----------------------------------------------------------------------
@@ -351,8 +578,9 @@ def _squash(odds: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-odds))
 
 
-def _gates(bits: Bits, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-    gate = one * np.uint8(6) + two
+def _gates(bits: Bits, seen: list[np.ndarray]) -> np.ndarray:
+    """Weights are chosen by the kind of bit and how well the asked predictors know it."""
+    gate = seen[0] * np.uint8(6) + seen[1]
     gate[bits.spelled :] += np.uint8(36)
     return gate.astype(np.intp)
 
@@ -368,16 +596,17 @@ class Mixer:
     """Weights by gate and the refinement map by stage; both learn block by block."""
 
     def __init__(self) -> None:
-        self.weights = np.tile(np.array([0.7, 0.2, 0.2, 0.2, 0.0]), (_GATES, 1))
+        self.weights = np.tile(np.array([0.4, 0.2, 0.2, 0.4, 0.0]), (_GATES, 1))
         curve = _squash((np.arange(_STEPS) - 16) / 2)
         self.map = np.tile(curve, _STAGES)
 
-    def predict(self, odds: list[np.ndarray], gate: np.ndarray, stage: np.ndarray) -> tuple:
+    def predict(self, odds: list[np.ndarray | None], gate: np.ndarray, stage: np.ndarray) -> tuple:
         weights = self.weights.astype(np.float32)
         columns = np.ascontiguousarray(weights.T)
         mix = _taken(columns[PREDICTORS], gate)
         for predictor, each in enumerate(odds):
-            mix += _taken(columns[predictor], gate) * each
+            if each is not None:
+                mix += _taken(columns[predictor], gate) * each
         place, share = _steps(mix, stage)
         table = self.map.astype(np.float32)
         low = _taken(table, place)
@@ -386,25 +615,101 @@ class Mixer:
         final = np.clip((mixed + refined) * np.float32(0.5), np.float32(1e-6), np.float32(1 - 1e-6))
         return final, mixed, place, share
 
-    def fit(self, odds: list[np.ndarray], gate: np.ndarray, value: np.ndarray, predicted: tuple) -> None:
+    def fit(self, odds: list[np.ndarray | None], gate: np.ndarray, value: np.ndarray, predicted: tuple) -> None:
         """One step of each gate's weights down the coding cost, and of the map to the bits."""
         _, mixed, place, share = predicted
         error = value - mixed
         curvature = mixed * (1 - mixed)
         for predictor, each in enumerate([*odds, np.ones_like(mixed)]):
-            slope = np.bincount(gate, error * each, _GATES)
-            scale = np.bincount(gate, curvature * each * each, _GATES)
-            self.weights[:, predictor] += 0.2 * slope / (scale + 2)
+            if each is not None:
+                slope = np.bincount(gate, error * each, _GATES)
+                scale = np.bincount(gate, curvature * each * each, _GATES)
+                self.weights[:, predictor] += 0.2 * slope / (scale + 2)
         size = len(self.map)
         for at, part in ((place, 1 - share), (place + 1, share)):
             total = np.bincount(at, part, size)
             ones = np.bincount(at, part * value, size)
-            self.map += 0.5 * (ones - total * self.map) / (total + 50)
+            self.map += 0.5 * (ones - total * self.map) / (total + 20)
+
+
+class Finer:
+    """Counts of words by the last telling word, for the finer bits of ranks.
+
+    A bit splits a range of neighbouring ranks; how often either half was seen is the
+    difference of two running sums.
+    """
+
+    WIDTH = 1 << (VOCABULARY + 1).bit_length() - 1
+
+    def __init__(self) -> None:
+        self.n = np.zeros((TELLING + 1) * self.WIDTH, np.int32)
+
+    def add(self, bits: Bits) -> None:
+        # Frequent words lie together.
+        index = bits.symbol * (TELLING + 1) + bits.telling
+        np.add.at(self.n, index[bits.symbol > 0], np.int32(1))
+
+    def fit(self, mixer: Mixer, bits: Bits) -> None:
+        """Predicts and learns from the finer bits of a block that is not yet counted."""
+        symbol, row = bits.symbol, bits.telling
+        size = np.frexp(np.maximum(symbol, 0).astype(np.float64))[1] - 1
+        sums = np.zeros((self.WIDTH + 1, TELLING + 2), np.int32)
+        np.cumsum(self.n.reshape(self.WIDTH, TELLING + 1), axis=0, dtype=np.int32, out=sums[1:, 1:])
+        sums[:, 0] = sums[:, 1:].sum(axis=1)
+        zeros, ones, values, stages = [[], []], [[], []], [], []
+        for step in range(SHALLOW, int(size.max(initial=0))):
+            inside = size > step
+            left = size[inside] - step
+            low = symbol[inside] >> left << left
+            middle, high = low + (1 << left - 1), low + (1 << left)
+            for which, rows in enumerate((0, row[inside] + 1)):
+                zeros[which].append(sums[middle, rows] - sums[low, rows])
+                ones[which].append(sums[high, rows] - sums[middle, rows])
+            values.append(symbol[inside] >> left - 1 & 1)
+            stages.append(np.full(len(left), 12 + step, np.int32))
+        if values:
+            pairs = [(np.concatenate(a), np.concatenate(b)) for a, b in zip(zeros, ones, strict=True)]
+            value, stage = np.concatenate(values).astype(np.uint8), np.concatenate(stages)
+            odds, gate = _finer_odds(*pairs)
+            mixer.fit(odds, gate, value, mixer.predict(odds, gate, stage))
+
+    @classmethod
+    def costs(cls, counts: np.ndarray, mixer: Mixer) -> np.ndarray:
+        """log10 of the probability of a word's finer bits, by symbol and telling word."""
+        by_row = np.ascontiguousarray(counts.reshape(cls.WIDTH, TELLING + 1).T)
+        total = by_row.sum(axis=0)
+        costs = np.zeros(by_row.shape, np.float32)
+        for size in range(SHALLOW + 1, cls.WIDTH.bit_length() - 1):
+            span = slice(1 << size, 1 << size + 1)
+            for step in range(SHALLOW, size):
+                every = total[span].reshape(1 << step, 2, -1).sum(-1)
+                for row in range(TELLING + 1):
+                    own = by_row[row, span].reshape(1 << step, 2, -1).sum(-1)
+                    odds, gate = _finer_odds((every[:, 0], every[:, 1]), (own[:, 0], own[:, 1]))
+                    stage = np.full(1 << step, 12 + step, np.int32)
+                    one = mixer.predict(odds, gate, stage)[0]
+                    both = np.log10(np.stack([1 - one, one], axis=1)).ravel()
+                    costs[row, span] += np.repeat(both, 1 << size - step - 1)
+        return costs.T.ravel()
+
+
+def _finer_odds(every: tuple, own: tuple) -> tuple[list[np.ndarray | None], np.ndarray]:
+    def odds(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+        return (np.log(ones + _PRIOR) - np.log(zeros + _PRIOR)).astype(np.float32)
+
+    gate = _confidence(own[0] + own[1]).astype(np.intp) + 72
+    return [odds(*every), None, None, odds(*own)], gate
 
 
 _LOG = np.log(np.arange(_SEEN + 1) + _PRIOR).astype(np.float32)
 
 
+def next_fit(done: int) -> int:
+    """The next block to fit to after the given one."""
+    ratio = next(ratio for limit, ratio in FIT_STEPS if done < limit)
+    return max(done + 1, int(done * ratio))
+
+
 def _handed_out(rows: DataFrame, what: object) -> Broadcast[bytes]:
     """For the tasks: a lexicon or model, whose size is bounded by the constants above."""
     return rows.sparkSession.sparkContext.broadcast(cloudpickle.dumps(what))
@@ -415,45 +720,47 @@ def learn(texts: DataFrame, lex: Lexicon) -> Model:
     shared = _handed_out(texts, lex)
 
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks, mixer = Blocks(cloudpickle.loads(shared.value)), Mixer()
-        counts = [np.zeros(2 * _SLOTS, np.int32) for _ in range(PREDICTORS)]
-        fitted = done = 0
+        lex = cloudpickle.loads(shared.value)
+        blocks, mixer = Blocks(lex), Mixer()
+        counts = [np.zeros(-(-2 * size // CHUNK) * CHUNK, np.int32) for size in _SLOTS]
+        finer = Finer()
+        fitted = done = fits = 0
+        due = 1
 
         def take() -> None:
-            nonlocal fitted, done
-            bits = blocks.bits()
+            nonlocal fitted, done, fits, due
+            block = blocks.take()
+            bits = bits_of(lex, block, block.rare)
             index = [slots.astype(np.intp) << 1 for slots in bits.slots]
-            if done % FIT_EVERY == 0 or done < FIT_EVERY:
+            if done == due:
                 zeros = [n[i] for n, i in zip(counts, index, strict=True)]
                 ones = [n[i + 1] for n, i in zip(counts, index, strict=True)]
                 odds = [
                     _LOG[np.minimum(b, _SEEN)] - _LOG[np.minimum(a, _SEEN)]
                     for a, b in zip(zeros, ones, strict=True)
                 ]
-                seen = [_confidence(zeros[k] + ones[k]) for k in (1, 2)]
-                gate = _gates(bits, *seen)
+                gate = _gates(bits, [_confidence(zeros[k] + ones[k]) for k in _ASKED])
                 mixer.fit(odds, gate, bits.value, mixer.predict(odds, gate, bits.stage))
+                if fits % 2:
+                    finer.fit(mixer, bits)
+                fits += 1
+                due = next_fit(done)
                 fitted += len(bits.value)
             for n, i in zip(counts, index, strict=True):
                 np.add.at(n, i + bits.value, np.int32(1))
+            finer.add(bits)
             done += 1
 
         for batch in batches:
             for text in batch.column(0):
-                last: list[bytes] = []
-                for words in word_blocks(text.as_py().lower(), PART_BYTES):
-                    if last:
-                        blocks.add(0, last, False)
-                        if blocks.tokens >= BLOCK_TOKENS:
-                            take()
-                    last = words
-                blocks.add(0, last, True)
-                if blocks.tokens >= BLOCK_TOKENS:
-                    take()
-        if blocks.tokens:
+                parts = list(parts_of(text.as_py().lower()))
+                for number, part in enumerate(parts, 1):
+                    if blocks.add(0, part, number == len(parts)):
+                        take()
+        if blocks.parts:
             take()
-        if fitted:
-            yield from _learned(counts, mixer, fitted)
+        if done:
+            yield from _learned([*counts, finer.n], mixer, max(fitted, 1))
 
     parts = texts.select("t").mapInArrow(per_task, "part string, chunk int, task int, data binary")
     tasks = texts.rdd.getNumPartitions()
@@ -502,39 +809,63 @@ def _added(rows: pa.Table) -> pa.Table:
 
 @dataclass
 class Model:
-    """Log odds by predictor and slot, confidence of two of them, and the mixer."""
+    """Log odds by predictor and slot in sixteenths, the mixer, and the costs of finer bits.
+
+    Predictors that the gate asks have their confidence in the upper byte.
 
-    odds: list[np.ndarray]
-    confidence: list[np.ndarray]
+    Bytes keep the tables of a task in the cache; a sixteenth costs next to no bits.
+    """
+
+    tables: list[np.ndarray]
     mixer: Mixer
+    finer: np.ndarray
 
     @classmethod
     def of(cls, parts: dict[tuple[str, int], bytes]) -> Model:
-        odds, confidence, mixer = [], [], Mixer()
-        for predictor in range(PREDICTORS):
-            name = f"counts{predictor}"
-            both = np.zeros(2 * _SLOTS, np.int64)
-            for chunk in range(2 * _SLOTS // CHUNK):
+        tables, mixer = [], Mixer()
+
+        def counts(number: int, size: int) -> np.ndarray:
+            name = f"counts{number}"
+            found = np.zeros(-(-size // CHUNK) * CHUNK, np.int64)
+            for chunk in range(len(found) // CHUNK):
                 if (name, chunk) in parts:
-                    both[chunk * CHUNK : (chunk + 1) * CHUNK] = _values(name, parts[name, chunk])
+                    found[chunk * CHUNK : (chunk + 1) * CHUNK] = _values(name, parts[name, chunk])
+            return found
+
+        for predictor, size in enumerate(_SLOTS):
+            both = counts(predictor, 2 * size)
             zeros, ones = both[::2], both[1::2]
             # Counts without limit here: the more was seen, the finer the odds.
-            odds.append((np.log(ones + _PRIOR) - np.log(zeros + _PRIOR)).astype(np.float32))
-            if predictor in (1, 2):
-                confidence.append(_confidence(zeros + ones))
+            each = np.log(ones + _PRIOR) - np.log(zeros + _PRIOR)
+            odds = np.rint(np.clip(each * _FINE, -127, 127)).astype(np.int8)
+            if predictor in _ASKED:
+                seen = _confidence(zeros + ones).astype(np.uint16)
+                tables.append(seen << np.uint16(8) | odds.view(np.uint8))
+            else:
+                tables.append(odds)
         if ("mixer", 0) in parts:
             flat = _values("mixer", parts["mixer", 0])
             flat = flat[:-1] / flat[-1]
             mixer.weights = flat[: mixer.weights.size].reshape(mixer.weights.shape)
             mixer.map = flat[mixer.weights.size :]
-        return cls(odds, confidence, mixer)
+        words = counts(PREDICTORS, (TELLING + 1) * Finer.WIDTH)
+        return cls(tables, mixer, Finer.costs(words[: (TELLING + 1) * Finer.WIDTH], mixer))
+
+    def finer_cost(self, bits: Bits) -> np.ndarray:
+        """log10 of the probability of the finer bits of each token."""
+        index = np.maximum(bits.symbol, 0) * (TELLING + 1) + bits.telling
+        return _taken(self.finer, index)
 
     def cost(self, bits: Bits) -> np.ndarray:
         """log10 of the probability of each bit."""
-        index = [slots.astype(np.intp) for slots in bits.slots]
-        odds = [_taken(table, slots) for table, slots in zip(self.odds, index, strict=True)]
-        seen = [_taken(table, index[k]) for table, k in zip(self.confidence, (1, 2), strict=True)]
-        gate = _gates(bits, *seen)
+        odds, seen = [], []
+        for predictor, (table, slots) in enumerate(zip(self.tables, bits.slots, strict=True)):
+            found = _taken(table, slots.astype(np.intp))
+            if predictor in _ASKED:
+                seen.append((found >> np.uint16(8)).astype(np.uint8))
+                found = found.astype(np.uint8).view(np.int8)
+            odds.append(found * np.float32(1 / _FINE))
+        gate = _gates(bits, seen)
         final = self.mixer.predict(odds, gate, bits.stage)[0]
         return np.log10(np.abs(np.float32(1) - bits.value - final))
 
@@ -543,9 +874,10 @@ class Model:
 
 
 def _scored(docs: DataFrame, lex: Lexicon, model: Model) -> DataFrame:
-    """One row per document, and one per document and word outside the vocabulary.
+    """One row per document, and one per word of it outside the vocabulary.
 
-    ``row`` tells documents apart; rows of words have the word and its count there.
+    ``row`` tells documents apart; rows of words have the word and the score of its
+    spelling, which is not in the document's.
     """
     shared = _handed_out(docs, (lex, model))
 
@@ -554,53 +886,62 @@ def _scored(docs: DataFrame, lex: Lexicon, model: Model) -> DataFrame:
         known = np.append(lex.base(lex.counts), 0.0) if len(lex.counts) else np.zeros(1)
         end = float(lex.base(lex.ends))
         blocks = Blocks(lex)
+        spelled: dict[bytes, float] = {}
         next_row = TaskContext.get().partitionId() << 40
         for batch in batches:
             size = batch.num_rows
             score, base = np.zeros(size), np.zeros(size)
             tokens, seen = np.zeros(size, np.int64), np.zeros(size, np.int64)
-            letters = np.zeros(size, np.int64)
-            rare_row, rare_word, rare_n = [], [], []
+            sizes = np.zeros(size, np.int64)
+            rare_words: list[bytes] = []
+            rare_rows, rare_scores = [np.zeros(0, np.int64)], [np.zeros(0)]
 
             def take() -> None:
-                bits = blocks.bits()
-                np.add(score, np.bincount(bits.text, model.cost(bits), size), out=score)
+                block = blocks.take()
+                # The score of a spelling depends on the word alone.
+                if len(spelled) > SPELLED:
+                    spelled.clear()
+                fresh = [word for word in dict.fromkeys(block.rare) if word not in spelled]
+                bits = bits_of(lex, block, fresh)
+                cost = model.cost(bits)
+                ranks, letters = slice(0, bits.spelled), slice(bits.spelled, None)
+                each = np.bincount(bits.owner[letters], cost[letters], len(fresh))
+                spelled.update(zip(fresh, each.tolist(), strict=True))
+                rare_words.extend(block.rare)
+                rare_rows.append(block.rare_text + next_row)
+                rare_scores.append(np.array([spelled[word] for word in block.rare], float))
+                inside = block.symbols > 0
+                for total, owner, amounts in (
+                    (score, bits.owner[ranks], cost[ranks]),
+                    (score, block.text, model.finer_cost(bits)),
+                    (base, block.text, np.where(inside, known[block.symbols - 1], 0)),
+                    (tokens, block.text, None),
+                    (seen, block.text[inside], None),
+                    (sizes, block.text, block.sizes),
+                ):
+                    np.add(total, np.bincount(owner, amounts, size), out=total, casting="unsafe")
 
             for number, text in enumerate(batch.column(1)):
-                rare: Counter[bytes] = Counter()
-                parts = list(word_blocks(text.as_py().lower(), PART_BYTES)) or [[]]
-                for part, words in enumerate(parts):
-                    at = len(blocks.rare)
-                    found = blocks.add(number, words, part == len(parts) - 1)
-                    rare.update(blocks.rare[at:])
-                    inside = found[found > 0] - 1
-                    base[number] += known[inside].sum()
-                    seen[number] += len(inside)
-                    tokens[number] += len(found)
-                    letters[number] += sum(map(len, words)) + len(words)
-                    if blocks.tokens >= BLOCK_TOKENS:
+                parts = list(parts_of(text.as_py().lower()))
+                for place, part in enumerate(parts, 1):
+                    if blocks.add(number, part, place == len(parts)):
                         take()
-                base[number] += end
-                seen[number] += lex.ends > 0
-                rare_row += [next_row + number] * len(rare)
-                rare_word += rare.keys()
-                rare_n += rare.values()
-            if blocks.tokens:
+            if blocks.parts:
                 take()
+            base += end
+            seen += lex.ends > 0
+            rare_row, rare_score = np.concatenate(rare_rows), np.concatenate(rare_scores)
             more = len(rare_row)
-            rows = np.concatenate([np.arange(size) + next_row, np.array(rare_row, np.int64)])
-            blank = [None] * more
 
-            def doc(values: np.ndarray, kind: pa.DataType) -> pa.Array:
-                return pa.array([*values.tolist(), *blank], kind)
+            def doc(values: np.ndarray) -> pa.Array:
+                return pa.concat_arrays([pa.array(values), pa.nulls(more, pa.from_numpy_dtype(values.dtype))])
 
             columns = [
                 pa.concat_arrays([batch.column(0), pa.nulls(more, batch.column(0).type)]),
-                pa.array(rows),
-                pa.array([None] * size + rare_word, pa.binary()),
-                pa.array([None] * size + rare_n, pa.int64()),
-                doc(tokens, pa.int64()), doc(seen, pa.int64()), doc(letters, pa.int64()),
-                doc(base, pa.float64()), doc(score, pa.float64()),
+                pa.array(np.concatenate([np.arange(size) + next_row, rare_row])),
+                pa.concat_arrays([pa.nulls(size, pa.binary()), pa.array(rare_words, pa.binary())]),
+                doc(tokens), doc(seen), doc(sizes), doc(base),
+                pa.array(np.concatenate([score, rare_score])),
             ]
             next_row += size
             yield pa.RecordBatch.from_arrays(columns, names=names)
@@ -608,7 +949,7 @@ def _scored(docs: DataFrame, lex: Lexicon, model: Model) -> DataFrame:
     rows = docs.select("doc_id", text_bytes().alias("t"))
     schema = rows.selectExpr(
         "doc_id", "0L AS row", "CAST(NULL AS BINARY) AS word",
-        *(f"CAST(NULL AS BIGINT) AS {name}" for name in ("n", "n_tokens", "n_known", "n_bytes")),
+        *(f"CAST(NULL AS BIGINT) AS {name}" for name in ("n_tokens", "n_known", "n_bytes")),
         *(f"CAST(NULL AS DOUBLE) AS {name}" for name in ("base_score", "score")),
     ).schema
     names = schema.names
@@ -636,13 +977,15 @@ def score_documents(docs: DataFrame, vocabulary: int = VOCABULARY) -> DataFrame:
     found = stored(_scored(docs, lex, model), "lm-scored")
     scale = lex.total + 0.1 * (lex.distinct + 1)
     term = F.log10((F.coalesce(F.col("c"), F.lit(0)) + 0.1) / F.lit(scale))
-    rare = found.where(F.col("word").isNotNull()).select("row", "word", F.col("n").alias("times"))
+    rare = found.where(F.col("word").isNotNull()).select("row", "word", "score")
     rare = rare.join(counts.withColumnRenamed("n", "c"), "word", "left")
     rare = rare.groupBy("row").agg(
-        F.sum(F.col("times") * term).alias("rare_base"),
-        F.sum(F.when(F.col("c") > 0, F.col("times"))).alias("rare_known"),
+        F.sum(term).alias("rare_base"),
+        F.count_if(F.col("c") > 0).alias("rare_known"),
+        F.sum(lex.rare.score(F.col("c"), F.col("score"))).alias("rare_score"),
     )
     joined = found.where(F.col("word").isNull()).join(rare, "row", "left")
+    joined = joined.withColumn("score", F.col("score") + F.coalesce("rare_score", F.lit(0.0)))
     none = F.lit(0)
     return joined.select(
         "doc_id",

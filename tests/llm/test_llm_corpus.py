@@ -210,11 +210,13 @@ def test_the_model_is_a_distribution(spark):
 
     def score(words: list[bytes], end: bool) -> float:
         blocks = lm_scoring.Blocks(lex)
-        blocks.add(0, words, end)
-        return float(model.cost(blocks.bits()).sum())
+        blocks.add(0, b" ".join(words), end)
+        block = blocks.take()
+        bits = lm_scoring.bits_of(lex, block, block.rare)
+        return float(model.cost(bits).sum() + model.finer_cost(bits).sum())
 
     before = [b"the", b"cat"]
-    known = sum(10 ** score([*before, word], False) for word in lex.ranks)
+    known = sum(10 ** score([*before, word], False) for word in lex.words)
     stop = 10 ** score(before, True)
     # An escape is what is left; it can't be scored without its bytes.
     escaped = 10 ** score([*before, b"zebra"], False)
@@ -226,13 +228,33 @@ def test_the_model_is_a_distribution(spark):
         assert sum(2.0 ** -int(n) for n in code.size) == pytest.approx(1)
 
 
+def test_words_are_found_by_their_hash():
+    rnd = random.Random(2)
+    words = list({bytes(rnd.choices(range(33, 256), k=rnd.randint(1, 9))) for _ in range(60_000)})
+    table, ranks = lm_scoring.WordTable.of(words), {word: rank for rank, word in enumerate(words, 1)}
+    for _ in range(100):
+        some = rnd.choices(words, k=rnd.randint(0, 200)) + [bytes(rnd.choices(range(33, 256), k=70))]
+        rnd.shuffle(some)
+        data = b"".join(word + rnd.choice([b" ", b"\n", b"\t ", b"\x0b\x0c\r"]) for word in some)
+        hashes, starts, ends = lm_scoring._hashes(data)
+        assert [data[a:b] for a, b in zip(starts, ends, strict=True)] == some == data.split()
+        assert table.find(hashes, ends - starts).tolist() == [ranks.get(word, -1) for word in some]
+
+
+@pytest.mark.parametrize("text", [b"", b" ", b"ab cd " * 40_000, b"x" * 300_000 + b" ab " + b"y" * 70_000])
+def test_parts_cover_a_text(text):
+    parts = list(lm_scoring.parts_of(text))
+    assert b"".join(parts) == text
+    assert [word for part in parts for word in part.split()] == text.split()
+
+
 def test_tables_add_up_alike_in_any_split(spark):
     """Counts do not depend on how texts are dealt to tasks; levels of sums are used."""
     texts = [("x y z " * (i % 9),) for i in range(60)]
     rows = spark.createDataFrame(texts, "t STRING").selectExpr("CAST(t AS BINARY) AS t")
     lex = lm_scoring.lexicon(lm_scoring.word_counts(rows), len(texts))
     few, many = (lm_scoring.learn(rows.repartition(n), lex) for n in (1, 70))
-    for a, b in zip(few.odds, many.odds, strict=True):
+    for a, b in zip(few.tables, many.tables, strict=True):
         assert np.array_equal(a, b)
 
 
