@@ -40,9 +40,6 @@ BEFORE, COMMON, TELLING = 1024, 256, 16
 # Bits of a place in a class that are predicted by all contexts; the finer ones by their
 # own counts and those after the last telling word only.
 SHALLOW = 4
-# The weights and the refinement are fitted to blocks that lie ever further apart; every
-# second of these is used for the finer bits, whose running sums take longer.
-FIT_STEPS = ((40, 1.25), (1 << 60, 1.5))
 # Distinct words that a task counts before it hands the counts on.
 COUNTED = 1 << 18
 # Bytes of a block, and of a text after which contexts begin anew, so that blocks stay bounded.
@@ -635,43 +632,43 @@ class Mixer:
 class Finer:
     """Counts of words by the last telling word, for the finer bits of ranks.
 
-    A bit splits a range of neighbouring ranks; how often either half was seen is the
-    difference of two running sums.
+    A bit splits a range of neighbouring ranks. Ranges are nodes of a binary tree over all
+    ranks: the halves of node ``i`` are ``2 * i`` and ``2 * i + 1``, and the ranks its leaves.
     """
 
     WIDTH = 1 << (VOCABULARY + 1).bit_length() - 1
 
     def __init__(self) -> None:
-        self.n = np.zeros((TELLING + 1) * self.WIDTH, np.int32)
-
-    def add(self, bits: Bits) -> None:
-        # Frequent words lie together.
-        index = bits.symbol * (TELLING + 1) + bits.telling
-        np.add.at(self.n, index[bits.symbol > 0], np.int32(1))
-
-    def fit(self, mixer: Mixer, bits: Bits) -> None:
-        """Predicts and learns from the finer bits of a block that is not yet counted."""
-        symbol, row = bits.symbol, bits.telling
-        size = np.frexp(np.maximum(symbol, 0).astype(np.float64))[1] - 1
-        sums = np.zeros((self.WIDTH + 1, TELLING + 2), np.int32)
-        np.cumsum(self.n.reshape(self.WIDTH, TELLING + 1), axis=0, dtype=np.int32, out=sums[1:, 1:])
-        sums[:, 0] = sums[:, 1:].sum(axis=1)
-        zeros, ones, values, stages = [[], []], [[], []], [], []
+        self.tree = np.zeros(2 * self.WIDTH * (TELLING + 1), np.int32)
+        self.every = np.zeros(2 * self.WIDTH, np.int32)
+
+    @property
+    def n(self) -> np.ndarray:
+        """Counts of the ranks themselves."""
+        return self.tree[self.WIDTH * (TELLING + 1) :]
+
+    def learn(self, mixer: Mixer, bits: Bits) -> int:
+        """Predicts the finer bits of a block, learns from them and counts them; how many."""
+        size = np.frexp(np.maximum(bits.symbol, 0).astype(np.float64))[1] - 1
+        nodes, rows, stages = [], [], []
         for step in range(SHALLOW, int(size.max(initial=0))):
-            inside = size > step
-            left = size[inside] - step
-            low = symbol[inside] >> left << left
-            middle, high = low + (1 << left - 1), low + (1 << left)
-            for which, rows in enumerate((0, row[inside] + 1)):
-                zeros[which].append(sums[middle, rows] - sums[low, rows])
-                ones[which].append(sums[high, rows] - sums[middle, rows])
-            values.append(symbol[inside] >> left - 1 & 1)
-            stages.append(np.full(len(left), 12 + step, np.int32))
-        if values:
-            pairs = [(np.concatenate(a), np.concatenate(b)) for a, b in zip(zeros, ones, strict=True)]
-            value, stage = np.concatenate(values).astype(np.uint8), np.concatenate(stages)
-            odds, gate = _finer_odds(*pairs)
-            mixer.fit(odds, gate, value, mixer.predict(odds, gate, stage))
+            inside = np.flatnonzero(size > step)
+            nodes.append(bits.symbol[inside] + self.WIDTH >> size[inside] - step - 1)
+            rows.append(bits.telling[inside])
+            stages.append(np.full(len(inside), 12 + step, np.int32))
+        if not nodes:
+            return 0
+        node, row = np.concatenate(nodes), np.concatenate(rows)
+        low, high = node & ~1, node | 1
+        value = (node & 1).astype(np.uint8)
+        odds, gate = _finer_odds(
+            (self.every[low], self.every[high]),
+            (self.tree[low * (TELLING + 1) + row], self.tree[high * (TELLING + 1) + row]),
+        )
+        mixer.fit(odds, gate, value, mixer.predict(odds, gate, np.concatenate(stages)))
+        np.add.at(self.every, node, np.int32(1))
+        np.add.at(self.tree, node * (TELLING + 1) + row, np.int32(1))
+        return len(node)
 
     @classmethod
     def costs(cls, counts: np.ndarray, mixer: Mixer) -> np.ndarray:
@@ -704,63 +701,53 @@ def _finer_odds(every: tuple, own: tuple) -> tuple[list[np.ndarray | None], np.n
 _LOG = np.log(np.arange(_SEEN + 1) + _PRIOR).astype(np.float32)
 
 
-def next_fit(done: int) -> int:
-    """The next block to fit to after the given one."""
-    ratio = next(ratio for limit, ratio in FIT_STEPS if done < limit)
-    return max(done + 1, int(done * ratio))
-
-
 def _handed_out(rows: DataFrame, what: object) -> Broadcast[bytes]:
     """For the tasks: a lexicon or model, whose size is bounded by the constants above."""
     return rows.sparkSession.sparkContext.broadcast(cloudpickle.dumps(what))
 
 
+class Learner:
+    """What a task has learned: counts by predictor and slot, finer counts, and the mixer."""
+
+    def __init__(self, lex: Lexicon) -> None:
+        self.lex, self.mixer, self.finer = lex, Mixer(), Finer()
+        self.counts = [np.zeros(-(-2 * size // CHUNK) * CHUNK, np.int32) for size in _SLOTS]
+        self.fitted = 0
+
+    def take(self, block: Block) -> None:
+        """Predicts a block, fits weights and refinement to all its bits, then counts them."""
+        bits = bits_of(self.lex, block, block.rare)
+        index = [slots.astype(np.intp) << 1 for slots in bits.slots]
+        zeros = [_taken(n, i) for n, i in zip(self.counts, index, strict=True)]
+        ones = [_taken(n, i + 1) for n, i in zip(self.counts, index, strict=True)]
+        odds = [
+            _taken(_LOG, np.minimum(b, _SEEN)) - _taken(_LOG, np.minimum(a, _SEEN))
+            for a, b in zip(zeros, ones, strict=True)
+        ]
+        gate = _gates(bits, [_confidence(zeros[k] + ones[k]) for k in _ASKED])
+        self.mixer.fit(odds, gate, bits.value, self.mixer.predict(odds, gate, bits.stage))
+        for n, i in zip(self.counts, index, strict=True):
+            np.add.at(n, i + bits.value, np.int32(1))
+        self.fitted += len(bits.value) + self.finer.learn(self.mixer, bits)
+
+
 def learn(texts: DataFrame, lex: Lexicon) -> Model:
     """Goes through the training texts ``t`` online; adds up what the tasks learned."""
     shared = _handed_out(texts, lex)
 
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lex = cloudpickle.loads(shared.value)
-        blocks, mixer = Blocks(lex), Mixer()
-        counts = [np.zeros(-(-2 * size // CHUNK) * CHUNK, np.int32) for size in _SLOTS]
-        finer = Finer()
-        fitted = done = fits = 0
-        due = 1
-
-        def take() -> None:
-            nonlocal fitted, done, fits, due
-            block = blocks.take()
-            bits = bits_of(lex, block, block.rare)
-            index = [slots.astype(np.intp) << 1 for slots in bits.slots]
-            if done == due:
-                zeros = [n[i] for n, i in zip(counts, index, strict=True)]
-                ones = [n[i + 1] for n, i in zip(counts, index, strict=True)]
-                odds = [
-                    _LOG[np.minimum(b, _SEEN)] - _LOG[np.minimum(a, _SEEN)]
-                    for a, b in zip(zeros, ones, strict=True)
-                ]
-                gate = _gates(bits, [_confidence(zeros[k] + ones[k]) for k in _ASKED])
-                mixer.fit(odds, gate, bits.value, mixer.predict(odds, gate, bits.stage))
-                if fits % 2:
-                    finer.fit(mixer, bits)
-                fits += 1
-                due = next_fit(done)
-                fitted += len(bits.value)
-            for n, i in zip(counts, index, strict=True):
-                np.add.at(n, i + bits.value, np.int32(1))
-            finer.add(bits)
-            done += 1
-
+        blocks, learner = Blocks(lex), Learner(lex)
         for batch in batches:
             for text in batch.column(0):
                 parts = list(parts_of(text.as_py().lower()))
                 for number, part in enumerate(parts, 1):
                     if blocks.add(0, part, number == len(parts)):
-                        take()
+                        learner.take(blocks.take())
         if blocks.parts:
-            take()
-        if done:
-            yield from _learned([*counts, finer.n], mixer, max(fitted, 1))
+            learner.take(blocks.take())
+        if learner.fitted:
+            yield from _learned([*learner.counts, learner.finer.n], learner.mixer, learner.fitted)
 
     parts = texts.select("t").mapInArrow(per_task, "part string, chunk int, task int, data binary")
     tasks = texts.rdd.getNumPartitions()

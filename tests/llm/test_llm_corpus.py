@@ -268,3 +268,26 @@ def test_long_texts_and_many_words(spark, monkeypatch):
     monkeypatch.setattr(lm_scoring, "word_blocks", lambda data, size=0: blocks(data, 50))
     found = {bytes(r.word): r.n for r in lm_scoring.word_counts(rows).collect()}
     assert found == Counter(text.encode().split())
+
+
+def test_every_block_moves_the_weights():
+    """Also late blocks and those of a source that comes between others; also finer bits."""
+    words = [f"w{i}".encode() for i in range(1, 400)]
+    rnd = random.Random(4)
+    code = lm_scoring.Code.of([1 + i % 5 for i in range(21)]), lm_scoring.Code.of([1] * 256)
+    lex = lm_scoring.Lexicon(
+        words, np.ones(len(words), np.int64), 400, 400, 1, lm_scoring.RareWords(1, 1, 1), *code
+    )
+    learner, blocks, bits = lm_scoring.Learner(lex), lm_scoring.Blocks(lex), 0
+    for _ in range(60):
+        blocks.add(0, b" ".join(rnd.choices(words, k=300) + [b"other"]), True)
+        block = blocks.take()
+        found = lm_scoring.bits_of(lex, block, block.rare)
+        ranks = block.symbols[block.symbols > 0]
+        bits += len(found.value) + sum(max(int(r).bit_length() - 1 - lm_scoring.SHALLOW, 0) for r in ranks)
+        weights, curve = learner.mixer.weights.copy(), learner.mixer.map.copy()
+        learner.take(block)
+        assert not np.array_equal(weights, learner.mixer.weights)
+        assert not np.array_equal(curve, learner.mixer.map)
+        assert learner.fitted == bits
+    assert learner.finer.n.sum() == sum(learner.finer.every[lm_scoring.Finer.WIDTH :])
