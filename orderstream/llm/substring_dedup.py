@@ -20,7 +20,7 @@ _END = re.compile(r"\s*\n\s*|(?<=[.!?])[ \t]+")
 LONG = 160
 _COMMA = re.compile(r"(?<=[,;:])[ \t]+")
 
-# Units of fewer words are not looked up: they follow the units around them.
+# Units of fewer words are looked up together with their neighbours in the line.
 UNIT_WORDS = 3
 # A run of repeated units is cut out if it has so many words,
 RUN_WORDS = 8
@@ -58,11 +58,29 @@ def _digest(words: list[str]) -> bytes:
     return hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
 
+def keys(text: str) -> Iterator[tuple[int, bytes]]:
+    """Number and digest of each unit that has a word.
+
+    Units are normalised to lower-case words with single spaces. A short one says little
+    by itself: its digest is of it and its neighbours in the line, none for a whole line.
+    """
+    parts = list(units(text))
+    words = [text[start:end].lower().split() for start, end, _ in parts]
+    for number, found in enumerate(words):
+        if len(found) >= UNIT_WORDS:
+            yield number, _digest(found)
+        elif found:
+            near = [
+                " ".join(words[other]) if 0 <= other < len(parts) and parts[other][2] == parts[number][2] else ""
+                for other in (number - 1, number, number + 1)
+            ]
+            yield number, _digest(["\n".join(near)])
+
+
 def digests(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_key, unit, again, h1, h2`` per unit of at least UNIT_WORDS words.
+    """``doc_id, text_key, unit, again, h1, h2`` per unit that has a word.
 
-    Units are normalised to lower-case words with single spaces. ``again`` marks a unit
-    that the same text has before.
+    A unit that the same text has before has a second row, marked ``again``.
     """
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,15 +104,12 @@ def digests(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for row, text in enumerate(batch.column(2)):
                 text, seen = text.as_py() or "", set()
-                for number, (start, end, _) in enumerate(units(text)):
-                    words = text[start:end].lower().split()
-                    if len(words) < UNIT_WORDS:
-                        continue
-                    digest = _digest(words)
-                    source.append(row)
-                    unit.append(number)
-                    again.append(digest in seen)
-                    hashes.append(digest)
+                for number, digest in keys(text):
+                    for repeated in (False, True)[: 1 + (digest in seen)]:
+                        source.append(row)
+                        unit.append(number)
+                        again.append(repeated)
+                        hashes.append(digest)
                     seen.add(digest)
                     if len(source) >= _ROWS:
                         yield flush(batch)
@@ -127,10 +142,19 @@ def repeats(docs: DataFrame) -> DataFrame:
     return each.agg(F.collect_set(F.struct("unit", "keep")).alias("repeats"))
 
 
+def _keepers(listed: list[dict]) -> dict[int, int | None]:
+    """Who keeps each repeated unit; an earlier document before the text itself."""
+    found: dict[int, int | None] = {}
+    for unit, keep in ((r["unit"], r["keep"]) for r in listed):
+        if unit not in found or keep is not None and (found[unit] is None or keep < found[unit]):
+            found[unit] = keep
+    return found
+
+
 def cut(text: str, repeated: dict[int, int | None]) -> tuple[str, list[tuple[int, int, int | None]]]:
     """The text without repeated runs, and the runs: ``start, end`` and who keeps them.
 
-    Units too short to be looked up belong to the run on their left while it goes on.
+    A run holds repeated units only.
     """
     parts = list(units(text))
     in_line: dict[int, int] = {}
@@ -141,16 +165,15 @@ def cut(text: str, repeated: dict[int, int | None]) -> tuple[str, list[tuple[int
         if i not in repeated:
             i += 1
             continue
-        j = last = i
-        while j < len(parts) and (j in repeated or len(text[slice(*parts[j][:2])].split()) < UNIT_WORDS):
-            last = j if j in repeated else last
-            j += 1
+        j = i
         words: dict[int, int] = {}
-        for start, end, line in parts[i : last + 1]:
+        while j in repeated:
+            start, end, line = parts[j]
             words[line] = words.get(line, 0) + len(text[start:end].split())
+            j += 1
         whole = any(n == in_line[line] >= LINE_WORDS for line, n in words.items())
         if whole or sum(words.values()) >= RUN_WORDS:
-            runs.append((parts[i][0], parts[last][1], repeated[i]))
+            runs.append((parts[i][0], parts[j - 1][1], repeated[i]))
         i = j
     left, done = [], 0
     for start, end, _ in runs:
@@ -179,7 +202,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             texts, removed, words = [], [], []
             for text, listed in zip(batch.column(1), batch.column(2), strict=True):
                 text, listed = text.as_py() or "", listed.as_py()
-                left, runs = cut(text, {r["unit"]: r["keep"] for r in listed}) if listed else (text, [])
+                left, runs = cut(text, _keepers(listed)) if listed else (text, [])
                 texts.append(left)
                 removed.append(
                     [

@@ -239,3 +239,22 @@ def test_substring_dedup_within_a_text(spark):
     row = substring_dedup.remove_repeats(docs).first()
     assert row.text == f"{line}\n"
     assert [run.keep_id for run in row.removed] == [1]
+
+
+def test_short_lines_of_its_own_stay_between_repeated_lines(spark):
+    """A run passes over a short unit only if an earlier document has it there."""
+    first, second, third = sentences(3, 3)
+    own = "\n".join(f"Name{i} {i}" for i in range(40)) + "\n\u540d\u524d\u306e\u4e00\u89a7"
+    texts = {
+        1: f"{first}\n{second} Yes. {third}",
+        2: f"{first}\n{own}\n{second}",
+        3: f"{second} Yes. {third}",
+        4: f"{second} No. {third}",
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id BIGINT, text STRING")
+    found = {r.doc_id: r for r in substring_dedup.remove_repeats(docs).collect()}
+    assert found[1].text == texts[1]
+    assert found[2].text == f"{own}\n"
+    assert [run.keep_id for run in found[2].removed] == [1, 1]
+    assert found[3].text == ""
+    assert found[4].text.strip() == "No."
