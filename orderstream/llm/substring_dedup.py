@@ -14,18 +14,21 @@ from pyspark.sql import functions as F
 from orderstream.llm.common import stored
 
 # A unit ends with its line, or with a sentence inside a line; white space goes with it.
-_END = re.compile(r"\s*\n\s*|(?<=[.!?])[ \t]+")
+# Full-width marks end a sentence without a space too.
+_END = re.compile(r"\s*\n\s*|(?<=[.!?])[ \t]+|(?<=[。！？｡])(?![。！？｡\s])")
 # A sentence of more characters than this is cut after commas too, so that a passage
 # that begins or ends inside it is still found.
 LONG = 160
-_COMMA = re.compile(r"(?<=[,;:])[ \t]+")
+_COMMA = re.compile(r"(?<=[,;:])[ \t]+|(?<=[，、；：])(?!\s)")
 
-# Units of fewer words are looked up together with their neighbours in the line.
-UNIT_WORDS = 3
-# A run of repeated units is cut out if it has so many words,
-RUN_WORDS = 8
-# or holds a whole line of so many.
-LINE_WORDS = 4
+# Units of fewer words and characters are looked up together with their neighbours in the
+# line. Characters are counted without white space, for scripts that put none between words.
+UNIT_WORDS, UNIT_CHARS = 3, 16
+# A run of repeated units is cut out if it has so many words or characters. Of a shorter
+# one whole lines are cut, of any length if an earlier document has them,
+RUN_WORDS, RUN_CHARS = 8, 24
+# and of so many words or characters if only the text itself has them before.
+LINE_WORDS, LINE_CHARS = 4, 16
 
 # Rows that a task hands on at once.
 _ROWS = 1 << 15
@@ -67,7 +70,7 @@ def keys(text: str) -> Iterator[tuple[int, bytes]]:
     parts = list(units(text))
     words = [text[start:end].lower().split() for start, end, _ in parts]
     for number, found in enumerate(words):
-        if len(found) >= UNIT_WORDS:
+        if len(found) >= UNIT_WORDS or sum(map(len, found)) >= UNIT_CHARS:
             yield number, _digest(found)
         elif found:
             near = [
@@ -151,30 +154,45 @@ def _keepers(listed: list[dict]) -> dict[int, int | None]:
     return found
 
 
-def cut(text: str, repeated: dict[int, int | None]) -> tuple[str, list[tuple[int, int, int | None]]]:
+def cut(
+    text: str, repeated: dict[int, int | None], own: int | None = None
+) -> tuple[str, list[tuple[int, int, int | None]]]:
     """The text without repeated runs, and the runs: ``start, end`` and who keeps them.
 
-    A run holds repeated units only.
+    A run holds repeated units only. ``own`` is the keeper of units that only the text
+    itself has before.
     """
     parts = list(units(text))
-    in_line: dict[int, int] = {}
-    for start, end, line in parts:
-        in_line[line] = in_line.get(line, 0) + len(text[start:end].split())
+    words = [text[start:end].split() for start, end, _ in parts]
+    sizes = [(len(found), sum(map(len, found))) for found in words]
+    lines: dict[int, list[int]] = {}
+    for number, (_, _, line) in enumerate(parts):
+        lines.setdefault(line, []).append(number)
+
+    def reaches(numbers: list[int], least_words: int, least_chars: int) -> bool:
+        found = [sizes[n] for n in numbers]
+        return sum(w for w, _ in found) >= least_words or sum(c for _, c in found) >= least_chars
+
+    whole = set()
+    for numbers in lines.values():
+        if all(n in repeated for n in numbers):
+            earlier = all(repeated[n] != own for n in numbers)
+            if earlier or reaches(numbers, LINE_WORDS, LINE_CHARS):
+                whole.update(numbers)
     runs, i = [], 0
     while i < len(parts):
-        if i not in repeated:
-            i += 1
-            continue
         j = i
-        words: dict[int, int] = {}
         while j in repeated:
-            start, end, line = parts[j]
-            words[line] = words.get(line, 0) + len(text[start:end].split())
             j += 1
-        whole = any(n == in_line[line] >= LINE_WORDS for line, n in words.items())
-        if whole or sum(words.values()) >= RUN_WORDS:
-            runs.append((parts[i][0], parts[j - 1][1], repeated[i]))
-        i = j
+        cuts = range(i, j)
+        if not reaches(list(cuts), RUN_WORDS, RUN_CHARS):
+            cuts = [n for n in cuts if n in whole]
+        for n in cuts:
+            if runs and n != cuts[0] and runs[-1][1] == parts[n][0]:
+                runs[-1] = (runs[-1][0], parts[n][1], runs[-1][2])
+            else:
+                runs.append((*parts[n][:2], repeated[n]))
+        i = max(j, i + 1)
     left, done = [], 0
     for start, end, _ in runs:
         left.append(text[done:start])
@@ -200,9 +218,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, removed, words = [], [], []
-            for text, listed in zip(batch.column(1), batch.column(2), strict=True):
+            for doc_id, text, listed in zip(*batch.columns, strict=True):
                 text, listed = text.as_py() or "", listed.as_py()
-                left, runs = cut(text, _keepers(listed)) if listed else (text, [])
+                left, runs = cut(text, _keepers(listed), doc_id.as_py()) if listed else (text, [])
                 texts.append(left)
                 removed.append(
                     [

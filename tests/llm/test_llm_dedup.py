@@ -258,3 +258,25 @@ def test_short_lines_of_its_own_stay_between_repeated_lines(spark):
     assert [run.keep_id for run in found[2].removed] == [1, 1]
     assert found[3].text == ""
     assert found[4].text.strip() == "No."
+
+
+def test_repeated_lines_of_any_length_are_cut(spark):
+    """Also of one word, and of scripts that put no space between words."""
+    first, second, third, fourth = sentences(8, 4)
+    chinese = "本网站所有内容均由编辑部整理发布，未经许可不得转载。" * 2
+    texts = {
+        1: f"Share\n{first}\n{chinese}\nRead more here",
+        2: f"{second}\nshare\n{chinese}\n{third}\nRead  more here",
+        3: f"Share this. {fourth} 前言各不相同！{chinese}",
+        4: "5\n5\n6\n5",
+        5: f"Read more here. {sentences(9, 1)[0]}",  # a short sentence inside a line
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id BIGINT, text STRING")
+    found = {r.doc_id: r for r in substring_dedup.remove_repeats(docs).collect()}
+    half = chinese[: len(chinese) // 2]
+    assert found[1].text == texts[1].replace(chinese + "\n", half)  # the text repeats it itself
+    assert found[2].text == f"{second}\n{third}\n"
+    assert found[3].text == f"Share this. {fourth} 前言各不相同！"
+    assert found[4].text == texts[4]
+    assert found[5].text == texts[5]
+    assert [run.keep_id for run in found[2].removed] == [1, 1]
