@@ -11,12 +11,9 @@ from orderstream.llm.common import WORD, ranked, stored
 # Weights of the sources in order, repeating.
 WEIGHTS = (3.0, 1.0, 2.0)
 
-# Digits of the sampling hash that are decided per pass, and passes: 36 of 64 bits.
-DIGIT_BITS = 12
-PASSES = 3
-
-# Single documents that may be added per source to close the gap to its target.
-FILLS = 3
+# Digits of the sampling hash that are decided per pass, and passes: all of its 60 bits.
+DIGIT_BITS = 15
+PASSES = 4
 
 
 def words(text: Column) -> Column:
@@ -63,22 +60,54 @@ def targets(
 def _plan(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """Per source: whole repetitions, and which further documents are taken once more.
 
-    ``rows`` has ``source, size, h`` per document, ``h`` a seeded hash. A document is in
-    the fractional repetition if its hash is below the source's ``cut``, found digit by
-    digit: each pass sums sizes by source and digit, pre-aggregated, and keeps the digit
-    in which the needed sum is reached. What is still missing after the last pass is
-    filled with single documents whose size comes nearest to it, ``extra``.
+    ``rows`` has ``source, size, h`` per document, ``h`` a seeded hash. The fractional
+    repetition is gathered in ``rounds``: documents no larger than what is needed
+    (``most``), by hash from ``start`` up to ``cut``, where the next no longer fits. Then
+    the largest single document that fits, ``extra``, and the next round goes on behind
+    the cut. Documents passed over stay too large, as the need only falls; a round and
+    its extra at least halve it unless rows of one hash stop the round. When nothing
+    fits any more, a last document may exceed the target if that comes nearer to it.
     """
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")))
     whole = F.coalesce(whole, F.lit(0)).cast("int")
     need = F.col("target") - whole * F.col("source_size")
     plan = wanted.select("source", "source_size", "target", whole.alias("whole"), need.alias("need"))
-    plan = plan.withColumns({"cut": F.lit(0).cast("bigint"), "took": F.lit(0).cast("bigint")})
+    zero = F.lit(0).cast("bigint")
+    plan = plan.withColumns(
+        {
+            "cut": zero, "took": zero, "extra": F.array().cast("array<bigint>"),
+            "rounds": F.array().cast("array<struct<start: bigint, cut: bigint, most: double>>"),
+        }
+    )
     plan = stored(plan, "mix-plan")
+    while True:
+        plan = _round(rows, plan)
+        found = stored(_single(rows, plan, F.col("need") - F.col("took")), "mix-single")
+        if found.isEmpty():
+            break
+        plan = stored(_added(plan, found), "mix-plan")
+    over = _single(rows, plan, 2 * (F.col("need") - F.col("took")))
+    return stored(_added(plan, over), "mix-plan")
+
+
+def _round(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """The plan with one more round for every source.
+
+    The cut is found digit by digit: each pass sums sizes by source and digit,
+    pre-aggregated, and keeps the digit in which the needed sum is reached.
+    """
+    # The document at the last cut did not fit.
+    start = F.when(F.size("rounds") > 0, F.col("cut") + 1).otherwise(F.col("cut"))
+    plan = plan.withColumns({"start": start, "most": (F.col("need") - F.col("took")).cast("double")})
+    plan = plan.withColumn("cut", F.col("start"))
+    columns = plan.columns
+    fresh = (F.col("h") >= F.col("start")) & (F.col("size") <= F.col("most"))
+    fresh = fresh & ~F.array_contains("extra", F.col("h"))
     for step in range(1, PASSES + 1):
         shift = 60 - DIGIT_BITS * step  # hashes have 60 bits
         above = shift + DIGIT_BITS
-        open_rows = _with(rows, plan).where(F.shiftright("h", above) == F.shiftright("cut", above))
+        same = F.lit(True) if step == 1 else F.shiftright("h", above) == F.shiftright("cut", above)
+        open_rows = _with(rows, plan).where(fresh & same)
         digit = F.shiftright("h", shift)
         sums = open_rows.groupBy("source", digit.alias("digit")).agg(F.sum("size").alias("size"))
         upto = F.sum("size").over(Window.partitionBy("source").orderBy("digit"))
@@ -92,31 +121,38 @@ def _plan(rows: DataFrame, wanted: DataFrame) -> DataFrame:
         )
         # Every digit below the first that no longer fits is taken.
         cut = F.shiftleft(F.coalesce("stop", F.col("last") + 1), shift)
-        plan = plan.join(ends, F.col("source").eqNullSafe(F.col("s")), "left").select(
-            "source", "source_size", "target", "whole", "need",
-            F.coalesce(cut, F.col("cut")).alias("cut"),
-            (F.col("took") + F.coalesce("more", F.lit(0))).alias("took"),
-        )
-        plan = stored(plan, "mix-plan")
-    plan = stored(plan.withColumn("extra", F.array().cast("array<bigint>")), "mix-plan")
-    for _ in range(FILLS):
-        gap = F.col("need") - F.col("took")
-        free = (F.col("h") >= F.col("cut")) & ~F.array_contains("extra", F.col("h"))
-        near = (F.col("size") > 0) & (F.col("size") < 2 * gap)
-        left = _with(rows, plan).where(free & near)
-        # Rows equal in doc_id and text share a hash and are taken together.
-        left = left.groupBy("source", "h", "need", "took").agg(F.sum("size").alias("size"))
-        best = left.where(near).groupBy(F.col("source").alias("s")).agg(
-            F.min_by(F.struct("h", "size"), F.struct(F.abs(gap - F.col("size")), "h")).alias("best")
-        )
-        plan = plan.join(best, F.col("source").eqNullSafe(F.col("s")), "left").select(
-            "source", "source_size", "target", "whole", "need", "cut",
-            (F.col("took") + F.coalesce("best.size", F.lit(0))).alias("took"),
-            F.when(F.col("best").isNull(), F.col("extra"))
-            .otherwise(F.array_append("extra", F.col("best.h"))).alias("extra"),
+        plan = plan.join(ends, F.col("source").eqNullSafe(F.col("s")), "left").withColumns(
+            {
+                "cut": F.coalesce(cut, F.col("cut")),
+                "took": F.col("took") + F.coalesce("more", F.lit(0)),
+            }
         )
-        plan = stored(plan, "mix-plan")
-    return plan
+        plan = stored(plan.select(*columns), "mix-plan")
+    this = F.struct("start", "cut", "most")
+    return stored(plan.withColumn("rounds", F.array_append("rounds", this)).drop("start", "most"), "mix-plan")
+
+
+def _single(rows: DataFrame, plan: DataFrame, below: Column) -> DataFrame:
+    """``s, best``: the untaken document of each source that comes nearest to its need.
+
+    Only documents of at most ``below`` words, and less than twice what is needed.
+    """
+    gap = F.col("need") - F.col("took")
+    near = (F.col("size") > 0) & (F.col("size") < 2 * gap) & (F.col("size") <= below)
+    left = _with(rows, plan).where(~_taken() & near)
+    # Rows equal in doc_id and text share a hash and are taken together.
+    left = left.groupBy("source", "h", "need", "took").agg(F.sum("size").alias("size"))
+    return left.where(near).groupBy(F.col("source").alias("s")).agg(
+        F.min_by(F.struct("h", "size"), F.struct(F.abs(gap - F.col("size")), "h")).alias("best")
+    )
+
+
+def _added(plan: DataFrame, found: DataFrame) -> DataFrame:
+    columns = plan.columns
+    plan = plan.join(found, F.col("source").eqNullSafe(F.col("s")), "left")
+    more = F.when(F.col("best").isNull(), F.col("extra")).otherwise(F.array_append("extra", F.col("best.h")))
+    plan = plan.withColumns({"took": F.col("took") + F.coalesce("best.size", F.lit(0)), "extra": more})
+    return plan.select(*columns)
 
 
 def _with(rows: DataFrame, plan: DataFrame) -> DataFrame:
@@ -130,9 +166,16 @@ def sampling_hash(seed: int) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "text"), 4)
 
 
+def _taken() -> Column:
+    """Whether a document is in the fractional repetition."""
+    in_round = F.exists(
+        "rounds", lambda r: (F.col("h") >= r["start"]) & (F.col("h") < r["cut"]) & (F.col("size") <= r["most"])
+    )
+    return in_round | F.array_contains("extra", F.col("h"))
+
+
 def _repeats() -> Column:
-    taken = (F.col("h") < F.col("cut")) | F.array_contains("extra", F.col("h"))
-    return F.col("whole") + taken.cast("int")
+    return F.col("whole") + _taken().cast("int")
 
 
 def mixed(
@@ -171,7 +214,8 @@ def repeat_documents(
     to broadcast.
     """
     _, plan = mixed(docs, seed, share, max_epochs)
-    rows = docs.select("source", sampling_hash(seed).alias("h"), F.struct("*").alias("row"))
+    size = words(F.col("text")).alias("size")
+    rows = docs.select("source", size, sampling_hash(seed).alias("h"), F.struct("*").alias("row"))
     times = _with(rows, plan).select("row", _repeats().alias("times"))
     copies = F.array_repeat(F.lit(0), F.col("times"))
     return times.select("row", F.explode(copies).alias("copy")).select("row.*")

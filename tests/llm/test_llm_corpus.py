@@ -71,6 +71,30 @@ def test_mix(spark, sf_dir):
     assert rows == Counter({r.doc_id: r.repeats for r in found if r.repeats})
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_a_very_long_document_leaves_no_gap(spark, seed):
+    """Nothing that still fits is left out, wherever a long document lies in hash order."""
+    rnd = random.Random(seed)
+    sizes = {"a": [500] * 300 + [300_000], "b": [rnd.randint(1, 900) for _ in range(200)] + [50_000] * 2}
+    rows = [(f"{s}{i}", s, "w " * n) for s, each in sizes.items() for i, n in enumerate(each)]
+    rows += [row for row in rows if row[1] == "b" and row[0] < "b12"]  # repeated rows
+    docs = spark.createDataFrame(rows, "doc_id STRING, source STRING, text STRING").repartition(3)
+    found = mixing.mix(docs, seed, 1.3, 1.3).collect()
+    for source in sizes:
+        some = [r for r in found if r.source == source]
+        once: Counter = Counter()
+        for r in some:
+            if r.repeats == min(x.repeats for x in some):
+                once[r.doc_id] += r["size"]
+        gap = some[0].target - sum(r.taken for r in some)
+        assert abs(gap) < min(size for size in once.values() if size)
+    rows = Counter(r.doc_id for r in mixing.repeat_documents(docs, seed, 1.3, 1.3).select("doc_id").collect())
+    expected: Counter = Counter()
+    for r in found:
+        expected[r.doc_id] += r.repeats
+    assert rows == +expected
+
+
 def test_global_ranks(spark):
     values = random.Random(3).sample(range(10**6), 3000)
     rows = spark.createDataFrame([(v,) for v in values], "v BIGINT").repartition(7)
