@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from orderstream.llm import (
     exact_dedup,
+    hard_negatives,
     html_text,
+    lexical,
     lm_scoring,
     mixing,
     packing,
@@ -18,6 +20,7 @@ from orderstream.llm import (
     simhash,
     substring_dedup,
     token_output,
+    warc,
 )
 from orderstream.llm.common import documents
 
@@ -96,6 +99,25 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.char_length("text").cast("bigint"))
 
 
+def op11_hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; every seventh has a wrong label."""
+    label = F.col("label").cast("bigint")
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+    return hard_negatives.mine(rows)
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    return lexical.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as it is read back from the archives written of all pages."""
+    index = warc.write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return warc.read_records(index, payloads=False).drop("url")
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -109,5 +131,8 @@ QUERIES: dict[str, Query] = {
         op8_personal_data,
         op9_mixing,
         op10_html_extraction,
+        op11_hard_negative_mining,
+        op12_ranked_search,
+        op13_warc,
     )
 }

@@ -71,6 +71,72 @@ _QUALITY = rf"""
     FROM c LEFT JOIN d ON c.doc_id = d.doc_id
 """
 
+_NEGATIVES = """
+    WITH given AS (
+        SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x, CAST(label AS BIGINT) AS y
+        FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL),
+    e AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (y + 1) % 10 ELSE y END AS label,
+               list_transform(x, lambda v: floor(256 * v)) AS q
+        FROM given
+        WHERE len(list_filter(x, lambda v: v IS NULL OR NOT isfinite(v))) = 0),
+    s AS (
+        SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+               CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+        FROM e AS a JOIN e AS b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+    p AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT anchor_id, positive_id,
+           CAST(row_number() OVER (PARTITION BY anchor_id, positive_id
+                                   ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+           vec_id AS negative_id, positive_score, score AS negative_score
+    FROM p JOIN s USING (anchor_id)
+    WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+    QUALIFY rank <= 10
+"""
+
+_TERMS = r"""regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+_SEARCH = f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS ts FROM documents),
+    c AS (SELECT count(*) FILTER (len(ts) > 0) AS docs, sum(len(ts)) AS terms FROM d),
+    i AS (SELECT row_number() OVER () AS item, item_id, {_TERMS} AS ts FROM benchmark),
+    q AS (SELECT item, term, count(*) AS repeats
+          FROM (SELECT item, unnest(ts) AS term FROM i) GROUP BY item, term),
+    t AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ts) AS term FROM d)
+          WHERE term IN (SELECT term FROM q) GROUP BY r, term),
+    w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+          FROM t, c GROUP BY term, docs),
+    m AS (SELECT r, doc_id, 75 + CAST((25 * len(ts) * docs) // terms AS BIGINT) AS m FROM d, c),
+    s AS (SELECT item, r, sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS score
+          FROM t JOIN m USING (r) JOIN w USING (term) JOIN q USING (term) GROUP BY item, r)
+    SELECT item_id,
+           CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank,
+           doc_id, CAST(score AS BIGINT) AS score
+    FROM s JOIN m USING (r) JOIN i USING (item) WHERE score > 0
+    QUALIFY rank <= 20
+"""
+
+# Base 32 of the 160 bits of a SHA-1, from its 40 hex digits.
+_WARC = """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+    h AS (SELECT *, sha1(html) AS hex FROM p),
+    b AS (SELECT *, array_to_string(list_transform(range(1, 41),
+                 lambda i: right('000' || bin(strpos('0123456789abcdef', hex[i]) - 1), 4)), '') AS bits
+          FROM h),
+    d AS (SELECT *, array_to_string(list_transform(range(0, 32),
+                 lambda i: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + list_sum(list_transform(
+                     range(1, 6), lambda j: CAST(bits[5 * i + j] AS BIGINT) << (5 - j)))::INTEGER]), '') AS digest
+          FROM b)
+    SELECT page_id, strlen(html) AS payload_bytes, digest AS payload_digest,
+           CASE WHEN row_number() OVER latest = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN row_number() OVER latest > 1 THEN first_value(page_id) OVER latest END AS refers_to
+    FROM d WINDOW latest AS (PARTITION BY html ORDER BY page_id DESC NULLS LAST)
+"""
+
 ORACLE: dict[str, str] = {
     "op3_exact_dedup": f"""
         WITH d AS (SELECT doc_id, sha256({_NORM}) AS text_sha256, {_NORM} AS norm FROM documents)
@@ -79,4 +145,7 @@ ORACLE: dict[str, str] = {
         FROM d WINDOW same AS (PARTITION BY norm)
     """,
     "op4_quality_rules": _QUALITY,
+    "op11_hard_negative_mining": _NEGATIVES,
+    "op12_ranked_search": _SEARCH,
+    "op13_warc": _WARC,
 }
