@@ -63,9 +63,13 @@ class Settings:
     # Where messages come from: "kafka", or "files" for a folder of Parquet segments.
     source_format: str = "kafka"
     topic_root: str = ""
-    # Most that a batch takes from a file topic: files, or else bytes.
+    # Most that a batch takes from a file topic: files, or else bytes, or else the files
+    # that hold at most max_offsets_per_trigger messages.
     max_files_per_trigger: int | None = None
-    max_bytes_per_trigger: int = 1 << 30
+    max_bytes_per_trigger: int | None = None
+    # Where a file topic begins: earliest, latest (segments that come after the first
+    # start with this checkpoint_root), or after segments of a time, e.g. 2024-11-06T00:00:00Z.
+    file_start: str = "earliest"
     # Messages before this time are passed over, e.g. 2024-11-06T00:00:00Z (empty: none are).
     starting_time: str = ""
     # Split a large topic partition over several tasks (0 = one task per partition).
@@ -82,14 +86,13 @@ class Settings:
     key_cities: tuple[str, ...] = KEY_CITIES
     # Keyed results: our Parquet hash table, or any DataFrame sink of the deployment.
     store_path: str = ""
+    # A table of every batch the queries run, if wanted.
+    batch_table: str = ""
     store_format: str = "hashes"
     store_options: Mapping[str, str] = field(default_factory=dict)
-    compact_every: int = 500
 
-    # Dictionary lookup: largest index that may be broadcast, and how many ways a
-    # bucket is split when it may not.
+    # Dictionary lookup: largest index that may be broadcast.
     geo_broadcast_bytes: int = 512 * 1024 * 1024
-    geo_salts: int = 16
     # Format of the dictionary table: a DataFrame source, csv with a header.
     region_format: str = "parquet"
 

@@ -9,9 +9,16 @@ from orderstream.functions.orders import (
     status_label,
     user_id,
 )
-from orderstream.functions.text import is_usable, region_city, region_province
+from orderstream.functions.text import (
+    is_usable,
+    read_name,
+    region_city,
+    region_province,
+    stored_name,
+)
 
 __all__ = [
     "ipv4_number", "ipv4_text", "is_usable", "money_text", "order_id", "order_time",
-    "order_timestamp", "region_city", "region_province", "status_label", "user_id",
+    "order_timestamp", "read_name", "region_city", "region_province", "status_label", "stored_name",
+    "user_id",
 ]

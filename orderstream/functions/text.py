@@ -1,4 +1,4 @@
-"""Message lines and region texts."""
+"""Message lines, region texts and stored names."""
 
 from __future__ import annotations
 
@@ -33,3 +33,20 @@ def region_province(region: Column) -> Column:
 def region_city(region: Column) -> Column:
     """Fourth field of a five-field region text, otherwise null."""
     return _region_field(region, _CITY)
+
+
+# Stands for a missing key or field name; texts that look like it get a backslash in front.
+MISSING = "null"
+
+
+def stored_name(name: Column) -> Column:
+    """A key or field name as it is stored: a missing one apart from every text."""
+    text = name.cast("string")
+    escaped = F.when(text.rlike(rf"^\\*{MISSING}$"), F.concat(F.lit("\\"), text)).otherwise(text)
+    return F.coalesce(escaped, F.lit(MISSING))
+
+
+def read_name(stored: Column) -> Column:
+    """The name that was stored, null if it was missing."""
+    plain = F.when(stored.rlike(rf"^\\+{MISSING}$"), F.substring(stored, 2, 1 << 30)).otherwise(stored)
+    return F.when(stored != MISSING, plain)

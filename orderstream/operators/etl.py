@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderstream.operators.counts import Counts
 from orderstream.operators.geo import GeoIndex, locate
 from orderstream.operators.messages import ETL_FIELDS, order_fields, position_columns
 
@@ -14,18 +15,34 @@ from orderstream.operators.messages import ETL_FIELDS, order_fields, position_co
 OPEN = "0"
 
 
-def order_etl(messages: DataFrame, index: GeoIndex, keep: Sequence[str] = ()) -> DataFrame:
+def order_etl(
+    messages: DataFrame, index: GeoIndex, keep: Sequence[str] = (), counts: Counts | None = None
+) -> DataFrame:
     """All orders whatever their status: seven string columns."""
-    return locate(_fields(messages, keep), "ip", index).select(*keep, *ETL_FIELDS)
+    return _located(_fields(messages, keep, counts), index, keep, counts)
 
 
-def order_etl_open(messages: DataFrame, index: GeoIndex, keep: Sequence[str] = ()) -> DataFrame:
+def order_etl_open(
+    messages: DataFrame, index: GeoIndex, keep: Sequence[str] = (), counts: Counts | None = None
+) -> DataFrame:
     """Open orders only; the others are dropped before the address is looked up."""
-    fields = _fields(messages, keep).where(F.col("orderStatus") == OPEN)
-    return locate(fields, "ip", index).select(*keep, *ETL_FIELDS)
+    fields = _fields(messages, keep, counts).where(F.col("orderStatus") == OPEN)
+    return _located(fields, index, keep, counts)
 
 
-def _fields(messages: DataFrame, keep: Sequence[str]) -> DataFrame:
+def _located(
+    fields: DataFrame, index: GeoIndex, keep: Sequence[str], counts: Counts | None
+) -> DataFrame:
+    found = locate(fields, "ip", index)
+    if counts:
+        found = counts.places(found)
+    return found.select(*keep, *ETL_FIELDS)
+
+
+def _fields(messages: DataFrame, keep: Sequence[str], counts: Counts | None) -> DataFrame:
     """Order fields with the message position, which a shuffled lookup spreads rows by."""
     position = [name for name in position_columns(messages) if name not in keep]
-    return order_fields(messages, (*keep, *position))
+    if counts:
+        messages = counts.lines(messages)
+    fields = order_fields(messages, (*keep, *position))
+    return counts.fields(fields) if counts else fields

@@ -10,7 +10,8 @@ in gives one row out.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+import math
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +26,11 @@ CROWDED = 64
 FINE_KEYS = 65536
 NO_ADDRESS = -1
 
+# Most buckets that are looked for as hot, and the counters with which they are found:
+# a bucket of more than one row in that many cannot be missed.
+HOT_BUCKETS = 1024
+HOT_COUNTERS = 8192
+
 # Upper bound of a broadcast row: five fixed fields, two texts and the row's share
 # of the hash table, whose memory grows by doubling.
 _ROW_BYTES = 224
@@ -38,14 +44,15 @@ class BadRanges(ValueError):
 class GeoIndex:
     """Cut ranges ready to join: ``_bucket, _lo, _hi, province, city``.
 
-    ``crowded`` lists the /16 buckets that are cut at /24 borders, if any.
+    ``crowded`` lists the /16 buckets that are cut at /24 borders, if any. ``hot`` has
+    the keys that many rows share and over how many tasks to spread each of them.
     """
 
     pieces: DataFrame
     crowded: DataFrame | None
     size_bytes: int
     broadcast_bytes: int
-    salts: int
+    hot: dict[int, int] = field(default_factory=dict)
 
     @property
     def broadcast(self) -> bool:
@@ -63,7 +70,7 @@ class GeoIndex:
 
 
 def build_index(
-    ranges: DataFrame, broadcast_bytes: int = 512 * 1024 * 1024, salts: int = 16
+    ranges: DataFrame, broadcast_bytes: int = 512 * 1024 * 1024
 ) -> GeoIndex:
     """Check a dictionary ``lo, hi, province, city`` and cut it into buckets.
 
@@ -120,7 +127,7 @@ def build_index(
     pieces = pieces.withColumnsRenamed({"bucket": "_bucket", "lo": "_lo", "hi": "_hi"})
     rows = facts.pieces + 256 * seen.crowded
     size = rows * (_ROW_BYTES + 2 * facts.text)
-    return GeoIndex(pieces, crowded, size, broadcast_bytes, salts)
+    return GeoIndex(pieces, crowded, size, broadcast_bytes)
 
 
 def _cut(ranges: DataFrame, bits: int) -> DataFrame:
@@ -128,8 +135,8 @@ def _cut(ranges: DataFrame, bits: int) -> DataFrame:
     return ranges.select(F.explode(buckets).alias("bucket"), "lo", "hi", "province", "city")
 
 
-def locate(rows: DataFrame, ip: str, index: GeoIndex) -> DataFrame:
-    """Add ``province`` and ``city`` of a dotted address; null where none is known."""
+def _keyed(rows: DataFrame, ip: str, index: GeoIndex) -> DataFrame:
+    """Rows with the number of their address and the key on which they meet its range."""
     # Never null: a nullable join key makes the optimizer test it for null ahead of
     # the join, which would parse every address (and its message) a second time.
     number = F.coalesce(ipv4_number(F.col(ip)), F.lit(NO_ADDRESS))
@@ -140,7 +147,30 @@ def locate(rows: DataFrame, ip: str, index: GeoIndex) -> DataFrame:
         numbered = numbered.join(crowded, key == F.col("_crowded"), "left")
         fine = F.shiftright("_ip", FINE_BITS) + FINE_KEYS
         key = F.when(F.col("_crowded").isNotNull(), fine).otherwise(key)
-    found = _join(numbered.withColumn("_key", key), index)
+    return numbered.withColumn("_key", key)
+
+
+def with_hot_keys(index: GeoIndex, rows: DataFrame, ip: str) -> GeoIndex:
+    """The index with the keys that are hot among ``rows``, for a lookup that shuffles.
+
+    One pass counts keys in a sketch of HOT_COUNTERS counters per task; sketches of tasks
+    merge. A key with more rows than half a task's share is hot and cut into quarters of
+    such a share. A stream takes what its topic has so far. A broadcast lookup needs none
+    of it.
+    """
+    if index.broadcast:
+        return index
+    keys = _keyed(rows.select(ip), ip, index).where(F.col("_ip") != NO_ADDRESS)
+    sketch = F.expr(f"approx_top_k(_key, {HOT_BUCKETS}, {HOT_COUNTERS})").alias("top")
+    found = keys.agg(sketch, F.count("*").alias("n")).first()
+    share = max(found.n / _tasks(rows), 4)
+    hot = {row.item: math.ceil(4 * row["count"] / share) for row in found.top or [] if row["count"] > share / 2}
+    return replace(index, hot=hot)
+
+
+def locate(rows: DataFrame, ip: str, index: GeoIndex) -> DataFrame:
+    """Add ``province`` and ``city`` of a dotted address; null where none is known."""
+    found = _join(_keyed(rows, ip, index), index)
     return found.select(*rows.columns, "province", "city")
 
 
@@ -150,20 +180,41 @@ def _join(rows: DataFrame, index: GeoIndex) -> DataFrame:
     if index.broadcast:
         return rows.join(F.broadcast(index.pieces), same_bucket & inside, "left")
 
-    # Too large to broadcast: both sides are shuffled. Rows of one bucket spread over
-    # the salts and every piece is sent to all of them; rows without an address
+    # Too large to broadcast: both sides are shuffled. Rows of a hot key spread over its
+    # salts, and only its pieces are sent to all of them; rows without an address
     # get buckets of their own below zero instead of meeting in one task.
     turn = F.col("_turn")
     alone = F.when(F.col("_ip") == NO_ADDRESS, -1 - F.pmod(turn, F.lit(1 << 20)))
     spread = (
         rows.withColumn("_turn", _turn(rows))
-        .withColumn("_salt", F.pmod(turn, F.lit(index.salts)).cast("int"))
+        .withColumn("_salt", F.pmod(turn, _salts(index, "_key")).cast("int"))
         .withColumn("_key", alone.otherwise(F.col("_key")))
         .drop("_turn")
     )
-    copies = F.explode(F.sequence(F.lit(0), F.lit(index.salts - 1)))
-    salted = index.pieces.withColumn("_copy", copies).hint(_shuffle_join(rows, index))
-    return spread.join(salted, same_bucket & (F.col("_salt") == F.col("_copy")) & inside, "left")
+    pieces, copy = index.pieces, F.lit(0)
+    if index.hot:
+        copies = F.explode(F.sequence(F.lit(0), _salts(index, "_bucket") - 1))
+        hot = pieces.where(F.col("_bucket").isin(*index.hot))
+        pieces = (
+            pieces.where(~F.col("_bucket").isin(*index.hot)).withColumn("_copy", copy)
+            .unionByName(hot.withColumn("_copy", copies))
+        )
+    else:
+        pieces = pieces.withColumn("_copy", copy)
+    pieces = pieces.hint(_shuffle_join(rows, index))
+    return spread.join(pieces, same_bucket & (F.col("_salt") == F.col("_copy")) & inside, "left")
+
+
+def _salts(index: GeoIndex, key: str) -> Column:
+    """Over how many tasks the rows of a key go."""
+    if not index.hot:
+        return F.lit(1)
+    known = F.create_map(*(F.lit(part) for pair in index.hot.items() for part in pair))
+    return F.coalesce(F.try_element_at(known, F.col(key).cast("int")), F.lit(1))
+
+
+def _tasks(rows: DataFrame) -> int:
+    return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
 
 
 def _turn(rows: DataFrame) -> Column:
@@ -180,6 +231,5 @@ def _turn(rows: DataFrame) -> Column:
 
 def _shuffle_join(rows: DataFrame, index: GeoIndex) -> str:
     """Hash the dictionary while its share of a task is small, else sort and merge."""
-    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    per_task = index.size_bytes * index.salts // max(tasks, 1)
+    per_task = index.size_bytes // _tasks(rows)
     return "shuffle_hash" if per_task <= 128 * 1024 * 1024 else "merge"

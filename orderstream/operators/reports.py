@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderstream.functions.text import stored_name
 from orderstream.operators.messages import POSITION
 
 # Constant columns of the wide reports.
@@ -20,6 +21,13 @@ LONG_LIST = 1000
 _MAX_CENTS = 1e15
 
 
+def money_split(money: Column) -> tuple[Column, Column]:
+    """An amount as whole cents or, where it has none, as all else; the other is null."""
+    cents = F.rint(money * 100)
+    whole = (F.abs(cents) < _MAX_CENTS) & (cents / 100 == money)
+    return F.when(whole, cents.try_cast("bigint").cast("decimal(18,0)")), F.when(~whole, money)
+
+
 def money_parts(money: Column) -> tuple[Column, Column]:
     """Two sums that make up a sum of doubles: whole cents, exactly, and all else.
 
@@ -27,10 +35,8 @@ def money_parts(money: Column) -> tuple[Column, Column]:
     or non-finite values) is added as doubles, so no amount is rounded or lost. Nulls are
     skipped; either sum is null if nothing went into it.
     """
-    cents = F.rint(money * 100)
-    whole = (F.abs(cents) < _MAX_CENTS) & (cents / 100 == money)
-    exact = F.sum(F.when(whole, cents.try_cast("bigint").cast("decimal(18,0)")))
-    return exact, F.sum(F.when(~whole, money))
+    cents, rest = money_split(money)
+    return F.sum(cents), F.sum(rest)
 
 
 def _amount(cents: Column, rest: Column) -> Column:
@@ -67,8 +73,12 @@ def amt_by_place(rows: DataFrame) -> DataFrame:
     """``cents, rest, province, city``: sums in two parts, from which all other sums follow.
 
     Whole cents stay integers, so any report taken of the result equals that of the rows.
+    ``rows`` may be such sums themselves.
     """
-    cents, rest = money_parts(F.col("money"))
+    if "cents" in rows.columns:
+        cents, rest = F.sum("cents"), F.sum("rest")
+    else:
+        cents, rest = money_parts(F.col("money"))
     parts = rows.groupBy("province", "city").agg(cents.alias("cents"), rest.alias("rest"))
     return parts.select("cents", "rest", "province", "city")
 
@@ -89,19 +99,17 @@ def key_city_amount(rows: DataFrame, cities: Sequence[str]) -> DataFrame:
     return amt_by_city(key_city_rows(rows, cities))
 
 
-def key_city_latest(
-    rows: DataFrame, cities: Sequence[str] | None, keep_position: bool = False
-) -> DataFrame:
+def key_city_latest(rows: DataFrame, cities: Sequence[str] | None) -> DataFrame:
     """Newest row per city by its position in the topic, whenever it arrives.
 
-    ``cities=None`` keeps every city.
+    A stream keeps the newest row and its position as state, so a late row that is older
+    changes nothing. ``cities=None`` keeps every city.
     """
-    names = ["money", "province", *(POSITION if keep_position else ())]
     if cities is None:
         chosen = rows.where(F.col("city").isNotNull())
     else:
         chosen = key_city_rows(rows, cities)
-    newest = F.max_by(F.struct(*names), F.struct(*POSITION))
+    newest = F.max_by(F.struct("money", "province"), F.struct(*POSITION))
     return chosen.groupBy("city").agg(newest.alias("newest")).select("city", "newest.*")
 
 
@@ -121,3 +129,14 @@ def pivot_city(by_city: DataFrame, cities: Sequence[str] | None = None) -> DataF
     groups = by_city.withColumn("total", F.lit(GLOBAL)).groupBy("total")
     wide = groups.pivot("city") if cities is None else groups.pivot("city", list(cities))
     return wide.sum("total_amt")
+
+
+def city_map(by_city: DataFrame) -> DataFrame:
+    """``total, amounts``: all cities in one row, as a map from city to amount.
+
+    However many cities there are, the row has two columns and is found without a look
+    at the names. A missing city is called as it is in stored hashes.
+    """
+    entries = F.collect_list(F.struct(stored_name(F.col("city")), F.col("total_amt")))
+    row = by_city.agg(F.map_from_entries(entries).alias("amounts"))
+    return row.select(F.lit(GLOBAL).alias("total"), "amounts").where(F.size("amounts") > 0)

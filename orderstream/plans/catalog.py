@@ -2,27 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from orderstream import functions as fn
 from orderstream.config import Settings
 from orderstream.functions.orders import ORDER_ID_TIME, ORDER_TIME
-from orderstream.operators import dashboard, etl, geo, reports
+from orderstream.operators import counts, dashboard, etl, geo, reports
 from orderstream.operators import messages as msg
 from orderstream.plans import tables
 from orderstream.session import scratch, stored_once
-from orderstream.sinks import hashes
+from orderstream.sinks import fields, hashes
 from orderstream.sinks.messages import publish
-from orderstream.sources.messages import read_messages
-from orderstream.streaming import control, jobs
+from orderstream.sources.messages import newest_segment, read_messages
+from orderstream.streaming import batches, control, jobs, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+_COUNT_NAMES = [name.partition(".")[2] for name in counts.ALL]
+_COUNT_SCHEMA = ", ".join(f"{name} BIGINT" for name in _COUNT_NAMES)
+
 
 # -- lines and fields ---------------------------------------------------------------
 
@@ -142,6 +145,16 @@ def geo_lookup_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _located(spark, sf_dir, index)
 
 
+def geo_lookup_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nine tenths of the addresses in one /16, found by a sketch and spread over all tasks."""
+    small = F.col("o_orderkey") % 65536
+    number = F.when(F.col("o_orderkey") % 10 == 0, tables.address_number()).otherwise(small)
+    orders = tables.spread(tables.table(spark, sf_dir, "orders"))
+    rows = orders.select("o_orderkey", fn.ipv4_text(number).alias("ip"))
+    index = replace(tables.geo_index(spark, sf_dir), broadcast_bytes=-1)
+    return geo.locate(rows, "ip", geo.with_hot_keys(index, rows, "ip"))
+
+
 def geo_lookup_crowded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items located in a dictionary of many tiny neighbouring ranges."""
     index = geo.build_index(tables.supplier_ranges(spark, sf_dir))
@@ -215,6 +228,23 @@ def pivot_city(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.pivot_city(amt_by_city(spark, sf_dir), tables.KEY_CITIES)
 
 
+def pivot_city_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide row with all cities in one map, as fields of its hash."""
+    wide = reports.city_map(amt_by_city(spark, sf_dir))
+    entries = fields.map_fields(wide, "orders:citymoney", "total", "amounts")
+    return entries.select("key", "field", F.col("value").cast("double").alias("amount"))
+
+
+def etl_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the ETL drops and misses among orders and noise, counted in its own pass."""
+    seen = counts.Counts()
+    rows = etl.order_etl(
+        tables.mixed_messages(spark, sf_dir), tables.geo_index(spark, sf_dir), counts=seen
+    )
+    seen.amounts(rows).write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([seen.found()], _COUNT_SCHEMA)
+
+
 def pivot_city_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The wide row with the cities found in the data as columns."""
     return reports.pivot_city(stored_once(amt_by_city(spark, sf_dir)))
@@ -233,7 +263,7 @@ def _city_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keyed_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newest row per key city as hash fields."""
-    return hashes.hash_fields(key_city_latest(spark, sf_dir), "orders:citymoney", "city")
+    return fields.hash_fields(key_city_latest(spark, sf_dir), "orders:citymoney", "city")
 
 
 def dashboard_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -260,11 +290,6 @@ def _settings(spark: SparkSession, name: str) -> Settings:
     )
 
 
-def _finish(query: StreamingQuery) -> StreamingQuery:
-    query.awaitTermination()
-    return query
-
-
 def _publish_segments(
     spark: SparkSession, sf_dir: str, settings: Settings, messages: DataFrame
 ) -> Settings:
@@ -288,20 +313,19 @@ def _stream_rows(spark: SparkSession, sf_dir: str, settings: Settings) -> DataFr
     return msg.typed_rows(rows, msg.POSITION)
 
 
-def _finish(spark: SparkSession, query: StreamingQuery, settings: Settings) -> None:
+def _finish(query: StreamingQuery) -> None:
     """Wait for the end of the input, which must have come in several batches."""
     query.awaitTermination()
-    batches = control.file_batches(spark, settings, query.name)
-    found = batches.agg(F.count_distinct("batch_id"), F.count("*")).first()
-    if found[0] < 2 <= found[1]:
-        raise RuntimeError(f"{query.name} read {found[1]} segments in one batch")
+    read = [step["numInputRows"] for step in query.recentProgress if step["numInputRows"]]
+    if len(read) == 1 and read[0] > 1:
+        raise RuntimeError(f"{query.name} read its input in {len(read)} batches")
 
 
 def _etl_stream(
     spark: SparkSession, sf_dir: str, name: str, index: geo.GeoIndex, open_only: bool = False
 ) -> DataFrame:
     settings = _stream(spark, sf_dir, name)
-    _finish(spark, jobs.start_etl(spark, settings, index, open_only=open_only), settings)
+    _finish(jobs.start_etl(spark, settings, index, open_only=open_only))
     written = read_messages(spark, settings, settings.etl_topic, streaming=False)
     return msg.json_fields(msg.message_filter(written), msg.ETL_FIELDS)
 
@@ -324,7 +348,7 @@ def s_order_etl_open(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _run_report(spark: SparkSession, sf_dir: str, name: str, report: jobs.Report) -> str:
     settings = _stream(spark, sf_dir, name)
     rows = _stream_rows(spark, sf_dir, settings)
-    _finish(spark, jobs.start_report(spark, settings, report, rows), settings)
+    _finish(jobs.start_report(spark, settings, report, rows))
     return settings.store_path
 
 
@@ -345,7 +369,7 @@ def s_amt_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
 def s_key_city_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     settings = _stream(spark, sf_dir, "s_key_city_rows")
     rows = _stream_rows(spark, sf_dir, settings)
-    _finish(spark, jobs.start_key_city_rows(spark, settings, rows, settings.store_path), settings)
+    _finish(jobs.start_key_city_rows(spark, settings, rows, settings.store_path))
     schema = "money DOUBLE, province STRING, city STRING"
     return spark.read.schema(schema).parquet(settings.store_path)
 
@@ -371,18 +395,20 @@ def s_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     control.run_all(spark, queries)
     for query in queries:
-        _finish(spark, query, settings)
+        _finish(query)
     return dashboard.dashboard_feed(jobs.stored_cities(spark, settings.store_path))
 
 
 def s_two_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw topic -> ETL job -> ETL topic -> all reports side by side; all that they store."""
     settings = _stream(spark, sf_dir, "s_two_jobs")
-    _finish(spark, jobs.start_etl(spark, settings, tables.geo_index(spark, sf_dir)), settings)
+    _finish(jobs.start_etl(spark, settings, tables.geo_index(spark, sf_dir)))
     messages = read_messages(spark, settings, settings.etl_topic)
     rows = msg.report_rows(messages, msg.POSITION)
     queries = [jobs.start_report(spark, settings, report, rows) for report in jobs.REPORTS]
     control.run_all(spark, queries)
+    for query in queries:
+        _finish(query)
     return _stored_fields(spark, settings.store_path)
 
 
@@ -394,7 +420,7 @@ def s_sums_together(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     settings = _publish_segments(spark, sf_dir, settings, msg.etl_envelope(rows, msg.POSITION))
     messages = read_messages(spark, settings, settings.source_topic)
-    _finish(spark, jobs.start_sums(spark, settings, msg.report_rows(messages, msg.POSITION)), settings)
+    _finish(jobs.start_sums(spark, settings, msg.report_rows(messages, msg.POSITION)))
     return _stored_fields(spark, settings.store_path)
 
 
@@ -406,50 +432,121 @@ def _stored_fields(spark: SparkSession, store: str) -> DataFrame:
     return stored.select("key", "field", amount.alias("amount"), text.alias("text"))
 
 
-def s_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """City totals of a report stopped half-way and started again on its checkpoint.
-
-    The second start also finds a batch that was stored but not noted as done.
-    """
-    settings = _settings(spark, "s_restart")
+def _arriving(
+    spark: SparkSession, sf_dir: str, name: str, first: Column
+) -> Iterator[tuple[Settings, DataFrame]]:
+    """Report rows streamed from an ETL topic: once with the first messages, once with all."""
+    settings = _settings(spark, name)
     index = tables.geo_index(spark, sf_dir)
-    messages = msg.etl_envelope(
-        etl.order_etl(tables.order_messages(spark, sf_dir), index, msg.POSITION), msg.POSITION
-    )
-    # One topic partition has arrived before the stop, the others arrive after it.
-    first = F.col("partition") == 0
+    rows = etl.order_etl(tables.order_messages(spark, sf_dir), index, msg.POSITION)
+    messages = msg.etl_envelope(rows, msg.POSITION)
+    count = tables.table(spark, sf_dir, "orders").count()
     for arrived in (first, ~first):
-        publish(messages.where(arrived), settings, settings.etl_topic)
-        lines = read_messages(spark, settings, settings.etl_topic)
-        rows = msg.report_rows(lines, msg.POSITION)
+        publish(messages.where(arrived), settings, settings.etl_topic, max(count // 8, 1))
+        capped = replace(settings, max_files_per_trigger=2)
+        lines = read_messages(spark, capped, settings.etl_topic)
+        yield capped, msg.report_rows(lines, msg.POSITION)
+
+
+def s_key_city_latest_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest rows kept as state, when all older messages come after a restart."""
+    newer = F.year("timestamp") >= 1995
+    for settings, rows in _arriving(spark, sf_dir, "s_key_city_latest_late", newer):
+        jobs.start_report(spark, settings, jobs.KEY_CITY_LATEST, rows).awaitTermination()
+    money = F.col("money").try_cast("double").alias("money")
+    return jobs.stored_cities(spark, settings.store_path).select("city", money, "province")
+
+
+def s_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """City totals of a report stopped between two batches, and once more during one."""
+    # One topic partition has arrived before the stop, the others arrive after it.
+    for settings, rows in _arriving(spark, sf_dir, "s_restart", F.col("partition") == 0):
+        jobs.start_report(spark, settings, jobs.CITY, rows).stop()
         jobs.start_report(spark, settings, jobs.CITY, rows).awaitTermination()
-        control.forget_last_commit(spark, settings, jobs.CITY.name)
-    lines = read_messages(spark, settings, settings.etl_topic)
-    again = jobs.start_report(spark, settings, jobs.CITY, msg.report_rows(lines, msg.POSITION))
-    again.awaitTermination()
     return jobs.stored_city_amounts(spark, settings.store_path)
 
 
+def s_state_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums by place as both state stores keep them after a restart, and as stored."""
+    result = None
+    for store in ("default", "rocksdb"):
+        for settings, rows in _arriving(spark, sf_dir, f"s_state_{store}", F.col("partition") == 0):
+            kept = replace(settings, state_store=store)
+            jobs.start_sums(spark, kept, rows).awaitTermination()
+        in_state = reports.amt_by_city(state.place_sums(spark, kept))
+        stored = jobs.stored_city_amounts(spark, kept.store_path)
+        same_city = in_state["city"].eqNullSafe(stored["city"])
+        both = in_state.join(stored, same_city, "full").select(
+            F.lit(store).alias("store"), in_state["city"],
+            in_state["total_amt"].alias("in_state"), stored["total_amt"].alias("stored"),
+        )
+        result = both if result is None else result.unionByName(both)
+    return result
+
+
+def s_state_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums that go on in 16 state stores from where a query with 4 has stopped."""
+    arriving = _arriving(spark, sf_dir, "s_state_widened", F.col("partition") == 0)
+    old, rows = next(arriving)
+    jobs.start_sums(spark, old, rows).awaitTermination()
+    read = newest_segment(spark, old, old.etl_topic)
+    work = scratch(spark, "widened")
+    new = replace(old, state_partitions=16, checkpoint_root=work, file_start=read)
+    state.widen(spark, old, new, f"{work}/seed")
+    next(arriving)
+    lines = read_messages(spark, new, new.etl_topic)
+    later = msg.report_rows(lines, msg.POSITION)
+    state.start_seeded_sums(spark, new, later, f"{work}/seed").awaitTermination()
+    width = state.state_width(spark, new.checkpoint(jobs.PLACES_QUERY))
+    return jobs.stored_city_amounts(spark, new.store_path).withColumn("stores", F.lit(width))
+
+
+def s_start_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums of what came after a report's first start, also over a restart."""
+    first = F.col("partition") == 0
+    for settings, _ in _arriving(spark, sf_dir, "s_start_latest", first):
+        latest = replace(settings, file_start="latest")
+        lines = read_messages(spark, latest, latest.etl_topic)
+        rows = msg.report_rows(lines, msg.POSITION)
+        jobs.start_report(spark, latest, jobs.PROVINCE, rows).awaitTermination()
+    return jobs.stored_amounts(spark, settings.store_path, jobs.PROVINCE)
+
+
+def s_etl_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the ETL stream drops and misses, from the reports of all its batches."""
+    messages = tables.mixed_messages(spark, sf_dir)
+    settings = _publish_segments(spark, sf_dir, _settings(spark, "s_etl_counts"), messages)
+    table = f"{settings.store_path}/batches"
+    with batches.batch_table(spark, table) as log:
+        seen = counts.Counts(streaming=True)
+        query = jobs.start_etl(spark, settings, tables.geo_index(spark, sf_dir), counts=seen)
+        _finish(query)
+        log.wait(query)
+    return batches.observed_sums(batches.read_batches(spark, table), *counts.ALL)
+
+
 def s_rate_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What was read under a cap of files per batch, and whether every batch kept to it.
+    """What was read under a cap of messages per batch, and whether every batch kept to it.
 
-    Counted from the segments that the query's own log names, not from its recent reports.
+    Counted from the report of each batch, and of the order keys that it observed.
     """
     settings = _stream(spark, sf_dir, "s_rate_cap")
-    _finish(spark, jobs.start_etl(spark, settings, tables.geo_index(spark, sf_dir)), settings)
-    segments = read_messages(spark, settings, settings.source_topic, streaming=False)
-    per_file = segments.groupBy(F.regexp_extract(F.input_file_name(), "[^/]+$", 0).alias("file"))
-    per_file = per_file.agg(F.count("*").alias("n"), F.sum("offset").alias("keys"))
-    batches = control.file_batches(spark, settings, jobs.ETL_QUERY)
-    batches = batches.withColumn("file", F.regexp_extract("path", "[^/]+$", 0))
-    sizes = batches.join(per_file, "file").groupBy("batch_id").agg(
-        F.sum("n").alias("n"), F.sum("keys").alias("keys"), F.count("*").alias("files")
-    )
-    return sizes.agg(
-        F.sum("n").alias("input_rows"),
-        F.sum("keys").alias("order_keys"),
-        (F.max("files") <= settings.max_files_per_trigger).alias("within_cap"),
-        (F.count("*") > 1).alias("several_batches"),
+    orders = tables.table(spark, sf_dir, "orders").count()
+    cap = max(orders // 3, 1)
+    capped = replace(settings, max_files_per_trigger=None, max_offsets_per_trigger=cap)
+    table = f"{settings.store_path}/batches"
+    with batches.batch_table(spark, table) as log:
+        lines = read_messages(spark, capped, capped.source_topic)
+        seen = lines.observe("read", F.sum("offset").alias("order_keys"))
+        query = jobs.start_etl(spark, capped, tables.geo_index(spark, sf_dir), seen)
+        _finish(query)
+        log.wait(query)
+    found = batches.read_batches(spark, table)
+    return found.agg(
+        F.sum("input_rows").alias("input_rows"),
+        F.sum(F.col("observed")["read.order_keys"]).alias("order_keys"),
+        F.count_if(F.col("input_rows") > cap).alias("batches_beyond"),
+        F.least(F.count("*"), F.lit(3)).alias("batches"),
     )
 
 
@@ -458,14 +555,15 @@ QUERIES: dict[str, Query] = {
     for query in (
         message_filter, order_fields, order_envelope, order_timestamps, order_status_label,
         order_time_format, order_id_format, int_to_ipv4, ipv4_to_long, region_fields,
-        geo_lookup, geo_lookup_shuffled, geo_lookup_crowded,
+        geo_lookup, geo_lookup_shuffled, geo_lookup_hot, geo_lookup_crowded,
         order_etl, order_etl_open, etl_envelope, report_rows,
         amt_total, amt_by_province, amt_by_city,
         key_city_rows, key_city_amount, key_city_latest,
-        pivot_total, pivot_city, pivot_city_found,
+        pivot_total, pivot_city, pivot_city_map, pivot_city_found, etl_counts,
         keyed_hashes, dashboard_feed, dashboard_rejects,
         s_order_etl, s_order_etl_shuffled, s_order_etl_open, s_amt_total, s_amt_by_province, s_amt_by_city,
         s_key_city_rows, s_key_city_amount, s_key_city_latest,
-        s_dashboard, s_two_jobs, s_sums_together, s_restart, s_rate_cap,
+        s_dashboard, s_two_jobs, s_sums_together, s_key_city_latest_late, s_restart, s_state_read_back,
+        s_state_widened, s_start_latest, s_etl_counts, s_rate_cap,
     )
 }

@@ -23,12 +23,14 @@ n AS (
     CASE o_orderstatus WHEN 'O' THEN '0' WHEN 'P' THEN '1' ELSE '2' END AS "orderStatus"
   FROM orders)"""
 
-_LOCATED = f"""{_ORDERS},
+_DICTIONARY = f"""
 d AS (
   SELECT k * {RANGE_WIDTH} AS lo, (k + 1) * {RANGE_WIDTH} - 1 - {RANGE_GAP} AS hi,
     n_name AS province, 'CITY_' || CAST(k AS VARCHAR) AS city
   FROM (SELECT n_name, CAST(n_nationkey AS BIGINT) * 4 + i AS k
-        FROM nation, (VALUES (0), (1), (2), (3)) AS f(i))),
+        FROM nation, (VALUES (0), (1), (2), (3)) AS f(i)))"""
+
+_LOCATED = f"""{_ORDERS}, {_DICTIONARY},
 e AS (
   SELECT n.*, d.province, d.city
   FROM n LEFT JOIN d ON n.ip <> 'unknown' AND n.ipn BETWEEN d.lo AND d.hi)"""
@@ -103,6 +105,21 @@ UNION ALL SELECT 'orders:citymoney:global', coalesce(city, 'null'), {_SUM}, NULL
 UNION ALL SELECT 'orders:keycityamount:' || city, 'total_amt', {_SUM}, NULL
   FROM e WHERE city IN ({_CITY_LIST}) GROUP BY city"""
 
+# Counted over all orders and noise lines: only lines of commas, or none, are dropped.
+_COUNTS = f"""WITH {_LOCATED}, {_NOISE},
+cut AS (SELECT value, trim(value, ' ' || chr(9) || chr(10)) AS core FROM noise),
+junk AS (
+  SELECT count(*) AS lines,
+    count(*) FILTER (WHERE value IS NULL OR (core <> '' AND replace(core, ',', '') = '')) AS dropped
+  FROM cut),
+found AS (
+  SELECT count(*) AS lines, count(*) FILTER (WHERE province IS NULL AND city IS NULL) AS unknown_address,
+    count(*) FILTER (WHERE o_orderkey % 89 = 0) AS no_number
+  FROM e)
+SELECT found.lines + junk.lines AS lines, dropped, junk.lines - dropped AS unparsed,
+  unknown_address, no_number
+FROM found, junk"""
+
 ORACLE: dict[str, str] = {
     "message_filter": f"""WITH {_ORDERS}, {_NOISE},
 lines AS (
@@ -136,6 +153,12 @@ FROM events""",
   CASE WHEN c_custkey % 8 NOT IN (0, 2) THEN c_name END AS city FROM customer""",
     "geo_lookup": _GEO,
     "geo_lookup_shuffled": _GEO,
+    "geo_lookup_hot": f"""WITH h AS (
+  SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN {_NUMBER} ELSE o_orderkey % 65536 END AS number
+  FROM orders),
+{_DICTIONARY}
+SELECT o_orderkey, {_dotted("number")} AS ip, province, city
+FROM h LEFT JOIN d ON number BETWEEN lo AND hi""",
     "geo_lookup_crowded": f"""WITH l AS (
   SELECT l_orderkey, l_linenumber, l_suppkey * 4 + l_orderkey % 4 AS number FROM lineitem)
 SELECT l_orderkey, l_linenumber, {_dotted("number")} AS ip,
@@ -154,6 +177,9 @@ FROM l LEFT JOIN supplier ON number // 4 = s_suppkey AND number % 4 <= s_suppkey
     "pivot_total": f"""SELECT {_SUM} AS "global", 'total' AS type FROM orders""",
     "pivot_city": f"""WITH {_LOCATED}
 SELECT 'global' AS total, {_city_columns(KEY_CITIES)} FROM e""",
+    "pivot_city_map": f"""WITH {_LOCATED}
+SELECT 'orders:citymoney:global' AS key, coalesce(city, 'null') AS field, {_SUM} AS amount
+FROM e GROUP BY city""",
     "pivot_city_found": f"""WITH {_LOCATED}
 SELECT 'global' AS total, {_city_columns(_ALL_CITIES)},
   {_sum_where("city IS NULL")} AS "null" FROM e""",
@@ -187,6 +213,16 @@ UNION ALL SELECT 'orders:citymoney:' || city, 'money', o_totalprice, NULL
 UNION ALL SELECT 'orders:citymoney:' || city, 'province', NULL, province
   FROM r WHERE age = 1 AND city IN ({_CITY_LIST})""",
     "s_restart": _BY_CITY,
+    # Eight segments at least, two or three of them in a batch of a third of the orders.
     "s_rate_cap": """SELECT count(*) AS input_rows, sum(o_orderkey)::BIGINT AS order_keys,
-  true AS within_cap, true AS several_batches FROM orders""",
+  0::BIGINT AS batches_beyond, least(count(*), 3) AS batches FROM orders""",
+    "s_key_city_latest_late": _KEY_LATEST,
+    "s_state_read_back": f"""WITH {_LOCATED}, sums AS (SELECT city, {_SUM} AS amount FROM e GROUP BY city)
+SELECT store, city, amount AS in_state, amount AS stored
+FROM sums, (VALUES ('default'), ('rocksdb')) AS s(store)""",
+    "s_state_widened": f"WITH {_LOCATED} SELECT city, {_SUM} AS total_amt, 16 AS stores FROM e GROUP BY city",
+    "s_start_latest": f"""WITH {_LOCATED}
+SELECT province, {_SUM} AS total_amt FROM e WHERE o_custkey % 3 <> 0 GROUP BY province""",
+    "s_etl_counts": _COUNTS,
+    "etl_counts": _COUNTS,
 }

@@ -19,23 +19,14 @@ KEY_CITIES = tuple(f"CITY_{n}" for n in range(0, 99, 11))
 RANGE_WIDTH = 42949672
 RANGE_GAP = 2000000
 
-# Most bytes of a table that one streaming batch reads.
-BYTES_PER_BATCH = 1_000_000_000_000
-
 # Lines that carry no order, one shape after the other.
 NOISE = (None, ",", ",,,", " , ", "\t,\n", "", " ", ", ,", ",a", "a,,", "{bad")
 
 _indexes: dict[tuple[str, str, int], GeoIndex] = {}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, streaming: bool = False) -> DataFrame:
-    """A table; as a stream, its files one after the other."""
-    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    if not streaming:
-        return rows
-    # A pattern, since a stream source takes a plain path for a folder.
-    reader = spark.readStream.schema(rows.schema).option("maxBytesPerTrigger", BYTES_PER_BATCH)
-    return reader.parquet(f"{sf_dir}/{{{name}.parquet}}")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def spread(rows: DataFrame) -> DataFrame:
@@ -84,13 +75,22 @@ def finished(lines: DataFrame) -> DataFrame:
     return lines.select(F.explode(F.array("value")).alias("value"), *others).select(*lines.columns)
 
 
-def order_messages(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
+def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The orders table as messages ``value, timestamp, partition, offset``."""
-    orders = table(spark, sf_dir, "orders", streaming)
-    records = order_records(orders if streaming else spread(orders))
+    records = order_records(spread(table(spark, sf_dir, "orders")))
     return finished(msg.order_envelope(records, msg.POSITION))
 
 
+def mixed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order messages, some with an amount that is no number, and all noise lines."""
+    records = order_records(spread(table(spark, sf_dir, "orders")))
+    odd = F.when(F.col("offset") % 89 == 0, F.lit("n/a")).otherwise(F.col("orderMoney").cast("string"))
+    orders = msg.order_envelope(records.withColumn("orderMoney", odd), msg.POSITION)
+    position = [F.timestamp_seconds(F.lit(0)), F.lit(0), F.col("event_id")]
+    named = [column.alias(name) for column, name in zip(position, msg.POSITION, strict=True)]
+    return finished(orders.unionByName(noise_lines(spark, sf_dir).select("value", *named)))
+
+
 def noise_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The properties text of every event, and one junk line besides."""
     kind = F.col("event_id") % len(NOISE)

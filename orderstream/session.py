@@ -18,6 +18,8 @@ def build(settings: Settings, app_name: str = "orderstream") -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.debug.maxToStringFields", "2000")
+        # Queries side by side share the cores batch by batch, see streaming.control.start.
+        .config("spark.scheduler.mode", "FAIR")
     )
     if settings.local_mode:
         builder = (

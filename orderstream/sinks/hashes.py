@@ -1,192 +1,94 @@
 """Keyed results as hashes: ``<table>:<key>`` holds named fields, the last write wins.
 
-Every batch writes its changed fields to a folder of its own, so writing a batch
-again changes nothing. Readers take the newest version of each field. A version
-is ``timestamp, partition, offset``: that of the message for rows taken from
-messages, else no time, the number of the run and the number of the batch.
+One Parquet table has the fields of all reports, partitioned by report and batch. A batch
+overwrites its own partition, so running it again changes nothing, and readers take each
+field from the newest batch that has it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderstream.config import Settings
-from orderstream.operators.messages import POSITION
 from orderstream.session import path_exists
 
+# ``batch`` counts on over all runs: batch 0 of a run has the number ``base``.
 HASH_SCHEMA = (
-    "key STRING, field STRING, value STRING, timestamp TIMESTAMP, partition INT, offset BIGINT"
+    "key STRING, field STRING, value STRING, run STRING, base BIGINT, report STRING, batch BIGINT"
 )
 
-# Stands for a missing key or field name; texts that look like it get a backslash in front.
-MISSING = "null"
+class Results:
+    """Where one run of a report stores its batches. A restart goes on with the same run."""
 
+    def __init__(self, store: str, report: str, run: str) -> None:
+        self.store, self.report, self.run = store, report, run
+        self.base: int | None = None
 
-def stored_name(name: Column) -> Column:
-    """A key or field name as it is stored: a missing one apart from every text."""
-    text = name.cast("string")
-    escaped = F.when(text.rlike(rf"^\\*{MISSING}$"), F.concat(F.lit("\\"), text)).otherwise(text)
-    return F.coalesce(escaped, F.lit(MISSING))
+    def write(self, fields: DataFrame, batch_id: int) -> None:
+        """Write or rewrite the fields that one batch changed."""
+        if self.base is None:
+            self.base = self._base(fields.sparkSession)
+        values = (self.run, self.base, self.report, self.base + batch_id)
+        names = [part.split() for part in HASH_SCHEMA.split(", ")][3:]
+        added = [F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(values, names, strict=True)]
+        writer = fields.select("key", "field", "value", *added).write.partitionBy("report", "batch")
+        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.store)
 
+    def _base(self, spark: SparkSession) -> int:
+        """What the run has begun with, else the number after the last batch of any run."""
+        own = F.when((F.col("run") == self.run) & (F.col("report") == self.report), F.col("base"))
+        found = written(spark, self.store).agg(F.max(own).alias("own"), F.max("batch").alias("last")).first()
+        if found.own is not None:
+            return found.own
+        return 0 if found.last is None else found.last + 1
 
-def read_name(stored: Column) -> Column:
-    """The name that was stored, null if it was missing."""
-    plain = F.when(stored.rlike(rf"^\\+{MISSING}$"), F.substring(stored, 2, 1 << 30)).otherwise(stored)
-    return F.when(stored != MISSING, plain)
 
+def written(spark: SparkSession, store: str) -> DataFrame:
+    """All that was ever written; nothing if the table is not there yet."""
+    if not path_exists(spark, store):
+        return spark.createDataFrame([], HASH_SCHEMA)
+    return spark.read.schema(HASH_SCHEMA).parquet(store)
 
-def hash_key(table: str, key: Column) -> Column:
-    return F.concat(F.lit(f"{table}:"), stored_name(key))
 
-
-def _named(name: str) -> Column:
-    """A column by its exact name; a city as a column name may have dots."""
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
-def batch_version(run: int, batch_id: int) -> list[Column]:
-    """Version of rows that carry none: a later run, then a later batch replaces an earlier."""
-    values = (
-        F.lit(None).cast("timestamp"), F.lit(run).cast("int"), F.lit(batch_id).cast("bigint")
-    )
-    return [value.alias(name) for value, name in zip(values, POSITION, strict=True)]
-
-
-def hash_fields(rows: DataFrame, table: str, key: str, whole: bool = False) -> DataFrame:
-    """Wide rows to one row per key and field.
-
-    Null fields are not stored, unless a row is stored ``whole``: then they replace what
-    an older row of the key had.
-    """
-    version = [name for name in POSITION if name in rows.columns]
-    names = [name for name in rows.columns if name != key and name not in version]
-    texts = rows.select(
-        hash_key(table, F.col(key)).alias("key"),
-        *version,
-        *(_named(name).cast("string").alias(name) for name in names),
-    )
-    fields = texts.unpivot(["key", *version], [_named(name) for name in names], "field", "value")
-    if not whole:
-        fields = fields.where(F.col("value").isNotNull())
-    return fields.select("key", "field", "value", *version)
-
-
-def city_fields(by_city: DataFrame, table: str, key: str) -> DataFrame:
-    """``city, total_amt`` as fields of one hash, without making the wide row first."""
-    return by_city.select(
-        hash_key(table, F.lit(key)).alias("key"),
-        stored_name(F.col("city")).alias("field"),
-        F.col("total_amt").cast("string").alias("value"),
-    ).where(F.col("value").isNotNull())
-
-
-def write_hashes(fields: DataFrame, folder: str, run: str, batch_id: int) -> None:
-    """Write or rewrite the fields one batch changed. ``run`` names the writer's checkpoint."""
-    session = fields.sparkSession
-    if "offset" not in fields.columns:
-        number = _run_number(session, folder, run)
-        fields = fields.select("*", *batch_version(number, batch_id))
-    path = f"{folder.rstrip('/')}/run={run}/batch_id={batch_id}"
-    fields.write.mode("overwrite").parquet(path)
-
-
-def _run_number(session: SparkSession, folder: str, run: str) -> int:
-    """1, 2, 3 ... for each run that writes to the folder, noted there at its first batch.
-
-    One writer at a time has a folder, so a number is taken once.
-    """
-    files = session._jvm.org.apache.hadoop.fs
-    notes = files.Path(f"{folder.rstrip('/')}/_runs")
-    system = notes.getFileSystem(session._jsc.hadoopConfiguration())
-    numbers = {}
-    if system.exists(notes):
-        for status in system.listStatus(notes):
-            number, _, name = status.getPath().getName().partition("-")
-            numbers[name] = int(number)
-    if run not in numbers:
-        numbers[run] = max(numbers.values(), default=0) + 1
-        system.create(files.Path(notes, f"{numbers[run]}-{run}")).close()
-    return numbers[run]
+def _newest(rows: DataFrame, *by: str) -> DataFrame:
+    newest = F.max_by(F.struct("value", "run", "base"), "batch").alias("newest")
+    return rows.groupBy("key", "field", *by).agg(newest).select("key", "field", *by, "newest.*")
 
 
 def read_hashes(
-    spark: SparkSession, store: str | Sequence[str], prefix: str = "", key: str | None = None
+    spark: SparkSession, store: str, prefix: str = "", key: str | None = None, reports: Sequence[str] = ()
 ) -> DataFrame:
     """``key, field, value`` as they stand now, of one key or of keys starting with ``prefix``.
 
-    ``store`` is the folder of all reports or of one, or several; a folder that no report
-    has written yet is empty.
+    ``reports`` names those that are looked at, none for all.
     """
-    folders = [store] if isinstance(store, str) else store
-    there = [folder for folder in folders if path_exists(spark, folder)]
-    try:
-        reader = spark.read.schema(HASH_SCHEMA).option("recursiveFileLookup", "true")
-        written = reader.parquet(*there) if there else spark.createDataFrame([], HASH_SCHEMA)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        written = spark.createDataFrame([], HASH_SCHEMA)
+    rows = written(spark, store)
+    if reports:
+        rows = rows.where(F.col("report").isin(*reports))
     if key is not None:
-        written = written.where(F.col("key") == key)
+        rows = rows.where(F.col("key") == key)
     elif prefix:
-        written = written.where(F.col("key").startswith(prefix))
-    return _newest(written).select("key", "field", "newest.value")
+        rows = rows.where(F.col("key").startswith(prefix))
+    return _newest(rows).select("key", "field", "value")
+
 
+def rewrite(spark: SparkSession, store: str, target: str) -> None:
+    """The fields as they stand now as a new table of one partition per report.
 
-def _newest(written: DataFrame) -> DataFrame:
-    row = F.struct("value", *POSITION)
-    return written.groupBy("key", "field").agg(F.max_by(row, F.struct(*POSITION)).alias("newest"))
+    An ordinary job for a store of very many batches, run while no report writes. Runs
+    go on in the new table where they were.
+    """
+    rows = written(spark, store)
+    # One row per report.
+    last = F.broadcast(rows.groupBy("report").agg(F.max("batch").alias("batch")))
+    names = [part.split()[0] for part in HASH_SCHEMA.split(", ")]
+    current = _newest(rows, "report").join(last, "report").select(*names)
+    current.write.partitionBy("report", "batch").parquet(target)
 
 
 def hash_get(hashes: DataFrame, names: Sequence[str]) -> DataFrame:
     """One row per key with the named fields as columns, null where a field is missing."""
     wanted = (F.max(F.when(F.col("field") == name, F.col("value"))).alias(name) for name in names)
     return hashes.groupBy("key").agg(*wanted)
-
-
-def compact(spark: SparkSession, folder: str) -> int:
-    """Merge the batches written so far into one folder with the newest fields.
-
-    For the writer of the folder, between two of its batches. Versions are kept, so what
-    is stored twice does no harm. Folders that the compaction before this one has merged
-    are deleted, so a reader that has listed a folder finds its files for as long as it
-    takes to the compaction after the next.
-    """
-    files = spark._jvm.org.apache.hadoop.fs
-    root = files.Path(folder)
-    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not system.exists(root):
-        return 0
-    # Whole batches only: the committer leaves _SUCCESS once all files are in place.
-    found = system.globStatus(files.Path(f"{folder.rstrip('/')}/run=*/batch_id=*/_SUCCESS"))
-    done = {status.getPath().getParent(): status.getModificationTime() for status in found}
-    merges = [path for path in done if path.getParent().getName() == "run=compact"]
-    last = max(merges, key=lambda path: int(path.getName().partition("=")[2]), default=None)
-    merged_before = [path for path in done if last and path != last and done[path] <= done[last]]
-    fresh = [path for path in done if path not in merged_before]
-    if len(fresh) < 2:
-        return 0
-    written = spark.read.schema(HASH_SCHEMA).parquet(*(path.toString() for path in fresh))
-    merged = _newest(written).select("key", "field", "newest.*")
-    number = int(last.getName().partition("=")[2]) + 1 if last else 0
-    write_hashes(merged, folder, "compact", number)
-    for path in merged_before:
-        system.delete(path, True)
-    return len(fresh)
-
-
-def write_external(rows: DataFrame, table: str, key: str, settings: Settings) -> None:
-    """Hand wide rows to the deployment's own keyed sink."""
-    options = {
-        "host": settings.store_host,
-        "port": str(settings.store_port),
-        "dbNum": str(settings.store_db),
-        **settings.store_options,
-        "table": table,
-        "key.column": key,
-    }
-    rows.write.mode("append").format(settings.store_format).options(**options).save()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +35,39 @@ def topic_path(settings: Settings, topic: str) -> str:
     return f"{settings.topic_root.rstrip('/')}/{topic}"
 
 
+def _segments(spark: SparkSession, settings: Settings, topic: str) -> DataFrame:
+    return spark.read.schema(MESSAGE_SCHEMA).parquet(topic_path(settings, topic))
+
+
+def files_per_batch(spark: SparkSession, settings: Settings, topic: str) -> int:
+    """How many segments keep a batch within the cap of messages; one at least.
+
+    Goes by the largest segment there is when the query starts. Counts come from the
+    segments' footers, no message is read.
+    """
+    file = F.col("_metadata.file_path").alias("file")
+    counts = _segments(spark, settings, topic).groupBy(file).count()
+    largest = counts.agg(F.max("count")).first()[0] or settings.max_offsets_per_trigger
+    return max(1, settings.max_offsets_per_trigger // largest)
+
+
+def newest_segment(spark: SparkSession, settings: Settings, topic: str) -> str:
+    """When the newest segment of a file topic was written, as ``file_start`` takes it."""
+    at = F.col("_metadata.file_modification_time")
+    found = _segments(spark, settings, topic).agg(F.unix_micros(F.max(at))).first()[0] or 0
+    return datetime.fromtimestamp(found / 1_000_000, UTC).isoformat()
+
+
+def _start(spark: SparkSession, settings: Settings, topic: str) -> str:
+    """The time after which segments are read; noted at the first start for all later ones."""
+    if settings.file_start != "latest":
+        return settings.file_start
+    path = f"{settings.checkpoint_root.rstrip('/')}/starts/{topic}"
+    now = spark.range(1).select(F.unix_micros(F.current_timestamp()).alias("at"))
+    now.write.mode("ignore").parquet(path)
+    return datetime.fromtimestamp(spark.read.parquet(path).first().at / 1_000_000, UTC).isoformat()
+
+
 def position_headers() -> Column:
     """The position of a message as Kafka headers, for a topic that is written in parallel."""
     values = (F.unix_micros("timestamp"), F.col("partition"), F.col("offset"))
@@ -70,7 +103,8 @@ def read_messages(
 ) -> DataFrame:
     """Messages of a topic as text, with their position kept.
 
-    A file topic is read from its beginning, at most so many files or bytes per batch.
+    A file topic is read from where ``file_start`` says, at most so many files, bytes or
+    messages per batch. A batch takes one segment at least.
     """
     reader = spark.readStream if streaming else spark.read
     if settings.source_format == "kafka":
@@ -78,11 +112,15 @@ def read_messages(
         raw = reader.format("kafka").options(**options).option("includeHeaders", "true").load()
         raw = _carried(raw)
     elif settings.source_format == "files":
-        if streaming and settings.max_files_per_trigger:
-            reader = reader.option("maxFilesPerTrigger", settings.max_files_per_trigger)
-        elif streaming:
+        if streaming and settings.max_bytes_per_trigger and not settings.max_files_per_trigger:
             reader = reader.option("maxBytesPerTrigger", settings.max_bytes_per_trigger)
+        elif streaming:
+            files = settings.max_files_per_trigger or files_per_batch(spark, settings, topic)
+            reader = reader.option("maxFilesPerTrigger", files)
         raw = reader.schema(MESSAGE_SCHEMA).parquet(topic_path(settings, topic))
+        if streaming and settings.file_start != "earliest":
+            begin = F.lit(_start(spark, settings, topic)).cast("timestamp")
+            raw = raw.where(F.col("_metadata.file_modification_time") > begin)
         if settings.starting_time and streaming:
             raw = raw.where(F.col("timestamp") >= F.lit(settings.starting_time).cast("timestamp"))
     else:

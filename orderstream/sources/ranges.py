@@ -36,4 +36,4 @@ def load_ranges(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
 def load_index(spark: SparkSession, settings: Settings) -> GeoIndex:
     """The dictionary of a deployment, checked and ready to join."""
     ranges = load_ranges(spark, settings.region_path, settings.region_format)
-    return build_index(ranges, settings.geo_broadcast_bytes, settings.geo_salts)
+    return build_index(ranges, settings.geo_broadcast_bytes)

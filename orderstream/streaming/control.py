@@ -7,7 +7,6 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from orderstream.config import Settings
@@ -15,6 +14,8 @@ from orderstream.session import path_exists
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+POOL = "spark.scheduler.pool"
+
 PROGRESS_SCHEMA = (
     "query STRING, batch_id BIGINT, input_rows BIGINT, rows_per_second DOUBLE, batch_ms BIGINT"
 )
@@ -42,6 +43,17 @@ def _state_settings(spark: SparkSession, settings: Settings, stateful: bool) ->
                 spark.conf.set(name, value)
 
 
+@contextmanager
+def _pool(spark: SparkSession, name: str) -> Iterator[None]:
+    """The scheduler pool of a query, which inherits it when it starts."""
+    before = spark.sparkContext.getLocalProperty(POOL)
+    spark.sparkContext.setLocalProperty(POOL, name)
+    try:
+        yield
+    finally:
+        spark.sparkContext.setLocalProperty(POOL, before)
+
+
 def start(
     spark: SparkSession,
     writer: DataStreamWriter,
@@ -49,11 +61,15 @@ def start(
     settings: Settings,
     stateful: bool = False,
 ) -> StreamingQuery:
-    """Start a named query on its own checkpoint, without waiting for it."""
+    """Start a named query on its own checkpoint, without waiting for it.
+
+    The jobs of its batches go to a scheduler pool of its own: in a session that schedules
+    fairly, queries side by side share the cores however long one's batch is.
+    """
     writer = writer.queryName(name).option("checkpointLocation", settings.checkpoint(name))
     if settings.trigger:
         writer = writer.trigger(**settings.trigger)
-    with _state_settings(spark, settings, stateful):
+    with _state_settings(spark, settings, stateful), _pool(spark, name):
         return writer.start()
 
 
@@ -136,25 +152,3 @@ def progress_rows(spark: SparkSession, queries: Sequence[StreamingQuery]) -> Dat
         for step in query.recentProgress
     ]
     return spark.createDataFrame(rows, PROGRESS_SCHEMA)
-
-
-def file_batches(spark: SparkSession, settings: Settings, name: str) -> DataFrame:
-    """``batch_id, path`` of every file that a query on a file topic has read so far.
-
-    From the query's own log, which unlike the progress reports forgets no batch.
-    """
-    entries = spark.read.text(f"{settings.checkpoint(name)}/sources/0/*")
-    entry = F.from_json("value", "path STRING, batchId BIGINT")
-    read = entries.where(F.col("value").startswith("{")).select(entry.alias("e"))
-    return read.select(F.col("e.batchId").alias("batch_id"), "e.path").distinct()
-
-
-def forget_last_commit(spark: SparkSession, settings: Settings, name: str) -> None:
-    """As if the query had stopped after storing its last batch, before noting so."""
-    files = spark._jvm.org.apache.hadoop.fs
-    folder = files.Path(f"{settings.checkpoint(name)}/commits")
-    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [status.getPath().getName() for status in system.listStatus(folder)]
-    newest = max((int(found) for found in names if found.isdigit()), default=None)
-    if newest is not None:
-        system.delete(files.Path(folder, str(newest)), False)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from contextlib import AbstractContextManager, nullcontext
 from dataclasses import dataclass
 from functools import reduce
 
@@ -11,29 +12,29 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from orderstream.config import Settings
+from orderstream.functions.text import read_name
 from orderstream.operators import reports
+from orderstream.operators.counts import Counts
 from orderstream.operators.etl import order_etl, order_etl_open
-from orderstream.operators.geo import GeoIndex
-from orderstream.operators.messages import POSITION, etl_envelope, report_rows
-from orderstream.sinks import hashes
+from orderstream.operators.geo import GeoIndex, with_hot_keys
+from orderstream.operators.messages import POSITION, etl_envelope, order_fields, report_rows
+from orderstream.sinks import fields, hashes
 from orderstream.sinks.messages import stream_writer
 from orderstream.sources.messages import read_messages
 from orderstream.sources.ranges import load_index
+from orderstream.streaming.batches import batch_table
 from orderstream.streaming.control import run_all, start
 
 ETL_QUERY = "order-etl"
 PLACES_QUERY = "query-amt-by-place"
 
-# Cities that one wide row for an external sink has as columns.
-WIDE_CITIES = 1000
-
 
 @dataclass(frozen=True)
 class Report:
     """A keyed report: what the stream computes and how a batch of it is stored.
 
     ``wide`` gives the frames an external keyed sink gets, ``fields`` the same
-    content as hash fields. ``stateful`` tells reports that aggregate the stream.
+    content as hash fields.
     """
 
     name: str
@@ -42,7 +43,6 @@ class Report:
     stream: Callable[[DataFrame, Settings], DataFrame]
     wide: Callable[[DataFrame, Settings], list[DataFrame]]
     fields: Callable[[DataFrame, Settings], DataFrame]
-    stateful: bool = True
 
 
 def _same(rows: DataFrame, settings: Settings) -> list[DataFrame]:
@@ -53,23 +53,6 @@ def _total_wide(rows: DataFrame, settings: Settings) -> list[DataFrame]:
     return [reports.pivot_total(rows)]
 
 
-def _cities_wide(rows: DataFrame, settings: Settings) -> list[DataFrame]:
-    """Rows of at most about WIDE_CITIES cities each; fields of a hash merge."""
-    slices = rows.count() // WIDE_CITIES + 1
-    parts = []
-    for number in range(slices):
-        part = rows.where(F.pmod(F.xxhash64("city"), F.lit(slices)) == number)
-        cities = [row.city for row in part.select("city").collect()]
-        named = part.withColumn("city", F.coalesce("city", F.lit("null")))
-        if cities:
-            parts.append(reports.pivot_city(named, sorted({city or "null" for city in cities})))
-    return parts
-
-
-def _latest(rows: DataFrame, settings: Settings) -> DataFrame:
-    return reports.key_city_latest(rows, settings.key_cities, keep_position=True)
-
-
 # Fixed values below: table names and key columns of the stored reports.
 TOTAL = Report(
     name="query-amt-total",
@@ -77,7 +60,7 @@ TOTAL = Report(
     key="type",
     stream=lambda rows, settings: reports.amt_total(rows),
     wide=_total_wide,
-    fields=lambda rows, settings: hashes.hash_fields(
+    fields=lambda rows, settings: fields.hash_fields(
         reports.pivot_total(rows), "orders:money", "type"
     ),
 )
@@ -87,16 +70,16 @@ PROVINCE = Report(
     key="province",
     stream=lambda rows, settings: reports.amt_by_province(rows),
     wide=_same,
-    fields=lambda rows, settings: hashes.hash_fields(rows, "orders:provincemoney", "province"),
+    fields=lambda rows, settings: fields.hash_fields(rows, "orders:provincemoney", "province"),
 )
-# The wide row of a batch has the cities that changed; fields of a hash merge.
+# The wide row of a batch has the cities that changed, in one map; fields of a hash merge.
 CITY = Report(
     name="query-amt-by-city",
     table="orders:citymoney",
     key="total",
     stream=lambda rows, settings: reports.amt_by_city(rows),
-    wide=_cities_wide,
-    fields=lambda rows, settings: hashes.city_fields(rows, "orders:citymoney", reports.GLOBAL),
+    wide=lambda rows, settings: [reports.city_map(rows)],
+    fields=lambda rows, settings: fields.city_fields(rows, "orders:citymoney", reports.GLOBAL),
 )
 KEY_CITY_AMOUNT = Report(
     name="query-key-city-amount",
@@ -104,20 +87,16 @@ KEY_CITY_AMOUNT = Report(
     key="city",
     stream=lambda rows, settings: reports.key_city_amount(rows, settings.key_cities),
     wide=_same,
-    fields=lambda rows, settings: hashes.hash_fields(rows, "orders:keycityamount", "city"),
+    fields=lambda rows, settings: fields.hash_fields(rows, "orders:keycityamount", "city"),
 )
-# Stateless: a batch is reduced to its newest row per city, and the stored rows
-# carry their topic position, so the newest wins in whatever order they arrive.
+# The state is the newest row of each city with its position, so late rows lose there.
 KEY_CITY_LATEST = Report(
     name="query-amt-city",
     table="orders:citymoney",
     key="city",
-    stream=lambda rows, settings: reports.key_city_rows(rows, settings.key_cities),
-    wide=lambda rows, settings: [_latest(rows, settings).drop(*POSITION)],
-    fields=lambda rows, settings: hashes.hash_fields(
-        _latest(rows, settings), "orders:citymoney", "city", whole=True
-    ),
-    stateful=False,
+    stream=lambda rows, settings: reports.key_city_latest(rows, settings.key_cities),
+    wide=_same,
+    fields=lambda rows, settings: fields.hash_fields(rows, "orders:citymoney", "city", whole=True),
 )
 
 # The sums: all follow from sums by place.
@@ -131,12 +110,14 @@ def start_etl(
     index: GeoIndex,
     messages: DataFrame | None = None,
     open_only: bool = False,
+    counts: Counts | None = None,
 ) -> StreamingQuery:
     """Start the ETL: raw topic to ETL topic, map-only apart from the dictionary join."""
     if messages is None:
         messages = read_messages(spark, settings, settings.source_topic)
     etl = order_etl_open if open_only else order_etl
-    lines = etl_envelope(etl(messages, index, POSITION), POSITION)
+    rows = etl(messages, index, POSITION, counts)
+    lines = etl_envelope(counts.amounts(rows) if counts else rows, POSITION)
     return start(spark, stream_writer(lines, settings, settings.etl_topic), ETL_QUERY, settings)
 
 
@@ -145,37 +126,37 @@ def start_report(
 ) -> StreamingQuery:
     """Start one report over ``money, province, city`` and topic position columns."""
 
+    write = _sink(report.name, settings)
+
     def store(batch: DataFrame, batch_id: int) -> None:
-        _store(report, batch, batch_id, settings)
+        if settings.store_format == "hashes":
+            write(report.fields(batch, settings), batch_id)
+        else:
+            _write_external(report, batch, settings)
 
     writer = report.stream(rows, settings).writeStream.outputMode("update").foreachBatch(store)
-    return start(spark, writer, report.name, settings, report.stateful)
+    return start(spark, writer, report.name, settings, stateful=True)
 
 
-def _store(report: Report, batch: DataFrame, batch_id: int, settings: Settings) -> None:
-    """Write what a batch changed to the report's hashes, or to the external sink."""
-    if settings.store_format != "hashes":
-        # Finding pivot columns reads the batch once more; its state must not be.
-        batch.persist()
-        try:
-            for wide in report.wide(batch, settings):
-                hashes.write_external(wide, report.table, report.key, settings)
-        finally:
-            batch.unpersist()
-        return
-    folder = f"{settings.store_path.rstrip('/')}/{report.name}"
-    _write(report.fields(batch, settings), folder, batch_id, settings)
+def _sink(name: str, settings: Settings) -> Callable[[DataFrame, int], None]:
+    """Stores the fields of a query's batches under its id; a new checkpoint has a new one."""
+    results: list[hashes.Results] = []
+
+    def write(fields: DataFrame, batch_id: int) -> None:
+        if not results:
+            results.append(hashes.Results(settings.store_path, name, _run(fields.sparkSession)))
+        results[0].write(fields, batch_id)
+
+    return write
 
 
-def _write(fields: DataFrame, folder: str, batch_id: int, settings: Settings) -> None:
-    session = fields.sparkSession
-    hashes.write_hashes(fields, folder, _run(session), batch_id)
-    if settings.compact_every and batch_id and batch_id % settings.compact_every == 0:
-        hashes.compact(session, folder)
+def _write_external(report: Report, rows: DataFrame, settings: Settings) -> None:
+    for wide in report.wide(rows, settings):
+        fields.write_external(wide, report.table, report.key, settings)
 
 
 def _run(session: SparkSession) -> str:
-    """Id of the streaming query whose batch is being stored; a new checkpoint has a new one."""
+    """Id of the streaming query whose batch is being stored."""
     run = session.sparkContext.getLocalProperty("sql.streaming.queryId")
     if not run:
         raise RuntimeError("a batch is stored by a streaming query, which has an id")
@@ -190,18 +171,19 @@ def start_sums(spark: SparkSession, settings: Settings, rows: DataFrame) -> Stre
     the keys the single reports use. Nothing is read back.
     """
 
+    write = _sink(PLACES_QUERY, settings)
+
     def store(batch: DataFrame, batch_id: int) -> None:
         places = batch.persist()
         try:
             sums = [(report, report.stream(places, settings)) for report in SUMS]
             if settings.store_format == "hashes":
-                fields = [report.fields(rows, settings) for report, rows in sums]
-                few = reduce(DataFrame.unionByName, fields).coalesce(settings.state_partitions)
-                folder = f"{settings.store_path.rstrip('/')}/{PLACES_QUERY}"
-                _write(few, folder, batch_id, settings)
+                changed = [report.fields(rows, settings) for report, rows in sums]
+                few = reduce(DataFrame.unionByName, changed).coalesce(settings.state_partitions)
+                write(few, batch_id)
             else:
                 for report, rows in sums:
-                    _store(report, rows, batch_id, settings)
+                    _write_external(report, rows, settings)
         finally:
             places.unpersist()
 
@@ -219,12 +201,22 @@ def start_key_city_rows(
     return start(spark, writer, "query-key-city-rows", settings)
 
 
+def _noted(spark: SparkSession, settings: Settings) -> AbstractContextManager:
+    """Keeps the table of batches, if the settings name one."""
+    return batch_table(spark, settings.batch_table) if settings.batch_table else nullcontext()
+
+
 def run_etl(spark: SparkSession, settings: Settings, open_only: bool = False) -> None:
-    """The whole ETL job, until it is stopped."""
+    """The whole ETL job, until it is stopped. Its batches count what they drop or miss."""
     index = load_index(spark, settings).persist()
+    if not index.broadcast:
+        so_far = read_messages(spark, settings, settings.source_topic, streaming=False)
+        index = with_hot_keys(index, order_fields(so_far), "ip")
     try:
-        query = start_etl(spark, settings, index, open_only=open_only)
-        run_all(spark, [query], settings.stop_etl_file)
+        with _noted(spark, settings):
+            counts = Counts(streaming=True)
+            query = start_etl(spark, settings, index, open_only=open_only, counts=counts)
+            run_all(spark, [query], settings.stop_etl_file)
     finally:
         index.unpersist()
 
@@ -241,29 +233,28 @@ def run_reports(
     """
     messages = read_messages(spark, settings, settings.etl_topic)
     rows = report_rows(messages, POSITION)
-    queries = []
-    if sums_together:
-        queries.append(start_sums(spark, settings, rows))
-        chosen = [report for report in chosen if report not in SUMS]
-    queries += [start_report(spark, settings, report, rows) for report in chosen]
-    run_all(spark, queries, settings.stop_state_file)
+    with _noted(spark, settings):
+        queries = []
+        if sums_together:
+            queries.append(start_sums(spark, settings, rows))
+            chosen = [report for report in chosen if report not in SUMS]
+        queries += [start_report(spark, settings, report, rows) for report in chosen]
+        run_all(spark, queries, settings.stop_state_file)
 
 
-def _folders(store: str, report: Report) -> list[str]:
-    """Where a report is stored: by its own query, or by the one of all sums."""
-    base = store.rstrip("/")
-    names = [report.name, *([PLACES_QUERY] if report in SUMS else [])]
-    return [f"{base}/{name}" for name in names]
+def _names(report: Report) -> list[str]:
+    """Who stores a report: its own query, or that of all sums."""
+    return [report.name, *([PLACES_QUERY] if report in SUMS else [])]
 
 
 def _key_text(prefix: str) -> Column:
-    return hashes.read_name(F.col("key").substr(F.lit(len(prefix) + 1), F.length("key")))
+    return read_name(F.col("key").substr(F.lit(len(prefix) + 1), F.length("key")))
 
 
 def stored_total(spark: SparkSession, store: str) -> DataFrame:
     """``total_amt`` as it stands now."""
     key = f"{TOTAL.table}:{reports.TOTAL}"
-    total = hashes.read_hashes(spark, _folders(store, TOTAL), key=key)
+    total = hashes.read_hashes(spark, store, key=key, reports=_names(TOTAL))
     row = hashes.hash_get(total, [reports.GLOBAL])
     return row.select(F.col(reports.GLOBAL).try_cast("double").alias("total_amt"))
 
@@ -271,7 +262,7 @@ def stored_total(spark: SparkSession, store: str) -> DataFrame:
 def stored_amounts(spark: SparkSession, store: str, report: Report) -> DataFrame:
     """``<key>, total_amt`` of a report with one hash per key."""
     prefix = f"{report.table}:"
-    found = hashes.read_hashes(spark, _folders(store, report), prefix)
+    found = hashes.read_hashes(spark, store, prefix, reports=_names(report))
     amounts = hashes.hash_get(found, ["total_amt"])
     amount = F.col("total_amt").try_cast("double").alias("total_amt")
     return amounts.select(_key_text(prefix).alias(report.key), amount)
@@ -280,9 +271,9 @@ def stored_amounts(spark: SparkSession, store: str, report: Report) -> DataFrame
 def stored_city_amounts(spark: SparkSession, store: str) -> DataFrame:
     """``city, total_amt`` from the fields of the one hash of all cities."""
     key = f"{CITY.table}:{reports.GLOBAL}"
-    fields = hashes.read_hashes(spark, _folders(store, CITY), key=key)
+    fields = hashes.read_hashes(spark, store, key=key, reports=_names(CITY))
     return fields.select(
-        hashes.read_name(F.col("field")).alias("city"),
+        read_name(F.col("field")).alias("city"),
         F.col("value").try_cast("double").alias("total_amt"),
     )
 
@@ -293,6 +284,6 @@ def stored_cities(spark: SparkSession, store: str) -> DataFrame:
     The hash of all city sums has the same prefix, but is stored by another report.
     """
     prefix = f"{KEY_CITY_LATEST.table}:"
-    stored = hashes.read_hashes(spark, _folders(store, KEY_CITY_LATEST), prefix)
+    stored = hashes.read_hashes(spark, store, prefix, reports=_names(KEY_CITY_LATEST))
     found = hashes.hash_get(stored, ["money", "province"])
     return found.select(_key_text(prefix).alias("city"), "money", "province")

@@ -63,7 +63,7 @@ def mixed_ranges(rng):
 def test_join_equals_brute_force(spark, seed, broadcast_bytes):
     rng = random.Random(seed)
     ranges, rows = dictionary(spark, mixed_ranges(rng))
-    index = geo.build_index(ranges, broadcast_bytes, salts=3)
+    index = geo.build_index(ranges, broadcast_bytes)
     assert index.crowded is not None
     edges = [n for lo, hi, _, _ in rng.sample(rows, 300) for n in (lo - 1, lo, hi, hi + 1)]
     numbers = [n for n in edges if 0 <= n <= 4294967295]
@@ -104,10 +104,10 @@ def test_a_hot_address_is_spread(spark, told_by):
     """A third of the rows share one address, another third have none.
 
     Rows are told apart by their topic position, or by what they contain and the
-    task that reads them.
+    task that reads them. Only the ranges of the hot bucket are copied.
     """
     ranges, _ = dictionary(spark, [(i * 1000, i * 1000 + 999) for i in range(200)])
-    index = geo.build_index(ranges, -1, salts=8)
+    index = geo.build_index(ranges, -1)
     more = {
         "position": (F.lit(0).alias("partition"), F.col("id").alias("offset")),
         "content": ("id",),
@@ -118,6 +118,9 @@ def test_a_hot_address_is_spread(spark, told_by):
         .otherwise(ipv4_text(F.col("id"))).alias("ip"),
         *more,
     )
+    index = geo.with_hot_keys(index, rows, "ip")
+    # The /16 is crowded, so its keys are the upper 24 bits.
+    assert set(index.hot) == {geo.FINE_KEYS + 3}
     found = geo.locate(rows, "ip", index)
     plan = plan_of(found)
     assert "ShuffledHashJoin" in plan or "SortMergeJoin" in plan
@@ -134,6 +137,35 @@ def test_a_hot_address_is_spread(spark, told_by):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_only_hot_buckets_are_copied(spark):
+    """Nine tenths of the rows in one /16 go to all tasks, and only its ranges do."""
+    ranges, rows = dictionary(spark, [(i * 65536 + 5, i * 65536 + 60_000) for i in range(300)])
+    index = geo.build_index(ranges, -1)
+    assert geo.with_hot_keys(geo.build_index(ranges), spark.createDataFrame([("x",)], "ip STRING"), "ip").hot == {}
+    wide = spark.range(0, 20_000, 1, 8).select(
+        F.when(F.col("id") % 10 == 0, F.col("id") % 300 * 65536).otherwise(F.lit(7 * 65536)).alias("n"),
+        (F.col("id") % 65536).alias("low"),
+    )
+    wide = wide.select((F.col("n") + F.col("low")).alias("number"))
+    rows_ = wide.withColumn("ip", ipv4_text(F.col("number")))
+    spark.conf.set("spark.sql.shuffle.partitions", "20")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        hot = geo.with_hot_keys(index, rows_, "ip")
+        assert set(hot.hot) == {7} and 60 <= hot.hot[7] <= 80
+        found = geo.locate(rows_, "ip", hot)
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id().alias("t")).count().collect()]
+        assert len(sizes) == 20 and max(sizes) < 3 * 20_000 / 20
+        assert found.where("city IS NULL").exceptAll(geo.locate(rows_, "ip", index).where("city IS NULL")).isEmpty()
+        expected = brute_force(rows, [r.number for r in rows_.limit(500).collect()])
+        assert all((r.province, r.city) == expected[r.number] for r in found.limit(20_000).collect() if r.number in expected)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    nothing = geo.with_hot_keys(index, rows_.limit(0), "ip")
+    assert nothing.hot == {}
+
+
 def test_the_shuffled_lookup_holds_nothing_random(spark, sf_dir):
     """A task run again must send its rows to the same places as before."""
     index = geo.build_index(split_regions(tables.region_ranges(spark, sf_dir)), -1)
@@ -146,7 +178,7 @@ def test_the_shuffled_lookup_holds_nothing_random(spark, sf_dir):
 def test_large_dictionary_shares_are_merged(spark):
     ranges, rows = dictionary(spark, [(i * 100, i * 100 + 50) for i in range(500)])
     index = geo.build_index(ranges, -1)
-    huge = geo.GeoIndex(index.pieces, index.crowded, 1 << 50, -1, 4)
+    huge = geo.GeoIndex(index.pieces, index.crowded, 1 << 50, -1)
     found = located(spark, [0, 50, 51, 149, 49_950], huge)
     assert "SortMergeJoin" in plan_of(found)
     expected = brute_force(rows, [0, 50, 51, 149, 49_950])

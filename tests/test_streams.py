@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 import os
 import re
+import time
 from dataclasses import replace
 
 import pytest
@@ -12,14 +13,15 @@ from pyspark.sql import functions as F
 
 from orderstream import session
 from orderstream.config import Settings
-from orderstream.operators import geo, reports
+from orderstream.operators import counts, geo, reports
 from orderstream.operators import messages as msg
 from orderstream.operators.etl import order_etl
-from orderstream.plans import tables
-from orderstream.sinks import hashes
+from orderstream.plans import catalog, tables
+from orderstream.sinks import fields, hashes
 from orderstream.sinks.messages import publish
+from orderstream.sources import messages as messages_source
 from orderstream.sources.messages import read_messages
-from orderstream.streaming import control, jobs
+from orderstream.streaming import batches, control, jobs, state
 
 SCHEMA = "value STRING, timestamp TIMESTAMP, partition INT, offset BIGINT"
 START = datetime.datetime(2024, 11, 6)
@@ -64,8 +66,8 @@ def test_update_batches_hold_changed_groups_only(spark, settings):
     report(spark, settings, jobs.CITY)
     post(spark, settings, [(3, "1.25", "P", "A")])
     query = report(spark, settings, jobs.CITY)
-    folder = f"{settings.store_path}/{jobs.CITY.name}/run={query.id}"
-    batches = spark.read.parquet(folder).select("batch_id", "field", "value").collect()
+    written = hashes.written(spark, settings.store_path).where(F.col("run") == str(query.id))
+    batches = written.select("batch", "field", "value").collect()
     assert sorted(tuple(b) for b in batches) == [(0, "A", "4.0"), (0, "B", "1.5"), (1, "A", "5.25")]
     assert amounts(jobs.stored_city_amounts(spark, settings.store_path)) == {"A": 5.25, "B": 1.5}
 
@@ -135,17 +137,16 @@ def test_sums_together_store_what_single_reports_store(spark, settings, tmp_path
     single = replace(
         settings, store_path=str(tmp_path / "single"), checkpoint_root=str(tmp_path / "single-ckpt")
     )
-    often = replace(settings, compact_every=2)
     for rows in batches:
         post(spark, settings, rows)
-        sums(spark, often)
+        sums(spark, settings)
         for which in jobs.SUMS:
             report(spark, single, which)
         assert stored_sums(spark, settings) == stored_sums(spark, single)
     before = stored_sums(spark, settings)
     assert before[("orders:citymoney:global", "A")] == "11.3"
     drop_last_commit(settings.checkpoint(jobs.PLACES_QUERY))
-    sums(spark, often)
+    sums(spark, settings)
     assert stored_sums(spark, settings) == before
 
 
@@ -222,28 +223,125 @@ def test_a_batch_needs_a_query(spark):
         jobs._run(spark)
 
 
-def test_many_cities_for_an_external_sink(spark, settings, monkeypatch):
-    monkeypatch.setattr(jobs, "WIDE_CITIES", 5)
-    rows = [(f"C{i}", float(i)) for i in range(23)] + [(None, 99.0)]
-    frame = spark.createDataFrame(rows, "city STRING, total_amt DOUBLE")
-    merged = {}
-    for wide in jobs.CITY.wide(frame, settings):
-        (row,) = wide.collect()
-        merged |= {name: value for name, value in row.asDict().items() if name != "total"}
-    assert merged == {city or "null": amount for city, amount in rows}
-
-
-def test_files_of_every_batch_are_known(spark, settings):
-    """More batches than the progress reports keep."""
+def test_every_batch_is_in_the_table(spark, settings, tmp_path):
+    """More batches than the progress reports keep, also those of a query started again."""
+    table = str(tmp_path / "batches")
+    assert batches.read_batches(spark, table).collect() == []
     spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
     try:
-        for at in range(12):
-            post(spark, settings, [(at, "1", "P", "A")])
-        query = report(spark, settings, jobs.TOTAL)
+        with batches.batch_table(spark, table) as log:
+            for at in range(8):
+                post(spark, settings, [(at, "1", "P", "A"), (at + 100, "1", "P", "B")])
+            log.wait(report(spark, settings, jobs.CITY))
+            drop_last_commit(settings.checkpoint(jobs.CITY.name))
+            post(spark, settings, [(50, "1", "P", "A")])
+            log.wait(report(spark, settings, jobs.CITY))
     finally:
         spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
-    batches = control.file_batches(spark, settings, query.name).collect()
-    assert len({r.path for r in batches}) == len({r.batch_id for r in batches}) == 12
+    rows = batches.read_batches(spark, table).orderBy("batch_id").collect()
+    assert [(r.query, r.batch_id, r.input_rows) for r in rows] == [
+        (jobs.CITY.name, at, 2 if at < 8 else 1) for at in range(9)
+    ]
+    assert rows[0].state_rows == 2 and rows[0].batch_ms > 0
+    assert spark.read.parquet(table).count() == 10
+    # Nothing is written once the table is closed.
+    post(spark, settings, [(60, "1", "P", "A")])
+    report(spark, settings, jobs.CITY)
+    assert spark.read.parquet(table).count() == 10
+
+
+def test_jobs_note_their_batches_and_counts(spark, sf_dir, settings, tmp_path):
+    noted = replace(
+        settings, batch_table=str(tmp_path / "batches"), region_path=str(tmp_path / "ranges"),
+        max_files_per_trigger=2,
+    )
+    tables.region_ranges(spark, sf_dir).write.parquet(noted.region_path)
+    messages = tables.mixed_messages(spark, sf_dir)
+    publish(messages, noted, noted.source_topic, 500)
+    jobs.run_etl(spark, noted)
+    jobs.run_reports(spark, noted, sums_together=True)
+    rows = batches.read_batches(spark, noted.batch_table)
+    assert {r.query for r in rows.collect()} == {jobs.ETL_QUERY, jobs.PLACES_QUERY, jobs.KEY_CITY_LATEST.name}
+    expected = tuple(catalog.etl_counts(spark, sf_dir).first())
+    assert tuple(batches.observed_sums(rows, *counts.ALL).first()) == expected
+
+
+def test_a_topic_may_start_at_its_end(spark, settings):
+    latest = replace(settings, file_start="latest")
+    post(spark, latest, [(1, "4", "P", "A")])
+    report(spark, latest, jobs.TOTAL)
+    time.sleep(0.01)
+    for at in (2, 3):
+        post(spark, latest, [(at, "10", "P", "A")])
+        report(spark, latest, jobs.TOTAL)
+    assert jobs.stored_total(spark, latest.store_path).first().total_amt == 20.0
+
+
+def test_a_cap_of_messages_holds_for_file_topics(spark, settings):
+    capped = replace(settings, max_files_per_trigger=None, max_offsets_per_trigger=5)
+    for at in range(0, 14, 2):
+        post(spark, capped, [(at, "1", "P", "A"), (at + 1, "1", "P", "A")])
+    query = report(spark, capped, jobs.TOTAL)
+    read = [step["numInputRows"] for step in query.recentProgress if step["numInputRows"]]
+    assert read == [4, 4, 4, 2]
+    # A segment is never cut.
+    assert messages_source.files_per_batch(spark, replace(capped, max_offsets_per_trigger=1), capped.etl_topic) == 1
+
+
+@pytest.mark.parametrize("store", ["default", "rocksdb"])
+def test_sums_go_on_in_another_number_of_stores(spark, settings, tmp_path, store):
+    old = replace(settings, state_store=store)
+    rows = [(at, f"{at}.25", f"P{at % 3}", f"C{at % 7}") for at in range(1, 40)]
+    post(spark, old, [*rows, (99, "0.001", "P1", "C1"), (98, "abc", "P9", "C9")])
+    sums(spark, old)
+    before = stored_sums(spark, old)
+    read = messages_source.newest_segment(spark, old, old.etl_topic)
+    new = replace(old, state_partitions=9, checkpoint_root=str(tmp_path / "wide"), file_start=read)
+    seed = str(tmp_path / "seed")
+    with pytest.raises(ValueError, match="checkpoint of its own"):
+        state.widen(spark, old, replace(old, state_partitions=9), seed)
+    state.widen(spark, old, new, seed)
+
+    def run():
+        lines = read_messages(spark, new, new.etl_topic)
+        state.start_seeded_sums(spark, new, msg.report_rows(lines, msg.POSITION), seed).awaitTermination()
+
+    run()
+    assert stored_sums(spark, new) == before
+    time.sleep(0.01)
+    post(spark, new, [(200, "1000.5", "P1", "C1"), (201, "7", "PX", "CX")])
+    run()
+    checkpoint = new.checkpoint(jobs.PLACES_QUERY)
+    assert state.state_width(spark, checkpoint) == 9
+    assert state.state_width(spark, old.checkpoint(jobs.PLACES_QUERY)) == settings.state_partitions
+    everything = replace(
+        settings, store_path=str(tmp_path / "all"), checkpoint_root=str(tmp_path / "all-ckpt"), max_files_per_trigger=9
+    )
+    sums(spark, everything)
+    assert stored_sums(spark, new) == stored_sums(spark, everything)
+    kept = state.place_sums(spark, new)
+    assert {r.city for r in kept.collect()} == {f"C{i}" for i in range(7)} | {"C9", "CX"}
+
+
+def test_reports_share_the_cores_fairly(spark, settings):
+    """Each query's jobs run in a pool of its own; the caller's pool stays as it was."""
+    seen = {}
+
+    def note(batch, batch_id):
+        context = batch.sparkSession.sparkContext
+        seen[context.getLocalProperty("sql.streaming.queryId")] = context.getLocalProperty(control.POOL)
+
+    post(spark, settings, [(1, "4", "P", "A")])
+    spark.sparkContext.setLocalProperty(control.POOL, "mine")
+    lines = read_messages(spark, settings, settings.etl_topic)
+    queries = [
+        control.start(spark, lines.writeStream.foreachBatch(note), name, settings) for name in ("one", "two")
+    ]
+    for query in queries:
+        query.awaitTermination()
+    assert spark.sparkContext.getLocalProperty(control.POOL) == "mine"
+    spark.sparkContext.setLocalProperty(control.POOL, None)
+    assert seen == {queries[0].id: "one", queries[1].id: "two"}
 
 
 def test_file_topics_cap_bytes_and_start_late(spark, settings):
@@ -251,7 +349,7 @@ def test_file_topics_cap_bytes_and_start_late(spark, settings):
     for at in range(3):
         post(spark, capped, [(at, "1", "P", "A")])
     query = report(spark, capped, jobs.TOTAL)
-    assert len({r.batch_id for r in control.file_batches(spark, capped, query.name).collect()}) == 3
+    assert len([step for step in query.recentProgress if step["numInputRows"]]) == 3
     late = replace(
         settings, starting_time="2024-11-06T00:00:02Z", store_path=f"{settings.store_path}2",
         checkpoint_root=f"{settings.checkpoint_root}2",
@@ -340,7 +438,7 @@ def test_progress_rows(spark, settings):
 def test_external_sink_gets_wide_rows(spark, settings, monkeypatch):
     got = []
     monkeypatch.setattr(
-        hashes, "write_external",
+        fields, "write_external",
         lambda rows, table, key, _: got.append((table, key, [r.asDict() for r in rows.collect()])),
     )
     external = replace(settings, store_format="my.sink")
@@ -350,30 +448,20 @@ def test_external_sink_gets_wide_rows(spark, settings, monkeypatch):
         ("orders:money", "type"), ("orders:provincemoney", "province"),
         ("orders:citymoney", "total"), ("orders:keycityamount", "city"),
     ]
-    assert got[2][2] == [{"total": "global", "A": 4.0, "C": 5.0}]
+    assert got[2][2] == [{"total": "global", "amounts": {"A": 4.0, "C": 5.0}}]
     got.clear()
     for which in (jobs.TOTAL, jobs.CITY, jobs.KEY_CITY_LATEST):
         report(spark, external, which)
     assert got == [
         ("orders:money", "type", [{"global": 9.0, "type": "total"}]),
-        ("orders:citymoney", "total", [{"total": "global", "A": 4.0, "C": 5.0}]),
+        ("orders:citymoney", "total", [{"total": "global", "amounts": {"A": 4.0, "C": 5.0}}]),
         ("orders:citymoney", "city", [{"city": "A", "money": 4.0, "province": "P"}]),
     ]
 
 
-def test_frequent_compaction_keeps_the_sums(spark, settings):
-    often = replace(settings, compact_every=2)
-    for at in range(5):
-        post(spark, often, [(at, "1.5", "P", f"C{at % 3}")])
-    report(spark, often, jobs.CITY)
-    folder = f"{settings.store_path}/{jobs.CITY.name}"
-    assert "run=compact" in os.listdir(folder)
-    assert amounts(jobs.stored_city_amounts(spark, settings.store_path)) == {"C0": 3.0, "C1": 3.0, "C2": 1.5}
-
-
 def test_a_stateless_stream_keeps_the_shuffle_width(spark, sf_dir, settings):
     """The shuffled lookup of the ETL runs in as many tasks as the session says."""
-    index = geo.build_index(split(spark, sf_dir), -1, salts=3)
+    index = geo.build_index(split(spark, sf_dir), -1)
     publish(tables.order_messages(spark, sf_dir), settings, settings.source_topic, 500)
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "11")
@@ -390,7 +478,7 @@ def test_a_stateless_stream_keeps_the_shuffle_width(spark, sf_dir, settings):
 @pytest.mark.parametrize("broadcast_bytes", [1 << 30, -1])
 def test_stream_lookup_equals_batch(spark, sf_dir, settings, broadcast_bytes):
     """ETL in several batches, with the dictionary broadcast and shuffled."""
-    index = geo.build_index(split(spark, sf_dir), broadcast_bytes, salts=3).persist()
+    index = geo.build_index(split(spark, sf_dir), broadcast_bytes).persist()
     messages = tables.order_messages(spark, sf_dir)
     publish(messages, settings, settings.source_topic, 500)
     jobs.start_etl(spark, settings, index).awaitTermination()
