@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +37,11 @@ def text_bytes(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary")
 
 
+def decoded(value: pa.Scalar) -> str:
+    """A text of ``text_bytes`` as code points; bytes that are no UTF-8 become U+FFFD."""
+    return value.as_py().decode("utf-8", "replace")
+
+
 def word_blocks(data: bytes, size: int = BLOCK) -> Iterator[list[bytes]]:
     """Words of a text in order, a bounded block of them at a time.
 

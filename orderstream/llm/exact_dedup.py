@@ -186,13 +186,16 @@ def dedup(
     rows = texts.select("doc_id", digest(F.col("norm")).alias("digest"))
     rows = stored(rows.withColumn("pos", F.monotonically_increasing_id()), "exact-rows")
     if in_snapshot is None:
-        middle = rows.agg(F.percentile_approx("doc_id", 0.5)).first()[0]
-        in_snapshot = F.col("doc_id") <= F.lit(middle)
+        # Ids that are no numbers are told apart by a number made of them.
+        number = F.coalesce(F.col("doc_id").try_cast("double"), F.xxhash64("doc_id").cast("double"))
+        middle = rows.agg(F.percentile_approx(number, 0.5)).first()[0]
+        in_snapshot = F.col("doc_id").isNotNull() & (number <= F.lit(middle))
     old = F.coalesce(in_snapshot, F.lit(False))
 
     snapshot = stored(_groups(rows.where(old), "digest"), "exact-snapshot")
-    batch = _groups(rows.where(~old), "digest")
-    shards = snapshot.count() // shard_rows + 1
+    batch = stored(_groups(rows.where(~old), "digest"), "exact-batch")
+    # A shard meets its filter in one task, so neither side may be large in it.
+    shards = max(snapshot.count(), batch.count()) // shard_rows + 1
     screened = stored(screen(batch, build_filters(snapshot, shards), shards), "exact-screened")
 
     known = screened.where("known").select(

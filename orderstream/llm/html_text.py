@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderstream.llm.common import decoded, text_bytes
+
 # A comment, a declaration, or a tag with its attributes; quotes may hold ">".
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*+(?:>|\Z)"
@@ -56,19 +59,37 @@ _WEAK = frozenset(
     "related recommended recommendations widget toolbar pagination pager skip outbrain taboola "
     "disclaimer discussion reply paywall".split()
 )
+# Readers' own texts; a page without other paragraphs may be all of these.
+_READERS = frozenset("comment comments commentlist disqus replies reply respond discussion".split())
 _POSITIVE = frozenset("article body content entry main page post story text".split())
+# Words that say nothing about what an element holds. A name with any other word besides
+# the listed ones, such as share-price or ad-free-story, is not one of theirs.
+_PLAIN = frozenset(
+    "area bar block bottom box btn button buttons col column container content count footer form "
+    "group header holder icon icons inline inner item items left link links list module outer panel "
+    "right row section site slot small thread title top unit wrap wrapper".split()
+)
+
+# Levels of nesting, as in browsers; deeper elements stand beside each other.
+DEPTH = 512
+# A real paragraph has so many characters, a quarter of them in links at most.
+_PARAGRAPH = 80
+# Lists and the like that belong to the text beside them unless they are made of links.
+_BESIDE = frozenset("ul ol dl table blockquote pre figure".split())
 
 
 class Node:
-    __slots__ = ("tag", "parent", "words", "role", "children", "texts", "links", "score", "hidden", "depth")
+    __slots__ = ("tag", "parent", "depth", "names", "role", "children", "texts", "links", "score", "hidden", "points")
 
     def __init__(self, tag: str, parent: Node | None, attributes: str = "") -> None:
         self.tag, self.parent = tag, parent
+        self.depth = parent.depth + 1 if parent else 0
         self.children: list[Node | str] = []
-        self.score = 0.0
+        self.score = self.points = 0.0
         self.texts = self.links = 0
         self.role, self.hidden = "", False
-        self.words: frozenset[str] = frozenset()
+        # The words of each class and of the id.
+        self.names: list[frozenset[str]] = []
         if attributes:
             named = {
                 m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "")
@@ -83,12 +104,17 @@ class Node:
                 or "visibility:hidden" in style
             )
             label = f"{named.get('class', '')} {named.get('id', '')}"
-            self.words = frozenset(_NAMES.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", label).lower()))
+            self.names = [
+                frozenset(_NAMES.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()))
+                for name in label.split()
+            ]
 
 
 def parse(page: str) -> Node:
     """Blocks, links and dropped elements of a page as a tree; other inline tags fall away."""
     root = here = Node("html", None)
+    # Elements too deep to be nested, by tag: their end tags end nothing.
+    flat: Counter[str] = Counter()
     at = 0
     while True:
         match = _TOKEN.search(page, at)
@@ -113,16 +139,24 @@ def parse(page: str) -> Node:
             here.children.append(Node("hr", here))
         elif tag in _VOID or tag in ("html", "body"):
             continue
+        elif closing and flat[tag]:
+            flat[tag] -= 1
+            here.children.append(Node("hr", here) if tag in _BLOCKS else " ")
         elif closing:
             here = _closed(here, tag)
         elif tag in _BLOCKS or tag in _DROPPED or tag == "a":
             here = _opened(here, tag)
             node = Node(tag, here, attributes)
+            if node.depth > DEPTH:
+                flat[tag] += 1
+                here.children.append(Node("hr", here) if tag in _BLOCKS else " ")
+                continue
             here.children.append(node)
             here = node
-        elif attributes and (inline := Node(tag, here, attributes)) and _unwanted(inline):
-            here.children.append(inline)
-            here = inline
+        elif attributes and (inline := Node(tag, here, attributes)) and (_is_dropped(inline) or _is_named(inline)):
+            if inline.depth <= DEPTH:
+                here.children.append(inline)
+                here = inline
 
 
 def _closed(here: Node, tag: str) -> Node:
@@ -156,44 +190,102 @@ def _opened(here: Node, tag: str) -> Node:
     return here
 
 
-def _unwanted(node: Node) -> bool:
-    if node.hidden or node.tag in _DROPPED or node.role in _ROLES:
-        return True
+def _is_dropped(node: Node) -> bool:
+    """Not seen, or by its element or role no part of a text."""
+    return node.hidden or node.tag in _DROPPED or node.role in _ROLES
+
+
+def _is_named(node: Node) -> bool:
+    """Some class or id is made of words for what surrounds a text, and of no others."""
     if node.tag in ("html", "article", "main") or node.role in ("main", "article"):
         return False
-    if node.words & _STRONG:
-        return True
-    return bool(node.words & _WEAK) and not node.words & _POSITIVE
+    for words in node.names:
+        if words & _STRONG and words <= _STRONG | _WEAK | _PLAIN | _POSITIVE:
+            return True
+        if words & _WEAK and words <= _STRONG | _WEAK | _PLAIN and not any(n & _POSITIVE for n in node.names):
+            return True
+    return False
+
+
+def _readers(node: Node) -> bool:
+    return any(words & _READERS for words in node.names)
 
 
 def _is_header(node: Node) -> bool:
-    return node.tag == "header" or "header" in node.words and not node.words & _POSITIVE
+    return node.tag == "header" or any(
+        "header" in words and words <= _PLAIN | _WEAK and not words & _POSITIVE for words in node.names
+    )
 
 
-def _pruned(root: Node) -> None:
-    """Takes unwanted elements out, except those that hold the article itself."""
-    order, holds = [root], set()
+def _own_text(node: Node) -> int:
+    return sum(len(child.strip()) for child in node.children if isinstance(child, str))
+
+
+def _in_order(root: Node) -> list[Node]:
+    order = [root]
     for node in order:
         order += [child for child in node.children if isinstance(child, Node)]
-    for node in order:
+    return order
+
+
+def _pruned(root: Node) -> None:
+    """Takes unwanted elements out, except those that hold the article itself.
+
+    What is hidden, or by element or role no text, goes. An element with a name for
+    surroundings goes too, unless that is only how the page calls its whole text: where
+    no article element tells, one that holds more than half of the paragraph points
+    stays, and one of readers' comments if no paragraph is left outside of it.
+    """
+    holds = set()
+    for node in _in_order(root):
         if node.tag in ("article", "main") or node.role == "main":
             up = node.parent
             while up and id(up) not in holds:
                 holds.add(id(up))
                 up = up.parent
-    for node in order:
+    for node in _in_order(root):
         kept = []
         for child in node.children:
             if isinstance(child, Node) and id(child) not in holds:
-                if _unwanted(child):
-                    kept.append(Node("hr", node) if child.tag in _BLOCKS else " ")
+                if _is_dropped(child):
+                    kept.append(_gap(child))
                     continue
-                if _is_header(child):
+                if _is_header(child) and not _is_named(child):
                     # A page's header goes; an article's leaves its headings.
-                    kept += _headings(child) if _inside_article(node) else [Node("hr", node)]
+                    kept += _headings(child) if _inside_article(node) else [_gap(child)]
                     continue
             kept.append(child)
         node.children = kept
+    order = _in_order(root)
+    for node in reversed(order):
+        own = _own_text(node)
+        if own and node.tag != "a" and node.tag not in _HEADINGS:
+            node.points += _points(node, own)
+        if node.parent:
+            node.parent.points += node.points
+    named = [node for node in order if id(node) not in holds and _is_named(node)]
+    if not named:
+        return
+    inside = set(map(id, named))
+    for node in order:
+        if node.parent and id(node.parent) in inside:
+            inside.add(id(node))
+    left = [node for node in order if id(node) not in inside and _own_text(node) >= _PARAGRAPH and node.tag != "a"]
+    gone = {id(node) for node in named if holds or not _is_whole_text(node, root, bool(left))}
+    for node in order:
+        if any(id(child) in gone for child in node.children):
+            node.children = [_gap(child) if id(child) in gone else child for child in node.children]
+
+
+def _is_whole_text(node: Node, root: Node, others: bool) -> bool:
+    if _readers(node):
+        return not others and node.points > root.points / 2
+    return node.points > root.points / 2
+
+
+def _gap(node: Node) -> Node | str:
+    """What an element leaves behind: the end of a block, or of a word."""
+    return Node("hr", node.parent) if node.tag in _BLOCKS else " "
 
 
 def _inside_article(node: Node | None) -> bool:
@@ -213,7 +305,9 @@ def _headings(header: Node) -> list[Node | str]:
             node.parent = header.parent
             found.append(node)
         else:
-            waiting += [c for c in reversed(node.children) if isinstance(c, Node) and not _unwanted(c)]
+            waiting += [
+                c for c in reversed(node.children) if isinstance(c, Node) and not (_is_dropped(c) or _is_named(c))
+            ]
     return found
 
 
@@ -225,12 +319,9 @@ def _scored(root: Node) -> Node:
     ancestors a half, a sixth, a ninth and so on up to five levels. A container's score is
     discounted by the share of its text that is in links.
     """
-    order = [root]
-    for node in order:
-        order += [child for child in node.children if isinstance(child, Node)]
+    order = _in_order(root)
     for node in reversed(order):
-        own = [child for child in node.children if isinstance(child, str)]
-        text = sum(len(part.strip()) for part in own)
+        text = _own_text(node)
         node.texts += text
         if node.tag == "a":
             node.links = node.texts
@@ -238,8 +329,7 @@ def _scored(root: Node) -> Node:
             node.parent.texts += node.texts
             node.parent.links += node.links
         if text and node.tag != "a" and node.tag not in _HEADINGS:
-            commas = sum(part.count(",") + part.count("、") + part.count("，") for part in own)
-            points = 1 + commas + min(text / 100, 3)
+            points = _points(node, text)
             up, level = node.parent or node, 0
             while up and level < 5:
                 up.score += points / (1, 2, 6, 9, 12)[level]
@@ -254,6 +344,12 @@ def _scored(root: Node) -> Node:
     return best
 
 
+def _points(node: Node, text: int) -> float:
+    own = [child for child in node.children if isinstance(child, str)]
+    commas = sum(part.count(",") + part.count("、") + part.count("，") for part in own)
+    return 1 + commas + min(text / 100, 3)
+
+
 def _blocks(nodes: list[Node | str]) -> list[str]:
     """Texts of the blocks in page order, white space as one space, empty ones left out."""
     blocks, current = [], []
@@ -285,7 +381,8 @@ def main_text(page: str) -> str:
     """The article of a page, one line per block.
 
     The best container is kept with the siblings that score a fifth of it, and with the
-    headings beside it. Inside an article element, the whole article is kept.
+    headings, lists and tables beside it; a title above the container that stands beside
+    it or one that holds it is kept too. Inside an article element, the whole article is.
     """
     root = parse(page)
     _pruned(root)
@@ -298,34 +395,56 @@ def main_text(page: str) -> str:
         up = up.parent
     kept: list[Node | str] = [best]
     if best.parent and best.tag != "main":
-        kept = [
-            node
-            for node in best.parent.children
-            if isinstance(node, Node)
-            and (
-                node is best
-                or node.tag in _HEADINGS
-                or node.score >= max(0.2 * best.score, 3)
-                or node.tag == "p" and node.texts > 80 and node.links < 0.25 * node.texts
-            )
-        ]
+        kept = [node for node in best.parent.children if isinstance(node, Node) and _belongs(node, best)]
+    if best.tag != "article" and not any(node.tag == "h1" for node in _under(kept)):
+        kept = _titles_above(best) + kept
     return "\n".join(_blocks(kept))
 
 
+def _belongs(node: Node, best: Node) -> bool:
+    """Whether a sibling of the best container is part of its text."""
+    linked = node.links >= 0.25 * max(node.texts, 1)
+    return (
+        node is best
+        or node.tag in _HEADINGS
+        or node.score >= max(0.2 * best.score, 3)
+        or node.tag == "p" and node.texts > _PARAGRAPH and not linked
+        or node.tag in _BESIDE and node.texts > 0 and not linked
+    )
+
+
+def _under(nodes: list[Node | str]) -> Iterator[Node]:
+    for node in nodes:
+        if isinstance(node, Node):
+            yield from _in_order(node)
+
+
+def _titles_above(best: Node) -> list[Node | str]:
+    """Top headings before the elements that hold the best container, nearest level first."""
+    inner, outer = best.parent, best.parent.parent if best.parent else None
+    while inner and outer:
+        before = outer.children[: next(i for i, child in enumerate(outer.children) if child is inner)]
+        titles: list[Node | str] = [child for child in before if isinstance(child, Node) and child.tag == "h1"]
+        if titles:
+            return titles
+        inner, outer = outer, outer.parent
+    return []
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """``page_id, url, text`` for every row of ``page_id, url, html``.
 
     A null page counts as empty and has the empty text, as does a page without text.
-    Nothing is cut or left out otherwise. No shuffle; repeated rows are extracted each. An
+    Bytes that are no UTF-8 become U+FFFD. Nothing is cut or left out otherwise. No shuffle; repeated rows are extracted each. An
     empty table gives no rows. Other columns are not read.
     """
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = (main_text(page.as_py() or "") for page in batch.column(2))
+            texts = (main_text(decoded(page)) for page in batch.column(2))
             columns = [*batch.columns[:2], pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "text"])
 
-    rows = pages.select("page_id", "url", F.col("html").cast("string").alias("html"))
-    schema = rows.withColumnRenamed("html", "text").schema
+    rows = pages.select("page_id", "url", text_bytes("html").alias("html"))
+    schema = rows.select("page_id", "url", F.lit("").alias("text")).schema
     return rows.mapInArrow(per_batch, schema)

@@ -870,7 +870,7 @@ def _scored(docs: DataFrame, lex: Lexicon, model: Model) -> DataFrame:
 
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lex, model = cloudpickle.loads(shared.value)
-        known = np.append(lex.base(lex.counts), 0.0) if len(lex.counts) else np.zeros(1)
+        known = np.append(0.0, lex.base(lex.counts))  # by rank, from 1
         end = float(lex.base(lex.ends))
         blocks = Blocks(lex)
         spelled: dict[bytes, float] = {}
@@ -901,7 +901,7 @@ def _scored(docs: DataFrame, lex: Lexicon, model: Model) -> DataFrame:
                 for total, owner, amounts in (
                     (score, bits.owner[ranks], cost[ranks]),
                     (score, block.text, model.finer_cost(bits)),
-                    (base, block.text, np.where(inside, known[block.symbols - 1], 0)),
+                    (base, block.text, known[np.maximum(block.symbols, 0)]),
                     (tokens, block.text, None),
                     (seen, block.text[inside], None),
                     (sizes, block.text, block.sizes),
@@ -934,8 +934,9 @@ def _scored(docs: DataFrame, lex: Lexicon, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     rows = docs.select("doc_id", text_bytes().alias("t"))
+    # Rows of words have no doc_id, also where documents must have one.
     schema = rows.selectExpr(
-        "doc_id", "0L AS row", "CAST(NULL AS BINARY) AS word",
+        "IF(true, doc_id, NULL) AS doc_id", "0L AS row", "CAST(NULL AS BINARY) AS word",
         *(f"CAST(NULL AS BIGINT) AS {name}" for name in ("n_tokens", "n_known", "n_bytes")),
         *(f"CAST(NULL AS DOUBLE) AS {name}" for name in ("base_score", "score")),
     ).schema

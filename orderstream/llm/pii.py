@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderstream.llm.common import decoded, text_bytes
+
 # Kinds in the order in which spans of the same start are listed; the base ones first.
 KINDS = ("email", "ip", "card", "phone", "url", "account")
 BASE_KINDS = KINDS[:4]
@@ -30,11 +32,15 @@ _LOGIN = re.compile(r"[^\s/@:?#<>\"']+(?::[^\s/@?#<>\"']*)?@[\w.-]+(?::[0-9]+)?(
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{1,4}){3,8}(?![A-Za-z0-9])")
 _NUMBER = re.compile(r"(?:[ \t]*(?:no|nr|number|num|#|:|=|\.|is))*[ \t]*([0-9](?:[ -]?[0-9]){5,17})(?![0-9])", re.I)
 
-# Words before an account number, in the languages of the texts.
+# Words before an account number, in the languages of the texts, in any case.
 CUES = (
     "iban", "account", "acct", "konto", "kontonummer", "cuenta", "compte", "ssn",
     "passport", "customer id",
 )
+_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+
+# Most characters of an address of this kind.
+_IPV6_CHARS = 45
 
 _DIGITS = frozenset("0123456789")
 
@@ -44,6 +50,7 @@ class Span(NamedTuple):
     kind: int
     end: int
     base: bool
+    checked: bool = True
 
 
 def automaton() -> ahocorasick.Automaton:
@@ -54,8 +61,7 @@ def automaton() -> ahocorasick.Automaton:
     for number, anchor in enumerate(("@", "+", "://", "::"), 1):
         found.add_word(anchor, (number, len(anchor)))
     for cue in CUES:
-        for spelled in {cue, cue.upper(), cue.capitalize()}:
-            found.add_word(spelled, (5, len(cue)))
+        found.add_word(cue, (5, len(cue)))
     found.make_automaton()
     return found
 
@@ -68,6 +74,12 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def lowered(text: str) -> str:
+    """The text with small letters, every character in its place."""
+    low = text.lower()
+    return low if len(low) == len(text) else text.translate(_LOWER)
+
+
 def find(text: str, anchors: ahocorasick.Automaton) -> list[Span]:
     """All spans of a text in code points, by start and kind.
 
@@ -77,7 +89,7 @@ def find(text: str, anchors: ahocorasick.Automaton) -> list[Span]:
     """
     spans: list[Span] = []
     email_end = ip_end = card_end = 0
-    for last, (anchor, length) in anchors.iter(text):
+    for last, (anchor, length) in anchors.iter(lowered(text)):
         at = last - length + 1
         if anchor == 0:
             if at >= ip_end and (at == 0 or text[at - 1] not in _DIGITS):
@@ -133,16 +145,17 @@ def _wide_email(text: str, at: int) -> list[Span]:
 
 
 def _ipv6(text: str, at: int) -> list[Span]:
-    start = at
-    while start and text[start - 1] in "0123456789abcdefABCDEF:":
+    start, first = at, max(at - _IPV6_CHARS, 0)
+    while start > first and text[start - 1] in "0123456789abcdefABCDEF:":
         start -= 1
-    end = _IPV6.match(text, at).end()
+    # One more than an address may have shows that the run is longer.
+    end = _IPV6.match(text, at, at + _IPV6_CHARS + 1).end()
     while end > at and text[end - 1] == ".":
         end -= 1
     if start and text[start - 1].isalnum() or end < len(text) and text[end].isalnum():
         return []
     address = text[start:end]
-    if address.count(":") < 3 or len(address) > 45:
+    if address.count(":") < 3 or len(address) > _IPV6_CHARS:
         return []
     try:
         ipaddress.IPv6Address(address)
@@ -179,11 +192,40 @@ def _iban(text: str, at: int) -> list[Span]:
 
 
 def _account(text: str, at: int, end: int) -> list[Span]:
-    """A number of 6 to 18 digits right after a cue word."""
+    """A number of 6 to 18 digits right after a cue word.
+
+    Only after some cues its digits can be checked; after others a date or years are
+    taken for what they look like, and anything else is not checked.
+    """
     if at and text[at - 1].isalnum() or end < len(text) and text[end].isalpha():
         return []
     match = _NUMBER.match(text, end)
-    return [Span(match.start(1), 5, match.end(1), False)] if match else []
+    if not match:
+        return []
+    number, digits = match[1], re.sub("[ -]", "", match[1])
+    if text[at:end].lower() == "ssn":
+        checked = len(digits) == 9 and _ssn(digits)
+    elif _is_date(number, digits):
+        return []
+    else:
+        checked = False
+    return [Span(match.start(1), 5, match.end(1), False, checked)]
+
+
+def _ssn(digits: str) -> bool:
+    area, group, serial = digits[:3], digits[3:5], digits[5:]
+    return area not in ("000", "666") and area[0] != "9" and group != "00" and serial != "0000"
+
+
+def _is_date(number: str, digits: str) -> bool:
+    """Eight digits that are a day, or groups that are all years."""
+    groups = re.split("[ -]", number)
+    if all(len(group) == 4 and group[:2] in ("19", "20") for group in groups):
+        return True
+    if len(digits) != 8 or len(groups) not in (1, 3):
+        return False
+    orders = ((digits[:4], digits[4:6], digits[6:]), (digits[4:], digits[2:4], digits[:2]))
+    return any(y[:2] in ("19", "20") and 1 <= int(m) <= 12 and 1 <= int(d) <= 31 for y, m, d in orders)
 
 
 def masked(text: str, spans: list[Span]) -> str:
@@ -197,27 +239,31 @@ def masked(text: str, spans: list[Span]) -> str:
     return "".join([*parts, text[done:]])
 
 
-SPANS_TYPE = "array<struct<start: bigint, kind: string, end: bigint, base: boolean>>"
+SPANS_TYPE = "array<struct<start: bigint, kind: string, end: bigint, base: boolean, checked: boolean>>"
 
 
 def personal_data(docs: DataFrame, mask: bool = False) -> DataFrame:
     """``doc_id, spans`` for every row of ``doc_id, text``; with ``mask`` also ``masked``.
 
     Spans are by start, then kind, counted in code points, ends exclusive; ``base`` marks
-    those of the fixed shapes. No shuffle; a text is read whole in the task that has it.
-    A null text counts as empty and has no spans. Repeated rows are searched each. An
+    those of the fixed shapes, ``checked`` all but account numbers that no rule can check.
+    No shuffle; a text is read whole in the task that has it. Bytes that are no UTF-8
+    count as one U+FFFD for each that a decoder reports. A null text counts as empty and has no spans. Repeated rows are searched each. An
     empty table gives no rows. Other columns are not read.
     """
-    fields = [("start", pa.int64()), ("kind", pa.string()), ("end", pa.int64()), ("base", pa.bool_())]
+    fields = [
+        ("start", pa.int64()), ("kind", pa.string()), ("end", pa.int64()), ("base", pa.bool_()),
+        ("checked", pa.bool_()),
+    ]
     spans_type = pa.list_(pa.struct(fields))
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors = automaton()
         for batch in batches:
-            texts = [text.as_py() or "" for text in batch.column(1)]
+            texts = [decoded(text) for text in batch.column(1)]
             found = [find(text, anchors) for text in texts]
             rows = [
-                [{"start": s.start, "kind": KINDS[s.kind], "end": s.end, "base": s.base} for s in spans]
+                [s._asdict() | {"kind": KINDS[s.kind]} for s in spans]
                 for spans in found
             ]
             columns = [batch.column(0), pa.array(rows, spans_type)]
@@ -226,7 +272,7 @@ def personal_data(docs: DataFrame, mask: bool = False) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     names = ["doc_id", "spans", *(["masked"] if mask else [])]
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    rows = docs.select("doc_id", text_bytes().alias("_text"))
     schema = rows.select("doc_id", F.lit(None).cast(SPANS_TYPE).alias("spans"))
     if mask:
         schema = schema.withColumn("masked", F.lit("").cast("string"))

@@ -11,14 +11,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderstream.llm.common import stored
+from orderstream.llm.common import decoded, stored, text_bytes
 
 # A unit ends with its line, or with a sentence inside a line; white space goes with it.
 # Full-width marks end a sentence without a space too.
 _END = re.compile(r"\s*\n\s*|(?<=[.!?])[ \t]+|(?<=[。！？｡])(?![。！？｡\s])")
-# A sentence of more characters than this is cut after commas too, so that a passage
-# that begins or ends inside it is still found.
-LONG = 160
+# Every sentence is cut after commas, however long it is, so that a passage has the same
+# units whether it is a sentence or stands in one. A clause that is short joins the next,
+# at the end of a sentence the one before, so a passage loses one at either end at most.
 _COMMA = re.compile(r"(?<=[,;:])[ \t]+|(?<=[，、；：])(?!\s)")
 
 # Units of fewer words and characters are looked up together with their neighbours in the
@@ -48,15 +48,22 @@ def units(text: str) -> Iterator[tuple[int, int, int]]:
 
 
 def _clauses(text: str, begin: int, end: int, line: int) -> Iterator[tuple[int, int, int]]:
-    if end - begin > LONG:
-        for match in _COMMA.finditer(text, begin, end):
-            if begin < match.end() < end:
-                yield begin, match.end(), line
-                begin = match.end()
+    cuts = [match.end() for match in _COMMA.finditer(text, begin, end)]
+    while cuts and not _is_long(text[cuts[-1] : end]):
+        cuts.pop()
+    for cut_ in cuts:
+        if _is_long(text[begin:cut_]):
+            yield begin, cut_, line
+            begin = cut_
     if begin < end:
         yield begin, end, line
 
 
+def _is_long(part: str) -> bool:
+    words = part.split()
+    return len(words) >= UNIT_WORDS or sum(map(len, words)) >= UNIT_CHARS
+
+
 def _digest(words: list[str]) -> bytes:
     return hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
@@ -106,7 +113,7 @@ def digests(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             for row, text in enumerate(batch.column(2)):
-                text, seen = text.as_py() or "", set()
+                text, seen = decoded(text), set()
                 for number, digest in keys(text):
                     for repeated in (False, True)[: 1 + (digest in seen)]:
                         source.append(row)
@@ -120,7 +127,7 @@ def digests(docs: DataFrame) -> DataFrame:
                 yield flush(batch)
 
     names = ["doc_id", "text_key", "unit", "again", "h1", "h2"]
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.col("text").cast("string"))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), text_bytes().alias("text"))
     extra = "CAST(0 AS INT) unit", "true AS again", "0L AS h1", "0L AS h2"
     return rows.mapInArrow(per_batch, rows.selectExpr("doc_id", "text_key", *extra).schema)
 
@@ -207,10 +214,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     original text, in code points, end exclusive, with the doc_id that keeps the run's
     first unit. The smallest doc_id keeps a unit, null after all others; within a text
     the first. Rows of the same doc_id rank the same, so repeated rows take nothing from
-    each other. A null text counts as empty. An empty table gives no rows.
+    each other. A null text counts as empty; bytes that are no UTF-8 become U+FFFD. An
+    empty table gives no rows.
     """
     found = stored(repeats(docs), "substring-repeats")
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.col("text").cast("string"))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), text_bytes().alias("text"))
     same = rows["doc_id"].eqNullSafe(found["doc_id"]) & (rows["text_key"] == found["text_key"])
     joined = rows.join(found, same, "left").select(rows["doc_id"], rows["text"], "repeats")
     run = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("keep_id", pa.int64())])
@@ -219,7 +227,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         for batch in batches:
             texts, removed, words = [], [], []
             for doc_id, text, listed in zip(*batch.columns, strict=True):
-                text, listed = text.as_py() or "", listed.as_py()
+                text, listed = decoded(text), listed.as_py()
                 left, runs = cut(text, _keepers(listed), doc_id.as_py()) if listed else (text, [])
                 texts.append(left)
                 removed.append(
@@ -237,7 +245,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     names = ["doc_id", "text", "n_removed", "removed_words", "removed"]
     schema = joined.selectExpr(
-        "doc_id", "text", "0L AS n_removed", "0L AS removed_words",
+        "doc_id", "CAST(text AS STRING) AS text", "0L AS n_removed", "0L AS removed_words",
         "CAST(NULL AS array<struct<start: bigint, end: bigint, keep_id: bigint>>) AS removed",
     ).schema
     return joined.mapInArrow(per_batch, schema)

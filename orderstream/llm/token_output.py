@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +12,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderstream.llm.common import text_bytes
+from orderstream.llm.common import decoded, text_bytes
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 LENGTH = 2048
@@ -23,6 +24,10 @@ SHARD_BYTES = 16 << 20
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 END_OF_TEXT = 50256
 
+# What the split calls white space, and how long a run of it may be before
+# the split's own search for its end outgrows its stack.
+_SPACES = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{4096,}")
+
 
 def load_vocabulary(path: str) -> dict[bytes, int]:
     """Ranks by token from a file of lines ``base64 rank``; at most 65,536 tokens fit."""
@@ -33,6 +38,22 @@ def load_vocabulary(path: str) -> dict[bytes, int]:
     return ranks
 
 
+def encode(own: tiktoken.Encoding, text: str) -> np.ndarray:
+    """Ids of a text. Long runs of white space are cut out before the split, where it cuts too.
+
+    A run before other characters leaves its last one to them; the others are one piece,
+    as is a whole run at the end of the text.
+    """
+    parts, done = [], 0
+    for run in _SPACES.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        parts.append(own.encode_to_numpy(text[done : run.start()], disallowed_special=()))
+        parts.append(np.array(own._encode_single_piece(text[run.start() : end]), np.uint32))
+        done = end
+    parts.append(own.encode_to_numpy(text[done:], disallowed_special=()))
+    return np.concatenate(parts)
+
+
 def tokenize(docs: DataFrame, ranks: dict[bytes, int], length: int, end: int | None) -> DataFrame:
     """``doc_id, row, piece, n, ids``: each document's ids, cut into pieces of ``length``.
 
@@ -49,8 +70,7 @@ def tokenize(docs: DataFrame, ranks: dict[bytes, int], length: int, end: int | N
         for batch in batches:
             source, piece, sizes, data = [], [], [], []
             for row, text in enumerate(batch.column(2)):
-                ids = own.encode_to_numpy(text.as_py().decode("utf-8", "replace"), disallowed_special=())
-                ids = ids.astype("<u2")
+                ids = encode(own, decoded(text)).astype("<u2")
                 if end is not None:
                     ids = np.append(ids, np.array([end], "<u2"))
                 for number, start in enumerate(range(0, len(ids), length)):
