@@ -260,15 +260,17 @@ def personal_data(docs: DataFrame, mask: bool = False) -> DataFrame:
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors = automaton()
         for batch in batches:
-            texts = [decoded(text) for text in batch.column(1)]
-            found = [find(text, anchors) for text in texts]
-            rows = [
-                [s._asdict() | {"kind": KINDS[s.kind]} for s in spans]
-                for spans in found
-            ]
+            rows, hidden = [], []
+            # One text at a time, so that a task holds no second copy of the batch.
+            for value in batch.column(1):
+                text = decoded(value)
+                spans = find(text, anchors)
+                rows.append([s._asdict() | {"kind": KINDS[s.kind]} for s in spans])
+                if mask:
+                    hidden.append(masked(text, spans))
             columns = [batch.column(0), pa.array(rows, spans_type)]
             if mask:
-                columns.append(pa.array(map(masked, texts, found), pa.string()))
+                columns.append(pa.array(hidden, pa.string()))
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     names = ["doc_id", "spans", *(["masked"] if mask else [])]
