@@ -29,6 +29,9 @@ ARCHIVE_BYTES = 256 << 20
 # Most bytes that one read fetches, unless a single record is longer.
 READ_BYTES = 8 << 20
 
+# Bytes of records that a task reads, on average.
+TASK_BYTES = 32 << 20
+
 # Bytes between two selected records that are read along rather than skipped.
 GAP_BYTES = 64 << 10
 
@@ -328,5 +331,9 @@ def read_records(index: DataFrame, payloads: bool = True) -> DataFrame:
             file.close()
 
     chosen = index.select("archive", "offset", "length", "page_id", "url")
-    chosen = chosen.repartition("archive").sortWithinPartitions("archive", "offset")
+    total = chosen.agg(F.sum("length")).first()[0] or 0
+    # Stretches of archives are dealt out, many to a task, however few rows name them.
+    stretch = F.floor(F.col("offset") / READ_BYTES)
+    tasks = max(total // TASK_BYTES, chosen.sparkSession.sparkContext.defaultParallelism)
+    chosen = chosen.repartition(int(tasks), "archive", stretch).sortWithinPartitions("archive", "offset")
     return chosen.mapInArrow(read, schema)
