@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -14,12 +15,15 @@ from pyspark.sql import functions as F
 from orderstream.llm.common import decoded, stored, text_bytes
 
 # A unit ends with its line, or with a sentence inside a line; white space goes with it.
-# Full-width marks end a sentence without a space too.
-_END = re.compile(r"\s*\n\s*|(?<=[.!?])[ \t]+|(?<=[。！？｡])(?![。！？｡\s])")
-# Every sentence is cut after commas, however long it is, so that a passage has the same
-# units whether it is a sentence or stands in one. A clause that is short joins the next,
-# at the end of a sentence the one before, so a passage loses one at either end at most.
-_COMMA = re.compile(r"(?<=[,;:])[ \t]+|(?<=[，、；：])(?!\s)")
+# Full-width marks end a sentence without a space too. Every sentence is cut after commas
+# as well, however long it is, so that a passage has the same units whether it is a
+# sentence or stands in one. A clause that is short joins the next, at the end of a
+# sentence the one before, so a passage loses one at either end at most.
+_END = re.compile(
+    r"[\n.!?,;:。！？｡，、；：](?:(?<=\n)\s*|(?<=[.!?,;:])[ \t]++(?!\s*\n)"
+    r"|(?<=[。！？｡，、；：])(?![。！？｡，、；：\s]))"
+)
+_COMMAS = frozenset(",;:，、；：")
 
 # Units of fewer words and characters are looked up together with their neighbours in the
 # line. Characters are counted without white space, for scripts that put none between words.
@@ -37,35 +41,59 @@ _ROWS = 1 << 15
 _LAST = (1 << 63) - 1
 
 
-def units(text: str) -> Iterator[tuple[int, int, int]]:
-    """``start, end, line`` of each unit in code points; together they cover the text."""
-    begin, line = 0, 0
+class Unit(NamedTuple):
+    start: int
+    end: int
+    line: int
+    words: list[str]
+
+
+def units(text: str) -> list[Unit]:
+    """The units of a text in code points; together they cover it."""
+    found: list[Unit] = []
+    begin = line = first = 0
     for match in _END.finditer(text):
-        yield from _clauses(text, begin, match.end(), line)
-        line += "\n" in match[0]
-        begin = match.end()
-    yield from _clauses(text, begin, len(text), line)
-
-
-def _clauses(text: str, begin: int, end: int, line: int) -> Iterator[tuple[int, int, int]]:
-    cuts = [match.end() for match in _COMMA.finditer(text, begin, end)]
-    while cuts and not _is_long(text[cuts[-1] : end]):
-        cuts.pop()
-    for cut_ in cuts:
-        if _is_long(text[begin:cut_]):
-            yield begin, cut_, line
-            begin = cut_
-    if begin < end:
-        yield begin, end, line
-
-
-def _is_long(part: str) -> bool:
-    words = part.split()
+        start, end = match.span()
+        found.append(Unit(begin, end, line, text[begin:end].split()))
+        begin = end
+        if text[start] not in _COMMAS:
+            if len(found) - first > 1:
+                found[first:] = _joined(found[first:])
+            first = len(found)
+            line += text[start] == "\n"
+    if begin < len(text):
+        found.append(Unit(begin, len(text), line, text[begin:].split()))
+    if len(found) - first > 1:
+        found[first:] = _joined(found[first:])
+    return found
+
+
+def _joined(clauses: list[Unit]) -> list[Unit]:
+    """The clauses of a sentence, short ones with their neighbours."""
+    found: list[Unit] = []
+    open_ = False
+    for clause in clauses:
+        if open_:
+            found[-1] = _both(found[-1], clause)
+        else:
+            found.append(clause)
+        open_ = not _is_long(found[-1].words)
+    if open_ and len(found) > 1:
+        last = found.pop()
+        found[-1] = _both(found[-1], last)
+    return found
+
+
+def _both(one: Unit, other: Unit) -> Unit:
+    return Unit(one.start, other.end, one.line, one.words + other.words)
+
+
+def _is_long(words: list[str]) -> bool:
     return len(words) >= UNIT_WORDS or sum(map(len, words)) >= UNIT_CHARS
 
 
-def _digest(words: list[str]) -> bytes:
-    return hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+def _digest(text: str) -> bytes:
+    return hashlib.blake2b(text.lower().encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
 
 def keys(text: str) -> Iterator[tuple[int, bytes]]:
@@ -74,17 +102,16 @@ def keys(text: str) -> Iterator[tuple[int, bytes]]:
     Units are normalised to lower-case words with single spaces. A short one says little
     by itself: its digest is of it and its neighbours in the line, none for a whole line.
     """
-    parts = list(units(text))
-    words = [text[start:end].lower().split() for start, end, _ in parts]
-    for number, found in enumerate(words):
-        if len(found) >= UNIT_WORDS or sum(map(len, found)) >= UNIT_CHARS:
-            yield number, _digest(found)
-        elif found:
+    parts = units(text)
+    for number, (_, _, line, words) in enumerate(parts):
+        if _is_long(words):
+            yield number, _digest(" ".join(words))
+        elif words:
             near = [
-                " ".join(words[other]) if 0 <= other < len(parts) and parts[other][2] == parts[number][2] else ""
+                " ".join(parts[other].words) if 0 <= other < len(parts) and parts[other].line == line else ""
                 for other in (number - 1, number, number + 1)
             ]
-            yield number, _digest(["\n".join(near)])
+            yield number, _digest("\n".join(near))
 
 
 def digests(docs: DataFrame) -> DataFrame:
@@ -94,37 +121,43 @@ def digests(docs: DataFrame) -> DataFrame:
     """
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        source: list[int] = []
-        unit: list[int] = []
-        again: list[bool] = []
-        hashes: list[bytes] = []
-
-        def flush(batch: pa.RecordBatch) -> pa.RecordBatch:
-            index = pa.array(source, pa.int64())
-            both = np.frombuffer(b"".join(hashes), "<i8").reshape(-1, 2)
-            columns = [
-                batch.column(0).take(index), batch.column(1).take(index),
-                pa.array(unit, pa.int32()), pa.array(again, pa.bool_()),
-                pa.array(both[:, 0]), pa.array(both[:, 1]),
-            ]
-            for part in (source, unit, again, hashes):
-                part.clear()
-            return pa.RecordBatch.from_arrays(columns, names=names)
-
         for batch in batches:
+            counts: list[int] = []
+            unit: list[int] = []
+            hashes: list[bytes] = []
+            again: list[int] = []  # places in ``unit``
+
+            def flush(until: int) -> Iterator[pa.RecordBatch]:
+                """The units of the texts before ``until`` that were not handed on yet."""
+                source = np.repeat(np.arange(until - len(counts), until), counts)
+                both = np.frombuffer(b"".join(hashes), "<i8").reshape(-1, 2)
+                order = np.concatenate([np.arange(len(unit)), np.array(again, np.int64)])
+                repeated = np.arange(len(order)) >= len(unit)
+                number = np.array(unit, np.int32)
+                for part in (counts, unit, hashes, again):
+                    part.clear()
+                for begin in range(0, len(order), _ROWS):
+                    some = order[begin : begin + _ROWS]
+                    index = pa.array(source[some])
+                    columns = [
+                        batch.column(0).take(index), batch.column(1).take(index), pa.array(number[some]),
+                        pa.array(repeated[begin : begin + _ROWS]), pa.array(both[some, 0]), pa.array(both[some, 1]),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
+
             for row, text in enumerate(batch.column(2)):
-                text, seen = decoded(text), set()
-                for number, digest in keys(text):
-                    for repeated in (False, True)[: 1 + (digest in seen)]:
-                        source.append(row)
-                        unit.append(number)
-                        again.append(repeated)
-                        hashes.append(digest)
+                seen: set[bytes] = set()
+                begun = len(unit)
+                for number, digest in keys(decoded(text)):
+                    if digest in seen:
+                        again.append(len(unit))
+                    unit.append(number)
+                    hashes.append(digest)
                     seen.add(digest)
-                    if len(source) >= _ROWS:
-                        yield flush(batch)
-            if source:
-                yield flush(batch)
+                counts.append(len(unit) - begun)
+                if len(unit) >= _ROWS:
+                    yield from flush(row + 1)
+            yield from flush(batch.num_rows)
 
     names = ["doc_id", "text_key", "unit", "again", "h1", "h2"]
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), text_bytes().alias("text"))
@@ -169,12 +202,11 @@ def cut(
     A run holds repeated units only. ``own`` is the keeper of units that only the text
     itself has before.
     """
-    parts = list(units(text))
-    words = [text[start:end].split() for start, end, _ in parts]
-    sizes = [(len(found), sum(map(len, found))) for found in words]
+    parts = units(text)
+    sizes = [(len(part.words), sum(map(len, part.words))) for part in parts]
     lines: dict[int, list[int]] = {}
-    for number, (_, _, line) in enumerate(parts):
-        lines.setdefault(line, []).append(number)
+    for number, part in enumerate(parts):
+        lines.setdefault(part.line, []).append(number)
 
     def reaches(numbers: list[int], least_words: int, least_chars: int) -> bool:
         found = [sizes[n] for n in numbers]
@@ -195,10 +227,10 @@ def cut(
         if not reaches(list(cuts), RUN_WORDS, RUN_CHARS):
             cuts = [n for n in cuts if n in whole]
         for n in cuts:
-            if runs and n != cuts[0] and runs[-1][1] == parts[n][0]:
-                runs[-1] = (runs[-1][0], parts[n][1], runs[-1][2])
+            if runs and n != cuts[0] and runs[-1][1] == parts[n].start:
+                runs[-1] = (runs[-1][0], parts[n].end, runs[-1][2])
             else:
-                runs.append((*parts[n][:2], repeated[n]))
+                runs.append((parts[n].start, parts[n].end, repeated[n]))
         i = max(j, i + 1)
     left, done = [], 0
     for start, end, _ in runs:
