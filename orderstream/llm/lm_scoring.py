@@ -60,7 +60,6 @@ _STEPS = 33
 _STAGES = 64
 _PRIOR = 0.2
 _FINE = 16
-_SEEN = 1 << 12  # counts above are as good as this for log odds
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
@@ -572,7 +571,7 @@ def _confidence(seen: np.ndarray) -> np.ndarray:
 
 
 def _squash(odds: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-odds))
+    return 1 / (1 + np.exp(-np.clip(odds, -80, 80)))
 
 
 def _gates(bits: Bits, seen: list[np.ndarray]) -> np.ndarray:
@@ -598,12 +597,14 @@ class Mixer:
         self.map = np.tile(curve, _STAGES)
 
     def predict(self, odds: list[np.ndarray | None], gate: np.ndarray, stage: np.ndarray) -> tuple:
-        weights = self.weights.astype(np.float32)
-        columns = np.ascontiguousarray(weights.T)
+        columns = np.ascontiguousarray(self.weights.T, np.float32)
         mix = _taken(columns[PREDICTORS], gate)
         for predictor, each in enumerate(odds):
             if each is not None:
                 mix += _taken(columns[predictor], gate) * each
+        return self._refined(mix, stage)
+
+    def _refined(self, mix: np.ndarray, stage: np.ndarray) -> tuple:
         place, share = _steps(mix, stage)
         table = self.map.astype(np.float32)
         low = _taken(table, place)
@@ -612,21 +613,46 @@ class Mixer:
         final = np.clip((mixed + refined) * np.float32(0.5), np.float32(1e-6), np.float32(1 - 1e-6))
         return final, mixed, place, share
 
-    def fit(self, odds: list[np.ndarray | None], gate: np.ndarray, value: np.ndarray, predicted: tuple) -> None:
-        """One step of each gate's weights down the coding cost, and of the map to the bits."""
-        _, mixed, place, share = predicted
+    def learn(self, odds: list[np.ndarray], used: list[int], gate: np.ndarray, value: np.ndarray, stage: np.ndarray) -> None:
+        """One step of each gate's weights down the coding cost, and of the map to the bits.
+
+        ``odds`` are of the predictors ``used``. Bits are put in the order of their gates,
+        so that each gate's bits are a slice of a matrix.
+        """
+        sizes = np.bincount(gate, minlength=_GATES)
+        order = np.argsort(gate.astype(np.uint8), kind="stable")
+        inputs = np.empty((len(used) + 1, len(gate)), np.float32)
+        for row, each in zip(inputs, odds, strict=False):
+            np.take(each, order, out=row, mode="clip")
+        inputs[-1] = 1
+        value = _taken(value, order)
+        ends = np.cumsum(sizes)
+        slices = [(g, slice(end - size, end)) for g, (size, end) in enumerate(zip(sizes, ends, strict=True)) if size]
+        rows = [*used, PREDICTORS]
+        weights = self.weights[:, rows].astype(np.float32)
+        mix = np.empty(len(gate), np.float32)
+        for g, here in slices:
+            np.dot(weights[g], inputs[:, here], out=mix[here])
+        low, share = _steps(mix, _taken(stage, order))
+        mixed = _squash(mix)
         error = value - mixed
         curvature = mixed * (1 - mixed)
-        for predictor, each in enumerate([*odds, np.ones_like(mixed)]):
-            if each is not None:
-                slope = np.bincount(gate, error * each, _GATES)
-                scale = np.bincount(gate, curvature * each * each, _GATES)
-                self.weights[:, predictor] += 0.2 * slope / (scale + 2)
+        squares = inputs * inputs
+        for g, here in slices:
+            slope, scale = inputs[:, here] @ error[here], squares[:, here] @ curvature[here]
+            self.weights[g, rows] += 0.2 * slope / (scale + 2)
+        self._refine(low, share, value)
+
+    def _refine(self, place: np.ndarray, share: np.ndarray, value: np.ndarray) -> None:
+        """Moves the two places of the map around each mix towards the bit, by their shares."""
         size = len(self.map)
-        for at, part in ((place, 1 - share), (place + 1, share)):
-            total = np.bincount(at, part, size)
-            ones = np.bincount(at, part * value, size)
-            self.map += 0.5 * (ones - total * self.map) / (total + 20)
+        key = 2 * place + value
+        count = np.bincount(key, minlength=2 * size).reshape(-1, 2)
+        above = np.bincount(key, share, 2 * size).reshape(-1, 2)
+        below = count - above
+        for part, at in ((below, slice(0, size)), (above[:-1], slice(1, size))):
+            total = part.sum(1)
+            self.map[at] += 0.5 * (part[:, 1] - total * self.map[at]) / (total + 20)
 
 
 class Finer:
@@ -662,10 +688,10 @@ class Finer:
         low, high = node & ~1, node | 1
         value = (node & 1).astype(np.uint8)
         odds, gate = _finer_odds(
-            (self.every[low], self.every[high]),
-            (self.tree[low * (TELLING + 1) + row], self.tree[high * (TELLING + 1) + row]),
+            (_taken(self.every, low), _taken(self.every, high)),
+            (_taken(self.tree, low * (TELLING + 1) + row), _taken(self.tree, high * (TELLING + 1) + row)),
         )
-        mixer.fit(odds, gate, value, mixer.predict(odds, gate, np.concatenate(stages)))
+        mixer.learn([odds[0], odds[3]], [0, 3], gate, value, np.concatenate(stages))
         np.add.at(self.every, node, np.int32(1))
         np.add.at(self.tree, node * (TELLING + 1) + row, np.int32(1))
         return len(node)
@@ -691,14 +717,13 @@ class Finer:
 
 
 def _finer_odds(every: tuple, own: tuple) -> tuple[list[np.ndarray | None], np.ndarray]:
-    def odds(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
-        return (np.log(ones + _PRIOR) - np.log(zeros + _PRIOR)).astype(np.float32)
-
     gate = _confidence(own[0] + own[1]).astype(np.intp) + 72
-    return [odds(*every), None, None, odds(*own)], gate
+    return [_odds(*every), None, None, _odds(*own)], gate
 
 
-_LOG = np.log(np.arange(_SEEN + 1) + _PRIOR).astype(np.float32)
+def _odds(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    prior = np.float32(_PRIOR)
+    return np.log((ones.astype(np.float32) + prior) / (zeros.astype(np.float32) + prior))
 
 
 def _handed_out(rows: DataFrame, what: object) -> Broadcast[bytes]:
@@ -717,17 +742,16 @@ class Learner:
     def take(self, block: Block) -> None:
         """Predicts a block, fits weights and refinement to all its bits, then counts them."""
         bits = bits_of(self.lex, block, block.rare)
-        index = [slots.astype(np.intp) << 1 for slots in bits.slots]
-        zeros = [_taken(n, i) for n, i in zip(self.counts, index, strict=True)]
-        ones = [_taken(n, i + 1) for n, i in zip(self.counts, index, strict=True)]
-        odds = [
-            _taken(_LOG, np.minimum(b, _SEEN)) - _taken(_LOG, np.minimum(a, _SEEN))
-            for a, b in zip(zeros, ones, strict=True)
-        ]
-        gate = _gates(bits, [_confidence(zeros[k] + ones[k]) for k in _ASKED])
-        self.mixer.fit(odds, gate, bits.value, self.mixer.predict(odds, gate, bits.stage))
-        for n, i in zip(self.counts, index, strict=True):
-            np.add.at(n, i + bits.value, np.int32(1))
+        odds, seen = [], []
+        for predictor, (counts, slots) in enumerate(zip(self.counts, bits.slots, strict=True)):
+            # Zeros and ones of a slot lie side by side and are read as one number.
+            pairs = _taken(counts.view(np.int64), slots.astype(np.intp)).view(np.int32).reshape(-1, 2)
+            odds.append(_odds(pairs[:, 0], pairs[:, 1]))
+            if predictor in _ASKED:
+                seen.append(_confidence(pairs[:, 0] + pairs[:, 1]))
+        self.mixer.learn(odds, list(range(PREDICTORS)), _gates(bits, seen), bits.value, bits.stage)
+        for counts, slots in zip(self.counts, bits.slots, strict=True):
+            np.add.at(counts, 2 * slots.astype(np.intp) + bits.value, np.int32(1))
         self.fitted += len(bits.value) + self.finer.learn(self.mixer, bits)
 
 

@@ -192,8 +192,8 @@ def test_near_duplicates_of_documents(spark, sf_dir):
 @given(st.text(alphabet="ab,. \n!é", max_size=400))
 def test_units_cover_the_text(text):
     found = list(substring_dedup.units(text))
-    assert "".join(text[a:b] for a, b, _ in found) == text
-    assert all(b == c for (_, b, _), (c, _, _) in zip(found, found[1:], strict=False))
+    assert "".join(text[a:b] for a, b, *_ in found) == text
+    assert all(one.end == other.start for one, other in zip(found, found[1:], strict=False))
 
 
 def sentences(seed: int, count: int) -> list[str]:
