@@ -1,13 +1,13 @@
 """Hard negatives: rotated one-bit codes bound every score, survivors are scored exactly.
 
-A vector is taken from the mean of all, turned by a fixed random rotation and kept as
-the signs of its parts: its code. Stored with it are its distance from the mean and its
-alignment, the cosine between the turned vector and its code. For a unit vector
-``o = a * x + r`` with code ``x`` and alignment ``a``, the rest ``r`` is orthogonal to
-``x`` and has the length ``sqrt(1 - a * a)``. So the product with an anchor ``q`` is
-``a * <x, q>`` give or take ``sqrt(1 - a * a) * sqrt(<q, q> - <x, q> ** 2)``, by Cauchy
-and Schwarz, always. ``<x, q>`` comes from counts of common bits of the code and of the
-anchor's parts in four bits; what these four bits leave is bounded in the same way.
+A vector is taken from the mean of all, turned by a fixed random rotation and kept as the
+signs of its parts: its code ``x``, of unit length. Stored with it is its alignment, the
+product ``a`` of the turned vector and its code; what the code leaves, ``r = o - a * x``, is
+coded by its own signs in the same way, LEVELS times, and the length of the last rest is
+stored too. So the product of a row and an anchor is the sum of ``a * <x, q>`` over the
+levels, give or take the length of the rest times that of the anchor, by Cauchy and
+Schwarz, always. ``<x, q>`` comes from counts of common bits of the code and the bit planes
+of the anchor's parts; what the planes leave of the anchor is bounded in the same way.
 Rows whose interval cannot matter are passed over, all others scored in integers.
 """
 
@@ -39,8 +39,9 @@ ANCHOR_BYTES = 8 << 20
 # Anchors and rows that are compared at a time.
 ANCHORS, ROWS = 64, 2048
 
-# Bits of an anchor's part.
-PLANES = 4
+# Codes of a row, one of what the other leaves, and bits of an anchor's part.
+LEVELS = 4
+PLANES = 6
 
 SEED = 42
 
@@ -97,11 +98,19 @@ def _packed_bits(bits: np.ndarray, words: int) -> np.ndarray:
 
 
 def encode(vectors: np.ndarray, shape: Shape) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Codes, distances from the mean and alignments of integer vectors."""
-    away = (vectors - shape.mean) @ shape.turn
-    far = np.sqrt((away * away).sum(1))
-    align = np.abs(away).sum(1) / (shape.side * np.where(far > 0, far, 1))
-    return _packed_bits(away > 0, shape.words), far, np.minimum(align, 1.0)
+    """Codes, alignments and the length of the last rest of integer vectors.
+
+    Codes of all levels lie side by side, ``shape.words`` words for each.
+    """
+    rest = (vectors - shape.mean) @ shape.turn
+    codes, aligned = [], []
+    for _ in range(LEVELS):
+        up = rest > 0
+        along = np.abs(rest).sum(1) / shape.side
+        rest = rest - np.where(up, 1, -1) * (along / shape.side)[:, None]
+        codes.append(_packed_bits(up, shape.words))
+        aligned.append(along)
+    return np.hstack(codes), np.stack(aligned, 1), np.sqrt((rest * rest).sum(1))
 
 
 def valid_rows(rows: DataFrame) -> DataFrame:
@@ -127,7 +136,7 @@ def valid_rows(rows: DataFrame) -> DataFrame:
 def build_index(rows: DataFrame) -> tuple[DataFrame, Shape]:
     """The stored index of ``vec_id, label, q`` and what its codes were made with.
 
-    The index adds ``code``, ``far`` and ``align``. One count and sum per dimension and
+    The index adds ``code``, ``align`` and ``rest``. One count and sum per dimension and
     task decides the mean; nothing is sampled.
     """
     size = max(1, rows.agg(F.max(F.size("q")).alias("longest")).first().longest or 0)
@@ -154,13 +163,16 @@ def build_index(rows: DataFrame) -> tuple[DataFrame, Shape]:
     def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Shape(*shared.value)
         for batch in batches:
-            made, far, align = encode(_padded(batch.column(2), size), known)
-            arrays = [pa.array([row.tobytes() for row in made], pa.binary()), pa.array(far), pa.array(align)]
+            made, align, rest = encode(_padded(batch.column(2), size), known)
+            arrays = [
+                pa.array([row.tobytes() for row in made], pa.binary()),
+                pa.array(align.tolist(), pa.list_(pa.float64())), pa.array(rest),
+            ]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *arrays], names=["vec_id", "label", "q", "code", "far", "align"]
+                [*batch.columns, *arrays], names=["vec_id", "label", "q", "code", "align", "rest"]
             )
 
-    schema = "vec_id BIGINT, label BIGINT, q ARRAY<BIGINT>, code BINARY, far DOUBLE, align DOUBLE"
+    schema = "vec_id BIGINT, label BIGINT, q ARRAY<BIGINT>, code BINARY, align ARRAY<DOUBLE>, rest DOUBLE"
     return stored(rows.mapInArrow(codes, schema), "vectors"), shape
 
 
@@ -192,52 +204,50 @@ class Anchors:
         return made
 
     def bounds(
-        self, some: slice, codes: np.ndarray, far: np.ndarray, align: np.ndarray
+        self, some: slice, codes: np.ndarray, align: np.ndarray, rest: np.ndarray
     ) -> tuple[np.ndarray, np.ndarray]:
-        """Least and greatest score of each anchor (rows) with each code (columns).
+        """Least and greatest score of each anchor (rows) with each row's codes (columns).
 
         With signs s = 2b - 1 and parts low + step * level, the sum of s * part is
         2 * step * (levels at set bits) + 2 * low * (set bits) - (sum of all parts).
         """
-        common = np.zeros((len(self.ids[some]), len(codes)))
-        for p, plane in enumerate(self.planes):
-            for w in range(codes.shape[1]):
-                common += np.bitwise_count(plane[some, w, None] & codes[None, :, w]) * float(1 << p)
-        ones = np.bitwise_count(codes).sum(1, dtype=np.int64)
         low, step = self.low[some, None], self.steps[some, None]
-        whole = self.size * self.low[some] + self.steps[some] * self.level_sums[some]
-        near = (2 * step * common + 2 * low * ones - whole[:, None]) / self.side
-        # <x, q> lies within the length that four bits leave of the anchor.
-        slack = self.rests[some, None]
-        norms2 = self.norms2[some, None]
-        least = np.maximum(np.abs(near) - slack, 0)
-        across = np.sqrt(np.maximum(norms2 - least * least, 0)) * np.sqrt(np.maximum(1 - align * align, 0))
-        middle = self.with_mean[some, None] + far * align * near
+        whole = (self.size * self.low[some] + self.steps[some] * self.level_sums[some])[:, None]
+        middle = np.repeat(self.with_mean[some, None], len(codes), 1)
+        words = codes.shape[1] // align.shape[1]
+        for level in range(align.shape[1]):
+            code = codes[:, level * words : (level + 1) * words]
+            common = np.zeros(middle.shape, np.int64)
+            for p, plane in enumerate(self.planes):
+                for w in range(words):
+                    common += np.bitwise_count(plane[some, w, None] & code[None, :, w]).astype(np.int64) << p
+            ones = np.bitwise_count(code).sum(1, dtype=np.int64)
+            middle += (2 * step * common + 2 * low * ones - whole) * (align[:, level] / self.side)
+        # What the codes leave of a row, and the planes of an anchor: the sum of the
+        # codes is as long as the alignments together at most.
+        norm = np.sqrt(self.norms2[some, None])
+        reach = rest * norm + align.sum(1) * self.rests[some, None]
         # Rounding of doubles, far below one part in 10 ** 9 of the lengths.
-        reach = far * (across + align * slack) + 1e-6 + 1e-9 * (
-            np.sqrt(norms2) * far + np.abs(self.with_mean[some, None])
-        )
+        reach += 1e-6 + 1e-9 * (norm * (align.sum(1) + rest) + np.abs(self.with_mean[some, None]))
         return middle - reach, middle + reach
 
-    def scores(self, some: slice, q: np.ndarray) -> np.ndarray:
-        """Integer products; as doubles where these are exact, which is far faster."""
-        a = self.q[some]
-        most = float(np.abs(a).max(initial=0)) * float(np.abs(q).max(initial=0)) * self.size
-        if most < 1 << 52:
-            return (a.astype(np.float64) @ q.T.astype(np.float64)).astype(np.int64)
-        return a @ q.T
+    def pair(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Anchors and rows for integer products; as doubles where these are exact, and faster."""
+        most = float(np.abs(self.q).max(initial=0)) * float(np.abs(q).max(initial=0)) * self.size
+        kind = np.float64 if most < 1 << 52 else np.int64
+        return self.q.astype(kind, copy=False), q.astype(kind, copy=False)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """Ids, labels, vectors, codes, distances and alignments of some rows of the index."""
+    """Ids, labels, vectors, codes, alignments and rests of some rows of the index."""
     for whole in batches:
         for begin in range(0, whole.num_rows, ROWS):
             batch = whole.slice(begin, ROWS)
-            numbers = [batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 4, 5)]
+            ids, labels, rest = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 5))
             codes = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint64)
-            yield (
-                *numbers[:2], _padded(batch.column(2), size), codes.reshape(batch.num_rows, -1), *numbers[2:],
-            )
+            align = batch.column(4).flatten().to_numpy(zero_copy_only=False)
+            both = (values.reshape(batch.num_rows, -1) for values in (codes, align))
+            yield ids, labels, _padded(batch.column(2), size), *both, rest
 
 
 def _merged(kept: list[tuple[int, int]], scores: np.ndarray, ids: np.ndarray, most: int) -> list[tuple[int, int]]:
@@ -261,22 +271,19 @@ def _best_positives(index: DataFrame, anchors: Anchors, most: int) -> DataFrame:
         known = Anchors.restored(shared.value)
         kept: list[list[tuple[int, int]]] = [[] for _ in known.ids]
         least = np.full(len(known.ids), -_BEYOND)
-        for ids, labels, q, codes, far, align in _blocks(batches, known.size):
+        for ids, labels, q, *codes in _blocks(batches, known.size):
+            own, q = known.pair(q)
             for begin in range(0, len(known.ids), ANCHORS):
                 some = slice(begin, begin + ANCHORS)
                 fit = (labels == known.labels[some, None]) & (ids != known.ids[some, None])
-                fit &= known.bounds(some, codes, far, align)[1] >= least[some, None]
-                rows = np.flatnonzero(fit.any(0))
-                if not len(rows):
-                    continue
-                scores = known.scores(some, q[rows])
-                good = fit[:, rows] & (scores >= least[some, None])
-                for i in np.flatnonzero(good.any(1)):
-                    at = good[i]
-                    found = _merged(kept[begin + i], scores[i, at], ids[rows[at]], most)
-                    kept[begin + i] = found
-                    if len(found) == most:
-                        least[begin + i] = -found[-1][0]
+                fit &= known.bounds(some, *codes)[1] >= least[some, None]
+                for i in begin + np.flatnonzero(fit.any(1)):
+                    at = np.flatnonzero(fit[i - begin])
+                    scores = (q[at] @ own[i]).astype(np.int64)
+                    good = scores >= least[i]
+                    kept[i] = _merged(kept[i], scores[good], ids[at[good]], most)
+                    if len(kept[i]) == most:
+                        least[i] = -kept[i][-1][0]
         pairs = [(int(known.ids[i]), row) for i, rows in enumerate(kept) for row in rows]
         yield _pair_batch([a for a, _ in pairs], [(row[1], -row[0]) for _, row in pairs], ["anchor_id", "vec_id", "score"])
 
@@ -303,31 +310,28 @@ def _best_negatives(
         low = np.where(there, -(-np.where(there, given, 0) * least_tenths // 10), _BEYOND)
         high = np.where(there, np.where(there, given, 0) * most_tenths // 10, -_BEYOND)
         kept: list[list[tuple[int, int]]] = [[] for _ in range(len(known.ids) * places)]
-        for ids, labels, q, codes, far, align in _blocks(batches, known.size):
+        for ids, labels, q, *codes in _blocks(batches, known.size):
+            own, q = known.pair(q)
             for begin in range(0, len(known.ids), ANCHORS):
                 some = slice(begin, begin + ANCHORS)
-                other = (labels != known.labels[some, None]) & (ids != known.ids[some, None])
-                smallest, greatest = known.bounds(some, codes, far, align)
-                fit = np.zeros(other.shape, bool)
+                smallest, greatest = known.bounds(some, *codes)
+                fit = np.zeros(smallest.shape, bool)
                 for p in range(places):
                     fit |= (greatest >= low[some, p, None]) & (smallest <= high[some, p, None])
-                fit &= other
-                rows = np.flatnonzero(fit.any(0))
-                if not len(rows):
-                    continue
-                scores = known.scores(some, q[rows])
-                fit = fit[:, rows]
-                for p in range(places):
-                    good = fit & (scores >= low[some, p, None]) & (scores <= high[some, p, None])
-                    for i in np.flatnonzero(good.any(1)):
-                        at, own = good[i], (begin + i) * places + p
-                        chosen, names = scores[i, at], ids[rows[at]]
-                        if len(chosen) > 4 * most:
-                            bar = np.partition(chosen, -most)[-most]
-                            chosen, names = chosen[chosen >= bar], names[chosen >= bar]
-                        kept[own] = _merged(kept[own], chosen, names, most)
-                        if len(kept[own]) == most:
-                            low[begin + i, p] = -kept[own][-1][0]
+                fit &= (labels != known.labels[some, None]) & (ids != known.ids[some, None])
+                for i in begin + np.flatnonzero(fit.any(1)):
+                    at = np.flatnonzero(fit[i - begin])
+                    scores = (q[at] @ own[i]).astype(np.int64)
+                    for p in range(places):
+                        good = np.flatnonzero((scores >= low[i, p]) & (scores <= high[i, p]))
+                        if len(good) > 4 * most:
+                            bar = np.partition(scores[good], -most)[-most]
+                            good = good[scores[good] >= bar]
+                        if len(good):
+                            number = i * places + p
+                            kept[number] = _merged(kept[number], scores[good], ids[at[good]], most)
+                            if len(kept[number]) == most:
+                                low[i, p] = -kept[number][-1][0]
         pairs = [(n, row) for n, rows in enumerate(kept) for row in rows]
         yield _pair_batch(
             [int(known.ids[n // places]) for n, _ in pairs],
