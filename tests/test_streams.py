@@ -344,6 +344,30 @@ def test_reports_share_the_cores_fairly(spark, settings):
     assert seen == {queries[0].id: "one", queries[1].id: "two"}
 
 
+def test_reports_go_on_while_one_has_a_long_batch(spark, settings):
+    """Forty slow tasks wait for four cores; two other queries run their batches meanwhile."""
+    post(spark, settings, [(1, "4", "P", "A")])
+    ended = {}
+
+    def slow(batch, batch_id):
+        wait = F.expr("reflect('java.util.concurrent.locks.LockSupport', 'parkNanos', 1500000000L)")
+        batch.sparkSession.range(0, 40, 1, 40).select(wait).write.format("noop").mode("overwrite").save()
+        ended["slow"] = time.monotonic()
+
+    lines = read_messages(spark, settings, settings.etl_topic)
+    long = control.start(spark, lines.writeStream.foreachBatch(slow), "slow", settings)
+    while not any(job for job in spark.sparkContext.statusTracker().getActiveStageIds()):
+        time.sleep(0.02)
+    rows = msg.report_rows(lines, msg.POSITION)
+    quick = [jobs.start_report(spark, settings, which, rows) for which in (jobs.TOTAL, jobs.KEY_CITY_LATEST)]
+    for query in quick:
+        query.awaitTermination()
+        ended[query.name] = time.monotonic()
+    long.awaitTermination()
+    assert max(ended, key=ended.get) == "slow"
+    assert jobs.stored_total(spark, settings.store_path).first().total_amt == 4.0
+
+
 def test_file_topics_cap_bytes_and_start_late(spark, settings):
     capped = replace(settings, max_files_per_trigger=None, max_bytes_per_trigger=1)
     for at in range(3):
