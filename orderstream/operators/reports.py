@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderstream.functions.text import stored_name
+from orderstream.operators import exact
 from orderstream.operators.messages import POSITION
 
 # Constant columns of the wide reports.
@@ -17,70 +18,33 @@ TOTAL = "total"
 # Longest list of cities that is written into a plan as such.
 LONG_LIST = 1000
 
-# Below this many cents a double still tells neighbouring cents apart.
-_MAX_CENTS = 1e15
 
-
-def money_split(money: Column) -> tuple[Column, Column]:
-    """An amount as whole cents or, where it has none, as all else; the other is null."""
-    cents = F.rint(money * 100)
-    whole = (F.abs(cents) < _MAX_CENTS) & (cents / 100 == money)
-    return F.when(whole, cents.try_cast("bigint").cast("decimal(18,0)")), F.when(~whole, money)
-
-
-def money_parts(money: Column) -> tuple[Column, Column]:
-    """Two sums that make up a sum of doubles: whole cents, exactly, and all else.
-
-    Amounts in whole cents are added as integers; whatever is not (finer fractions, huge
-    or non-finite values) is added as doubles, so no amount is rounded or lost. Nulls are
-    skipped; either sum is null if nothing went into it.
-    """
-    cents, rest = money_split(money)
-    return F.sum(cents), F.sum(rest)
-
-
-def _amount(cents: Column, rest: Column) -> Column:
-    """One double of the two sums; whole cents are turned into a double here, once."""
-    exact = (cents * F.lit("0.01").cast("decimal(3,2)")).cast("double")
-    return F.coalesce(exact + rest, exact, rest)
-
-
-def money_sum(money: Column) -> Column:
-    """Sum of doubles; that of amounts in whole cents does not depend on the row order."""
-    return _amount(*money_parts(money))
-
-
-def _sum(rows: DataFrame) -> Column:
-    """``total_amt`` of rows with ``money``, or of sums by place with their two parts."""
-    if "cents" in rows.columns:
-        return _amount(F.sum("cents"), F.sum("rest")).alias("total_amt")
-    return money_sum(F.col("money")).alias("total_amt")
+def _sum() -> Column:
+    """``total_amt`` over addends: the order of rows does not matter, also in sums of sums."""
+    return exact.total().alias("total_amt")
 
 
 def amt_total(rows: DataFrame) -> DataFrame:
-    return rows.agg(_sum(rows))
+    return exact.with_addends(rows).agg(_sum())
 
 
 def amt_by_province(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("province").agg(_sum(rows))
+    return exact.with_addends(rows).groupBy("province").agg(_sum())
 
 
 def amt_by_city(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("city").agg(_sum(rows))
+    return exact.with_addends(rows).groupBy("city").agg(_sum())
 
 
 def amt_by_place(rows: DataFrame) -> DataFrame:
-    """``cents, rest, province, city``: sums in two parts, from which all other sums follow.
+    """``cents, odd, bits, province, city``: exact sums, from which all other sums follow.
 
-    Whole cents stay integers, so any report taken of the result equals that of the rows.
+    Nothing is rounded, so any report taken of the result equals that of the rows.
     ``rows`` may be such sums themselves.
     """
-    if "cents" in rows.columns:
-        cents, rest = F.sum("cents"), F.sum("rest")
-    else:
-        cents, rest = money_parts(F.col("money"))
-    parts = rows.groupBy("province", "city").agg(cents.alias("cents"), rest.alias("rest"))
-    return parts.select("cents", "rest", "province", "city")
+    named = [part.alias(name) for part, name in zip(exact.sums(), ("cents", "odd", "bits"), strict=True)]
+    parts = exact.with_addends(rows).groupBy("province", "city").agg(*named)
+    return parts.select("cents", "odd", "bits", "province", "city")
 
 
 def key_city_rows(rows: DataFrame, cities: Sequence[str]) -> DataFrame:

@@ -166,7 +166,7 @@ def _run(session: SparkSession) -> str:
 def start_sums(spark: SparkSession, settings: Settings, rows: DataFrame) -> StreamingQuery:
     """Start all sum reports as one query, which reads and parses the topic once.
 
-    State is one sum per province and city, in whole cents and a rest. Each batch gets
+    State is the exact sums per province and city. Each batch gets
     all places from the state and stores every report of them, a few rows each, under
     the keys the single reports use. Nothing is read back.
     """

