@@ -3,8 +3,11 @@
 An amount in whole cents is an integer. Any other finite amount is an integer number of the
 smallest doubles, 2^-1074; its bits are cut at the borders of windows of WIDTH bits, and each
 window has a sum of its own. All sums are exact decimals, so they merge in any order; only
-``total`` rounds. All steps are plain column expressions, and the sums of a group are a fixed
-number of values, so tasks pre-aggregate and streams keep them as state.
+``total_of`` rounds. All steps are plain column expressions.
+
+Sums of a group are kept as rows, one for each window in use, which are addends themselves and
+can be added up again. A stream that hands on changed groups only needs all of a group in one
+row; it keeps a sum for every window.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ WINDOWS = -(-(LOWEST + 1024) // WIDTH)
 
 # Amounts, each with the window of its highest bit and its parts there and in the next lower one.
 ADDENDS = ("cents", "odd", "window", "high", "low")
-SUMS_SCHEMA = "cents DECIMAL(38,0), odd DOUBLE, bits ARRAY<DECIMAL(38,0)>"
+SCHEMA = "cents DECIMAL(38,0), odd DOUBLE, window INT, high DECIMAL(38,0), low DECIMAL(38,0)"
 
 _WHOLE = "decimal(38,0)"
 
@@ -49,14 +52,12 @@ def _scaled(value: Column, bits: Column) -> Column:
 
 
 def with_addends(rows: DataFrame, money: str = "money") -> DataFrame:
-    """Rows with ADDENDS in place of ``money``, or in place of sums that rows already are.
+    """Rows with ADDENDS in place of ``money``; rows that have them already are left as they are.
 
     ``odd`` is an amount that is infinite or no number. A null amount has nulls only.
     """
-    if "window" in rows.columns:
+    if set(ADDENDS) <= set(rows.columns):
         return rows
-    if "bits" in rows.columns:
-        return _of_sums(rows)
     amount = F.col(money)
     size = F.abs(amount)
     cents = F.rint(amount * 100)
@@ -86,32 +87,46 @@ def with_addends(rows: DataFrame, money: str = "money") -> DataFrame:
     return rows.withColumns(parts).drop(money, "_y")
 
 
-def _of_sums(rows: DataFrame) -> DataFrame:
-    """Sums as addends: a row for cents and odd amounts, and one for each window in use."""
-    used = F.filter(
-        F.transform("bits", lambda value, at: F.struct(
-            F.lit(None).cast(_WHOLE).alias("cents"), F.lit(None).cast("double").alias("odd"),
-            at.cast("int").alias("window"), value.alias("high"), F.lit(None).cast(_WHOLE).alias("low"),
-        )),
-        lambda part: part["high"].isNotNull(),
-    )
-    none = F.lit(None).cast(_WHOLE)
-    first = F.struct(
-        F.col("cents").cast(_WHOLE).alias("cents"), "odd", F.lit(None).cast("int").alias("window"),
-        none.alias("high"), none.alias("low"),
-    )
-    kept = [name for name in rows.columns if name not in ("cents", "odd", "bits")]
-    parts = F.explode(F.concat(F.array(first), used)).alias("part")
-    return rows.select(*kept, parts).select(*kept, "part.*")
+def added(addends: DataFrame, *keys: str) -> DataFrame:
+    """Addends added up: a row per key and window, apart from rows without a window."""
+    sums = [F.sum(name).alias(name) for name in ADDENDS if name != "window"]
+    return addends.groupBy(*keys, "window").agg(*sums).select(*keys, *ADDENDS)
+
 
+def totals(addends: DataFrame, *keys: str) -> DataFrame:
+    """``total_amt`` per key: the sum, rounded once."""
+    if addends.isStreaming:
+        whole, odd, bits = F.sum("cents"), F.sum("odd"), F.array(*_every_window())
+        return addends.groupBy(*keys).agg(total_of(whole, odd, bits).alias("total_amt"))
+    part = F.when(F.col("window").isNotNull(), F.struct("window", "high", "low"))
+    parts = added(addends, *keys).groupBy(*keys)
+    return parts.agg(total_of(F.sum("cents"), F.sum("odd"), _by_window(F.collect_list(part))).alias("total_amt"))
 
-def sums() -> tuple[Column, Column, Column]:
-    """Aggregates ``cents, odd, bits`` over ADDENDS; ``bits`` has one sum per window, lowest first."""
+
+def _every_window() -> list[Column]:
+    """One sum per window, lowest first."""
     at = F.col("window")
-    bits = [
+    return [
         F.sum(F.when(at == i, F.col("high")).when(at == i + 1, F.col("low"))) for i in range(WINDOWS)
     ]
-    return F.sum("cents"), F.sum("odd"), F.array(*bits)
+
+
+def _by_window(parts: Column) -> Column:
+    """The sums of a group's windows, one row each, as an array; empty without any."""
+
+    def placed(parts: Column) -> Column:
+        highs = F.map_from_entries(F.transform(parts, lambda part: F.struct(part["window"], part["high"])))
+        lows = F.map_from_entries(F.transform(parts, lambda part: F.struct(part["window"], part["low"])))
+
+        def one(at: Column) -> Column:
+            here, next_up = F.try_element_at(highs, at), F.try_element_at(lows, at + 1)
+            none = _number(0)
+            return (F.coalesce(here, none) + F.coalesce(next_up, none)).cast(_WHOLE)
+
+        return F.transform(F.sequence(F.lit(0), F.lit(WINDOWS - 1)), one)
+
+    none = F.array().cast(f"array<{_WHOLE}>")
+    return F.when(F.size(parts) > 0, _let(parts, placed)).otherwise(none)
 
 
 def total_of(cents: Column, odd: Column, bits: Column) -> Column:
@@ -124,11 +139,6 @@ def total_of(cents: Column, odd: Column, bits: Column) -> Column:
     return F.when(odd.isNotNull(), odd).when(plain, exact).otherwise(_rounded(cents, bits))
 
 
-def total() -> Column:
-    """Aggregate over ADDENDS: the sum, rounded once."""
-    return total_of(*sums())
-
-
 # -- rounding -----------------------------------------------------------------------
 
 

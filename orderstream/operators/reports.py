@@ -19,32 +19,26 @@ TOTAL = "total"
 LONG_LIST = 1000
 
 
-def _sum() -> Column:
-    """``total_amt`` over addends: the order of rows does not matter, also in sums of sums."""
-    return exact.total().alias("total_amt")
-
-
 def amt_total(rows: DataFrame) -> DataFrame:
-    return exact.with_addends(rows).agg(_sum())
+    """``total_amt``; like every sum here the same in any order of rows, also of sums of sums."""
+    return exact.totals(exact.with_addends(rows))
 
 
 def amt_by_province(rows: DataFrame) -> DataFrame:
-    return exact.with_addends(rows).groupBy("province").agg(_sum())
+    return exact.totals(exact.with_addends(rows), "province")
 
 
 def amt_by_city(rows: DataFrame) -> DataFrame:
-    return exact.with_addends(rows).groupBy("city").agg(_sum())
+    return exact.totals(exact.with_addends(rows), "city")
 
 
 def amt_by_place(rows: DataFrame) -> DataFrame:
-    """``cents, odd, bits, province, city``: exact sums, from which all other sums follow.
+    """Exact sums by ``province, city``, as addends from which all other sums follow.
 
     Nothing is rounded, so any report taken of the result equals that of the rows.
     ``rows`` may be such sums themselves.
     """
-    named = [part.alias(name) for part, name in zip(exact.sums(), ("cents", "odd", "bits"), strict=True)]
-    parts = exact.with_addends(rows).groupBy("province", "city").agg(*named)
-    return parts.select("cents", "odd", "bits", "province", "city")
+    return exact.added(exact.with_addends(rows), "province", "city")
 
 
 def key_city_rows(rows: DataFrame, cities: Sequence[str]) -> DataFrame:

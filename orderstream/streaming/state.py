@@ -11,7 +11,7 @@ from orderstream.config import Settings
 from orderstream.operators import exact
 from orderstream.streaming import jobs
 
-SEED_SCHEMA = f"{exact.SUMS_SCHEMA}, province STRING, city STRING"
+SEED_SCHEMA = f"{exact.SCHEMA}, province STRING, city STRING"
 
 
 def state_rows(spark: SparkSession, checkpoint: str) -> DataFrame:
@@ -34,7 +34,7 @@ def state_width(spark: SparkSession, checkpoint: str) -> int:
 
 
 def place_sums(spark: SparkSession, settings: Settings) -> DataFrame:
-    """``cents, odd, bits, province, city`` as the query of all sums keeps them.
+    """Addends with ``province, city`` as the query of all sums keeps them.
 
     A decimal sum has two parts in the state, itself and whether it is still empty; the
     sum of odd amounts, which are doubles, has one.
@@ -47,7 +47,9 @@ def place_sums(spark: SparkSession, settings: Settings) -> DataFrame:
     return state.select(
         decimal(0).alias("cents"),
         F.col("value._2").alias("odd"),
-        F.array(*(decimal(3 + 2 * i) for i in range(exact.WINDOWS))).alias("bits"),
+        F.col("key._2").alias("window"),
+        decimal(3).alias("high"),
+        decimal(5).alias("low"),
         F.col("key._0").alias("province"),
         F.col("key._1").alias("city"),
     )
@@ -71,4 +73,4 @@ def start_seeded_sums(
     """All sums together, going on from a seed. ``rows`` are those the old query has not read."""
     seeds = spark.readStream.schema(SEED_SCHEMA).parquet(seed)
     fresh = exact.with_addends(rows.select("money", "province", "city"))
-    return jobs.start_sums(spark, settings, exact.with_addends(seeds).unionByName(fresh))
+    return jobs.start_sums(spark, settings, seeds.unionByName(fresh))
