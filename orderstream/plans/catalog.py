@@ -207,6 +207,16 @@ def amt_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.amt_by_city(_report_rows(spark, sf_dir))
 
 
+def amt_any_doubles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums of amounts finer than cents, among huge and tiny ones that cancel each other."""
+    cents = F.rint(F.col("money") * 100)
+    fine = cents / 1024 * F.when(cents % 2 == 1, -1).otherwise(1)
+    huge, tiny = cents * float(1 << 200), cents / float(1 << 600)
+    amounts = F.explode(F.array(fine, huge, -tiny, -huge, tiny))
+    rows = _report_rows(spark, sf_dir).select("province", amounts.alias("money"))
+    return reports.amt_by_province(rows)
+
+
 def key_city_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.key_city_rows(_report_rows(spark, sf_dir), tables.KEY_CITIES)
 
@@ -557,7 +567,7 @@ QUERIES: dict[str, Query] = {
         order_time_format, order_id_format, int_to_ipv4, ipv4_to_long, region_fields,
         geo_lookup, geo_lookup_shuffled, geo_lookup_hot, geo_lookup_crowded,
         order_etl, order_etl_open, etl_envelope, report_rows,
-        amt_total, amt_by_province, amt_by_city,
+        amt_total, amt_by_province, amt_by_city, amt_any_doubles,
         key_city_rows, key_city_amount, key_city_latest,
         pivot_total, pivot_city, pivot_city_map, pivot_city_found, etl_counts,
         keyed_hashes, dashboard_feed, dashboard_rejects,

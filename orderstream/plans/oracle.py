@@ -86,6 +86,10 @@ _ALL_CITIES = tuple(f"CITY_{n}" for n in range(100))
 _TOTAL = f"SELECT {_SUM} AS total_amt FROM orders"
 _BY_PROVINCE = f"WITH {_LOCATED} SELECT province, {_SUM} AS total_amt FROM e GROUP BY province"
 _BY_CITY = f"WITH {_LOCATED} SELECT city, {_SUM} AS total_amt FROM e GROUP BY city"
+_ANY_DOUBLES = f"""WITH {_LOCATED}, c AS (
+  SELECT province, CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT) AS cents FROM e)
+SELECT province, CAST(sum(CASE WHEN cents % 2 = 1 THEN -cents ELSE cents END) AS DOUBLE) / 1024 AS total_amt
+FROM c GROUP BY province"""
 _KEY_ROWS = f"""WITH {_LOCATED}
 SELECT o_totalprice AS money, province, city FROM e WHERE city IN ({_CITY_LIST})"""
 _KEY_AMOUNT = f"""WITH {_LOCATED}
@@ -171,6 +175,7 @@ FROM l LEFT JOIN supplier ON number // 4 = s_suppkey AND number % 4 <= s_suppkey
     "amt_total": _TOTAL,
     "amt_by_province": _BY_PROVINCE,
     "amt_by_city": _BY_CITY,
+    "amt_any_doubles": _ANY_DOUBLES,
     "key_city_rows": _KEY_ROWS,
     "key_city_amount": _KEY_AMOUNT,
     "key_city_latest": _KEY_LATEST,
