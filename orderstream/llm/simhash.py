@@ -10,6 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from orderstream.llm.common import chosen_rows, stored, text_bytes, word_blocks
 from orderstream.llm.components import components
@@ -171,9 +172,9 @@ def _midpoint_links(crowded: DataFrame, masks: list[int], half: int) -> DataFram
     # One row per mask: a fixed size.
     named = crowded.join(F.broadcast(table), "t").select("t", "fp", F.explode("p").alias("p"))
     named = named.select("t", "fp", F.col("fp").bitwiseXOR(F.col("p")).alias("mid"))
-    firsts = named.groupBy("t", "mid").agg(F.min("fp").alias("b"), F.count("*").alias("n"))
-    firsts = firsts.where("n > 1").drop("n")
-    pairs = named.join(firsts, ["t", "mid"]).where(F.col("fp") != F.col("b"))
+    # Few fingerprints lie so near to one midpoint, whatever the bucket: as many as patterns.
+    least = F.min("fp").over(Window.partitionBy("t", "mid"))
+    pairs = named.withColumn("b", least).where(F.col("fp") != F.col("b"))
     return pairs.select(F.col("fp").alias("a"), "b").distinct()
 
 
