@@ -28,14 +28,19 @@ from pyspark.sql import functions as F
 
 from orderstream.llm.common import stored, text_bytes, word_blocks
 
-# Size bounds of the model. Words beyond the vocabulary are spelled and looked up by a join.
+# Words beyond the vocabulary are spelled and looked up by a join.
 VOCABULARY = (1 << 18) - 1
 WORD_BYTES = 64
+# Least sizes of the context tables. They double whenever the training tokens grow fourfold,
+# as new contexts turn up about with the root of the text read, up to MOST_DOUBLED times:
+# by then 2^38 tokens were read, and a learning task holds 1.2 GB of counts.
 SLOT_BITS = (20, 18, 20)
+FIRST_DOUBLED = 28
+MOST_DOUBLED = 6
 
 PREDICTORS = 4
 # Ranks up to which the word before, the last common word, and the last word common
-# enough to tell the language, are contexts of their own.
+# enough to tell the language, are contexts of their own. The first two double with the tables.
 BEFORE, COMMON, TELLING = 1024, 256, 16
 # Bits of a place in a class that are predicted by all contexts; the finer ones by their
 # own counts and those after the last telling word only.
@@ -52,7 +57,7 @@ CHUNK = 1 << 16
 
 # The first table has a slot for each node of the vocabulary, and some for spelled words.
 _SPELLED = VOCABULARY + 65
-_SLOTS = (_SPELLED + (1 << 16), *(1 << bits for bits in SLOT_BITS))
+_NODES = _SPELLED + (1 << 16)
 # Predictors whose confidence chooses the weights.
 _ASKED = (1, 3)
 _GATES = 2 * 36 + 6
@@ -179,12 +184,23 @@ class Lexicon:
     rare: RareWords
     classes: Code
     letters: Code
+    doubled: int = 0  # times that the context tables were
+
+    @property
+    def slots(self) -> tuple[int, ...]:
+        """Slots of each predictor."""
+        return _NODES, *(1 << bits + self.doubled for bits in SLOT_BITS)
 
     def base(self, count: np.ndarray | int) -> np.ndarray:
         """log10 of the smoothed share of a token with such a count."""
         return np.log10((count + 0.1) / (self.total + 0.1 * (self.distinct + 1)))
 
 
+def doublings(tokens: int) -> int:
+    """How often the context tables are doubled for a corpus of so many training tokens."""
+    return min(max((tokens.bit_length() + 1 - FIRST_DOUBLED) // 2, 0), MOST_DOUBLED)
+
+
 def lexicon(counts: DataFrame, documents: int, size: int = VOCABULARY) -> Lexicon:
     """The ``size`` most frequent words of ``word, n``, and totals over all of them."""
     tokens, distinct, once, twice = counts.agg(
@@ -202,7 +218,7 @@ def lexicon(counts: DataFrame, documents: int, size: int = VOCABULARY) -> Lexico
         top["word"].to_pylist(),
         ranked, tokens + documents, distinct + (documents > 0), documents,
         RareWords(once, twice, tokens - int(ranked.sum()) - once),
-        Code.of(classes), Code.of(letters),
+        Code.of(classes), Code.of(letters), doublings(tokens),
     )
 
 
@@ -251,8 +267,9 @@ def _taken(table: np.ndarray, index: np.ndarray) -> np.ndarray:
 class _Writer:
     """Arrays for a number of bits, filled slice by slice."""
 
-    def __init__(self, size: int) -> None:
+    def __init__(self, size: int, slots: tuple[int, ...]) -> None:
         self.at = 0
+        self.shifts = [np.uint32(33 - size.bit_length()) for size in slots]
         self.owner = np.empty(size, np.int64)
         self.value = np.empty(size, np.uint8)
         self.stage = np.empty(size, np.int32)
@@ -276,7 +293,7 @@ class _Writer:
         for predictor, context in enumerate(contexts, 1):
             mixed = np.bitwise_xor(context, spread, out=self.slots[predictor][here])
             mixed *= _FACTOR
-            mixed >>= np.uint32(33 - _SLOTS[predictor].bit_length())
+            mixed >>= self.shifts[predictor]
 
 
 _FACTOR = np.uint32(0x85EBCA6B)
@@ -306,23 +323,24 @@ def bits_of(lex: Lexicon, block: Block, rare: list[bytes]) -> Bits:
         found = np.maximum.accumulate(np.where((symbols > 0) & (symbols <= limit), place, -1))
         return at(np.concatenate([[-1], found[:-1]]))
 
+    before, common = BEFORE << lex.doubled, COMMON << lex.doubled
     ranked = symbols > 0
     rank_bits = np.where(ranked, np.frexp(symbols.astype(np.float64))[1] - 1, 0)
     kind = np.where(ranked, _RANKS + rank_bits, np.where(symbols == 0, _END, _ESCAPE))
-    short = np.where(known > BEFORE, 0, known)
-    short[1:] -= np.where(symbols > BEFORE, kind + 8, 0)
+    short = np.where(known > before, 0, known)
+    short[1:] -= np.where(symbols > before, kind + 8, 0)
     one = np.where(place > first, short[:-1], -2).astype(np.uint32)
     telling = last(TELLING)
     contexts = [
         _mixed(one * np.uint32(0x2545F491) + np.uint32(1)),
-        _mixed(last(COMMON) * np.uint32(0x6C078965) + np.uint32(2)),
+        _mixed(last(common) * np.uint32(0x6C078965) + np.uint32(2)),
         _mixed(telling * np.uint32(0x5BD1E995) + np.uint32(3)),
     ]
     sizes = lex.classes.size[kind]
     data = np.frombuffer(b" ".join([*rare, b""]), np.uint8)
     spelled_sizes = lex.letters.size[data]
     coarse = np.minimum(rank_bits, SHALLOW)
-    writer = _Writer(int(sizes.sum() + coarse.sum() + spelled_sizes.sum()))
+    writer = _Writer(int(sizes.sum() + coarse.sum() + spelled_sizes.sum()), lex.slots)
 
     def by(keys: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
         """Columns with the largest keys first, and how many keys are above 0, 1, 2 ..."""
@@ -727,7 +745,7 @@ def _odds(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
 
 
 def _handed_out(rows: DataFrame, what: object) -> Broadcast[bytes]:
-    """For the tasks: a lexicon or model, whose size is bounded by the constants above."""
+    """For the tasks: a lexicon or model; the constants above keep them below 300 MB."""
     return rows.sparkSession.sparkContext.broadcast(cloudpickle.dumps(what))
 
 
@@ -736,7 +754,7 @@ class Learner:
 
     def __init__(self, lex: Lexicon) -> None:
         self.lex, self.mixer, self.finer = lex, Mixer(), Finer()
-        self.counts = [np.zeros(-(-2 * size // CHUNK) * CHUNK, np.int32) for size in _SLOTS]
+        self.counts = [np.zeros(-(-2 * size // CHUNK) * CHUNK, np.int32) for size in lex.slots]
         self.fitted = 0
 
     def take(self, block: Block) -> None:
@@ -781,7 +799,8 @@ def learn(texts: DataFrame, lex: Lexicon) -> Model:
         tasks = -(-tasks // FAN_IN)
         if tasks <= 1:
             break
-    return Model.of({(r["part"], r["chunk"]): r["data"] for r in parts.drop("task").collect()})
+    found = {(r["part"], r["chunk"]): r["data"] for r in parts.drop("task").collect()}
+    return Model.of(found, lex.slots)
 
 
 def _learned(counts: list[np.ndarray], mixer: Mixer, fitted: int) -> Iterator[pa.RecordBatch]:
@@ -794,6 +813,8 @@ def _learned(counts: list[np.ndarray], mixer: Mixer, fitted: int) -> Iterator[pa
     flat = np.concatenate([mixer.weights.ravel(), mixer.map, [1.0]]) * fitted
     parts.append(("mixer", 0, flat.astype("<f8")))
     for part, chunk, values in parts:
+        if not values.any():
+            continue  # contexts that the task has not met
         data = pa.compress(values.tobytes(), "zstd", asbytes=True)
         columns = [
             pa.array([part]), pa.array([chunk], pa.int32()), pa.array([task], pa.int32()),
@@ -832,35 +853,37 @@ class Model:
     finer: np.ndarray
 
     @classmethod
-    def of(cls, parts: dict[tuple[str, int], bytes]) -> Model:
+    def of(cls, parts: dict[tuple[str, int], bytes], slots: tuple[int, ...]) -> Model:
         tables, mixer = [], Mixer()
-
-        def counts(number: int, size: int) -> np.ndarray:
-            name = f"counts{number}"
-            found = np.zeros(-(-size // CHUNK) * CHUNK, np.int64)
-            for chunk in range(len(found) // CHUNK):
-                if (name, chunk) in parts:
-                    found[chunk * CHUNK : (chunk + 1) * CHUNK] = _values(name, parts[name, chunk])
-            return found
-
-        for predictor, size in enumerate(_SLOTS):
-            both = counts(predictor, 2 * size)
-            zeros, ones = both[::2], both[1::2]
-            # Counts without limit here: the more was seen, the finer the odds.
-            each = np.log(ones + _PRIOR) - np.log(zeros + _PRIOR)
-            odds = np.rint(np.clip(each * _FINE, -127, 127)).astype(np.int8)
-            if predictor in _ASKED:
-                seen = _confidence(zeros + ones).astype(np.uint16)
-                tables.append(seen << np.uint16(8) | odds.view(np.uint8))
-            else:
-                tables.append(odds)
+        for predictor, size in enumerate(slots):
+            asked = predictor in _ASKED
+            table = np.zeros(-(-2 * size // CHUNK) * CHUNK // 2, np.uint16 if asked else np.int8)
+            for chunk in range(2 * len(table) // CHUNK):
+                both = cls._counts(parts, predictor, chunk)
+                zeros, ones = both[::2], both[1::2]
+                # Counts without limit here: the more was seen, the finer the odds.
+                each = np.log(ones + _PRIOR) - np.log(zeros + _PRIOR)
+                odds = np.rint(np.clip(each * _FINE, -127, 127)).astype(np.int8)
+                if asked:
+                    seen = _confidence(zeros + ones).astype(np.uint16)
+                    odds = seen << np.uint16(8) | odds.view(np.uint8)
+                table[chunk * CHUNK // 2 : (chunk + 1) * CHUNK // 2] = odds
+            tables.append(table)
         if ("mixer", 0) in parts:
             flat = _values("mixer", parts["mixer", 0])
             flat = flat[:-1] / flat[-1]
             mixer.weights = flat[: mixer.weights.size].reshape(mixer.weights.shape)
             mixer.map = flat[mixer.weights.size :]
-        words = counts(PREDICTORS, (TELLING + 1) * Finer.WIDTH)
-        return cls(tables, mixer, Finer.costs(words[: (TELLING + 1) * Finer.WIDTH], mixer))
+        size = (TELLING + 1) * Finer.WIDTH
+        words = np.concatenate([cls._counts(parts, PREDICTORS, chunk) for chunk in range(-(-size // CHUNK))])
+        return cls(tables, mixer, Finer.costs(words[:size], mixer))
+
+    @staticmethod
+    def _counts(parts: dict[tuple[str, int], bytes], number: int, chunk: int) -> np.ndarray:
+        """Counts of a chunk of a table; a chunk that no task has met is zero."""
+        name = f"counts{number}"
+        found = parts.get((name, chunk))
+        return np.zeros(CHUNK, np.int64) if found is None else _values(name, found)
 
     def finer_cost(self, bits: Bits) -> np.ndarray:
         """log10 of the probability of the finer bits of each token."""

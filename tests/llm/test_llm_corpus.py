@@ -294,6 +294,33 @@ def test_long_texts_and_many_words(spark, monkeypatch):
     assert found == Counter(text.encode().split())
 
 
+@pytest.mark.parametrize("tokens, doubled", [(0, 0), ((1 << 28) - 1, 0), (1 << 28, 1), ((1 << 30) - 1, 1), (1 << 30, 2), (1 << 33, 3), (1 << 38, 6), (1 << 60, 6)])
+def test_tables_grow_with_the_root_of_the_tokens(tokens, doubled):
+    assert lm_scoring.doublings(tokens) == doubled
+
+
+def test_larger_tables_tell_more_contexts_apart(spark, monkeypatch):
+    """A word that decides the next one, beyond the least number of words with contexts."""
+    monkeypatch.setattr(lm_scoring, "BEFORE", 8)
+    monkeypatch.setattr(lm_scoring, "COMMON", 4)
+    rnd = random.Random(7)
+    texts = [" ".join(f"k{n} v{n}" for n in rnd.choices(range(200), k=40)) for _ in range(300)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t STRING").selectExpr("CAST(t AS BINARY) AS t")
+    score, sizes = {}, {}
+    for doubled in (0, 6):
+        monkeypatch.setattr(lm_scoring, "doublings", lambda tokens, doubled=doubled: doubled)
+        lex = lm_scoring.lexicon(lm_scoring.word_counts(rows), len(texts))
+        model = lm_scoring.learn(rows, lex)
+        blocks = lm_scoring.Blocks(lex)
+        blocks.add(0, " ".join(f"k{n} v{n}" for n in range(200)).encode(), True)
+        block = blocks.take()
+        bits = lm_scoring.bits_of(lex, block, block.rare)
+        score[doubled] = model.cost(bits).sum() + model.finer_cost(bits).sum()
+        sizes[doubled] = [len(table) for table in model.tables[1:]]
+    assert sizes[6] == [64 * size for size in sizes[0]]
+    assert score[6] > 0.9 * score[0]
+
+
 def test_every_block_moves_the_weights():
     """Also late blocks and those of a source that comes between others; also finer bits."""
     words = [f"w{i}".encode() for i in range(1, 400)]
