@@ -53,6 +53,16 @@ def key_city_rows(rows: DataFrame, cities: Sequence[str]) -> DataFrame:
     return rows.join(F.broadcast(listed), F.col("city") == F.col("_city"), "left_semi")
 
 
+def with_key_city(rows: DataFrame, cities: Sequence[str]) -> DataFrame:
+    """Rows with ``key_city``: whether ``key_city_rows`` has them."""
+    if len(cities) <= LONG_LIST:
+        chosen = F.col("city").isin(*cities) if cities else F.lit(False)
+        return rows.withColumn("key_city", F.coalesce(chosen, F.lit(False)))
+    listed = rows.sparkSession.createDataFrame([(city,) for city in set(cities)], "_city STRING")
+    joined = rows.join(F.broadcast(listed), F.col("city") == F.col("_city"), "left")
+    return joined.withColumn("key_city", F.col("_city").isNotNull()).drop("_city")
+
+
 def key_city_amount(rows: DataFrame, cities: Sequence[str]) -> DataFrame:
     return amt_by_city(key_city_rows(rows, cities))
 

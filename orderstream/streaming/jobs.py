@@ -5,15 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from contextlib import AbstractContextManager, nullcontext
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from orderstream.config import Settings
-from orderstream.functions.text import read_name
-from orderstream.operators import reports
+from orderstream.functions.text import read_name, stored_name
+from orderstream.operators import exact, reports
 from orderstream.operators.counts import Counts
 from orderstream.operators.etl import order_etl, order_etl_open
 from orderstream.operators.geo import GeoIndex, with_hot_keys
@@ -34,7 +33,8 @@ class Report:
     """A keyed report: what the stream computes and how a batch of it is stored.
 
     ``wide`` gives the frames an external keyed sink gets, ``fields`` the same
-    content as hash fields.
+    content as hash fields. ``spot`` is the key and field that the sum of a place
+    counts towards.
     """
 
     name: str
@@ -43,6 +43,7 @@ class Report:
     stream: Callable[[DataFrame, Settings], DataFrame]
     wide: Callable[[DataFrame, Settings], list[DataFrame]]
     fields: Callable[[DataFrame, Settings], DataFrame]
+    spot: Callable[[], tuple[Column, Column]] | None = None
 
 
 def _same(rows: DataFrame, settings: Settings) -> list[DataFrame]:
@@ -63,6 +64,7 @@ TOTAL = Report(
     fields=lambda rows, settings: fields.hash_fields(
         reports.pivot_total(rows), "orders:money", "type"
     ),
+    spot=lambda: (fields.hash_key("orders:money", F.lit(reports.TOTAL)), F.lit(reports.GLOBAL)),
 )
 PROVINCE = Report(
     name="query-amt-province",
@@ -71,6 +73,7 @@ PROVINCE = Report(
     stream=lambda rows, settings: reports.amt_by_province(rows),
     wide=_same,
     fields=lambda rows, settings: fields.hash_fields(rows, "orders:provincemoney", "province"),
+    spot=lambda: (fields.hash_key("orders:provincemoney", F.col("province")), F.lit("total_amt")),
 )
 # The wide row of a batch has the cities that changed, in one map; fields of a hash merge.
 CITY = Report(
@@ -80,6 +83,9 @@ CITY = Report(
     stream=lambda rows, settings: reports.amt_by_city(rows),
     wide=lambda rows, settings: [reports.city_map(rows)],
     fields=lambda rows, settings: fields.city_fields(rows, "orders:citymoney", reports.GLOBAL),
+    spot=lambda: (
+        fields.hash_key("orders:citymoney", F.lit(reports.GLOBAL)), stored_name(F.col("city"))
+    ),
 )
 KEY_CITY_AMOUNT = Report(
     name="query-key-city-amount",
@@ -88,6 +94,7 @@ KEY_CITY_AMOUNT = Report(
     stream=lambda rows, settings: reports.key_city_amount(rows, settings.key_cities),
     wide=_same,
     fields=lambda rows, settings: fields.hash_fields(rows, "orders:keycityamount", "city"),
+    spot=lambda: (fields.hash_key("orders:keycityamount", F.col("city")), F.lit("total_amt")),
 )
 # The state is the newest row of each city with its position, so late rows lose there.
 KEY_CITY_LATEST = Report(
@@ -174,16 +181,13 @@ def start_sums(spark: SparkSession, settings: Settings, rows: DataFrame) -> Stre
     write = _sink(PLACES_QUERY, settings)
 
     def store(batch: DataFrame, batch_id: int) -> None:
+        if settings.store_format == "hashes":
+            write(place_fields(batch, settings).coalesce(settings.state_partitions), batch_id)
+            return
         places = batch.persist()
         try:
-            sums = [(report, report.stream(places, settings)) for report in SUMS]
-            if settings.store_format == "hashes":
-                changed = [report.fields(rows, settings) for report, rows in sums]
-                few = reduce(DataFrame.unionByName, changed).coalesce(settings.state_partitions)
-                write(few, batch_id)
-            else:
-                for report, rows in sums:
-                    _write_external(report, rows, settings)
+            for report in SUMS:
+                _write_external(report, report.stream(places, settings), settings)
         finally:
             places.unpersist()
 
@@ -192,6 +196,24 @@ def start_sums(spark: SparkSession, settings: Settings, rows: DataFrame) -> Stre
     return start(spark, writer, PLACES_QUERY, settings, stateful=True)
 
 
+def place_fields(places: DataFrame, settings: Settings) -> DataFrame:
+    """All sum reports of exact sums per place, as hash fields, by one aggregation.
+
+    The sum of a place is added up at every spot it counts towards. The places are read
+    once, so the state behind them is too.
+    """
+    marked = reports.with_key_city(places, settings.key_cities)
+    spots = []
+    for report in SUMS:
+        key, field = report.spot()
+        spot = F.struct(key.alias("key"), field.alias("field"))
+        spots.append(F.when(F.col("key_city"), spot) if report is KEY_CITY_AMOUNT else spot)
+    spread = marked.select(F.explode(F.array_compact(F.array(*spots))).alias("spot"), *exact.ADDENDS)
+    sums = exact.totals(spread.select("spot.*", *exact.ADDENDS), "key", "field")
+    value = F.col("total_amt").cast("string").alias("value")
+    return sums.select("key", "field", value).where(F.col("value").isNotNull())
+
+
 def start_key_city_rows(
     spark: SparkSession, settings: Settings, rows: DataFrame, path: str
 ) -> StreamingQuery:

@@ -150,6 +150,29 @@ def test_sums_together_store_what_single_reports_store(spark, settings, tmp_path
     assert stored_sums(spark, settings) == before
 
 
+@pytest.mark.parametrize("long_list", [0, 1000])
+def test_place_fields_are_the_fields_of_all_reports(spark, settings, monkeypatch, long_list):
+    """Also for missing names, names that read ``null``, odd amounts and no rows at all."""
+    monkeypatch.setattr(reports, "LONG_LIST", long_list)
+    chosen = replace(settings, key_cities=("A", "null", "A.b", "none"))
+    rows = [
+        (1.25, "P", "A"), (1e20, "P", "A"), (-1e20, "Q", "A"), (0.005, None, "null"), (2.0, "null", None),
+        (float("inf"), "R", "A.b"), (None, "S", "C"), (3.0, "", ""), (1e-300, "Q", "null"),
+    ]
+    for some in (rows, rows[6:7], []):
+        places = reports.amt_by_place(
+            spark.createDataFrame(some, "money DOUBLE, province STRING, city STRING")
+        )
+        found = sorted(tuple(r) for r in jobs.place_fields(places, chosen).collect())
+        single = [r for which in jobs.SUMS for r in which.fields(which.stream(places, chosen), chosen).collect()]
+        assert found == sorted(tuple(r) for r in single)
+
+
+def test_a_batch_of_all_sums_reads_its_state_once(spark, settings):
+    post(spark, settings, [(i, "2", "P", f"city {i % 7}") for i in range(50)])
+    assert sums(spark, settings).lastProgress["stateOperators"][0]["numRowsTotal"] == 7
+
+
 def test_sums_together_start_over_on_a_new_checkpoint(spark, settings, tmp_path):
     post(spark, settings, [(1, "4", "P", "A")])
     sums(spark, settings)
