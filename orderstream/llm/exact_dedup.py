@@ -14,8 +14,10 @@ from orderstream.llm.common import SPACES, chosen_rows, stored
 # Digests of the snapshot that share one filter.
 SHARD_ROWS = 1 << 16
 
-# Tasks over which the texts of one digest are dealt.
-SALTS = 16
+# A digest of more rows than this, and than its share of all rows, is hot: the texts of it are
+# dealt in pieces. At most HOT digests can be, so a list of them is small.
+PIECE_ROWS = 1 << 12
+HOT = 1 << 14
 
 
 def normalised(text: Column) -> Column:
@@ -223,14 +225,20 @@ def dedup(
 def _differing(texts: DataFrame, groups: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
     """Digests that stand for several texts, found by grouping the texts themselves.
 
-    Only texts of digests seen twice are grouped. Those of one digest are dealt over SALTS
-    tasks, where copies meet first. The join is a sort-merge join at every size, as its
-    smaller side grows with the data.
+    Only texts of digests seen twice are grouped. Those of a hot digest are dealt over as many
+    keys as it has pieces, where copies meet first. The join is a sort-merge join at every
+    size, as its smaller side grows with the data.
     """
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-    shared = stored(groups.where("size > 1").select("digest", salts), "exact-shared")
-    salt = F.pmod(F.xxhash64("doc_id", F.spark_partition_id()), F.lit(SALTS)).cast("int")
-    salted = texts.withColumns({"digest": digest(F.col("norm")), "salt": salt})
+    shared = groups.where("size > 1").select("digest", "size")
+    total = groups.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    limit = F.lit(max(total // HOT, PIECE_ROWS))
+    pieces = F.ceil(F.col("size") / limit).cast("bigint")
+    hot = stored(shared.where(F.col("size") > limit).select("digest", pieces.alias("pieces")), "exact-hot")
+    salt = F.explode(F.sequence(F.lit(0).cast("bigint"), pieces - 1)).alias("salt")
+    shared = stored(shared.select("digest", salt), "exact-shared")
+    rows = texts.withColumn("digest", digest(F.col("norm"))).join(F.broadcast(hot), "digest", "left")
+    own = F.pmod(F.xxhash64("doc_id", F.spark_partition_id()), F.coalesce("pieces", F.lit(1)))
+    salted = rows.withColumn("salt", own).drop("pieces")
     checked = salted.join(shared.hint("merge"), ["digest", "salt"], "left_semi")
     each = checked.select("digest", "norm").distinct()
     return stored(

@@ -95,6 +95,22 @@ def test_screened_batch_joins_only_positives(spark):
     assert len(known) < 110
 
 
+@pytest.mark.parametrize("weak", [False, True])
+def test_hot_digests_are_dealt_in_pieces(spark, monkeypatch, weak):
+    """Digests of one text or of two, of very many rows and of a few."""
+    monkeypatch.setattr(exact_dedup, "PIECE_ROWS", 16)
+    monkeypatch.setattr(exact_dedup, "HOT", 4)
+    texts = [("same", 400), ("twin a", 150), ("twin b", 3), ("few", 2), ("one", 1), ("other", 1)]
+    rows = [(i, text) for i, text in enumerate(text for text, n in texts for _ in range(n))]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(7)
+    digest = (lambda text: F.sha2(F.substring(text, 1, 4).cast("binary"), 256)) if weak else exact_dedup.sha256
+    got = {r.doc_id: (r.keep_id, r.group_size) for r in exact_dedup.dedup(docs, digest=digest).collect()}
+    first = {}
+    for i, text in rows:
+        first.setdefault(text, i)
+    assert got == {i: (first[text], dict(texts)[text]) for i, text in rows}
+
+
 def test_dropping_exact_copies_keeps_one(spark):
     docs = spark.createDataFrame(texts_with_copies(), "doc_id BIGINT, text STRING")
     kept = exact_dedup.drop_exact_duplicates(docs).collect()
