@@ -18,7 +18,7 @@ from orderstream.plans import tables
 from orderstream.session import scratch, stored_once
 from orderstream.sinks import fields, hashes
 from orderstream.sinks.messages import publish
-from orderstream.sources.messages import newest_segment, read_messages
+from orderstream.sources.messages import newest_segment, read_messages, segment_count
 from orderstream.streaming import batches, control, jobs, state
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 _COUNT_NAMES = [name.partition(".")[2] for name in counts.ALL]
 _COUNT_SCHEMA = ", ".join(f"{name} BIGINT" for name in _COUNT_NAMES)
 
+# Streams read their topic in about this many batches.
+_BATCHES = 4
+# Most messages of a segment, and the least worth a segment beyond the two of each batch.
+_LARGEST_SEGMENT, _SMALLEST_SEGMENT = 1_000_000, 10_000
+
 
 # -- lines and fields ---------------------------------------------------------------
 
@@ -300,14 +305,29 @@ def _settings(spark: SparkSession, name: str) -> Settings:
     )
 
 
+def _segment_size(spark: SparkSession, count: int) -> int:
+    """Messages per segment: two segments per batch at least, or two per core if they are worth it.
+
+    Large segments would leave a batch to as few tasks as it has segments.
+    """
+    per_core = count // (2 * _BATCHES * spark.sparkContext.defaultParallelism)
+    worth = min(max(per_core, _SMALLEST_SEGMENT), _LARGEST_SEGMENT)
+    return max(min(worth, count // (2 * _BATCHES)), 1)
+
+
+def _in_batches(spark: SparkSession, settings: Settings, topic: str, read: int = 0) -> Settings:
+    """Settings that read about a quarter of a topic's segments per batch, but for those read already."""
+    segments = segment_count(spark, settings, topic) - read
+    return replace(settings, max_files_per_trigger=max(segments // _BATCHES, 1))
+
+
 def _publish_segments(
     spark: SparkSession, sf_dir: str, settings: Settings, messages: DataFrame
 ) -> Settings:
     """Write messages to the raw topic as segments; read about a quarter per batch."""
     count = tables.table(spark, sf_dir, "orders").count()
-    per_file = min(max(count // 8, 1), 1_000_000)
-    publish(messages, settings, settings.source_topic, per_file)
-    return replace(settings, max_files_per_trigger=max(count // per_file // 4, 1))
+    publish(messages, settings, settings.source_topic, _segment_size(spark, count))
+    return _in_batches(spark, settings, settings.source_topic)
 
 
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> Settings:

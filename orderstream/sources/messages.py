@@ -39,6 +39,11 @@ def _segments(spark: SparkSession, settings: Settings, topic: str) -> DataFrame:
     return spark.read.schema(MESSAGE_SCHEMA).parquet(topic_path(settings, topic))
 
 
+def segment_count(spark: SparkSession, settings: Settings, topic: str) -> int:
+    """How many segments a file topic has; only their names are listed."""
+    return len(_segments(spark, settings, topic).inputFiles())
+
+
 def files_per_batch(spark: SparkSession, settings: Settings, topic: str) -> int:
     """How many segments keep a batch within the cap of messages; one at least.
 
