@@ -433,6 +433,8 @@ def s_two_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw topic -> ETL job -> ETL topic -> all reports side by side; all that they store."""
     settings = _stream(spark, sf_dir, "s_two_jobs")
     _finish(jobs.start_etl(spark, settings, tables.geo_index(spark, sf_dir)))
+    # The ETL writes a segment per task, which need not be as many as it has read.
+    settings = _in_batches(spark, settings, settings.etl_topic)
     messages = read_messages(spark, settings, settings.etl_topic)
     rows = msg.report_rows(messages, msg.POSITION)
     queries = [jobs.start_report(spark, settings, report, rows) for report in jobs.REPORTS]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from orderstream.plans import catalog
 from orderstream.sources.messages import segment_count
+from orderstream.streaming import jobs
 
 ORDERS = 640_000
 
@@ -47,3 +48,20 @@ def test_small_topics_keep_their_eight_segments(spark, count):
 
 def test_large_topics_have_segments_of_bounded_size(spark):
     assert catalog._segment_size(spark, 10**12) == 1_000_000
+
+
+def test_reports_read_the_etl_topic_in_batches_of_its_own_segments(spark, many_orders, monkeypatch):
+    started = []
+    start = jobs.start_report
+
+    def noted(spark, settings, report, rows):
+        started.append((settings, start(spark, settings, report, rows)))
+        return started[-1][1]
+
+    monkeypatch.setattr(jobs, "start_report", noted)
+    catalog.s_two_jobs(spark, many_orders)
+    for settings, query in started:
+        segments = segment_count(spark, settings, settings.etl_topic)
+        assert settings.max_files_per_trigger == segments // 4
+        read = [step["numInputRows"] for step in query.recentProgress if step["numInputRows"]]
+        assert sum(read) == ORDERS and len(read) >= 4
