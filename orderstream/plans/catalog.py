@@ -472,10 +472,13 @@ def _arriving(
     index = tables.geo_index(spark, sf_dir)
     rows = etl.order_etl(tables.order_messages(spark, sf_dir), index, msg.POSITION)
     messages = msg.etl_envelope(rows, msg.POSITION)
-    count = tables.table(spark, sf_dir, "orders").count()
+    # Each arrival has a part of the messages, and several batches of its own.
+    size = _segment_size(spark, tables.table(spark, sf_dir, "orders").count() // 2)
+    read = 0
     for arrived in (first, ~first):
-        publish(messages.where(arrived), settings, settings.etl_topic, max(count // 8, 1))
-        capped = replace(settings, max_files_per_trigger=2)
+        publish(messages.where(arrived), settings, settings.etl_topic, size)
+        capped = _in_batches(spark, settings, settings.etl_topic, read)
+        read = segment_count(spark, settings, settings.etl_topic)
         lines = read_messages(spark, capped, settings.etl_topic)
         yield capped, msg.report_rows(lines, msg.POSITION)
 
@@ -499,12 +502,20 @@ def s_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def s_state_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sums by place as both state stores keep them after a restart, and as stored."""
-    result = None
-    for store in ("default", "rocksdb"):
-        for settings, rows in _arriving(spark, sf_dir, f"s_state_{store}", F.col("partition") == 0):
-            kept = replace(settings, state_store=store)
+    """Sums by place as both state stores keep them after a restart, and as stored.
+
+    Both queries read the one topic, each with a checkpoint and a store of its own.
+    """
+    by_store = {}
+    for settings, rows in _arriving(spark, sf_dir, "s_state_read_back", F.col("partition") == 0):
+        for store in ("default", "rocksdb"):
+            by_store[store] = kept = replace(
+                settings, state_store=store, checkpoint_root=f"{settings.checkpoint_root}/{store}",
+                store_path=f"{settings.store_path}/{store}",
+            )
             jobs.start_sums(spark, kept, rows).awaitTermination()
+    result = None
+    for store, kept in by_store.items():
         in_state = reports.amt_by_city(state.place_sums(spark, kept))
         stored = jobs.stored_city_amounts(spark, kept.store_path)
         same_city = in_state["city"].eqNullSafe(stored["city"])

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderstream.plans import catalog
+from orderstream.sinks.messages import publish
 from orderstream.sources.messages import segment_count
 from orderstream.streaming import jobs
 
@@ -65,3 +66,30 @@ def test_reports_read_the_etl_topic_in_batches_of_its_own_segments(spark, many_o
         assert settings.max_files_per_trigger == segments // 4
         read = [step["numInputRows"] for step in query.recentProgress if step["numInputRows"]]
         assert sum(read) == ORDERS and len(read) >= 4
+
+
+def test_each_arrival_has_a_segment_for_every_core_per_batch(spark, many_orders):
+    read = 0
+    for settings, _ in catalog._arriving(spark, many_orders, "arriving", F.col("partition") == 0):
+        segments = segment_count(spark, settings, settings.etl_topic)
+        assert settings.max_files_per_trigger >= spark.sparkContext.defaultParallelism
+        assert settings.max_files_per_trigger == (segments - read) // 4
+        read = segments
+
+
+def test_both_state_stores_read_one_topic_and_keep_the_same_sums(spark, many_orders, monkeypatch):
+    published = []
+
+    def noted(messages, settings, topic, size):
+        published.append(topic)
+        publish(messages, settings, topic, size)
+
+    monkeypatch.setattr(catalog, "publish", noted)
+    rows = catalog.s_state_read_back(spark, many_orders).collect()
+    assert len(published) == 2
+    by_store = {
+        store: {row.city: row.in_state for row in rows if row.store == store} for store in ("default", "rocksdb")
+    }
+    assert by_store["default"] == by_store["rocksdb"]
+    assert all(row.in_state == row.stored for row in rows)
+    assert sum(by_store["default"].values()) == sum(i % 1000 / 4 for i in range(ORDERS))
