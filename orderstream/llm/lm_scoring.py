@@ -14,10 +14,12 @@ are scored with what all of them learned, so a score depends on no order.
 
 from __future__ import annotations
 
+import ctypes
 import heapq
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
+from contextlib import suppress
 from dataclasses import dataclass
 
 import numpy as np
@@ -585,7 +587,9 @@ class Blocks:
 
 def _confidence(seen: np.ndarray) -> np.ndarray:
     """How well a context is known, in six steps."""
-    return np.minimum(np.frexp(seen.astype(np.float32))[1], 5).astype(np.uint8)
+    # The exponent of a count as a float tells how many bits the count has.
+    size = (seen.astype(np.float32).view(np.int32) >> np.int32(23)) - np.int32(126)
+    return np.clip(size, 0, 5).astype(np.uint8)
 
 
 def _squash(odds: np.ndarray) -> np.ndarray:
@@ -678,6 +682,7 @@ class Finer:
 
     A bit splits a range of neighbouring ranks. Ranges are nodes of a binary tree over all
     ranks: the halves of node ``i`` are ``2 * i`` and ``2 * i + 1``, and the ranks its leaves.
+    The counts of two halves lie side by side, for every telling word, and are read as one number.
     """
 
     WIDTH = 1 << (VOCABULARY + 1).bit_length() - 1
@@ -688,8 +693,9 @@ class Finer:
 
     @property
     def n(self) -> np.ndarray:
-        """Counts of the ranks themselves."""
-        return self.tree[self.WIDTH * (TELLING + 1) :]
+        """Counts of the ranks themselves, by rank and telling word."""
+        halves = self.tree[self.WIDTH * (TELLING + 1) :].reshape(-1, TELLING + 1, 2)
+        return halves.transpose(0, 2, 1).ravel()
 
     def learn(self, mixer: Mixer, bits: Bits) -> int:
         """Predicts the finer bits of a block, learns from them and counts them; how many."""
@@ -703,15 +709,17 @@ class Finer:
         if not nodes:
             return 0
         node, row = np.concatenate(nodes), np.concatenate(rows)
-        low, high = node & ~1, node | 1
-        value = (node & 1).astype(np.uint8)
-        odds, gate = _finer_odds(
-            (_taken(self.every, low), _taken(self.every, high)),
-            (_taken(self.tree, low * (TELLING + 1) + row), _taken(self.tree, high * (TELLING + 1) + row)),
-        )
+        above, half = node >> 1, node & 1
+        value = half.astype(np.uint8)
+        own = above * (TELLING + 1) + row
+        pairs = [
+            _taken(counts.view(np.int64), at).view(np.int32).reshape(-1, 2)
+            for counts, at in ((self.every, above), (self.tree, own))
+        ]
+        odds, gate = _finer_odds(*((pair[:, 0], pair[:, 1]) for pair in pairs))
         mixer.learn([odds[0], odds[3]], [0, 3], gate, value, np.concatenate(stages))
         np.add.at(self.every, node, np.int32(1))
-        np.add.at(self.tree, node * (TELLING + 1) + row, np.int32(1))
+        np.add.at(self.tree, 2 * own + half, np.int32(1))
         return len(node)
 
     @classmethod
@@ -749,6 +757,23 @@ def _handed_out(rows: DataFrame, what: object) -> Broadcast[bytes]:
     return rows.sparkSession.sparkContext.broadcast(cloudpickle.dumps(what))
 
 
+# Names of two settings of the C library, the size from which arrays get memory
+# of their own, and the freed memory that is kept.
+_OWN_FROM, _KEPT = (-3, 1 << 24), (-1, 1 << 26)
+
+
+def _keep_memory() -> None:
+    """Lets a task use the memory of a block's arrays again for the next block.
+
+    Else it goes back to the system after every block and is cleared when it is asked for
+    again. Libraries without these settings do as they do.
+    """
+    with suppress(OSError, AttributeError, TypeError):
+        library = ctypes.CDLL(None)
+        for setting in (_OWN_FROM, _KEPT):
+            library.mallopt(*setting)
+
+
 class Learner:
     """What a task has learned: counts by predictor and slot, finer counts, and the mixer."""
 
@@ -761,15 +786,18 @@ class Learner:
         """Predicts a block, fits weights and refinement to all its bits, then counts them."""
         bits = bits_of(self.lex, block, block.rare)
         odds, seen = [], []
-        for predictor, (counts, slots) in enumerate(zip(self.counts, bits.slots, strict=True)):
+        places = [slots.astype(np.intp) for slots in bits.slots]
+        for predictor, (counts, slots) in enumerate(zip(self.counts, places, strict=True)):
             # Zeros and ones of a slot lie side by side and are read as one number.
-            pairs = _taken(counts.view(np.int64), slots.astype(np.intp)).view(np.int32).reshape(-1, 2)
+            pairs = _taken(counts.view(np.int64), slots).view(np.int32).reshape(-1, 2)
             odds.append(_odds(pairs[:, 0], pairs[:, 1]))
             if predictor in _ASKED:
                 seen.append(_confidence(pairs[:, 0] + pairs[:, 1]))
         self.mixer.learn(odds, list(range(PREDICTORS)), _gates(bits, seen), bits.value, bits.stage)
-        for counts, slots in zip(self.counts, bits.slots, strict=True):
-            np.add.at(counts, 2 * slots.astype(np.intp) + bits.value, np.int32(1))
+        for counts, slots in zip(self.counts, places, strict=True):
+            slots <<= 1
+            slots += bits.value
+            np.add.at(counts, slots, np.int32(1))
         self.fitted += len(bits.value) + self.finer.learn(self.mixer, bits)
 
 
@@ -778,6 +806,7 @@ def learn(texts: DataFrame, lex: Lexicon) -> Model:
     shared = _handed_out(texts, lex)
 
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _keep_memory()
         lex = cloudpickle.loads(shared.value)
         blocks, learner = Blocks(lex), Learner(lex)
         for batch in batches:
@@ -916,6 +945,7 @@ def _scored(docs: DataFrame, lex: Lexicon, model: Model) -> DataFrame:
     shared = _handed_out(docs, (lex, model))
 
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _keep_memory()
         lex, model = cloudpickle.loads(shared.value)
         known = np.append(0.0, lex.base(lex.counts))  # by rank, from 1
         end = float(lex.base(lex.ends))
