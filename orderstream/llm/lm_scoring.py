@@ -17,7 +17,6 @@ from __future__ import annotations
 import ctypes
 import heapq
 import re
-from collections import Counter
 from collections.abc import Callable, Iterator
 from contextlib import suppress
 from dataclasses import dataclass
@@ -47,8 +46,8 @@ BEFORE, COMMON, TELLING = 1024, 256, 16
 # Bits of a place in a class that are predicted by all contexts; the finer ones by their
 # own counts and those after the last telling word only.
 SHALLOW = 4
-# Distinct words that a task counts before it hands the counts on.
-COUNTED = 1 << 18
+# Words that a task gathers before it hands their counts on.
+COUNTED = 1 << 22
 # Bytes of a block, and of a text after which contexts begin anew, so that blocks stay bounded.
 PART_BYTES = 1 << 16
 # Spellings whose score a task remembers.
@@ -82,19 +81,27 @@ def word_counts(texts: DataFrame) -> DataFrame:
     """``word, n`` over the column ``t``; tasks count what they read first."""
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
+        gathered: list[pa.Array] = []
+        words: list[bytes] = []
+        size = 0
 
         def flush() -> pa.RecordBatch:
-            columns = [pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())]
-            counts.clear()
-            return pa.RecordBatch.from_arrays(columns, names=["word", "n"])
+            counts = pa.chunked_array([*gathered, pa.array(words, pa.binary())]).value_counts()
+            gathered.clear()
+            words.clear()
+            return pa.RecordBatch.from_arrays(counts.flatten(), names=["word", "n"])
 
         for batch in batches:
             for text in batch.column(0):
-                for words in word_blocks(text.as_py().lower()):
-                    counts.update(words)
-                if len(counts) > COUNTED:
-                    yield flush()
+                for block in word_blocks(text.as_py().lower()):
+                    words += block
+                    size += len(block)
+                    if len(words) >= CHUNK:
+                        gathered.append(pa.array(words, pa.binary()))
+                        words.clear()
+                    if size >= COUNTED:
+                        yield flush()
+                        size = 0
         yield flush()
 
     parts = texts.select("t").mapInArrow(per_batch, "word binary, n bigint")
@@ -442,14 +449,14 @@ class WordTable:
             hashes.append(found)
             lengths.append((ends - starts).astype(np.int32))
         table.hashes, table.lengths = np.concatenate(hashes), np.concatenate(lengths)
-        left = np.arange(1, len(words) + 1)
+        left = np.arange(1, len(words) + 1, dtype=np.int32)
         for level in range(6):
-            slots = np.zeros(1 << 20, np.int32)
+            slots = np.full(1 << 20, len(table.hashes), np.int32)
             own = _slot_of(table.hashes[left], level)
-            _, at = np.unique(own, return_index=True)
-            slots[own[at]] = left[at]
+            np.minimum.at(slots, own, left)
+            slots[slots == len(table.hashes)] = 0
             table.slots.append(slots)
-            left = np.setdiff1d(left, left[at])
+            left = left[slots[own] != left]
             if not len(left):
                 break
         return table
@@ -593,7 +600,11 @@ def _confidence(seen: np.ndarray) -> np.ndarray:
 
 
 def _squash(odds: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(odds, -80, 80)))
+    share = np.clip(odds, -80, 80)
+    np.negative(share, out=share)
+    np.exp(share, out=share)
+    share += 1
+    return np.divide(1, share, out=share)
 
 
 def _gates(bits: Bits, seen: list[np.ndarray]) -> np.ndarray:
@@ -605,9 +616,13 @@ def _gates(bits: Bits, seen: list[np.ndarray]) -> np.ndarray:
 
 def _steps(odds: np.ndarray, stage: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Place in the refinement map below each mix, and the share of the one above."""
-    scaled = (np.clip(odds, -7.99, 7.99) + np.float32(8)) * np.float32(2)
+    scaled = np.clip(odds, -7.99, 7.99)
+    scaled += np.float32(8)
+    scaled *= np.float32(2)
     low = scaled.astype(np.int32)
-    return (stage * np.int32(_STEPS) + low).astype(np.intp), scaled - low.astype(np.float32)
+    scaled -= low.astype(np.float32)
+    low += stage * np.int32(_STEPS)
+    return low.astype(np.intp), scaled
 
 
 class Mixer:
@@ -623,16 +638,21 @@ class Mixer:
         mix = _taken(columns[PREDICTORS], gate)
         for predictor, each in enumerate(odds):
             if each is not None:
-                mix += _taken(columns[predictor], gate) * each
+                part = _taken(columns[predictor], gate)
+                part *= each
+                mix += part
         return self._refined(mix, stage)
 
     def _refined(self, mix: np.ndarray, stage: np.ndarray) -> tuple:
         place, share = _steps(mix, stage)
         table = self.map.astype(np.float32)
-        low = _taken(table, place)
-        refined = low + (_taken(table, place + 1) - low) * share
+        final = _taken(np.diff(table, append=table[-1]), place)
+        final *= share
+        final += _taken(table, place)
         mixed = _squash(mix)
-        final = np.clip((mixed + refined) * np.float32(0.5), np.float32(1e-6), np.float32(1 - 1e-6))
+        final += mixed
+        final *= np.float32(0.5)
+        np.clip(final, np.float32(1e-6), np.float32(1 - 1e-6), out=final)
         return final, mixed, place, share
 
     def learn(self, odds: list[np.ndarray], used: list[int], gate: np.ndarray, value: np.ndarray, stage: np.ndarray) -> None:
@@ -657,8 +677,10 @@ class Mixer:
             np.dot(weights[g], inputs[:, here], out=mix[here])
         low, share = _steps(mix, _taken(stage, order))
         mixed = _squash(mix)
-        error = value - mixed
-        curvature = mixed * (1 - mixed)
+        error = value.astype(np.float32)
+        error -= mixed
+        curvature = 1 - mixed
+        curvature *= mixed
         squares = inputs * inputs
         for g, here in slices:
             slope, scale = inputs[:, here] @ error[here], squares[:, here] @ curvature[here]
@@ -699,24 +721,27 @@ class Finer:
 
     def learn(self, mixer: Mixer, bits: Bits) -> int:
         """Predicts the finer bits of a block, learns from them and counts them; how many."""
-        size = np.frexp(np.maximum(bits.symbol, 0).astype(np.float64))[1] - 1
-        nodes, rows, stages = [], [], []
-        for step in range(SHALLOW, int(size.max(initial=0))):
-            inside = np.flatnonzero(size > step)
-            nodes.append(bits.symbol[inside] + self.WIDTH >> size[inside] - step - 1)
-            rows.append(bits.telling[inside])
-            stages.append(np.full(len(inside), 12 + step, np.int32))
-        if not nodes:
+        inside = np.flatnonzero(bits.symbol >= 2 << SHALLOW)
+        if not len(inside):
             return 0
+        symbol, telling = bits.symbol[inside], bits.telling[inside]
+        left = np.frexp(symbol.astype(np.float64))[1] - SHALLOW - 2  # bits after the next
+        symbol += self.WIDTH
+        nodes, rows, stages = [], [], []
+        while len(symbol):
+            nodes.append(symbol >> left)
+            rows.append(telling)
+            stages.append(np.full(len(symbol), 12 + SHALLOW + len(stages), np.int32))
+            more = left > 0
+            symbol, telling, left = symbol[more], telling[more], left[more] - 1
         node, row = np.concatenate(nodes), np.concatenate(rows)
         above, half = node >> 1, node & 1
         value = half.astype(np.uint8)
         own = above * (TELLING + 1) + row
-        pairs = [
-            _taken(counts.view(np.int64), at).view(np.int32).reshape(-1, 2)
-            for counts, at in ((self.every, above), (self.tree, own))
-        ]
-        odds, gate = _finer_odds(*((pair[:, 0], pair[:, 1]) for pair in pairs))
+        odds, gate = _finer_odds(
+            *(_taken(counts.view(np.int64), at).view(np.int32).reshape(-1, 2)
+              for counts, at in ((self.every, above), (self.tree, own)))
+        )
         mixer.learn([odds[0], odds[3]], [0, 3], gate, value, np.concatenate(stages))
         np.add.at(self.every, node, np.int32(1))
         np.add.at(self.tree, 2 * own + half, np.int32(1))
@@ -734,7 +759,7 @@ class Finer:
                 every = total[span].reshape(1 << step, 2, -1).sum(-1)
                 for row in range(TELLING + 1):
                     own = by_row[row, span].reshape(1 << step, 2, -1).sum(-1)
-                    odds, gate = _finer_odds((every[:, 0], every[:, 1]), (own[:, 0], own[:, 1]))
+                    odds, gate = _finer_odds(every, own)
                     stage = np.full(1 << step, 12 + step, np.int32)
                     one = mixer.predict(odds, gate, stage)[0]
                     both = np.log10(np.stack([1 - one, one], axis=1)).ravel()
@@ -742,14 +767,17 @@ class Finer:
         return costs.T.ravel()
 
 
-def _finer_odds(every: tuple, own: tuple) -> tuple[list[np.ndarray | None], np.ndarray]:
-    gate = _confidence(own[0] + own[1]).astype(np.intp) + 72
-    return [_odds(*every), None, None, _odds(*own)], gate
+def _finer_odds(every: np.ndarray, own: np.ndarray) -> tuple[list[np.ndarray | None], np.ndarray]:
+    gate = _confidence(own[:, 0] + own[:, 1]).astype(np.intp) + 72
+    return [_odds(every), None, None, _odds(own)], gate
 
 
-def _odds(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
-    prior = np.float32(_PRIOR)
-    return np.log((ones.astype(np.float32) + prior) / (zeros.astype(np.float32) + prior))
+def _odds(pairs: np.ndarray) -> np.ndarray:
+    """Log odds from rows of zeros and ones."""
+    counts = pairs.astype(np.float32)
+    counts += np.float32(_PRIOR)
+    odds = counts[:, 1] / counts[:, 0]
+    return np.log(odds, out=odds)
 
 
 def _handed_out(rows: DataFrame, what: object) -> Broadcast[bytes]:
@@ -790,7 +818,7 @@ class Learner:
         for predictor, (counts, slots) in enumerate(zip(self.counts, places, strict=True)):
             # Zeros and ones of a slot lie side by side and are read as one number.
             pairs = _taken(counts.view(np.int64), slots).view(np.int32).reshape(-1, 2)
-            odds.append(_odds(pairs[:, 0], pairs[:, 1]))
+            odds.append(_odds(pairs))
             if predictor in _ASKED:
                 seen.append(_confidence(pairs[:, 0] + pairs[:, 1]))
         self.mixer.learn(odds, list(range(PREDICTORS)), _gates(bits, seen), bits.value, bits.stage)
@@ -927,10 +955,14 @@ class Model:
             if predictor in _ASKED:
                 seen.append((found >> np.uint16(8)).astype(np.uint8))
                 found = found.astype(np.uint8).view(np.int8)
-            odds.append(found * np.float32(1 / _FINE))
+            found = found.astype(np.float32)
+            found *= np.float32(1 / _FINE)
+            odds.append(found)
         gate = _gates(bits, seen)
-        final = self.mixer.predict(odds, gate, bits.stage)[0]
-        return np.log10(np.abs(np.float32(1) - bits.value - final))
+        share = (1 - bits.value).astype(np.float32)
+        share -= self.mixer.predict(odds, gate, bits.stage)[0]
+        np.abs(share, out=share)
+        return np.log10(share, out=share)
 
 
 # -- scoring ------------------------------------------------------------------------
